@@ -42,31 +42,31 @@ def vertices_from_edges(edges: DataFrame, src: str = "src", dst: str = "dst") ->
             .distinct())
 
 
-def _minima(e: DataFrame) -> DataFrame:
-    return e.groupBy("u").agg(F.min("v").alias("m"))
+def _minima(e: DataFrame, g: list[str]) -> DataFrame:
+    return e.groupBy(*g, "u").agg(F.min("v").alias("m"))
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    m = _minima(e).withColumnRenamed("u", "k")
+def _large_star(e: DataFrame, g: list[str]) -> DataFrame:
+    m = _minima(e, g).withColumnRenamed("u", "v")
     # Output has one row per input edge; repeats are removed by the small
     # star that follows (its minima do not depend on them).
-    return (e.join(m, e["v"] == m["k"], "left")
-            .select("u", F.coalesce("m", "v").alias("v")))
+    return (e.join(m, [*g, "v"], "left")
+            .select(*g, "u", F.coalesce("m", "v").alias("v")))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    m = _minima(e)
-    moved = (e.join(m, "u")
+def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
+    m = _minima(e, g)
+    moved = (e.join(m, [*g, "u"])
              .where(F.col("v") != F.col("m"))
-             .select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return moved.unionByName(m.select("u", F.col("m").alias("v"))).distinct()
+             .select(*g, F.col("v").alias("u"), F.col("m").alias("v")))
+    return moved.unionByName(m.select(*g, "u", F.col("m").alias("v"))).distinct()
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    tagged = (e.select(F.col("u").alias("k"), F.lit(1).alias("as_u"), F.lit(0).alias("as_v"))
-              .unionByName(e.select(F.col("v").alias("k"), F.lit(0).alias("as_u"),
+def _is_star_forest(e: DataFrame, g: list[str]) -> bool:
+    tagged = (e.select(*g, F.col("u").alias("k"), F.lit(1).alias("as_u"), F.lit(0).alias("as_v"))
+              .unionByName(e.select(*g, F.col("v").alias("k"), F.lit(0).alias("as_u"),
                                     F.lit(1).alias("as_v"))))
-    per_key = tagged.groupBy("k").agg(F.sum("as_u").alias("nu"), F.max("as_v").alias("isv"))
+    per_key = tagged.groupBy(*g, "k").agg(F.sum("as_u").alias("nu"), F.max("as_v").alias("isv"))
     row = per_key.agg(
         F.max("nu").alias("max_parents"),
         F.max(F.when((F.col("nu") > 0) & (F.col("isv") > 0), 1).otherwise(0)).alias("chain"),
@@ -77,27 +77,33 @@ def _is_star_forest(e: DataFrame) -> bool:
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
+                         group_by: list[str] | None = None,
                          max_iterations: int = 200) -> DataFrame:
     """Label every vertex that occurs in ``edges`` with the least vertex id of
     its component.  Edges are undirected; repeats and self-loops are allowed
     (a vertex with only a self-loop is its own component).
 
-    Returns ``(id BIGINT, cmp BIGINT)``, one row per vertex.
+    ``group_by`` names columns that split the edges into independent graphs
+    (for example one graph per round snapshot); all of them are solved in the
+    same job, the group columns being part of every key.
+
+    Returns ``(*group_by, id BIGINT, cmp BIGINT)``, one row per vertex.
     """
-    pairs = (edges.select(F.col(src).cast("bigint").alias("a"),
+    g = list(group_by or [])
+    pairs = (edges.select(*g, F.col(src).cast("bigint").alias("a"),
                           F.col(dst).cast("bigint").alias("b"))
              .where(F.col("a").isNotNull() & F.col("b").isNotNull())
-             .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+             .select(*g, F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
              .distinct())
     canon = materialize(pairs, "cc-canon")
-    selfs = canon.where(F.col("u") == F.col("v")).select(F.col("u").alias("id"),
+    selfs = canon.where(F.col("u") == F.col("v")).select(*g, F.col("u").alias("id"),
                                                          F.col("u").alias("cmp"))
     cur = materialize(canon.where(F.col("u") != F.col("v")), "cc-step")
     for _ in range(max_iterations):
-        if _is_star_forest(cur):
+        if _is_star_forest(cur, g):
             break
-        large = _large_star(cur).persist(StorageLevel.MEMORY_AND_DISK)
-        nxt = materialize(_small_star(large), "cc-step")
+        large = _large_star(cur, g).persist(StorageLevel.MEMORY_AND_DISK)
+        nxt = materialize(_small_star(large, g), "cc-step")
         large.unpersist()
         release(cur)
         cur = nxt
@@ -106,7 +112,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
             f"connected components did not converge in {max_iterations} iterations")
     # Star leaves point at their centre; the centres and self-loop-only
     # vertices label themselves.  One aggregate, combined map-side.
-    cands = (cur.select(F.col("u").alias("id"), F.col("v").alias("cmp"))
-             .unionByName(cur.select(F.col("v").alias("id"), F.col("v").alias("cmp")))
+    cands = (cur.select(*g, F.col("u").alias("id"), F.col("v").alias("cmp"))
+             .unionByName(cur.select(*g, F.col("v").alias("id"), F.col("v").alias("cmp")))
              .unionByName(selfs))
-    return cands.groupBy("id").agg(F.min("cmp").alias("cmp"))
+    return cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp"))
