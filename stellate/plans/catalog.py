@@ -252,6 +252,13 @@ def q_format_components(spark, d):
     return format_components(connected_components(order_customer_edges(spark, d)))
 
 
+def q_domain_components(spark, d):
+    """The full code domain at the customer-key width, relabelled by the
+    components of its neighbour graph (the digit-sum classes)."""
+    t = enumerate_codes(spark, customer_width(spark, d))
+    return relabel(t, connected_components(neighbor_edges(t))).select("uid", "cmp")
+
+
 def q_dense_order_ids(spark, d):
     o = _t(spark, d, "orders").select("o_orderkey")
     return assign_dense_ids(o, ["o_orderkey"], "seq")
@@ -289,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "merge_rounds": q_merge_rounds,
     "format_components": q_format_components,
     "dense_order_ids": q_dense_order_ids,
+    "domain_components": q_domain_components,
 }
 
 
@@ -494,6 +502,11 @@ FROM cc JOIN orders o ON cc.v = o.o_orderkey * 3""",
 SELECT v AS id, lbl AS cmp FROM cc""",
     "format_components": f"""WITH RECURSIVE {_OC_EDGES}, {_cc('oce')}
 SELECT printf('(%d,%d)', v, lbl) AS line FROM cc""",
+    "domain_components": f"""WITH RECURSIVE {_CODES}, w AS (SELECT DISTINCT width FROM codes),
+tbl AS (SELECT lpad(CAST(i AS VARCHAR), w.width, '0') AS uid, i AS cmp, w.width
+        FROM w, range(0, CAST(pow(10, w.width) AS BIGINT)) t(i)),
+{_CODE_EDGES}, {_cc('ce')}
+SELECT t.uid, coalesce(cc.lbl, t.cmp) AS cmp FROM tbl t LEFT JOIN cc ON cc.v = t.cmp""",
     "dense_order_ids": """SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS seq
 FROM orders""",
 }

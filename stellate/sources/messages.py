@@ -17,7 +17,7 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     task); a very long log should be stored with its line numbers as a table
     and read with :func:`read_message_table`.
     """
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     lines = F.split(F.regexp_replace("value", "\n$", ""), "\n")
     return (whole.select(F.input_file_name().alias("log_id"),
                          F.posexplode(lines).alias("line_no", "line"))
