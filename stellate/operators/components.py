@@ -56,10 +56,18 @@ def _large_star(e: DataFrame, g: list[str]) -> DataFrame:
 
 def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
     m = _minima(e, g)
-    moved = (e.join(m, [*g, "u"])
-             .where(F.col("v") != F.col("m"))
-             .select(*g, F.col("v").alias("u"), F.col("m").alias("v")))
-    return moved.unionByName(m.select(*g, "u", F.col("m").alias("v"))).distinct()
+    # Both outputs come from the one join: (v, m) for the other smaller
+    # neighbours and (u, m) for u itself (repeated per edge, removed by the
+    # distinct, which combines them before its shuffle).
+    j = e.join(m, [*g, "u"])
+    out = F.explode(F.array(
+        F.struct(F.col("u").alias("a"), F.col("m").alias("b")),
+        F.when(F.col("v") != F.col("m"),
+               F.struct(F.col("v").alias("a"), F.col("m").alias("b")))))
+    return (j.select(*g, out.alias("p"))
+            .where(F.col("p").isNotNull())
+            .select(*g, F.col("p.a").alias("u"), F.col("p.b").alias("v"))
+            .distinct())
 
 
 def _is_star_forest(e: DataFrame, g: list[str]) -> bool:

@@ -116,17 +116,20 @@ def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
     Edges inside one component become self-loops and are dropped; an edge
     with an end that is not stored cannot be placed and is returned in
     ``unknown`` instead of vanishing in an inner join.
+
+    The table is touched once, by an inner join with the distinct ends of the
+    round; a round whose ends fit the broadcast threshold streams the table
+    without shuffling it.  The rest of the work is edge-sized.
     """
-    t = table.select("uid", "cmp")
-    s = t.select(F.col("uid").alias("_su"), F.col("cmp").alias("_sc"))
-    d = t.select(F.col("uid").alias("_du"), F.col("cmp").alias("_dc"))
     e = uid_edges.select(F.col(src).cast("string").alias("_s"), F.col(dst).cast("string").alias("_d"))
-    j = (e.join(s, e["_s"] == s["_su"], "left")
-         .join(d, F.col("_d") == d["_du"], "left"))
-    known = (j.where(F.col("_sc").isNotNull() & F.col("_dc").isNotNull()
-                     & (F.col("_sc") != F.col("_dc")))
+    ends = e.select(F.col("_s").alias("uid")).unionByName(e.select(F.col("_d").alias("uid"))).distinct()
+    known = table.select("uid", "cmp").join(ends, "uid")
+    s = known.select(F.col("uid").alias("_s"), F.col("cmp").alias("_sc"))
+    d = known.select(F.col("uid").alias("_d"), F.col("cmp").alias("_dc"))
+    placed = e.join(s, "_s").join(d, "_d")
+    edges = (placed.where(F.col("_sc") != F.col("_dc"))
              .select(F.col("_sc").alias("src"), F.col("_dc").alias("dst"))
              .distinct())
-    unknown = (j.where(F.col("_sc").isNull() | F.col("_dc").isNull())
+    unknown = (e.join(placed.select("_s", "_d").distinct(), ["_s", "_d"], "left_anti")
                .select(F.col("_s").alias("src"), F.col("_d").alias("dst")))
-    return Contracted(known, unknown)
+    return Contracted(edges, unknown)

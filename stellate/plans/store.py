@@ -1,17 +1,22 @@
 """The sharded component table, stored as Parquet, with rounds of updates.
 
-Plain Parquet has no UPDATE, and a job cannot overwrite what it reads, so a
-round writes the relabelled table as a new version folder and the readers
-take the newest complete one:
+Plain Parquet has no UPDATE, and rewriting a very large table every round
+would cost the whole table per round.  So the table is kept as a *base*
+plus a *label history* that maps every label merged away to its current
+label; a round writes only a new history version (its size grows with the
+labels merged, not with the table), and readers resolve labels with one
+join.  :meth:`ComponentStore.compact` folds the history into a new base.
 
-    <path>/v=<n>/shard=<k>/part-*.parquet   one version, partitioned by shard
-    <path>/_history/v=<n>/                  old label -> current label
-    <path>/_rounds/                         one row per committed round ("c3")
+    <path>/base/v=<n>/shard=<k>/part-*.parquet  base, partitioned by shard
+    <path>/history/v=<m>/                       old label -> current label
+    <path>/_rounds/                             one row per round ("c3")
 
 A version counts only once Spark's job commit has written its ``_SUCCESS``
-marker, so a failed or half-written round is never read.  Rounds are
-idempotent for uid edges (merging the same edges twice changes nothing),
-and a replayed streaming batch is recognised by its ``batch_id``.
+marker, so a failed or half-written round is never read.  Applying a history
+to a base that already contains it changes nothing (current labels are never
+old labels), so a crash between the steps of a compaction is harmless.
+Rounds are idempotent for uid edges, and a replayed streaming batch is
+recognised by its ``batch_id``.
 """
 
 from __future__ import annotations
@@ -25,8 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.codes import code_of_number, shard_name, shard_of
 from ..operators.components import connected_components
-from ..operators.table import (component_members, contract_edges, lookup_uid, populate,
-                               relabel)
+from ..operators.table import contract_edges, lookup_uid, populate, relabel
 from ..schemas import COMPONENT_TABLE
 from ..session import delete_path, list_dirs, materialize, path_exists
 
@@ -53,7 +57,7 @@ class UidNotUnique(ValueError):
 
 @dataclass
 class RoundResult:
-    version: int
+    version: int           # history version written by the round
     labels: DataFrame      # (id, cmp): old label -> new label, this round
     unknown: DataFrame     # edges with an end that is not stored
     skipped: bool = False
@@ -71,50 +75,75 @@ class ComponentStore:
         self.uid_width = uid_width
 
     # -- versions -------------------------------------------------------
-    def _vdir(self, v: int, sub: str = "") -> str:
-        return f"{self.path}{sub}/v={v}"
+    def _vdir(self, part: str, v: int) -> str:
+        return f"{self.path}/{part}/v={v}"
 
-    def _versions(self, sub: str = "") -> list[int]:
+    def _versions(self, part: str) -> list[int]:
         out = []
-        for name in list_dirs(self.spark, self.path + sub):
+        for name in list_dirs(self.spark, f"{self.path}/{part}"):
             if name.startswith("v=") and path_exists(
-                    self.spark, f"{self.path}{sub}/{name}/_SUCCESS"):
+                    self.spark, f"{self.path}/{part}/{name}/_SUCCESS"):
                 out.append(int(name[2:]))
         return sorted(out)
 
     def current_version(self) -> int | None:
-        vs = self._versions()
+        """Version of the base table (None when the table does not exist)."""
+        vs = self._versions("base")
+        return vs[-1] if vs else None
+
+    def history_version(self) -> int | None:
+        vs = self._versions("history")
         return vs[-1] if vs else None
 
     def exists(self) -> bool:
         return self.current_version() is not None
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The table (a scan of the newest complete version by default)."""
-        v = self.current_version() if version is None else version
+    def base(self) -> DataFrame:
+        v = self.current_version()
         if v is None:
             raise FileNotFoundError(f"no component table at {self.path}")
-        return (self.spark.read.schema(COMPONENT_TABLE).parquet(self._vdir(v))
+        return (self.spark.read.schema(COMPONENT_TABLE).parquet(self._vdir("base", v))
                 .select("uid", "cmp", "mapped", "shard"))
 
     def history(self) -> DataFrame:
-        vs = self._versions("/_history")
-        if not vs:
+        """``(old, cur)``: every label merged away, with its current label."""
+        v = self.history_version()
+        if v is None:
             return self.spark.createDataFrame([], HISTORY)
-        return self.spark.read.schema(HISTORY).parquet(self._vdir(vs[-1], "/_history"))
+        return self.spark.read.schema(HISTORY).parquet(self._vdir("history", v))
+
+    def read(self) -> DataFrame:
+        """The current table: the base with its labels resolved through the
+        history (a left join keyed on the old label)."""
+        h = self.history().select(F.col("old").alias("id"), F.col("cur").alias("cmp"))
+        return relabel(self.base(), h)
 
-    def _write_version(self, df: DataFrame) -> int:
-        v = (self.current_version() or 0) + 1 if self.exists() else 0
+    def _write_base(self, df: DataFrame) -> int:
+        cur = self.current_version()
+        v = 0 if cur is None else cur + 1
         (df.select("uid", "cmp", "mapped", "shard")
          .repartition("shard")  # one writer per shard folder; AQE splits big shards
-         .write.mode("overwrite").partitionBy("shard").parquet(self._vdir(v)))
+         .write.mode("overwrite").partitionBy("shard").parquet(self._vdir("base", v)))
+        return v
+
+    def _write_history(self, df: DataFrame) -> int:
+        cur = self.history_version()
+        v = 0 if cur is None else cur + 1
+        df.select("old", "cur").write.mode("overwrite").parquet(self._vdir("history", v))
+        return v
+
+    def compact(self) -> int:
+        """Write the current table as a new base and start an empty history."""
+        v = self._write_base(self.read())
+        self._write_history(self.spark.createDataFrame([], HISTORY))
         return v
 
     # -- table management ----------------------------------------------
     def create(self) -> None:
         """Create the (empty) table if it does not exist."""
         if not self.exists():
-            self._write_version(self.spark.createDataFrame([], COMPONENT_TABLE))
+            self._write_base(self.spark.createDataFrame([], COMPONENT_TABLE))
+            self._write_history(self.spark.createDataFrame([], HISTORY))
 
     def populate(self, uids: DataFrame, order_by: list[str] | None = None,
                  check_unique: bool = True) -> int:
@@ -126,7 +155,9 @@ class ComponentStore:
                 raise UidNotUnique(f"uid {dup[0]['uid']!r} occurs more than once")
         rows = uids.select("uid") if "cmp" not in uids.columns else None
         table = populate(rows, self.shard_fn, order_by) if rows is not None else uids
-        return self._write_version(table)
+        v = self._write_base(table)
+        self._write_history(self.spark.createDataFrame([], HISTORY))
+        return v
 
     def drop(self, shard: int | None = None) -> None:
         """Drop the whole table, or one shard of the current version."""
@@ -135,7 +166,7 @@ class ComponentStore:
             return
         v = self.current_version()
         if v is not None:
-            delete_path(self.spark, f"{self._vdir(v)}/shard={shard}")
+            delete_path(self.spark, f"{self._vdir('base', v)}/shard={shard}")
 
     def shard_names(self) -> list[str]:
         return [f"{self.prefix}_{i}" for i in range(self.n_shards)]
@@ -145,10 +176,21 @@ class ComponentStore:
 
     # -- queries --------------------------------------------------------
     def lookup(self, uid: str) -> DataFrame:
-        return lookup_uid(self.read(), uid, self.shard_fn)
+        """Point lookup: the base row is found with partition pruning and a
+        pushed filter, then only its own label is looked up in the history."""
+        rows = lookup_uid(self.base(), uid, self.shard_fn)
+        # uid is unique, so ``rows`` holds at most one row: a bounded broadcast.
+        h = (self.history().join(F.broadcast(rows.select(F.col("cmp").alias("old"))), "old",
+                                 "left_semi")
+             .select(F.col("old").alias("id"), F.col("cur").alias("cmp")))
+        return relabel(rows, h)
 
     def members(self, cmp: int) -> DataFrame:
-        return component_members(self.read(), cmp)
+        """The uids of component ``cmp``: base rows whose label is ``cmp`` or
+        one of the labels merged into it."""
+        olds = (self.history().where(F.col("cur") == cmp).select(F.col("old").alias("cmp"))
+                .unionByName(self.spark.range(1).select(F.lit(cmp).cast("bigint").alias("cmp"))))
+        return self.base().join(olds, "cmp", "left_semi").select("uid")
 
     def rounds(self) -> DataFrame:
         p = f"{self.path}/_rounds"
@@ -174,7 +216,7 @@ class ComponentStore:
         merged component takes the least label, in one join.
         """
         if self._seen(batch_id):
-            v = self.current_version()
+            v = self.history_version()
             empty = self.spark.createDataFrame([], "id bigint, cmp bigint")
             return RoundResult(v, empty, self.spark.createDataFrame([], "src string, dst string"),
                                skipped=True)
@@ -203,24 +245,25 @@ class ComponentStore:
             raise ValueError("on must be 'uid' or 'cmp'")
         cmp_edges = materialize(cmp_edges, "round-edges")
         labels = materialize(connected_components(cmp_edges), "round-labels")
-        new_version = self._write_version(relabel(cur, labels))
         merged = labels.where(F.col("id") != F.col("cmp"))
-        self._update_history(merged, new_version)
-        stats = cmp_edges.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        version = self._update_history(merged)
+        n_edges = cmp_edges.count()
         n_unknown = unknown.count()
         n_vertices = labels.count()
         n_merged = merged.count()
         rnd = self.rounds().agg(F.max("round")).first()[0]
-        row = [((rnd or 0) + 1, new_version, batch_id, stats, n_unknown, n_vertices, n_merged, "c3")]
+        row = [((rnd or 0) + 1, version, batch_id, n_edges, n_unknown, n_vertices, n_merged, "c3")]
         self.spark.createDataFrame(row, ROUND_LOG).coalesce(1).write.mode("append") \
             .parquet(f"{self.path}/_rounds")
-        return RoundResult(new_version, labels, unknown)
+        return RoundResult(version, labels, unknown)
 
-    def _update_history(self, merged: DataFrame, version: int) -> None:
-        """old label -> current label, for every label merged away so far."""
+    def _update_history(self, merged: DataFrame) -> int:
+        """Labels merged this round move the history one step: entries that
+        pointed at a merged label point at its new one, and the merged labels
+        themselves are added."""
         h = self.history()
         lab = merged.select(F.col("id").alias("cur"), F.col("cmp").alias("_n"))
         moved = (h.join(lab, "cur", "left")
                  .select("old", F.coalesce("_n", "cur").alias("cur")))
         new = moved.unionByName(merged.select(F.col("id").alias("old"), F.col("cmp").alias("cur")))
-        new.write.mode("overwrite").parquet(self._vdir(version, "/_history"))
+        return self._write_history(new)

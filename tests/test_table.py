@@ -90,6 +90,14 @@ def test_store_rounds(spark, scratch):
     # shard partitions are pruned for a lookup
     plan = store.lookup("042")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "shard" in plan
+    members = {r.uid for r in store.members(got[7]).collect()}
+    assert members == {f"{i:03d}" for i in range(1000) if uf.get(i, i) == got[7]}
+    # a round writes only the label history; compaction folds it into the base
+    assert store.current_version() == 1
+    before = sorted(map(tuple, store.read().collect()))
+    store.compact()
+    assert store.current_version() == 2 and store.history().count() == 0
+    assert sorted(map(tuple, store.read().collect())) == before
     store.drop(shard=9)
     assert store.read().where("shard = 9").count() == 0
     store.drop()
