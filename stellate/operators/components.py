@@ -18,7 +18,9 @@ map side, so a hub vertex is combined before the shuffle); the joins are
 many-to-one on a key with one row on the small side, which AQE's skew-join
 split handles when one vertex holds a large share of the edges; each step is
 written under ``spark.checkpoint.dir`` so the plan stays short and a lost
-executor only costs the current step.
+executor only costs the current step.  Above the broadcast threshold the
+per-vertex minima are written too (see :func:`_minima`), so the skew split
+of AQE applies to the hub keys.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, release
+from ..session import broadcast_limit, materialize, release, stored_bytes
 
 
 class ComponentsDidNotConverge(RuntimeError):
@@ -42,20 +44,31 @@ def vertices_from_edges(edges: DataFrame, src: str = "src", dst: str = "dst") ->
             .distinct())
 
 
-def _minima(e: DataFrame, g: list[str]) -> DataFrame:
-    return e.groupBy(*g, "u").agg(F.min("v").alias("m"))
+def _minima(e: DataFrame, g: list[str], key: str, spill: bool) -> DataFrame:
+    """Least smaller neighbour of every ``u``, as ``(*g, key, m)``.
+
+    When the step is too large to broadcast, the minima are written out:
+    AQE splits a skewed join partition only when both join inputs are plain
+    shuffle stages, and an aggregate on top of its shuffle is not one.  The
+    written minima (one row per vertex) make the join two shuffle stages, so
+    the edges of a hub vertex are split over many tasks.  Small steps keep
+    the minima in the plan and Spark broadcasts them after its size check.
+    """
+    m = e.groupBy(*g, "u").agg(F.min("v").alias("m")).withColumnRenamed("u", key)
+    return materialize(m, "cc-min") if spill else m
 
 
-def _large_star(e: DataFrame, g: list[str]) -> DataFrame:
-    m = _minima(e, g).withColumnRenamed("u", "v")
+def _large_star(e: DataFrame, g: list[str], spill: bool = False):
+    m = _minima(e, g, "v", spill)
     # Output has one row per input edge; repeats are removed by the small
     # star that follows (its minima do not depend on them).
-    return (e.join(m, [*g, "v"], "left")
-            .select(*g, "u", F.coalesce("m", "v").alias("v")))
+    out = (e.join(m, [*g, "v"], "left")
+           .select(*g, "u", F.coalesce("m", "v").alias("v")))
+    return out, m
 
 
-def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
-    m = _minima(e, g)
+def _small_star(e: DataFrame, g: list[str], spill: bool = False):
+    m = _minima(e, g, "u", spill)
     # Both outputs come from the one join: (v, m) for the other smaller
     # neighbours and (u, m) for u itself (repeated per edge, removed by the
     # distinct, which combines them before its shuffle).
@@ -64,10 +77,11 @@ def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
         F.struct(F.col("u").alias("a"), F.col("m").alias("b")),
         F.when(F.col("v") != F.col("m"),
                F.struct(F.col("v").alias("a"), F.col("m").alias("b")))))
-    return (j.select(*g, out.alias("p"))
-            .where(F.col("p").isNotNull())
-            .select(*g, F.col("p.a").alias("u"), F.col("p.b").alias("v"))
-            .distinct())
+    res = (j.select(*g, out.alias("p"))
+           .where(F.col("p").isNotNull())
+           .select(*g, F.col("p.a").alias("u"), F.col("p.b").alias("v"))
+           .distinct())
+    return res, m
 
 
 def _is_star_forest(e: DataFrame, g: list[str]) -> bool:
@@ -106,15 +120,21 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     canon = materialize(pairs, "cc-canon")
     selfs = canon.where(F.col("u") == F.col("v")).select(*g, F.col("u").alias("id"),
                                                          F.col("u").alias("cmp"))
-    cur = materialize(canon.where(F.col("u") != F.col("v")), "cc-step")
+    limit = broadcast_limit(edges.sparkSession)
+    cur = canon.where(F.col("u") != F.col("v"))
+    size = stored_bytes(canon)
     for _ in range(max_iterations):
         if _is_star_forest(cur, g):
             break
-        large = _large_star(cur, g).persist(StorageLevel.MEMORY_AND_DISK)
-        nxt = materialize(_small_star(large, g), "cc-step")
+        spill = limit < 0 or size is None or size > limit
+        large, m1 = _large_star(cur, g, spill)
+        large = large.persist(StorageLevel.MEMORY_AND_DISK)
+        small, m2 = _small_star(large, g, spill)
+        nxt = materialize(small, "cc-step")
         large.unpersist()
-        release(cur)
-        cur = nxt
+        for t in (m1, m2, cur if cur is not canon else None):
+            release(t)
+        cur, size = nxt, stored_bytes(nxt)
     else:
         raise ComponentsDidNotConverge(
             f"connected components did not converge in {max_iterations} iterations")

@@ -98,6 +98,27 @@ def release(df: DataFrame | None) -> None:
         delete_path(df.sparkSession, path)
 
 
+def stored_bytes(df: DataFrame) -> int | None:
+    """Size on storage of a DataFrame made by :func:`materialize`."""
+    path = getattr(df, "_stellate_path", None)
+    if not path:
+        return None
+    p, fs = _fs(df.sparkSession, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The broadcast threshold in bytes (-1: never broadcast)."""
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    v = v.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+    for u in sorted(units, key=len, reverse=True):
+        if v.endswith(u) and v[:-len(u)].strip().lstrip("-").isdigit():
+            return int(v[:-len(u)]) * units[u]
+    return int(v)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return bool(fs.exists(p))
