@@ -19,8 +19,9 @@ many-to-one on a key with one row on the small side, which AQE's skew-join
 split handles when one vertex holds a large share of the edges; each step is
 written under ``spark.checkpoint.dir`` so the plan stays short and a lost
 executor only costs the current step.  Above the broadcast threshold the
-per-vertex minima are written too (see :func:`_minima`), so the skew split
-of AQE applies to the hub keys.
+per-vertex minima and the final labels are written too (see
+:func:`stellate.session.join_input`), so AQE's skew split applies to hub
+keys in the joins against them.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_limit, materialize, release, stored_bytes
+from ..session import join_input, materialize, release
 
 
 class ComponentsDidNotConverge(RuntimeError):
@@ -44,22 +45,19 @@ def vertices_from_edges(edges: DataFrame, src: str = "src", dst: str = "dst") ->
             .distinct())
 
 
-def _minima(e: DataFrame, g: list[str], key: str, spill: bool) -> DataFrame:
+def _minima(e: DataFrame, g: list[str], key: str) -> DataFrame:
     """Least smaller neighbour of every ``u``, as ``(*g, key, m)``.
 
-    When the step is too large to broadcast, the minima are written out:
-    AQE splits a skewed join partition only when both join inputs are plain
-    shuffle stages, and an aggregate on top of its shuffle is not one.  The
-    written minima (one row per vertex) make the join two shuffle stages, so
-    the edges of a hub vertex are split over many tasks.  Small steps keep
-    the minima in the plan and Spark broadcasts them after its size check.
+    Too large to broadcast, the minima are written out (see
+    :func:`stellate.session.join_input`), so the join with the edges is two
+    plain shuffle stages and AQE splits the edges of a hub vertex.
     """
     m = e.groupBy(*g, "u").agg(F.min("v").alias("m")).withColumnRenamed("u", key)
-    return materialize(m, "cc-min") if spill else m
+    return join_input(m, "cc-min")
 
 
-def _large_star(e: DataFrame, g: list[str], spill: bool = False):
-    m = _minima(e, g, "v", spill)
+def _large_star(e: DataFrame, g: list[str]):
+    m = _minima(e, g, "v")
     # Output has one row per input edge; repeats are removed by the small
     # star that follows (its minima do not depend on them).
     out = (e.join(m, [*g, "v"], "left")
@@ -67,8 +65,8 @@ def _large_star(e: DataFrame, g: list[str], spill: bool = False):
     return out, m
 
 
-def _small_star(e: DataFrame, g: list[str], spill: bool = False):
-    m = _minima(e, g, "u", spill)
+def _small_star(e: DataFrame, g: list[str]):
+    m = _minima(e, g, "u")
     # Both outputs come from the one join: (v, m) for the other smaller
     # neighbours and (u, m) for u itself (repeated per edge, removed by the
     # distinct, which combines them before its shuffle).
@@ -120,21 +118,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     canon = materialize(pairs, "cc-canon")
     selfs = canon.where(F.col("u") == F.col("v")).select(*g, F.col("u").alias("id"),
                                                          F.col("u").alias("cmp"))
-    limit = broadcast_limit(edges.sparkSession)
     cur = canon.where(F.col("u") != F.col("v"))
-    size = stored_bytes(canon)
     for _ in range(max_iterations):
         if _is_star_forest(cur, g):
             break
-        spill = limit < 0 or size is None or size > limit
-        large, m1 = _large_star(cur, g, spill)
+        large, m1 = _large_star(cur, g)
         large = large.persist(StorageLevel.MEMORY_AND_DISK)
-        small, m2 = _small_star(large, g, spill)
+        small, m2 = _small_star(large, g)
         nxt = materialize(small, "cc-step")
         large.unpersist()
         for t in (m1, m2, cur if cur is not canon else None):
             release(t)
-        cur, size = nxt, stored_bytes(nxt)
+        cur = nxt
     else:
         raise ComponentsDidNotConverge(
             f"connected components did not converge in {max_iterations} iterations")
@@ -143,4 +138,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     cands = (cur.select(*g, F.col("u").alias("id"), F.col("v").alias("cmp"))
              .unionByName(cur.select(*g, F.col("v").alias("id"), F.col("v").alias("cmp")))
              .unionByName(selfs))
-    return cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp"))
+    # Large labellings are written, so that a relabel join against them can
+    # have its giant-component key split by AQE.
+    return join_input(cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp")), "cc-labels")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import shard_of
-from ..session import materialize
+from ..session import join_input, materialize
 
 ShardFn = Callable[[Column], Column]
 
@@ -123,7 +123,7 @@ def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
     """
     e = uid_edges.select(F.col(src).cast("string").alias("_s"), F.col(dst).cast("string").alias("_d"))
     ends = e.select(F.col("_s").alias("uid")).unionByName(e.select(F.col("_d").alias("uid"))).distinct()
-    known = table.select("uid", "cmp").join(ends, "uid")
+    known = join_input(table.select("uid", "cmp").join(ends, "uid"), "contract-known")
     s = known.select(F.col("uid").alias("_s"), F.col("cmp").alias("_sc"))
     d = known.select(F.col("uid").alias("_d"), F.col("cmp").alias("_dc"))
     placed = e.join(s, "_s").join(d, "_d")

@@ -55,6 +55,14 @@ class UidNotUnique(ValueError):
     pass
 
 
+def default_edge_rule(table: DataFrame) -> DataFrame:
+    """Stored neighbour codes: ``(src, dst)`` uid pairs, each pair once."""
+    from ..operators.neighbors import stored_neighbors
+
+    nb = stored_neighbors(table, table).where(F.col("uid") < F.col("nbr"))
+    return nb.select(F.col("uid").alias("src"), F.col("nbr").alias("dst"))
+
+
 @dataclass
 class RoundResult:
     version: int           # history version written by the round
@@ -257,6 +265,14 @@ class ComponentStore:
             .parquet(f"{self.path}/_rounds")
         return RoundResult(version, labels, unknown)
 
+    def map_round(self, edge_fn: Callable[[DataFrame], DataFrame] | None = None,
+                  batch_id: int | None = None) -> RoundResult:
+        """One full round of the protocol: find edges between stored items
+        with ``edge_fn(table) -> (src, dst)`` on uids (default: stored
+        neighbour codes), then merge them."""
+        fn = edge_fn or default_edge_rule
+        return self.merge_round(fn(self.read()), on="uid", batch_id=batch_id)
+
     def _update_history(self, merged: DataFrame) -> int:
         """Labels merged this round move the history one step: entries that
         pointed at a merged label point at its new one, and the merged labels

@@ -119,6 +119,27 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(v)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan: the figure Spark compares with
+    the broadcast threshold when it plans a join."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def join_input(df: DataFrame, name: str) -> DataFrame:
+    """Prepare the one-row-per-key side of a join.
+
+    Under the broadcast threshold the plan is left as it is and Spark
+    broadcasts it (a checked size).  Above it the side is written out: AQE's
+    skew split needs both join inputs to be plain shuffle stages, and a side
+    that ends in an aggregate or a join is not one.  Written, a hot key on
+    the other side (a hub vertex, a giant component) is split over tasks.
+    """
+    limit = broadcast_limit(df.sparkSession)
+    if 0 <= limit and estimated_bytes(df) <= limit:
+        return df
+    return materialize(df, name)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return bool(fs.exists(p))

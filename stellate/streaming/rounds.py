@@ -16,9 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from typing import Callable
+
 from ..functions.messages import CONTROL_SHUTDOWN
+from ..operators.components import connected_components
 from ..operators.messages import classify_messages, parse_edges
-from ..plans.store import ComponentStore
+from ..plans.store import ROUND_LOG, ComponentStore
+
+Sink = Callable[[DataFrame, int], None]
 
 
 def round_writer(store: ComponentStore, on: str = "uid"):
@@ -36,7 +41,6 @@ def round_writer(store: ComponentStore, on: str = "uid"):
             if stop.limit(1).collect():
                 row = store.rounds().agg(F.max("round"), F.max("version")).first()
                 stop_row = [(int(row[0] or 0) + 1, int(row[1] or 0), None, 0, 0, 0, 0, "c4")]
-                from ..plans.store import ROUND_LOG
                 store.spark.createDataFrame(stop_row, ROUND_LOG).coalesce(1).write \
                     .mode("append").parquet(f"{store.path}/_rounds")
         finally:
@@ -56,3 +60,25 @@ def run_rounds_stream(lines: DataFrame, store: ComponentStore, checkpoint: str,
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def components_writer(sink: Sink):
+    """``foreachBatch`` function for a stream without a table: each batch's
+    edges get their components, which go to ``sink(labels, batch_id)``
+    (the pluggable component writer)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        edges = parse_edges(classify_messages(batch), keep=()).edges
+        sink(connected_components(edges), batch_id)
+
+    return write
+
+
+def run_components_stream(lines: DataFrame, sink: Sink, checkpoint: str,
+                          available_now: bool = True) -> StreamingQuery:
+    """Components of every micro-batch of message lines, handed to ``sink``."""
+    w = (lines.writeStream.foreachBatch(components_writer(sink))
+         .option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

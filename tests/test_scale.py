@@ -48,11 +48,11 @@ def test_hub_vertex_is_split_by_aqe(spark):
         hub = spark.range(1, 40001).select(F.col("id").alias("u"), F.lit(0).cast("bigint").alias("v"))
         tail = spark.range(40001, 45000).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v"))
         e = materialize(hub.unionByName(tail).repartition(8), "hub")
-        large, _ = _large_star(e, [], spill=True)
+        large, _ = _large_star(e, [])
         assert "skew=true" in _final_plan(large)
         rev = materialize(spark.range(1, 40001).select(F.lit(10 ** 6).cast("bigint").alias("u"),
                                                        F.col("id").alias("v")), "hub2")
-        small, _ = _small_star(rev, [], spill=True)
+        small, _ = _small_star(rev, [])
         assert "skew=true" in _final_plan(small)
         labels = connected_components(hub.unionByName(tail).select(F.col("u").alias("src"),
                                                                    F.col("v").alias("dst")))

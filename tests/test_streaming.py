@@ -50,3 +50,20 @@ def test_read_message_files(spark, scratch):
         by_log.setdefault(r.log_id.rsplit("/", 1)[-1], []).append((r.line_no, r.line))
     assert sorted(by_log["log1.txt"]) == [(0, "c1"), (1, "1 2"), (2, "c2")]
     assert len(by_log["log2.txt"]) == 4
+
+
+def test_components_stream_to_sink(spark, scratch):
+    from stellate.streaming.rounds import run_components_stream
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    write(src, "a.txt", ["c1", "1 3;3 6;9 8", "3 5;2 4", "5 6", "4 7;7 10", "c2", "cTEST_EXIT"])
+    seen = {}
+
+    def sink(labels, batch_id):
+        seen[batch_id] = {r.id: r.cmp for r in labels.collect()}
+
+    q = run_components_stream(stream_messages(spark, src), sink, os.path.join(scratch, "ck"))
+    q.awaitTermination(120)
+    (got,) = seen.values()
+    assert len(got) == 10 and got[10] == 2 and got[6] == 1 and got[9] == 8

@@ -118,3 +118,27 @@ def test_store_rejects_duplicate_uids(spark, scratch):
     store = ComponentStore(spark, f"{scratch}/tbl")
     with pytest.raises(UidNotUnique):
         store.populate(spark.createDataFrame([("1",), ("1",)], "uid string"))
+
+
+def test_map_round_full_domain(spark, scratch):
+    """Load all codes of length 3, map neighbours, merge: the digit-sum classes."""
+    store = ComponentStore(spark, f"{scratch}/tbl")
+    store.populate(enumerate_codes(spark, 3).select("uid"))
+    r = store.map_round(batch_id=0)
+    assert r.unknown.count() == 0
+    t = store.read()
+    per = (t.withColumn("s", F.aggregate(F.transform(F.split("uid", ""), lambda c: c.cast("int")),
+                                         F.lit(0), lambda a, b: a + b))
+           .groupBy("s").agg(F.countDistinct("cmp").alias("k"), F.min("cmp").alias("c"),
+                             F.min(F.col("uid").cast("bigint")).alias("m")).collect())
+    assert len(per) == 28 and all(p.k == 1 and p.c == p.m for p in per)
+
+
+def test_scratch_rows_append(spark, scratch):
+    from stellate.schemas import SCRATCH_ROWS
+
+    p = f"{scratch}/scratch"
+    for i in range(11):
+        spark.createDataFrame([(f"entry {i}", i)], SCRATCH_ROWS).write.mode("append").parquet(p)
+    got = sorted((r.a, r.b) for r in spark.read.parquet(p).collect())
+    assert got == sorted((f"entry {i}", i) for i in range(11))
