@@ -139,5 +139,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
              .unionByName(cur.select(*g, F.col("v").alias("id"), F.col("v").alias("cmp")))
              .unionByName(selfs))
     # Large labellings are written, so that a relabel join against them can
-    # have its giant-component key split by AQE.
-    return join_input(cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp")), "cc-labels")
+    # have its giant-component key split by AQE; then the steps behind them
+    # can go.
+    labels = join_input(cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp")), "cc-labels")
+    if labels is not cands and getattr(labels, "_stellate_path", None):
+        release(cur if cur is not canon else None)
+        release(canon)
+    return labels

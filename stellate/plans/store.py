@@ -21,7 +21,7 @@ recognised by its ``batch_id``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +32,7 @@ from ..functions.codes import code_of_number, shard_name, shard_of
 from ..operators.components import connected_components
 from ..operators.table import contract_edges, lookup_uid, populate, relabel
 from ..schemas import COMPONENT_TABLE
-from ..session import delete_path, list_dirs, materialize, path_exists
+from ..session import delete_path, list_dirs, materialize, path_exists, release
 
 ROUND_LOG = T.StructType([
     T.StructField("round", T.IntegerType(), False),
@@ -69,6 +69,13 @@ class RoundResult:
     labels: DataFrame      # (id, cmp): old label -> new label, this round
     unknown: DataFrame     # edges with an end that is not stored
     skipped: bool = False
+    scratch: list = field(default_factory=list)  # written inputs behind labels / unknown
+
+    def release(self) -> None:
+        """Delete the written round inputs once ``labels`` / ``unknown`` are used."""
+        for df in self.scratch:
+            release(df)
+        self.scratch = []
 
 
 class ComponentStore:
@@ -229,11 +236,17 @@ class ComponentStore:
             return RoundResult(v, empty, self.spark.createDataFrame([], "src string, dst string"),
                                skipped=True)
         cur = self.read()
+        scratch = []
         if on == "uid":
             e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
             if self.uid_width:
                 e = e.select(*(F.coalesce(code_of_number(c, self.uid_width),
                                           F.col(c).cast("string")).alias(c) for c in ("src", "dst")))
+            # The round's edges are computed once (an edge rule may be a large
+            # job) and read by both the contraction and the unknown-end report.
+            e = materialize(e.select(F.col("src").cast("string"), F.col("dst").cast("string")),
+                            "round-uid-edges")
+            scratch.append(e)
             con = contract_edges(e, cur)
             cmp_edges, unknown = con.edges, con.unknown
         elif on == "cmp":
@@ -244,11 +257,18 @@ class ComponentStore:
                 hc = h.select(F.col("old").alias(c), F.col("cur").alias("_c"))
                 e = e.join(hc, c, "left").select(
                     *(F.coalesce("_c", c).alias(c) if x == c else F.col(x) for x in ("src", "dst")))
-            known = cur.select(F.col("cmp").alias("_k")).distinct()
-            e = e.join(known.withColumnRenamed("_k", "src"), "src", "left_semi") \
-                 .join(known.withColumnRenamed("_k", "dst"), "dst", "left_semi")
-            cmp_edges = e.where(F.col("src") != F.col("dst"))
-            unknown = self.spark.createDataFrame([], "src string, dst string")
+            # Ends that name no current label are reported, not merged.  The
+            # table meets only the round's distinct ends (inner join).
+            e = materialize(e, "round-cmp-edges")
+            scratch.append(e)
+            ends = e.select(F.col("src").alias("_k")).unionByName(
+                e.select(F.col("dst").alias("_k"))).distinct()
+            known = cur.select(F.col("cmp").alias("_k")).join(ends, "_k").distinct()
+            ok = (e.join(known.withColumnRenamed("_k", "src"), "src", "left_semi")
+                  .join(known.withColumnRenamed("_k", "dst"), "dst", "left_semi"))
+            cmp_edges = ok.where(F.col("src") != F.col("dst"))
+            unknown = (e.join(ok, ["src", "dst"], "left_anti")
+                       .select(F.col("src").cast("string"), F.col("dst").cast("string")))
         else:
             raise ValueError("on must be 'uid' or 'cmp'")
         cmp_edges = materialize(cmp_edges, "round-edges")
@@ -263,7 +283,8 @@ class ComponentStore:
         row = [((rnd or 0) + 1, version, batch_id, n_edges, n_unknown, n_vertices, n_merged, "c3")]
         self.spark.createDataFrame(row, ROUND_LOG).coalesce(1).write.mode("append") \
             .parquet(f"{self.path}/_rounds")
-        return RoundResult(version, labels, unknown)
+        release(cmp_edges)
+        return RoundResult(version, labels, unknown, scratch=scratch + [labels])
 
     def map_round(self, edge_fn: Callable[[DataFrame], DataFrame] | None = None,
                   batch_id: int | None = None) -> RoundResult:

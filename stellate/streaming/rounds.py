@@ -36,7 +36,7 @@ def round_writer(store: ComponentStore, on: str = "uid"):
         c = c.persist()
         try:
             parsed = parse_edges(c, keep=())
-            store.merge_round(parsed.edges, on=on, batch_id=batch_id)
+            store.merge_round(parsed.edges, on=on, batch_id=batch_id).release()
             stop = c.where((F.col("kind") == "exit") | (F.col("control") == CONTROL_SHUTDOWN))
             if stop.limit(1).collect():
                 row = store.rounds().agg(F.max("round"), F.max("version")).first()
