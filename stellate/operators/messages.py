@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..functions.messages import (CONTROL_FINISHED, CONTROL_SHUTDOWN, CONTROL_START,
                                   control_number, edge_parts, integer_token,
                                   invalid_reason, message_kind)
@@ -139,7 +140,9 @@ def round_snapshots(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFr
     same log (a second ``c2`` without a new ``c1`` sees the earlier edges
     too).  Returns ``(log_id, round, snapshot_line, line_no, pos, src, dst)``.
     """
-    r = assign_rounds(lines, chunk_size)
+    # Both the edges and the c2 lines come from the rounds: written once, so
+    # the window pipeline runs once.
+    r = materialize(assign_rounds(lines, chunk_size), "rounds")
     finished = r.where((F.col("kind") == "control") & (F.col("control") == CONTROL_FINISHED)) \
         .select("log_id", "round", F.col("line_no").alias("snapshot_line"))
     edges = parse_edges(r, keep=("log_id", "round", "line_no")).edges

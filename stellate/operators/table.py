@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import shard_of
@@ -27,9 +27,8 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str = "cmp",
     Rows are range-partitioned on the order and sorted inside each partition;
     each row takes its position inside the partition, the partition sizes are
     counted (one row per partition) and their running sum is the offset.  One
-    global window would put every row into a single task; here the only
-    global window runs over the partition counts.  The ranged rows are
-    written once, so the positions and counts come from the same data.
+    global window would put every row into a single task.  The ranged rows
+    are written once, so the positions and counts come from the same data.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -39,12 +38,17 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str = "cmp",
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.col("_pid").cast("long") * F.lit(1 << 33)))
     staged = materialize(ranged, "dense-ids")
-    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # ``offsets`` has one row per range partition: a fixed, small bound.
+    # One count per range partition (a bound set by ``n``), summed on the
+    # driver the way zipWithIndex does it, then broadcast back.
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, total = [], 0
+    for pid, cnt in counts:
+        offsets.append((pid, total))
+        total += cnt
+    off = spark.createDataFrame(offsets, "_pid int, _off bigint")
     cols = [c for c in df.columns if c != id_col]
-    return (staged.join(F.broadcast(offsets), "_pid")
+    return (staged.join(F.broadcast(off), "_pid")
             .select(*cols, (F.col("_off") + F.col("_pos")).alias(id_col)))
 
 
