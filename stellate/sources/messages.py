@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MESSAGE_LINES
+from ..session import materialize
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Message logs stored one log per text file.
-
-    Spark's line reader keeps no line numbers, so each file is read whole
-    and split into numbered lines: ``log_id`` is the file, ``line_no`` the
-    0-based line.  This suits many logs of moderate size (one file is one
-    task); a very long log should be stored with its line numbers as a table
-    and read with :func:`read_message_table`.
+    """Message logs stored one log per text file: ``(log_id, line_no, line)``.
+
+    ``log_id`` is the file and ``line_no`` the 0-based line, exact even for a
+    file that Spark splits over many tasks.  Inside one file split the lines
+    come in order, so a line's number is the count of lines in the earlier
+    splits of its file plus its place in its own split.  The split counts
+    are one row per split; their running sum is a window per file over
+    those rows only.  The numbered scan is written once so that the ids and
+    the counts come from the same read.
     """
-    whole = spark.read.text(path, wholetext=True)
-    lines = F.split(F.regexp_replace("value", "\n$", ""), "\n")
-    return (whole.select(F.input_file_name().alias("log_id"),
-                         F.posexplode(lines).alias("line_no", "line"))
-            .select("log_id", F.col("line_no").cast("bigint"), "line"))
+    raw = spark.read.text(path).select(
+        F.input_file_name().alias("log_id"), F.input_file_block_start().alias("_blk"),
+        F.monotonically_increasing_id().alias("_mid"), F.col("value").alias("line"))
+    staged = materialize(raw, "message-lines")
+    splits = staged.groupBy("log_id", "_blk").agg(F.count(F.lit(1)).alias("_n"),
+                                                  F.min("_mid").alias("_first"))
+    before = Window.partitionBy("log_id").orderBy("_blk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    splits = splits.select("log_id", "_blk", "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (staged.join(splits, ["log_id", "_blk"])
+            .select("log_id", (F.col("_off") + F.col("_mid") - F.col("_first")).alias("line_no"),
+                    "line"))
 
 
 def read_message_table(spark: SparkSession, path: str) -> DataFrame:

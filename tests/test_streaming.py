@@ -67,3 +67,20 @@ def test_components_stream_to_sink(spark, scratch):
     q.awaitTermination(120)
     (got,) = seen.values()
     assert len(got) == 10 and got[10] == 2 and got[6] == 1 and got[9] == 8
+
+
+def test_read_messages_numbers_lines_across_splits(spark, scratch):
+    """A file split over many tasks still gets exact line numbers."""
+    path = os.path.join(scratch, "big")
+    os.makedirs(path)
+    lines = [f"{i} {i + 1}" if i % 7 else "c1" for i in range(60000)]
+    write(path, "log.txt", lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 4  # the file is split
+        df = read_messages(spark, path)
+        got = sorted((r.line_no, r.line) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(enumerate(lines))
