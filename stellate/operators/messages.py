@@ -119,19 +119,24 @@ def parse_edges(lines: DataFrame, keep: tuple[str, ...] = ("log_id", "line_no"),
 def format_messages(edges: DataFrame, group: list[str], order: str,
                     src: str = "src", dst: str = "dst",
                     max_edges_per_line: int = 1000) -> DataFrame:
-    """Serialise edges to data lines ``"a b;c d"``, one line per group and
-    chunk, edges in ``order`` (then by ends).
+    """Serialise edges to data lines ``"a b;c d"``: one line per group and
+    chunk of ``max_edges_per_line`` edges, edges in ``order`` (then by ends).
 
-    ``order`` should be a position such as a line number: a group is cut into
-    chunks of ``order div max_edges_per_line`` so that no line, and no task,
-    has to hold an unbounded group.  Returns ``(*group, chunk, line)``.
+    The edges of each group are numbered in order first (in parallel, see
+    :func:`stellate.operators.table.assign_dense_ids`), so every line, and
+    every collected list, holds at most ``max_edges_per_line`` edges however
+    large a group is.  Returns ``(*group, chunk, line)``.
     """
-    keyed = edges.select(*group, F.floor(F.col(order) / F.lit(max_edges_per_line)).alias("chunk"),
-                         F.struct(F.col(order).alias("o"), F.col(src).cast("bigint").alias("s"),
-                                  F.col(dst).cast("bigint").alias("d")).alias("_e"))
+    from .table import assign_dense_ids
+
+    base = edges.select(*group, F.col(order).alias("_o"), F.col(src).cast("bigint").alias("_s"),
+                        F.col(dst).cast("bigint").alias("_d"))
+    numbered = assign_dense_ids(base, ["_o", "_s", "_d"], "_k", partition_by=group)
+    keyed = numbered.select(*group, F.floor(F.col("_k") / F.lit(max_edges_per_line)).alias("chunk"),
+                            F.struct("_k", "_s", "_d").alias("_e"))
     agg = keyed.groupBy(*group, "chunk").agg(F.sort_array(F.collect_list("_e")).alias("_es"))
-    line = F.array_join(F.transform("_es", lambda e: F.concat_ws(" ", e["s"].cast("string"),
-                                                                  e["d"].cast("string"))), ";")
+    line = F.array_join(F.transform("_es", lambda e: F.concat_ws(" ", e["_s"].cast("string"),
+                                                                  e["_d"].cast("string"))), ";")
     return agg.select(*group, "chunk", line.alias("line"))
 
 

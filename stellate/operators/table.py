@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import shard_of
@@ -21,35 +21,45 @@ ShardFn = Callable[[Column], Column]
 
 
 def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str = "cmp",
-                     num_partitions: int | None = None) -> DataFrame:
-    """Running number from 0 in ``order_by`` order, computed in parallel.
-
-    Rows are range-partitioned on the order and sorted inside each partition;
-    each row takes its position inside the partition, the partition sizes are
-    counted (one row per partition) and their running sum is the offset.  One
-    global window would put every row into a single task.  The ranged rows
-    are written once, so the positions and counts come from the same data.
+                     num_partitions: int | None = None,
+                     partition_by: list[str] | None = None) -> DataFrame:
+    """Running number from 0 in ``order_by`` order (within each
+    ``partition_by`` group, if given), computed in parallel.
+
+    Rows are range-partitioned on (group, order) and sorted inside each
+    partition, so a very large group spreads over several range partitions
+    instead of one task.  Each row takes its position inside its partition;
+    the rows of each (partition, group) are counted and the running sum of
+    those counts over the partitions of a group is the offset.  Without
+    groups there is one count per partition, summed on the driver the way
+    ``zipWithIndex`` does it.  The ranged rows are written once, so the
+    positions and counts come from the same data.
     """
     spark = df.sparkSession
+    g = list(partition_by or [])
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_by)
-              .sortWithinPartitions(*order_by)
+    ranged = (df.repartitionByRange(n, *g, *order_by)
+              .sortWithinPartitions(*g, *order_by)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()
-                          - F.col("_pid").cast("long") * F.lit(1 << 33)))
+              .withColumn("_pos", F.monotonically_increasing_id()))
     staged = materialize(ranged, "dense-ids")
-    # One count per range partition (a bound set by ``n``), summed on the
-    # driver the way zipWithIndex does it, then broadcast back.
-    counts = sorted((r["_pid"], r["_n"]) for r in
-                    staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
-    offsets, total = [], 0
-    for pid, cnt in counts:
-        offsets.append((pid, total))
-        total += cnt
-    off = spark.createDataFrame(offsets, "_pid int, _off bigint")
     cols = [c for c in df.columns if c != id_col]
-    return (staged.join(F.broadcast(off), "_pid")
-            .select(*cols, (F.col("_off") + F.col("_pos")).alias(id_col)))
+    parts = staged.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_n"),
+                                          F.min("_pos").alias("_first"))
+    if not g:
+        # One row per range partition (a bound set by ``n``).
+        counts = sorted((r["_pid"], r["_n"], r["_first"]) for r in parts.collect())
+        offsets, total = [], 0
+        for pid, cnt, first in counts:
+            offsets.append((pid, total, first))
+            total += cnt
+        off = F.broadcast(spark.createDataFrame(offsets, "_pid int, _off bigint, _first bigint"))
+    else:
+        before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        off = parts.select(*g, "_pid", "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (staged.join(off, [*g, "_pid"])
+            .select(*cols, (F.col("_off") + F.col("_pos") - F.col("_first")).alias(id_col)))
 
 
 def populate(uids: DataFrame, shard_fn: ShardFn = shard_of,

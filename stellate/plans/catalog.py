@@ -214,9 +214,9 @@ def q_edge_vertices(spark, d):
 
 def q_vertex_count(spark, d):
     e = q_edge_union(spark, d)
-    nv = vertices_from_edges(e).agg(F.count(F.lit(1)).alias("n_vertices"))
-    ne = e.agg(F.count(F.lit(1)).alias("n_edges"))
-    return nv.crossJoin(ne)  # two one-row aggregates
+    ends = e.select(F.explode(F.array("src", "dst")).alias("id"))
+    return ends.agg(F.count_distinct("id").alias("n_vertices"),
+                    (F.count(F.lit(1)) / 2).cast("bigint").alias("n_edges"))
 
 
 def q_components_order_part(spark, d):
@@ -412,11 +412,16 @@ _OP_EDGES = "ope AS (SELECT l_orderkey * 3 AS s, l_partkey * 3 + 1 AS d FROM lin
 _OC_EDGES = "oce AS (SELECT o_orderkey * 3 AS s, o_custkey * 3 + 2 AS d FROM orders)"
 _ALL_EDGES = f"{_OP_EDGES}, {_OC_EDGES}, ae AS (SELECT s, d FROM ope UNION ALL SELECT s, d FROM oce)"
 
-_MSG_LINES = """ml AS (
-  SELECT l_orderkey, CAST(floor(l_linenumber / 1000) AS BIGINT) AS chunk,
-         string_agg(concat(l_orderkey * 3, ' ', l_partkey * 3 + 1), ';'
-                    ORDER BY l_linenumber, l_orderkey * 3, l_partkey * 3 + 1) AS line
-  FROM lineitem GROUP BY l_orderkey, CAST(floor(l_linenumber / 1000) AS BIGINT))"""
+_MSG_EDGES = """me AS (
+  SELECT l_orderkey, l_linenumber, l_orderkey * 3 AS src, l_partkey * 3 + 1 AS dst,
+         row_number() OVER (PARTITION BY l_orderkey
+                            ORDER BY l_linenumber, l_orderkey * 3, l_partkey * 3 + 1) - 1 AS k
+  FROM lineitem)"""
+
+_MSG_LINES = f"""{_MSG_EDGES}, ml AS (
+  SELECT l_orderkey, CAST(k // 1000 AS BIGINT) AS chunk,
+         string_agg(concat(src, ' ', dst), ';' ORDER BY k) AS line
+  FROM me GROUP BY l_orderkey, CAST(k // 1000 AS BIGINT))"""
 
 ORACLE_SQL: dict[str, str] = {
     "code_functions": f"""WITH {_CODES}
@@ -458,11 +463,9 @@ SELECT DISTINCT CAST(a.c_nationkey AS BIGINT) AS src, CAST(b.c_nationkey AS BIGI
 FROM se JOIN codes a ON a.uid = se.s JOIN codes b ON b.uid = se.d
 WHERE a.c_nationkey <> b.c_nationkey""",
     "message_format": f"WITH {_MSG_LINES} SELECT l_orderkey, chunk, line FROM ml",
-    "message_roundtrip": """SELECT l_orderkey, CAST(floor(l_linenumber / 1000) AS BIGINT) AS chunk,
-  CAST(row_number() OVER (PARTITION BY l_orderkey, floor(l_linenumber / 1000)
-       ORDER BY l_linenumber, l_orderkey * 3, l_partkey * 3 + 1) - 1 AS INTEGER) AS pos,
-  l_orderkey * 3 AS src, l_partkey * 3 + 1 AS dst
-FROM lineitem""",
+    "message_roundtrip": f"""WITH {_MSG_EDGES}
+SELECT l_orderkey, CAST(k // 1000 AS BIGINT) AS chunk, CAST(k % 1000 AS INTEGER) AS pos, src, dst
+FROM me""",
     "message_classify": f"WITH {_EVENT_LINES}, {_CLASSIFIED} SELECT * FROM cls",
     "message_rounds": f"""WITH {_EVENT_LINES}, {_CLASSIFIED}, {_ROUNDS}
 SELECT log_id, line_no, kind, round FROM rnd""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from stellate.operators.messages import (MalformedMessage, assign_rounds, classify_messages,
                                          drop_after_stop, format_messages, parse_edges,
@@ -91,3 +92,13 @@ def test_format_parse_roundtrip(spark):
     assert back.count() == 3
     p = parse_edges(format_messages(e, ["g"], "o"), keep=("g",)).edges
     assert sorted((r.g, r.pos, r.src, r.dst) for r in p.collect()) == [(1, 0, 5, 6), (1, 1, 7, 8), (2, 0, 9, 10)]
+
+
+def test_format_chunks_are_bounded_without_positions(spark):
+    """Every edge has the same order value; lines still hold at most k edges."""
+    e = spark.range(0, 2500).select(F.lit(1).alias("g"), F.lit(0).alias("o"),
+                                    F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    lines = format_messages(e, ["g"], "o", max_edges_per_line=1000).collect()
+    assert sorted(len(r.line.split(";")) for r in lines) == [500, 1000, 1000]
+    back = parse_edges(format_messages(e, ["g"], "o", max_edges_per_line=1000), keep=("g",)).edges
+    assert sorted((r.src, r.dst) for r in back.collect()) == [(i, i + 1) for i in range(2500)]

@@ -142,3 +142,19 @@ def test_scratch_rows_append(spark, scratch):
         spark.createDataFrame([(f"entry {i}", i)], SCRATCH_ROWS).write.mode("append").parquet(p)
     got = sorted((r.a, r.b) for r in spark.read.parquet(p).collect())
     assert got == sorted((f"entry {i}", i) for i in range(11))
+
+
+def test_dense_ids_within_groups_hot_group(spark):
+    """One group holds most rows; it is spread over range partitions and
+    still numbered 0..n-1 in order."""
+    hot = spark.range(0, 9000).select(F.lit("hot").alias("g"), (F.col("id") * 13 % 9001).alias("o"))
+    cold = spark.range(0, 300).select((F.col("id") % 3).cast("string").alias("g"), F.col("id").alias("o"))
+    df = hot.unionByName(cold)
+    out = assign_dense_ids(df, ["o"], "k", num_partitions=8, partition_by=["g"]).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.g, []).append((r.o, r.k))
+    for g, rows in by.items():
+        rows.sort()
+        assert [k for _, k in rows] == list(range(len(rows))), g
+    assert len(by["hot"]) == 9000
