@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value of the data model: shards are named "<prefix>_<index>" and the
+# default prefix is this one.
 DEFAULT_PREFIX = "connector"
 
 

@@ -29,7 +29,7 @@ def stored_neighbors(codes: DataFrame, table: DataFrame, uid: str = "uid",
 
     Returns ``(uid, nbr, nbr_cmp, nbr_shard)``.  By default all shards are
     searched; ``within_shard=True`` keeps only neighbours in the shard of
-    the code itself (the one-keyspace view).  The join is on the unique
+    the code itself (the one-shard view).  The join is on the unique
     ``uid`` of the table, so no key is hot: a code is the neighbour of at
     most L*(L-1) codes.
     """
