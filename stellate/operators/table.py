@@ -124,7 +124,8 @@ class Contracted:
 
 
 def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
-                   dst: str = "dst") -> Contracted:
+                   dst: str = "dst",
+                   resolve: Callable[[DataFrame], DataFrame] | None = None) -> Contracted:
     """Replace both ends of uid edges by their current component number.
 
     Edges inside one component become self-loops and are dropped; an edge
@@ -133,11 +134,17 @@ def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
 
     The table is touched once, by an inner join with the distinct ends of the
     round; a round whose ends fit the broadcast threshold streams the table
-    without shuffling it.  The rest of the work is edge-sized.
+    without shuffling it.  ``resolve`` maps the matched ``(uid, cmp)`` rows
+    to current labels (a store resolves them through its label history here,
+    on the round-sized rows rather than on the whole table).  The rest of the
+    work is edge-sized.
     """
     e = uid_edges.select(F.col(src).cast("string").alias("_s"), F.col(dst).cast("string").alias("_d"))
     ends = e.select(F.col("_s").alias("uid")).unionByName(e.select(F.col("_d").alias("uid"))).distinct()
-    known = join_input(table.select("uid", "cmp").join(ends, "uid"), "contract-known")
+    known = table.select("uid", "cmp").join(ends, "uid")
+    if resolve is not None:
+        known = resolve(known)
+    known = join_input(known, "contract-known")
     s = known.select(F.col("uid").alias("_s"), F.col("cmp").alias("_sc"))
     d = known.select(F.col("uid").alias("_d"), F.col("cmp").alias("_dc"))
     placed = e.join(s, "_s").join(d, "_d")

@@ -127,11 +127,16 @@ class ComponentStore:
             return self.spark.createDataFrame([], HISTORY)
         return self.spark.read.schema(HISTORY).parquet(self._vdir("history", v))
 
+    def _resolve(self, rows: DataFrame) -> DataFrame:
+        """Current labels of some base rows (a left join on the old label)."""
+        h = self.history().select(F.col("old").alias("id"), F.col("cur").alias("cmp"))
+        return relabel(rows, h)
+
     def read(self) -> DataFrame:
         """The current table: the base with its labels resolved through the
-        history (a left join keyed on the old label)."""
-        h = self.history().select(F.col("old").alias("id"), F.col("cur").alias("cmp"))
-        return relabel(self.base(), h)
+        history.  Broadcast while the history is small; :meth:`compact` keeps
+        it so by folding it into a new base."""
+        return self._resolve(self.base())
 
     def _write_base(self, df: DataFrame) -> int:
         cur = self.current_version()
@@ -235,7 +240,6 @@ class ComponentStore:
             empty = self.spark.createDataFrame([], "id bigint, cmp bigint")
             return RoundResult(v, empty, self.spark.createDataFrame([], "src string, dst string"),
                                skipped=True)
-        cur = self.read()
         scratch = []
         if on == "uid":
             e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
@@ -247,7 +251,8 @@ class ComponentStore:
             e = materialize(e.select(F.col("src").cast("string"), F.col("dst").cast("string")),
                             "round-uid-edges")
             scratch.append(e)
-            con = contract_edges(e, cur)
+            # Ends meet the base first; only their rows go through the history.
+            con = contract_edges(e, self.base(), resolve=self._resolve)
             cmp_edges, unknown = con.edges, con.unknown
         elif on == "cmp":
             h = self.history()
@@ -263,7 +268,9 @@ class ComponentStore:
             scratch.append(e)
             ends = e.select(F.col("src").alias("_k")).unionByName(
                 e.select(F.col("dst").alias("_k"))).distinct()
-            known = cur.select(F.col("cmp").alias("_k")).join(ends, "_k").distinct()
+            # A current label is a base label that was never merged away.
+            known = (self.base().select(F.col("cmp").alias("_k")).join(ends, "_k").distinct()
+                     .join(h.select(F.col("old").alias("_k")), "_k", "left_anti"))
             ok = (e.join(known.withColumnRenamed("_k", "src"), "src", "left_semi")
                   .join(known.withColumnRenamed("_k", "dst"), "dst", "left_semi"))
             cmp_edges = ok.where(F.col("src") != F.col("dst"))

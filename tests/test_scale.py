@@ -82,3 +82,18 @@ def test_round_windows_are_per_chunk(spark):
     assert "Window" in plan and "_chunk" in plan
     got = {r.line_no: r["round"] for r in df.collect()}
     assert all(got[i] == i // 10 + 1 for i in range(100))
+
+
+def test_small_round_does_not_shuffle_the_table(spark, scratch):
+    from stellate.operators.table import contract_edges
+    from stellate.plans.store import ComponentStore
+    from stellate.sources.codes import enumerate_codes
+
+    store = ComponentStore(spark, f"{scratch}/tbl")
+    store.populate(enumerate_codes(spark, 4).select("uid"))
+    e = spark.createDataFrame([("0001", "0010"), ("0100", "1000")], "src string, dst string")
+    con = contract_edges(e, store.base(), resolve=store._resolve)
+    plan = _final_plan(con.edges)
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning(uid" not in plan  # the base is streamed, not shuffled
+    assert sorted(map(tuple, con.edges.collect())) == [(1, 10), (100, 1000)]
