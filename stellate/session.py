@@ -74,7 +74,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the checkpoint folder and return a scan of it."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    # The schema is known: reading it back needs no inference job.
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stellate_path = path  # type: ignore[attr-defined]
     return out
 
