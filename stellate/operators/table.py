@@ -82,8 +82,10 @@ def lookup_uid(table: DataFrame, uid: str, shard_fn: ShardFn = shard_of) -> Data
 
 
 def lookup_uids(table: DataFrame, keys: DataFrame, key: str = "uid") -> DataFrame:
-    """Rows of many uids at once (semi join, no per-key queries)."""
-    return table.join(keys.select(F.col(key).alias("uid")), "uid", "left_semi")
+    """Rows of many uids at once (semi join, no per-key queries).  Repeated
+    keys are removed first (combined map-side), so a key asked for very
+    often is one row in the join."""
+    return table.join(keys.select(F.col(key).alias("uid")).distinct(), "uid", "left_semi")
 
 
 def component_members(table: DataFrame, cmp: int | Column) -> DataFrame:

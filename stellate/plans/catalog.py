@@ -243,6 +243,7 @@ def q_merge_rounds(spark, d):
     v = vertices_from_edges(e)
     table = v.select(F.col("id").cast("string").alias("uid"), F.col("id").alias("cmp"),
                      F.lit(False).alias("mapped"), shard_of(F.col("id").cast("string")).alias("shard"))
+    # Three rounds that together hold every edge (a split, nothing dropped).
     rounds = [e.where(F.col("_r") == k).select("src", "dst") for k in range(3)]
     out = merge_rounds(table, rounds)
     return out.select(F.col("uid").cast("bigint").alias("id"), "cmp")
