@@ -38,12 +38,16 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str = "cmp",
     spark = df.sparkSession
     g = list(partition_by or [])
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *g, *order_by)
-              .sortWithinPartitions(*g, *order_by)
+    # Input position breaks ties, so equal order keys keep their input order
+    # and a long run of them can still be spread over range partitions.
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = (tied.repartitionByRange(n, *g, *order_by, "_tie")
+              .sortWithinPartitions(*g, *order_by, "_tie")
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
     staged = materialize(ranged, "dense-ids")
     cols = [c for c in df.columns if c != id_col]
+    staged = staged.drop("_tie")
     parts = staged.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_n"),
                                           F.min("_pos").alias("_first"))
     if not g:

@@ -32,7 +32,8 @@ from ..functions.codes import code_of_number, shard_name, shard_of
 from ..operators.components import connected_components
 from ..operators.table import contract_edges, lookup_uid, populate, relabel
 from ..schemas import COMPONENT_TABLE
-from ..session import delete_path, list_dirs, materialize, path_exists, release
+from ..session import (broadcast_limit, delete_path, hadoop_fs, list_dirs, materialize,
+                       path_exists, release)
 
 ROUND_LOG = T.StructType([
     T.StructField("round", T.IntegerType(), False),
@@ -84,10 +85,13 @@ class ComponentStore:
     def __init__(self, spark: SparkSession, path: str, n_shards: int = 10,
                  prefix: str = "connector",
                  shard_fn: Callable[[Column], Column] = shard_of,
-                 uid_width: int | None = None):
+                 uid_width: int | None = None, auto_compact: bool = True):
         self.spark, self.path = spark, path.rstrip("/")
         self.n_shards, self.prefix, self.shard_fn = n_shards, prefix, shard_fn
         self.uid_width = uid_width
+        # Compact once the history no longer fits the broadcast threshold:
+        # past that point every read would shuffle the whole base.
+        self.auto_compact = auto_compact
 
     # -- versions -------------------------------------------------------
     def _vdir(self, part: str, v: int) -> str:
@@ -291,8 +295,18 @@ class ComponentStore:
         self.spark.createDataFrame(row, ROUND_LOG).coalesce(1).write.mode("append") \
             .parquet(f"{self.path}/_rounds")
         release(cmp_edges)
+        if self.auto_compact and self._history_too_large():
+            self.compact()
         return RoundResult(version, labels, unknown, scratch=scratch + [labels])
 
+    def _history_too_large(self) -> bool:
+        v = self.history_version()
+        if v is None:
+            return False
+        limit = broadcast_limit(self.spark)
+        p, fs = hadoop_fs(self.spark, self._vdir("history", v))
+        return limit >= 0 and int(fs.getContentSummary(p).getLength()) > limit
+
     def map_round(self, edge_fn: Callable[[DataFrame], DataFrame] | None = None,
                   batch_id: int | None = None) -> RoundResult:
         """One full round of the protocol: find edges between stored items

@@ -80,7 +80,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
+    """``(Path, FileSystem)`` of a location, through the session's Hadoop
+    configuration (works for any file system the cluster is set up for)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -88,7 +90,7 @@ def _fs(spark: SparkSession, path: str):
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote (old steps of an iteration)."""
-    p, fs = _fs(spark, path)
+    p, fs = hadoop_fs(spark, path)
     fs.delete(p, True)
 
 
@@ -104,7 +106,7 @@ def stored_bytes(df: DataFrame) -> int | None:
     path = getattr(df, "_stellate_path", None)
     if not path:
         return None
-    p, fs = _fs(df.sparkSession, path)
+    p, fs = hadoop_fs(df.sparkSession, path)
     return int(fs.getContentSummary(p).getLength())
 
 
@@ -142,13 +144,13 @@ def join_input(df: DataFrame, name: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
+    p, fs = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty when it does not exist)."""
-    p, fs = _fs(spark, path)
+    p, fs = hadoop_fs(spark, path)
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]

@@ -158,3 +158,23 @@ def test_dense_ids_within_groups_hot_group(spark):
         rows.sort()
         assert [k for _, k in rows] == list(range(len(rows))), g
     assert len(by["hot"]) == 9000
+
+
+def test_store_compacts_when_history_outgrows_broadcast(spark, scratch):
+    from test_scale import conf
+
+    store = ComponentStore(spark, f"{scratch}/tbl", uid_width=3)
+    store.populate(enumerate_codes(spark, 3).select("uid"))
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "100"}):
+        store.merge_round(spark.createDataFrame([(i, i + 1) for i in range(0, 400, 2)],
+                                                "src bigint, dst bigint"))
+    assert store.current_version() == 1  # compacted: a new base ...
+    assert store.history().count() == 0  # ... and an empty history
+    got = {int(r.uid): r.cmp for r in store.read().collect()}
+    assert got[1] == 0 and got[399] == 398 and got[500] == 500
+
+
+def test_dense_ids_ties_keep_input_order(spark):
+    df = spark.range(0, 3000, numPartitions=1).select(F.lit(7).alias("k"), F.col("id").alias("x"))
+    got = [r.x for r in assign_dense_ids(df, ["k"], "seq", num_partitions=6).orderBy("seq").collect()]
+    assert got == list(range(3000))
