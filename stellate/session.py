@@ -26,6 +26,26 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a job reading ``input_bytes`` on ``cores`` cores.
+
+    Scans are cut into ``partition_bytes`` splits.  Shuffles start with
+    enough partitions for the largest edge shuffle (about the input size, at
+    ``partition_bytes`` each, and at least two waves of tasks) and AQE
+    coalesces them towards the same advisory size; a partition is treated as
+    skewed above four times that size and split.
+    """
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def get_session(master: str | None = None, app: str = "stellate",
                 shuffle_partitions: int | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:

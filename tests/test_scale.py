@@ -97,3 +97,11 @@ def test_small_round_does_not_shuffle_the_table(spark, scratch):
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning(uid" not in plan  # the base is streamed, not shuffled
     assert sorted(map(tuple, con.edges.collect())) == [(1, 10), (100, 1000)]
+
+
+def test_scale_conf_sizes():
+    from stellate.session import scale_conf
+
+    c = scale_conf(100 << 40, 8000)
+    assert c["spark.sql.shuffle.partitions"] == str(409600)
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
