@@ -198,6 +198,12 @@ class ComponentStore:
     def with_shard_names(self) -> DataFrame:
         return self.read().withColumn("shard_name", shard_name("shard", self.prefix))
 
+    def register(self, name: str = "components") -> str:
+        """Expose the current table to ``spark.sql`` as a temporary view, so
+        statements run against it with the optimizer's pruning and pushdown."""
+        self.read().createOrReplaceTempView(name)
+        return name
+
     # -- queries --------------------------------------------------------
     def lookup(self, uid: str) -> DataFrame:
         """Point lookup: the base row is found with partition pruning and a

@@ -178,3 +178,16 @@ def test_dense_ids_ties_keep_input_order(spark):
     df = spark.range(0, 3000, numPartitions=1).select(F.lit(7).alias("k"), F.col("id").alias("x"))
     got = [r.x for r in assign_dense_ids(df, ["k"], "seq", num_partitions=6).orderBy("seq").collect()]
     assert got == list(range(3000))
+
+
+def test_sql_over_registered_table(spark, scratch):
+    store = ComponentStore(spark, f"{scratch}/tbl")
+    store.populate(enumerate_codes(spark, 2).select("uid"))
+    spark.catalog.setCurrentDatabase("default")
+    view = store.register("components")
+    rows = spark.sql(f"SELECT shard, count(*) AS n FROM {view} WHERE shard < 3 "
+                     "GROUP BY shard ORDER BY shard").collect()
+    assert [(r.shard, r.n) for r in rows] == [(0, 10), (1, 10), (2, 10)]
+    plan = spark.sql(f"SELECT * FROM {view} WHERE shard = 4")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan
