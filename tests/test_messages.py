@@ -102,3 +102,23 @@ def test_format_chunks_are_bounded_without_positions(spark):
     assert sorted(len(r.line.split(";")) for r in lines) == [500, 1000, 1000]
     back = parse_edges(format_messages(e, ["g"], "o", max_edges_per_line=1000), keep=("g",)).edges
     assert sorted((r.src, r.dst) for r in back.collect()) == [(i, i + 1) for i in range(2500)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-10**12, 10**12),
+                          st.integers(-10**12, 10**12)), min_size=1, max_size=40))
+def test_parse_format_identity(spark, rows):
+    e = spark.createDataFrame([(g, i, a, b) for i, (g, a, b) in enumerate(rows)],
+                              "g int, o int, src bigint, dst bigint")
+    lines = format_messages(e, ["g"], "o", max_edges_per_line=7)
+    back = parse_edges(lines, keep=("g", "chunk"), mode="strict").edges
+    got = sorted((r.g, r.chunk * 7 + r.pos, r.src, r.dst) for r in back.collect())
+    exp = []
+    for g in {r[0] for r in rows}:
+        mine = [(i, a, b) for i, (gg, a, b) in enumerate(rows) if gg == g]
+        exp += [(g, k, a, b) for k, (_, a, b) in enumerate(sorted(mine))]
+    assert got == sorted(exp)

@@ -191,3 +191,12 @@ def test_sql_over_registered_table(spark, scratch):
     plan = spark.sql(f"SELECT * FROM {view} WHERE shard = 4")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(shard" in plan
+
+
+def test_round_on_empty_table_reports_unknown(spark, scratch):
+    store = ComponentStore(spark, f"{scratch}/tbl")
+    store.create()
+    r = store.merge_round(spark.createDataFrame([("1", "2"), ("3", "4")], "src string, dst string"))
+    assert sorted(map(tuple, r.unknown.collect())) == [("1", "2"), ("3", "4")]
+    assert store.read().count() == 0
+    assert store.rounds().first().n_unknown == 2
