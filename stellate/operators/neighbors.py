@@ -11,16 +11,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import apply_move, code_string, digits, neighbor_moves, shard_of
+from ..functions.codes import shard_of
+
+
+def _moves(codes: DataFrame, uid: str, keep: tuple[str, ...], upward_only: bool) -> DataFrame:
+    """Explode every position pair ``p < q`` of each code and build the
+    neighbour with native string functions (no higher-order lambdas, so the
+    whole step stays in generated code).
+
+    *up*: one unit moves from ``q`` to ``p`` (the neighbour is larger);
+    *down*: one unit moves from ``p`` to ``q`` (the neighbour is smaller).
+    """
+    n = F.length(F.col("uid"))
+    base = codes.select(F.col(uid).alias("uid"), *keep)
+    pp = base.select("uid", *keep, F.explode(
+        F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
+    ).alias("_p"))
+    pq = pp.select("uid", *keep, "_p", F.explode(F.sequence(F.col("_p") + 1, n - 1)).alias("_q"))
+    p, q = F.col("_p"), F.col("_q")
+    u = F.col("uid")
+    dp = u.substr(p + 1, F.lit(1)).try_cast("int")
+    dq = u.substr(q + 1, F.lit(1)).try_cast("int")
+    head, mid, tail = u.substr(F.lit(1), p), u.substr(p + 2, q - p - 1), u.substr(q + 2, n)
+
+    def spliced(ap, aq):
+        return F.concat(head, (dp + ap).cast("string"), mid, (dq + aq).cast("string"), tail)
+
+    up = F.when((dp < 9) & (dq > 0), spliced(1, -1))
+    if upward_only:
+        nbrs = F.array(up)
+    else:
+        nbrs = F.array(up, F.when((dp > 0) & (dq < 9), spliced(-1, 1)))
+    # Digits are checked too: a character that is not a digit gives NULL.
+    ok = F.col("uid").rlike("^[0-9]*$")
+    return (pq.where(ok).select("uid", *keep, F.explode(nbrs).alias("nbr"))
+            .where(F.col("nbr").isNotNull()))
 
 
 def neighbors(codes: DataFrame, uid: str = "uid", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(uid, *keep, nbr)`` for every valid neighbour code of every input code."""
-    d = digits(uid)
-    return (codes.select(F.col(uid).alias("uid"), *keep, d.alias("_d"))
-            .select("uid", *keep, "_d", F.explode(neighbor_moves("_d")).alias("_m"))
-            .select("uid", *keep,
-                    code_string(apply_move("_d", F.col("_m.x"), F.col("_m.y"))).alias("nbr")))
+    return _moves(codes, uid, tuple(keep), upward_only=False)
 
 
 def stored_neighbors(codes: DataFrame, table: DataFrame, uid: str = "uid",
@@ -44,10 +74,10 @@ def stored_neighbors(codes: DataFrame, table: DataFrame, uid: str = "uid",
 def neighbor_edges(table: DataFrame) -> DataFrame:
     """Edges ``(src, dst)`` on ``cmp`` between stored neighbour codes.
 
-    Every neighbour pair is found from both ends; only the end with the
-    smaller uid is kept before the join, which halves the shuffled rows.
+    Every neighbour pair is found from both ends; only the upward move is
+    generated (the neighbour above the code), which halves the rows and
+    leaves each pair exactly once (``edges_distinct`` for the components).
     """
-    nb = (neighbors(table.select("uid", F.col("cmp").alias("src")), "uid", keep=("src",))
-          .where(F.col("uid") < F.col("nbr")))
+    nb = _moves(table.select("uid", F.col("cmp").alias("src")), "uid", ("src",), upward_only=True)
     right = table.select(F.col("uid").alias("nbr"), F.col("cmp").alias("dst"))
     return nb.join(right, "nbr").select("src", "dst")

@@ -138,7 +138,7 @@ def q_progress_rows(spark, d):
 
 def _code_labels(spark, d):
     t = code_table(spark, d)
-    return t, connected_components(neighbor_edges(t))
+    return t, connected_components(neighbor_edges(t), edges_distinct=True)
 
 
 def q_components_codes(spark, d):
@@ -257,7 +257,8 @@ def q_domain_components(spark, d):
     """The full code domain at the customer-key width, relabelled by the
     components of its neighbour graph (the digit-sum classes)."""
     t = enumerate_codes(spark, customer_width(spark, d))
-    return relabel(t, connected_components(neighbor_edges(t))).select("uid", "cmp")
+    return relabel(t, connected_components(neighbor_edges(t), edges_distinct=True)) \
+        .select("uid", "cmp")
 
 
 def q_dense_order_ids(spark, d):
