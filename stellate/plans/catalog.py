@@ -31,6 +31,7 @@ from ..operators.report import attach_attributes, format_components
 from ..operators.table import (assign_dense_ids, component_members, contract_edges,
                                lookup_uids, populate, progress_rows, relabel)
 from ..sources.codes import code_width, enumerate_codes
+from ..session import materialize
 from ..sources.edges import union_edges
 from .rounds import acknowledgements, merge_rounds, snapshot_components
 
@@ -241,8 +242,10 @@ def q_attach_attributes(spark, d):
 def q_merge_rounds(spark, d):
     e = order_part_edges(spark, d).withColumn("_r", (F.col("src") / 3).cast("bigint") % 3)
     v = vertices_from_edges(e)
-    table = v.select(F.col("id").cast("string").alias("uid"), F.col("id").alias("cmp"),
-                     F.lit(False).alias("mapped"), shard_of(F.col("id").cast("string")).alias("shard"))
+    # The items exist before any round: a stored table, written once.
+    table = materialize(v.select(F.col("id").cast("string").alias("uid"), F.col("id").alias("cmp"),
+                                 F.lit(False).alias("mapped"),
+                                 shard_of(F.col("id").cast("string")).alias("shard")), "items")
     # Three rounds that together hold every edge (a split, nothing dropped).
     rounds = [e.where(F.col("_r") == k).select("src", "dst") for k in range(3)]
     out = merge_rounds(table, rounds)

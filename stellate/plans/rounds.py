@@ -25,7 +25,7 @@ from ..functions.messages import CONTROL_FINISHED, CONTROL_WRITTEN, control_line
 from ..operators.components import connected_components
 from ..operators.messages import DEFAULT_CHUNK, assign_rounds, round_snapshots
 from ..operators.table import contract_edges, relabel
-from ..session import materialize
+from ..session import materialize, release
 
 
 def snapshot_components(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
@@ -48,17 +48,39 @@ def log_edges(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     return round_snapshots(lines, chunk_size).select("src", "dst").distinct()
 
 
+def resolve_labels(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """Current labels of table rows, through a history ``(old, cur)``."""
+    return relabel(rows, history.select(F.col("old").alias("id"), F.col("cur").alias("cmp")))
+
+
+def advance_history(history: DataFrame, labels: DataFrame) -> DataFrame:
+    """History after a round with ``labels`` ``(id, cmp)`` (old -> new):
+    entries pointing at a merged label point at its new one, and the merged
+    labels are added, so every old label is one step from its current one."""
+    merged = labels.where(F.col("id") != F.col("cmp"))
+    lab = merged.select(F.col("id").alias("cur"), F.col("cmp").alias("_n"))
+    moved = history.join(lab, "cur", "left").select("old", F.coalesce("_n", "cur").alias("cur"))
+    return moved.unionByName(merged.select(F.col("id").alias("old"), F.col("cmp").alias("cur")))
+
+
 def merge_rounds(table: DataFrame, rounds: list[DataFrame], src: str = "src",
                  dst: str = "dst") -> DataFrame:
     """Fold rounds of uid edges into a component table, in order.
 
-    Each round contracts its edges through the current labels, computes the
-    components of the contracted graph and relabels the table; the table is
-    written after every round so the next one starts from a short plan.
+    Each round contracts its edges through the current labels (only the
+    rows of its ends are resolved), computes the components of the
+    contracted graph and moves the label history; the table itself is
+    relabelled once, at the end.  Rounds cost what their edges and merged
+    labels cost, not the size of the table.  ``table`` should be stored (a
+    scan): every round reads it.
     """
-    cur = table
+    spark = table.sparkSession
+    history = spark.createDataFrame([], "old bigint, cur bigint")
     for e in rounds:
-        con = contract_edges(e, cur, src, dst)
+        h = history
+        con = contract_edges(e, table, src, dst, resolve=lambda rows, h=h: resolve_labels(rows, h))
         labels = connected_components(con.edges)
-        cur = materialize(relabel(cur, labels), "merge-table")
-    return cur
+        history = materialize(advance_history(h, labels), "merge-history")
+        release(h)
+        release(labels)
+    return resolve_labels(table, history)

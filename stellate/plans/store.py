@@ -32,6 +32,7 @@ from ..functions.codes import code_of_number, shard_name, shard_of
 from ..operators.components import connected_components
 from ..operators.table import contract_edges, lookup_uid, populate, relabel
 from ..schemas import COMPONENT_TABLE
+from .rounds import advance_history, resolve_labels
 from ..session import (broadcast_limit, delete_path, hadoop_fs, list_dirs, materialize,
                        path_exists, release)
 
@@ -133,8 +134,7 @@ class ComponentStore:
 
     def _resolve(self, rows: DataFrame) -> DataFrame:
         """Current labels of some base rows (a left join on the old label)."""
-        h = self.history().select(F.col("old").alias("id"), F.col("cur").alias("cmp"))
-        return relabel(rows, h)
+        return resolve_labels(rows, self.history())
 
     def read(self) -> DataFrame:
         """The current table: the base with its labels resolved through the
@@ -291,7 +291,7 @@ class ComponentStore:
         cmp_edges = materialize(cmp_edges, "round-edges")
         labels = materialize(connected_components(cmp_edges), "round-labels")
         merged = labels.where(F.col("id") != F.col("cmp"))
-        version = self._update_history(merged)
+        version = self._update_history(labels)
         n_edges = cmp_edges.count()
         n_unknown = unknown.count()
         n_vertices = labels.count()
@@ -321,13 +321,6 @@ class ComponentStore:
         fn = edge_fn or default_edge_rule
         return self.merge_round(fn(self.read()), on="uid", batch_id=batch_id)
 
-    def _update_history(self, merged: DataFrame) -> int:
-        """Labels merged this round move the history one step: entries that
-        pointed at a merged label point at its new one, and the merged labels
-        themselves are added."""
-        h = self.history()
-        lab = merged.select(F.col("id").alias("cur"), F.col("cmp").alias("_n"))
-        moved = (h.join(lab, "cur", "left")
-                 .select("old", F.coalesce("_n", "cur").alias("cur")))
-        new = moved.unionByName(merged.select(F.col("id").alias("old"), F.col("cmp").alias("cur")))
-        return self._write_history(new)
+    def _update_history(self, labels: DataFrame) -> int:
+        """Labels merged this round move the history one step."""
+        return self._write_history(advance_history(self.history(), labels))
