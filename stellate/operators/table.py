@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import shard_of
-from ..session import join_input, materialize
+from ..session import materialize
 
 ShardFn = Callable[[Column], Column]
 
@@ -129,6 +129,16 @@ class Contracted:
     unknown: DataFrame   # input edges with an end that is not in the table
 
 
+def known_ends(e: DataFrame, table: DataFrame,
+               resolve: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``(uid, cmp)`` of the distinct ends of edges ``(_s, _d)`` that are in
+    the table: an inner join, so small ends are broadcast and the table is
+    streamed, not shuffled."""
+    ends = e.select(F.col("_s").alias("uid")).unionByName(e.select(F.col("_d").alias("uid"))).distinct()
+    known = table.select("uid", "cmp").join(ends, "uid")
+    return resolve(known) if resolve is not None else known
+
+
 def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
                    dst: str = "dst",
                    resolve: Callable[[DataFrame], DataFrame] | None = None) -> Contracted:
@@ -146,11 +156,9 @@ def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
     work is edge-sized.
     """
     e = uid_edges.select(F.col(src).cast("string").alias("_s"), F.col(dst).cast("string").alias("_d"))
-    ends = e.select(F.col("_s").alias("uid")).unionByName(e.select(F.col("_d").alias("uid"))).distinct()
-    known = table.select("uid", "cmp").join(ends, "uid")
-    if resolve is not None:
-        known = resolve(known)
-    known = join_input(known, "contract-known")
+    # Round-sized, and read by both outputs: written once, so the table is
+    # scanned once per contraction.
+    known = materialize(known_ends(e, table, resolve), "contract-known")
     s = known.select(F.col("uid").alias("_s"), F.col("cmp").alias("_sc"))
     d = known.select(F.col("uid").alias("_d"), F.col("cmp").alias("_dc"))
     placed = e.join(s, "_s").join(d, "_d")
