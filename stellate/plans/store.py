@@ -145,8 +145,11 @@ class ComponentStore:
     def _write_base(self, df: DataFrame) -> int:
         cur = self.current_version()
         v = 0 if cur is None else cur + 1
+        # REBALANCE clusters rows by shard (few files per shard folder) and
+        # lets AQE split a large shard over many writers; a plain
+        # repartition by shard would write each shard from one task.
         (df.select("uid", "cmp", "mapped", "shard")
-         .repartition("shard")  # one writer per shard folder; AQE splits big shards
+         .hint("rebalance", "shard")
          .write.mode("overwrite").partitionBy("shard").parquet(self._vdir("base", v)))
         return v
 

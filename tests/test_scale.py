@@ -122,3 +122,17 @@ def test_scale_conf_sizes():
     c = scale_conf(100 << 40, 8000)
     assert c["spark.sql.shuffle.partitions"] == str(409600)
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_base_write_splits_a_large_shard(spark, scratch):
+    """All rows in one shard: the write is still spread over several tasks."""
+    from stellate.plans.store import ComponentStore
+
+    with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}):
+        store = ComponentStore(spark, f"{scratch}/tbl", shard_fn=lambda c: F.lit(0))
+        store.populate(spark.range(0, 200000).select(F.format_string("%06d", "id").alias("uid")),
+                       check_unique=False)
+    import glob
+    files = glob.glob(f"{scratch}/tbl/base/v=0/shard=0/*.parquet")
+    assert len(files) > 1
+    assert store.read().count() == 200000
