@@ -84,3 +84,12 @@ def merge_rounds(table: DataFrame, rounds: list[DataFrame], src: str = "src",
         release(h)
         release(labels)
     return resolve_labels(table, history)
+
+
+def file_components(spark, path: str, mode: str = "quarantine"):
+    """Components of an edge-list file (``src dst`` per line): the labels
+    ``(id, cmp)`` and the lines that are not edges."""
+    from ..sources.edges import read_edge_list
+
+    f = read_edge_list(spark, path, mode)
+    return connected_components(f.edges), f.quarantine

@@ -218,6 +218,29 @@ class ComponentStore:
              .select(F.col("old").alias("id"), F.col("cur").alias("cmp")))
         return relabel(rows, h)
 
+    def neighbors_of(self, uid: str, within_shard: bool = False) -> DataFrame:
+        """Stored neighbours of one code, with their current labels.
+
+        A code has at most L*(L-1) candidate neighbours (a fixed bound), so
+        they are listed first and looked up in one scan that prunes to their
+        shards and pushes ``uid IN (...)`` to Parquet, instead of a join with
+        the whole table.
+        """
+        from ..operators.neighbors import neighbors
+
+        one = self.spark.createDataFrame([(uid,)], "uid string")
+        cands = [r["nbr"] for r in neighbors(one).collect()]
+        if within_shard:
+            cands = [c for c in cands if c[:1] == uid[:1]]
+        if not cands:
+            return self._resolve(self.base().where(F.lit(False)))
+        shards = sorted({r[0] for r in self.spark.createDataFrame([(c,) for c in cands], "uid string")
+                         .select(self.shard_fn(F.col("uid"))).collect()})
+        rows = self.base().where(F.col("shard").isin(shards) & F.col("uid").isin(cands))
+        h = (self.history().join(F.broadcast(rows.select(F.col("cmp").alias("old"))), "old",
+                                 "left_semi"))
+        return resolve_labels(rows, h)
+
     def members(self, cmp: int) -> DataFrame:
         """The uids of component ``cmp``: base rows whose label is ``cmp`` or
         one of the labels merged into it."""

@@ -113,3 +113,10 @@ def test_order_part_graph_against_brute_force(spark):
     e = li.select((F.col("l_orderkey") * 3).alias("src"), (F.col("l_partkey") * 3 + 1).alias("dst"))
     exp = union_find([(r.src, r.dst) for r in e.collect()])
     assert labels(connected_components(e)) == exp
+
+
+def test_file_components(spark):
+    from stellate.plans.rounds import file_components
+
+    labels, bad = file_components(spark, f"{DATA}/followers.txt")
+    assert labels.count() == 6 and bad.count() == 0

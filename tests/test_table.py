@@ -200,3 +200,14 @@ def test_round_on_empty_table_reports_unknown(spark, scratch):
     assert sorted(map(tuple, r.unknown.collect())) == [("1", "2"), ("3", "4")]
     assert store.read().count() == 0
     assert store.rounds().first().n_unknown == 2
+
+
+def test_neighbors_of_one_code(spark, scratch):
+    store = ComponentStore(spark, f"{scratch}/tbl")
+    store.populate(enumerate_codes(spark, 3).where(F.col("uid") != "011").select("uid"))
+    got = {r.uid for r in store.neighbors_of("010").collect()}
+    assert got == {"100", "001"}
+    assert {r.uid for r in store.neighbors_of("010", within_shard=True).collect()} == {"001"}
+    assert store.neighbors_of("000").count() == 0
+    plan = store.neighbors_of("123")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [shard" in plan and "In(uid" in plan
