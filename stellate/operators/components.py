@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import join_input, materialize, release
+from ..session import join_input, join_on, materialize, release
 
 
 class ComponentsDidNotConverge(RuntimeError):
@@ -60,7 +60,7 @@ def _large_star(e: DataFrame, g: list[str]):
     m = _minima(e, g, "v")
     # Output has one row per input edge; repeats are removed by the small
     # star that follows (its minima do not depend on them).
-    out = (e.join(m, [*g, "v"], "left")
+    out = (join_on(e, m, [*g, "v"], "left", null_safe=tuple(g))
            .select(*g, "u", F.coalesce("m", "v").alias("v")))
     return out, m
 
@@ -70,7 +70,7 @@ def _small_star(e: DataFrame, g: list[str]):
     # Both outputs come from the one join: (v, m) for the other smaller
     # neighbours and (u, m) for u itself (repeated per edge, removed by the
     # distinct, which combines them before its shuffle).
-    j = e.join(m, [*g, "u"])
+    j = join_on(e, m, [*g, "u"], null_safe=tuple(g))
     out = F.explode(F.array(
         F.struct(F.col("u").alias("a"), F.col("m").alias("b")),
         F.when(F.col("v") != F.col("m"),
@@ -106,7 +106,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
 
     ``group_by`` names columns that split the edges into independent graphs
     (for example one graph per round snapshot); all of them are solved in the
-    same job, the group columns being part of every key.
+    same job, the group columns being part of every key (NULL is a group of
+    its own).
 
     ``edges_distinct=True`` tells that no unordered pair occurs twice (as
     with generated neighbour pairs), which saves the shuffle that removes

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import join_on, materialize
 from ..functions.messages import (CONTROL_FINISHED, CONTROL_SHUTDOWN, CONTROL_START,
                                   control_number, edge_parts, integer_token,
                                   invalid_reason, message_kind)
@@ -58,7 +58,7 @@ def assign_rounds(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFram
                             F.coalesce(F.sum("_st").over(before), F.lit(0)).alias("_st0"),
                             F.coalesce(F.max("_sp").over(before), F.lit(0)).alias("_sp0"))
     inside = Window.partitionBy("log_id", "_chunk").orderBy("line_no")
-    y = x.join(offsets, ["log_id", "_chunk"])
+    y = join_on(x, offsets, ["log_id", "_chunk"], null_safe=("log_id",))
     y = (y.withColumn("round", F.col("_st0") + F.sum("_start").over(
             inside.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("_stopped", F.greatest(F.col("_sp0"), F.coalesce(F.max("_stop").over(
@@ -151,7 +151,7 @@ def round_snapshots(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFr
     finished = r.where((F.col("kind") == "control") & (F.col("control") == CONTROL_FINISHED)) \
         .select("log_id", "round", F.col("line_no").alias("snapshot_line"))
     edges = parse_edges(r, keep=("log_id", "round", "line_no")).edges
-    return (edges.join(finished, ["log_id", "round"])
+    return (join_on(edges, finished, ["log_id", "round"], null_safe=("log_id",))
             .where(F.col("line_no") < F.col("snapshot_line"))
             .select("log_id", "round", "snapshot_line", "line_no", "pos", "src", "dst"))
 

@@ -175,3 +175,25 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+            null_safe: tuple[str, ...] = ()) -> DataFrame:
+    """Equi-join on same-named ``keys``, keeping one copy of each key.
+
+    Keys named in ``null_safe`` match NULL to NULL (``<=>``); Spark still
+    plans these as equi-join keys (hash / sort-merge), so nothing is lost in
+    the physical plan.
+    """
+    if not null_safe:
+        return left.join(right, keys, how)
+    r = right.select(*[right[k].alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = (left[k].eqNullSafe(r[f"_r_{k}"]) if k in null_safe else left[k] == r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond, how)
+    if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
+        return out
+    return out.drop(*[f"_r_{k}" for k in keys])

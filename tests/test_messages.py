@@ -122,3 +122,11 @@ def test_parse_format_identity(spark, rows):
         mine = [(i, a, b) for i, (gg, a, b) in enumerate(rows) if gg == g]
         exp += [(g, k, a, b) for k, (_, a, b) in enumerate(sorted(mine))]
     assert got == sorted(exp)
+
+
+def test_null_log_id_is_a_log_of_its_own(spark):
+    lines = spark.createDataFrame([(None, 0, "c1"), (None, 1, "1 2"), (None, 2, "c2"),
+                                   ("A", 0, "c1"), ("A", 1, "3 4"), ("A", 2, "c2")],
+                                  "log_id string, line_no bigint, line string")
+    got = sorted((r.log_id or "", r.id, r.cmp) for r in snapshot_components(lines).collect())
+    assert got == [("", 1, 1), ("", 2, 1), ("A", 3, 3), ("A", 4, 3)]
