@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import join_input, join_on, materialize, release
+from ..session import join_input, materialize, release
 
 
 class ComponentsDidNotConverge(RuntimeError):
@@ -60,7 +60,7 @@ def _large_star(e: DataFrame, g: list[str]):
     m = _minima(e, g, "v")
     # Output has one row per input edge; repeats are removed by the small
     # star that follows (its minima do not depend on them).
-    out = (join_on(e, m, [*g, "v"], "left", null_safe=tuple(g))
+    out = (e.join(m, [*g, "v"], "left")
            .select(*g, "u", F.coalesce("m", "v").alias("v")))
     return out, m
 
@@ -70,7 +70,7 @@ def _small_star(e: DataFrame, g: list[str]):
     # Both outputs come from the one join: (v, m) for the other smaller
     # neighbours and (u, m) for u itself (repeated per edge, removed by the
     # distinct, which combines them before its shuffle).
-    j = join_on(e, m, [*g, "u"], null_safe=tuple(g))
+    j = e.join(m, [*g, "u"])
     out = F.explode(F.array(
         F.struct(F.col("u").alias("a"), F.col("m").alias("b")),
         F.when(F.col("v") != F.col("m"),
@@ -115,8 +115,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
 
     Returns ``(*group_by, id BIGINT, cmp BIGINT)``, one row per vertex.
     """
-    g = list(group_by or [])
-    pairs = (edges.select(*g, F.col(src).cast("bigint").alias("a"),
+    groups = list(group_by or [])
+    # The group columns travel as one struct key: one column to hash, and
+    # struct equality matches NULL fields, so a NULL group is a group too.
+    g = ["_g"] if groups else []
+    gsel = [F.struct(*groups).alias("_g")] if groups else []
+    pairs = (edges.select(*gsel, F.col(src).cast("bigint").alias("a"),
                           F.col(dst).cast("bigint").alias("b"))
              .where(F.col("a").isNotNull() & F.col("b").isNotNull())
              .select(*g, F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
@@ -151,7 +155,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     # Large labellings are written, so that a relabel join against them can
     # have its giant-component key split by AQE; then the steps behind them
     # can go.
-    labels = join_input(cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp")), "cc-labels")
+    agg = cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp"))
+    if groups:
+        agg = agg.select(*[F.col("_g")[c].alias(c) for c in groups], "id", "cmp")
+    labels = join_input(agg, "cc-labels")
     if labels is not cands and getattr(labels, "_stellate_path", None):
         release(cur if cur is not canon else None)
         release(canon)
