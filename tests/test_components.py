@@ -120,3 +120,14 @@ def test_file_components(spark):
 
     labels, bad = file_components(spark, f"{DATA}/followers.txt")
     assert labels.count() == 6 and bad.count() == 0
+
+
+def test_iteration_cap_raises_instead_of_partial_labels(spark):
+    import pytest
+
+    from stellate.operators.components import ComponentsDidNotConverge
+
+    path = edges_from_rows(spark, [(i, i + 1) for i in range(64)])
+    with pytest.raises(ComponentsDidNotConverge):
+        connected_components(path, max_iterations=2)
+    assert set(labels(connected_components(path)).values()) == {0}
