@@ -144,6 +144,10 @@ def round_snapshots(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFr
     """The graph each ``c2`` asks for: all edges since the last ``c1`` of the
     same log (a second ``c2`` without a new ``c1`` sees the earlier edges
     too).  Returns ``(log_id, round, snapshot_line, line_no, pos, src, dst)``.
+
+    Each edge is paired only with the ``c2`` lines of its own round that
+    follow it, so the output is the sum of the snapshot sizes (one snapshot
+    per round in the usual protocol); edges are never paired with edges.
     """
     # Both the edges and the c2 lines come from the rounds: written once, so
     # the window pipeline runs once.
