@@ -58,11 +58,13 @@ class UidNotUnique(ValueError):
 
 
 def default_edge_rule(table: DataFrame) -> DataFrame:
-    """Stored neighbour codes: ``(src, dst)`` uid pairs, each pair once."""
-    from ..operators.neighbors import stored_neighbors
+    """Stored neighbour codes: ``(src, dst)`` uid pairs, each pair once
+    (only upward moves are generated; the other half is the same pairs)."""
+    from ..operators.neighbors import _moves
 
-    nb = stored_neighbors(table, table).where(F.col("uid") < F.col("nbr"))
-    return nb.select(F.col("uid").alias("src"), F.col("nbr").alias("dst"))
+    nb = _moves(table.select("uid"), "uid", (), upward_only=True)
+    stored = table.select(F.col("uid").alias("nbr"))
+    return nb.join(stored, "nbr").select(F.col("uid").alias("src"), F.col("nbr").alias("dst"))
 
 
 @dataclass
@@ -344,8 +346,10 @@ class ComponentStore:
         """One full round of the protocol: find edges between stored items
         with ``edge_fn(table) -> (src, dst)`` on uids (default: stored
         neighbour codes), then merge them."""
-        fn = edge_fn or default_edge_rule
-        return self.merge_round(fn(self.read()), on="uid", batch_id=batch_id)
+        # The default rule needs only the uids: the base, without the
+        # label history join.
+        edges = edge_fn(self.read()) if edge_fn else default_edge_rule(self.base())
+        return self.merge_round(edges, on="uid", batch_id=batch_id)
 
     def _update_history(self, labels: DataFrame) -> int:
         """Labels merged this round move the history one step."""
