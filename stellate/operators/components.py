@@ -11,7 +11,9 @@ Components in MapReduce and Beyond", SoCC 2014).  Every edge is kept as
 
 The loop stops exactly when the edge set is a forest of stars (every ``u``
 has one ``v`` and no ``v`` is also a ``u``); the star centres are then the
-least vertex of each component.
+least vertex of each component.  The test comes from the large-star step
+itself (a flag per edge and a count per vertex), so it costs no shuffle of
+the edges.
 
 Scale notes: the minima are ``groupBy`` aggregates (partial aggregation on the
 map side, so a hub vertex is combined before the shuffle); the joins are
@@ -45,23 +47,28 @@ def vertices_from_edges(edges: DataFrame, src: str = "src", dst: str = "dst") ->
             .distinct())
 
 
-def _minima(e: DataFrame, g: list[str], key: str) -> DataFrame:
-    """Least smaller neighbour of every ``u``, as ``(*g, key, m)``.
+def _minima(e: DataFrame, g: list[str], key: str, counts: bool = False) -> DataFrame:
+    """Least smaller neighbour of every ``u`` (and, with ``counts``, how many
+    smaller neighbours it has), as ``(*g, key, m[, n])``.
 
     Too large to broadcast, the minima are written out (see
     :func:`stellate.session.join_input`), so the join with the edges is two
     plain shuffle stages and AQE splits the edges of a hub vertex.
     """
-    m = e.groupBy(*g, "u").agg(F.min("v").alias("m")).withColumnRenamed("u", key)
+    aggs = [F.min("v").alias("m")] + ([F.count(F.lit(1)).alias("n")] if counts else [])
+    m = e.groupBy(*g, "u").agg(*aggs).withColumnRenamed("u", key)
     return join_input(m, "cc-min")
 
 
 def _large_star(e: DataFrame, g: list[str]):
-    m = _minima(e, g, "v")
+    """Returns the step's edges with a flag ``hit`` (the edge's ``v`` has a
+    smaller neighbour, i.e. is also a ``u``) and the minima with counts;
+    together they tell whether ``e`` was already a forest of stars."""
+    m = _minima(e, g, "v", counts=True)
     # Output has one row per input edge; repeats are removed by the small
     # star that follows (its minima do not depend on them).
-    out = (e.join(m, [*g, "v"], "left")
-           .select(*g, "u", F.coalesce("m", "v").alias("v")))
+    out = (e.join(m.select(*g, "v", "m"), [*g, "v"], "left")
+           .select(*g, "u", F.coalesce("m", "v").alias("v"), F.col("m").isNotNull().alias("hit")))
     return out, m
 
 
@@ -82,18 +89,15 @@ def _small_star(e: DataFrame, g: list[str]):
     return res, m
 
 
-def _is_star_forest(e: DataFrame, g: list[str]) -> bool:
-    tagged = (e.select(*g, F.col("u").alias("k"), F.lit(1).alias("as_u"), F.lit(0).alias("as_v"))
-              .unionByName(e.select(*g, F.col("v").alias("k"), F.lit(0).alias("as_u"),
-                                    F.lit(1).alias("as_v"))))
-    per_key = tagged.groupBy(*g, "k").agg(F.sum("as_u").alias("nu"), F.max("as_v").alias("isv"))
-    row = per_key.agg(
-        F.max("nu").alias("max_parents"),
-        F.max(F.when((F.col("nu") > 0) & (F.col("isv") > 0), 1).otherwise(0)).alias("chain"),
-    ).first()
-    if row is None or row["max_parents"] is None:
-        return True  # no edges left
-    return row["max_parents"] <= 1 and row["chain"] == 0
+def _was_star_forest(large: DataFrame, m: DataFrame) -> bool:
+    """Exact stop test from the large-star step, with no shuffle of edges:
+    the input was a forest of stars when no ``v`` is also a ``u`` (no
+    ``hit``) and every ``u`` has one ``v`` (all counts 1)."""
+    hit = large.agg(F.max("hit")).first()[0]
+    if hit:
+        return False
+    most = m.agg(F.max("n")).first()[0]
+    return most is None or most <= 1
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -130,15 +134,14 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     selfs = canon.where(F.col("u") == F.col("v")).select(*g, F.col("u").alias("id"),
                                                          F.col("u").alias("cmp"))
     cur = canon.where(F.col("u") != F.col("v"))
-    for step in range(max_iterations):
-        # A star forest comes out of a step unchanged, so the first check is
-        # left out: an input is rarely already one, and checking it costs a
-        # shuffle of the whole edge set.
-        if step > 0 and _is_star_forest(cur, g):
-            break
+    for _ in range(max_iterations):
         large, m1 = _large_star(cur, g)
         large = large.persist(StorageLevel.MEMORY_AND_DISK)
-        small, m2 = _small_star(large, g)
+        if _was_star_forest(large, m1):
+            large.unpersist()
+            release(m1)
+            break
+        small, m2 = _small_star(large.drop("hit"), g)
         nxt = materialize(small, "cc-step")
         large.unpersist()
         for t in (m1, m2, cur if cur is not canon else None):
