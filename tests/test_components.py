@@ -131,3 +131,16 @@ def test_iteration_cap_raises_instead_of_partial_labels(spark):
     with pytest.raises(ComponentsDidNotConverge):
         connected_components(path, max_iterations=2)
     assert set(labels(connected_components(path)).values()) == {0}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 25), st.integers(0, 25)),
+                max_size=60))
+def test_grouped_matches_union_find_per_group(spark, rows):
+    df = spark.createDataFrame(rows, "g string, src bigint, dst bigint")
+    got = {(r.g, r.id): r.cmp for r in connected_components(df, group_by=["g"]).collect()}
+    exp = {}
+    for grp in {r[0] for r in rows}:
+        for v, lab in union_find([(a, b) for gg, a, b in rows if gg == grp]).items():
+            exp[(grp, v)] = lab
+    assert got == exp
