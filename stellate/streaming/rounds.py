@@ -12,12 +12,12 @@ offered for batch logs (:func:`stellate.plans.rounds.snapshot_components`).
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from typing import Callable
-
 from ..functions.messages import CONTROL_SHUTDOWN
 from ..operators.components import connected_components
 from ..operators.messages import classify_messages, parse_edges
@@ -36,7 +36,17 @@ def round_writer(store: ComponentStore, on: str = "uid"):
         c = c.persist()
         try:
             parsed = parse_edges(c, keep=())
-            store.merge_round(parsed.edges, on=on, batch_id=batch_id).release()
+            result = store.merge_round(parsed.edges, on=on, batch_id=batch_id)
+            if not result.skipped:
+                # Nothing is dropped silently: malformed lines and edges with
+                # an unknown end are kept with the batch that brought them.
+                bad = (parsed.quarantine.select("line", "reason")
+                       .unionByName(result.unknown.select(
+                           F.concat_ws(" ", "src", "dst").alias("line"),
+                           F.lit("unknown end").alias("reason"))))
+                (bad.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "line", "reason")
+                 .write.mode("append").parquet(f"{store.path}/_quarantine"))
+            result.release()
             stop = c.where((F.col("kind") == "exit") | (F.col("control") == CONTROL_SHUTDOWN))
             if stop.limit(1).collect():
                 row = store.rounds().agg(F.max("round"), F.max("version")).first()

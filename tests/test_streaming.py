@@ -39,6 +39,9 @@ def test_stream_rounds_and_restart(spark, scratch):
     got = {int(r.uid): r.cmp for r in store.read().collect()}
     assert got == {i: uf.get(i, i) for i in range(100)}
     assert [r.message for r in store.rounds().orderBy("round").collect()] == ["c3", "c3", "c3", "c4"]
+    bad = [(r.line, r.reason) for r in spark.read.parquet(os.path.join(scratch, "tbl", "_quarantine"))
+           .collect()]
+    assert bad == [("x y", "bad token")]
 
 
 def test_read_message_files(spark, scratch):
