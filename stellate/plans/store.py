@@ -182,8 +182,15 @@ class ComponentStore:
             dup = uids.groupBy("uid").count().where(F.col("count") > 1).limit(1).collect()
             if dup:
                 raise UidNotUnique(f"uid {dup[0]['uid']!r} occurs more than once")
-        rows = uids.select("uid") if "cmp" not in uids.columns else None
-        table = populate(rows, self.shard_fn, order_by) if rows is not None else uids
+        if "cmp" in uids.columns:
+            # Numbers given (e.g. the enumerated domain): keep them, fill the rest.
+            table = uids.select(
+                F.col("uid").cast("string").alias("uid"), F.col("cmp").cast("bigint").alias("cmp"),
+                (F.col("mapped") if "mapped" in uids.columns else F.lit(False)).alias("mapped"),
+                (F.col("shard") if "shard" in uids.columns
+                 else self.shard_fn(F.col("uid"))).cast("int").alias("shard"))
+        else:
+            table = populate(uids.select("uid"), self.shard_fn, order_by)
         v = self._write_base(table)
         self._write_history(self.spark.createDataFrame([], HISTORY))
         return v

@@ -211,3 +211,10 @@ def test_neighbors_of_one_code(spark, scratch):
     assert store.neighbors_of("000").count() == 0
     plan = store.neighbors_of("123")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [shard" in plan and "In(uid" in plan
+
+
+def test_populate_with_given_numbers(spark, scratch):
+    store = ComponentStore(spark, f"{scratch}/tbl")
+    store.populate(spark.createDataFrame([("42", 7), ("17", 3)], "uid string, cmp bigint"))
+    got = sorted(map(tuple, store.read().collect()))
+    assert got == [("17", 3, False, 1), ("42", 7, False, 4)]
