@@ -103,7 +103,8 @@ def _was_star_forest(large: DataFrame, m: DataFrame) -> bool:
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          group_by: list[str] | None = None,
                          max_iterations: int = 200,
-                         edges_distinct: bool = False) -> DataFrame:
+                         edges_distinct: bool = False,
+                         stats: dict | None = None) -> DataFrame:
     """Label every vertex that occurs in ``edges`` with the least vertex id of
     its component.  Edges are undirected; repeats and self-loops are allowed
     (a vertex with only a self-loop is its own component).
@@ -115,7 +116,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
 
     ``edges_distinct=True`` tells that no unordered pair occurs twice (as
     with generated neighbour pairs), which saves the shuffle that removes
-    repeats; a wrong claim costs time, not correctness.
+    repeats; a wrong claim costs time, not correctness.  A ``stats`` dict
+    receives the number of canonical edges and of steps.
 
     Returns ``(*group_by, id BIGINT, cmp BIGINT)``, one row per vertex.
     """
@@ -134,7 +136,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     selfs = canon.where(F.col("u") == F.col("v")).select(*g, F.col("u").alias("id"),
                                                          F.col("u").alias("cmp"))
     cur = canon.where(F.col("u") != F.col("v"))
+    if stats is not None:
+        stats["edges"] = canon.count()
+        stats["steps"] = 0
     for _ in range(max_iterations):
+        if stats is not None:
+            stats["steps"] += 1
         large, m1 = _large_star(cur, g)
         large = large.persist(StorageLevel.MEMORY_AND_DISK)
         if _was_star_forest(large, m1):

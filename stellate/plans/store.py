@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.codes import code_of_number, shard_name, shard_of
 from ..operators.components import connected_components
+from ..operators.neighbors import neighbor_edges
 from ..operators.table import contract_edges, lookup_uid, populate, relabel
 from ..schemas import COMPONENT_TABLE
 from ..session import (broadcast_limit, delete_path, hadoop_fs, list_dirs, materialize,
@@ -323,11 +324,19 @@ class ComponentStore:
                        .select(F.col("src").cast("string"), F.col("dst").cast("string")))
         else:
             raise ValueError("on must be 'uid' or 'cmp'")
-        cmp_edges = materialize(cmp_edges, "round-edges")
-        labels = materialize(connected_components(cmp_edges), "round-labels")
+        return self._commit(cmp_edges, unknown, batch_id, scratch)
+
+    def _commit(self, cmp_edges: DataFrame, unknown: DataFrame, batch_id: int | None,
+                scratch: list, edges_distinct: bool = False) -> RoundResult:
+        """Components of a round's edges on current labels, history update,
+        round log entry (and compaction when the history has grown)."""
+        stats: dict = {}
+        labels = connected_components(cmp_edges, edges_distinct=edges_distinct, stats=stats)
+        if not getattr(labels, "_stellate_path", None):
+            labels = materialize(labels, "round-labels")  # read several times below
         merged = labels.where(F.col("id") != F.col("cmp"))
         version = self._update_history(labels)
-        n_edges = cmp_edges.count()
+        n_edges = stats["edges"]
         n_unknown = unknown.count()
         n_vertices = labels.count()
         n_merged = merged.count()
@@ -335,7 +344,6 @@ class ComponentStore:
         row = [((rnd or 0) + 1, version, batch_id, n_edges, n_unknown, n_vertices, n_merged, "c3")]
         self.spark.createDataFrame(row, ROUND_LOG).coalesce(1).write.mode("append") \
             .parquet(f"{self.path}/_rounds")
-        release(cmp_edges)
         if self.auto_compact and self._history_too_large():
             self.compact()
         return RoundResult(version, labels, unknown, scratch=scratch + [labels])
@@ -353,10 +361,26 @@ class ComponentStore:
         """One full round of the protocol: find edges between stored items
         with ``edge_fn(table) -> (src, dst)`` on uids (default: stored
         neighbour codes), then merge them."""
-        # The default rule needs only the uids: the base, without the
-        # label history join.
-        edges = edge_fn(self.read()) if edge_fn else default_edge_rule(self.base())
-        return self.merge_round(edges, on="uid", batch_id=batch_id)
+        if edge_fn:
+            return self.merge_round(edge_fn(self.read()), on="uid", batch_id=batch_id)
+        if self._seen(batch_id):
+            return self.merge_round(self.spark.createDataFrame([], "src string, dst string"),
+                                    batch_id=batch_id)
+        # Default rule: neighbour pairs come from the base itself, as pairs of
+        # base labels; both ends are moved to current labels through the
+        # history (small: compaction keeps it under the broadcast threshold).
+        # No uid strings, no unknown ends, no contraction joins.
+        e = neighbor_edges(self.base())
+        h = self.history()
+        for c in ("src", "dst"):
+            hc = h.select(F.col("old").alias(c), F.col("cur").alias("_c"))
+            e = e.join(hc, c, "left").select(
+                *(F.coalesce("_c", c).alias(c) if x == c else F.col(x) for x in ("src", "dst")))
+        e = e.where(F.col("src") != F.col("dst"))
+        none = self.spark.createDataFrame([], "src string, dst string")
+        # With an empty history the base pairs are already distinct.
+        fresh = not h.limit(1).collect()
+        return self._commit(e, none, batch_id, [], edges_distinct=fresh)
 
     def _update_history(self, labels: DataFrame) -> int:
         """Labels merged this round move the history one step."""
