@@ -13,3 +13,13 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle():
     assert set(queries()) == set(oracle_sql())
+
+
+def test_rounds_split_equals_one_shot_on_lineitem(spark):
+    from __spark_entry__ import queries
+
+    q = queries()
+    d = "/root/testdata/sf0.001"
+    a = sorted(map(tuple, q["merge_rounds"](spark, d).collect()))
+    b = sorted(map(tuple, q["components_order_part"](spark, d).collect()))
+    assert a == b and len(a) > 0
