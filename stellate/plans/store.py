@@ -58,6 +58,10 @@ class UidNotUnique(ValueError):
     pass
 
 
+class ConcurrentUpdate(RuntimeError):
+    """Another writer committed the version this one was about to write."""
+
+
 def default_edge_rule(table: DataFrame) -> DataFrame:
     """Stored neighbour codes: ``(src, dst)`` uid pairs, each pair once
     (only upward moves are generated; the other half is the same pairs)."""
@@ -145,6 +149,17 @@ class ComponentStore:
         it so by folding it into a new base."""
         return self._resolve(self.base())
 
+    def _claim(self, part: str, v: int) -> str:
+        """Folder for version ``v``: a complete one means another writer got
+        there first (raise, do not overwrite); a half-written one is a failed
+        attempt and is cleared."""
+        path = self._vdir(part, v)
+        if path_exists(self.spark, f"{path}/_SUCCESS"):
+            raise ConcurrentUpdate(f"{path} was committed by another writer")
+        if path_exists(self.spark, path):
+            delete_path(self.spark, path)
+        return path
+
     def _write_base(self, df: DataFrame) -> int:
         cur = self.current_version()
         v = 0 if cur is None else cur + 1
@@ -153,13 +168,13 @@ class ComponentStore:
         # repartition by shard would write each shard from one task.
         (df.select("uid", "cmp", "mapped", "shard")
          .hint("rebalance", "shard")
-         .write.mode("overwrite").partitionBy("shard").parquet(self._vdir("base", v)))
+         .write.mode("errorifexists").partitionBy("shard").parquet(self._claim("base", v)))
         return v
 
     def _write_history(self, df: DataFrame) -> int:
         cur = self.history_version()
         v = 0 if cur is None else cur + 1
-        df.select("old", "cur").write.mode("overwrite").parquet(self._vdir("history", v))
+        df.select("old", "cur").write.mode("errorifexists").parquet(self._claim("history", v))
         return v
 
     def compact(self) -> int:

@@ -218,3 +218,22 @@ def test_populate_with_given_numbers(spark, scratch):
     store.populate(spark.createDataFrame([("42", 7), ("17", 3)], "uid string, cmp bigint"))
     got = sorted(map(tuple, store.read().collect()))
     assert got == [("17", 3, False, 1), ("42", 7, False, 4)]
+
+
+def test_store_refuses_to_overwrite_a_committed_version(spark, scratch):
+    import os
+
+    from stellate.plans.store import ConcurrentUpdate
+
+    store = ComponentStore(spark, f"{scratch}/tbl")
+    store.populate(enumerate_codes(spark, 2).select("uid"))
+    # a half-written folder of the next version (a crashed attempt) is cleared
+    os.makedirs(f"{scratch}/tbl/history/v=1")
+    store.merge_round(spark.createDataFrame([("01", "10")], "src string, dst string"))
+    assert store.history_version() == 1
+    # another writer committed v=2 meanwhile: this writer must not clobber it
+    stale = ComponentStore(spark, f"{scratch}/tbl")
+    stale.history_version = lambda: 1
+    spark.createDataFrame([(5, 1)], "old bigint, cur bigint").write.parquet(f"{scratch}/tbl/history/v=2")
+    with pytest.raises(ConcurrentUpdate):
+        stale._write_history(spark.createDataFrame([], "old bigint, cur bigint"))
