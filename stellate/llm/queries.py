@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from .chat import op2_chat_format
+from .merkle import op6_document_fingerprints
+from .mixing import op7_mix_sources
 from .quality import op9_quality_rules
+from .simhash import op1_simhash_near_dedup
 
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_chat_format": op2_chat_format,
+    "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_mix_sources": op7_mix_sources,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
