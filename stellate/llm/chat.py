@@ -3,7 +3,7 @@ r"""Chat formatting with a grammar round trip.
 Grammar of a formatted conversation (``*`` repeats)::
 
     conversation = turn*
-    turn         = "### " label ": " body " </turn>\n"
+    turn         = "### " label ": " body "\n</turn>\n"
     label        = "System" | "User" | "Assistant" | JSON string of any other role
     body         = text in which no bare control string stands
 
@@ -11,10 +11,10 @@ The control strings are ``### `` and ``</turn>``.  One with backslashes
 right before it is literal text; the reader takes one backslash away.  A
 rendered turn is reparsed by the reader's own parser and compared to its
 source; while they differ, it is rendered at the next level: 0 the text as it
-is, 1 one backslash put before every control string that has backslashes or
-would be read as a mark (the blank before the end mark is part of what is
-examined, so a text that ends in ``###`` or in a backslash is safe too).
-A turn that no level reproduces is an error, never silently changed.
+is, 1 one backslash put before every control string and the backslashes that
+it has already.  The line end before the end mark keeps a text that ends in
+``###`` or in a backslash from running into it.  A turn that no level
+reproduces is an error, never silently changed.
 
 A turn's rendering starts and ends with its own marks, so turns that survive
 one by one also survive together; :func:`read_chat` reparses the joined
@@ -100,8 +100,8 @@ def parse_turn(s: str, at: int = 0) -> tuple[str, int, int, int] | None:
             continue
         if m[2] == OPEN:
             raise NotReversible("a turn inside a turn")
-        if m.start() == start or s[m.start() - 1] != " ":
-            raise NotReversible("no blank before the end mark")
+        if m.start() == start or s[m.start() - 1] != "\n":
+            raise NotReversible("no line end before the end mark")
         end = m.end()
         if len(s) == end:
             return None
@@ -114,10 +114,8 @@ def parse_turn(s: str, at: int = 0) -> tuple[str, int, int, int] | None:
 def render_turn(role: str, text: str) -> tuple[str, int, int]:
     """The rendered turn and the start and end of its body."""
     for level in (0, 1):
-        body = text + " "
-        if level:
-            body = escape(body)
-        out = f"{OPEN}{_label(role)}: {body}{CLOSE}\n"
+        body = escape(text) if level else text
+        out = f"{OPEN}{_label(role)}: {body}\n{CLOSE}\n"
         try:
             got = parse_turn(out)
         except NotReversible:
