@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bpe import op3_bpe_round_trip
 from .chat import op2_chat_format
 from .merkle import op6_document_fingerprints
 from .mixing import op7_mix_sources
@@ -11,6 +12,7 @@ from .simhash import op1_simhash_near_dedup
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_chat_format": op2_chat_format,
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_mix_sources": op7_mix_sources,
     "op9_quality_rules": op9_quality_rules,
