@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with content-defined chunk reuse.
 
-1. Every text's UTF-8 bytes are cut where a rolling hash over 32 bytes has
-   its ten high bits zero (about 1 KB apart, 256 bytes at least, 8 KB at
-   most), so equal passages give equal chunks wherever they stand.
+1. Every text's UTF-8 bytes are cut where a rolling hash (the last 8 bytes
+   times an odd constant) has its ten high bits zero: about 1 KB apart, 256
+   bytes at least, 8 KB at most, so equal passages give equal chunks
+   wherever they stand.
 2. Chunk digests (128 bits) that occur in two documents or more are the
    shared chunks.  Each is encoded once.
 3. A document takes the ids of its shared chunks and repairs the joins:
@@ -42,6 +43,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from ..session import materialize
@@ -79,21 +81,27 @@ class Coder:
             raise ValueError(f"{path}: ids don't follow the merges")
         self.special = set(special)
         self.encoding = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
-        self.bytes = [b""] * (1 + max([*ranks.values(), *special.values()]))
+        texts = [b""] * (1 + max([*ranks.values(), *special.values()]))
         for b, i in ranks.items():
-            self.bytes[i] = b
+            texts[i] = b
         for s, i in special.items():
-            self.bytes[i] = s.encode()
-        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+            texts[i] = s.encode()
+        self.lengths = np.array([len(b) for b in texts], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.pool = np.frombuffer(b"".join(texts), np.uint8)
 
     def encode(self, raw: bytes) -> np.ndarray:
         if not raw:
             return np.zeros(0, np.int32)
-        return np.array(self.encoding.encode(raw.decode("utf-8"), allowed_special=self.special,
-                                             disallowed_special=()), np.int32)
+        ids = self.encoding.encode_to_numpy(raw.decode("utf-8"), allowed_special=self.special,
+                                            disallowed_special=())
+        return ids.astype(np.int32)
 
-    def decode(self, ids) -> str:
-        return b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        size = self.lengths[ids]
+        # Where each byte of the text stands in ``pool``.
+        at = np.repeat(self.starts[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return self.pool[at].tobytes().decode("utf-8", "replace")
 
 
 def coder(path: str | None) -> Coder:
@@ -106,42 +114,18 @@ def coder(path: str | None) -> Coder:
 
 
 # --------------------------------------------------------------------- chunks
-WINDOW, CUT_BITS, LEAST, MOST = 32, 10, 256, 8192
+WINDOW, CUT_BITS, LEAST, MOST = 8, 10, 256, 8192
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 1 << 20
 
 
-def _tables():
-    rng = np.random.Generator(np.random.PCG64(7))
-    value = rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-    base = 0x9E3779B97F4A7C15 | 1
-    inverse = pow(base, -1, 1 << 64)
-    n = _SLICE + WINDOW
-    up, down = np.empty(n, np.uint64), np.empty(n, np.uint64)
-    up[0] = down[0] = 1
-    with np.errstate(over="ignore"):
-        k = 1
-        while k < n:  # powers by doubling
-            m = min(k, n - k)
-            up[k:k + m] = up[:m] * np.uint64(pow(base, k, 1 << 64))
-            down[k:k + m] = down[:m] * np.uint64(pow(inverse, k, 1 << 64))
-            k += m
-    return value, up, down
-
-
-def cut_points(raw: bytes, tables) -> list[int]:
+def cut_points(raw: bytes) -> list[int]:
     """Ends of the chunks of ``raw``, the last one being its length."""
-    value, up, down = tables
     n = len(raw)
     found = []
-    for at in range(0, n, _SLICE):  # each slice sees the bytes of its first window too
-        a = max(0, at - WINDOW)
-        b = np.frombuffer(raw, np.uint8, min(n, at + _SLICE) - a, a)
-        if len(b) <= WINDOW:
-            continue
-        s = np.cumsum(value[b] * down[:len(b)])
-        h = (s[WINDOW:] - s[:-WINDOW]) * up[WINDOW:len(b)]
-        p = np.flatnonzero(h >> np.uint64(64 - CUT_BITS) == 0) + a + WINDOW
-        found.extend(p[p >= at].tolist())
+    for at in range(0, n - WINDOW + 1, _SLICE):
+        last = np.ndarray(min(_SLICE, n - WINDOW + 1 - at), "<u8", raw, at, (1,))  # 8 bytes at every place
+        found += (np.flatnonzero((last * _FACTOR) >> np.uint64(64 - CUT_BITS) == 0) + (at + WINDOW)).tolist()
     ends, start = [], 0
     for p in [*found, n]:
         while p - start > MOST:
@@ -161,9 +145,10 @@ def _char_start(raw: bytes, at: int) -> int:
     return at
 
 
-def chunks(raw: bytes, tables) -> list[tuple[int, int, bytes]]:
+def chunks(raw: bytes) -> list[tuple[int, int, bytes]]:
+    """``(start, end, digest)`` of every chunk."""
     out, a = [], 0
-    for b in cut_points(raw, tables):
+    for b in cut_points(raw):
         out.append((a, b, xxhash.xxh3_128_digest(raw[a:b])))
         a = b
     return out
@@ -221,75 +206,111 @@ class _Filter:
         return bool(int(self.words[v >> 6]) >> (v & 63) & 1)
 
 
-def _raw(text) -> bytes:
-    return (text.as_py() or "").encode("utf-8")
-
-
-def _id_list(rows: list) -> pa.Array:
-    sizes = [0, *np.cumsum([0 if r is None else len(r) for r in rows]).tolist()]
-    flat = [r for r in rows if r is not None]
-    values = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int32()))
-
-
-def _udfs(path: str | None, shared):
-    """``shared``: broadcast filter, or None before it is known."""
-    @arrow_udf("struct<text_key:binary,digests:array<binary>>")
-    def cut(texts: pa.Array) -> pa.Array:
-        tables = _tables()
-        raws = [_raw(t) for t in texts]
-        return pa.StructArray.from_arrays(
-            [pa.array([xxhash.xxh3_128_digest(r) for r in raws], pa.binary()),
-             pa.array([list({d for _, _, d in chunks(r, tables)}) for r in raws], pa.list_(pa.binary()))],
-            ["text_key", "digests"])
-
-    @arrow_udf("struct<own:boolean,ids:array<int>>")
-    def encode_own(texts: pa.Array) -> pa.Array:
-        tables, c = _tables(), coder(path)
-        rows = []
-        for t in texts:
-            raw = _raw(t)
-            own = not any(shared.value.may_hold(d) for _, _, d in chunks(raw, tables))
-            rows.append(c.encode(raw) if own else None)
-        return pa.StructArray.from_arrays([pa.array([r is not None for r in rows]), _id_list(rows)], ["own", "ids"])
-
-    @arrow_udf("binary")
-    def key_of_sharing(texts: pa.Array) -> pa.Array:
-        tables = _tables()
-        raws = [_raw(t) for t in texts]
-        return pa.array([xxhash.xxh3_128_digest(r)
-                         if any(shared.value.may_hold(d) for _, _, d in chunks(r, tables)) else None
-                         for r in raws], pa.binary())
-
-    @arrow_udf("binary")
-    def encode_chunk(parts: pa.Array) -> pa.Array:
-        c = coder(path)
-        return pa.array([c.encode(p.as_py()).tobytes() for p in parts], pa.binary())
-
-    @arrow_udf("array<int>")
-    def encode_shared(texts: pa.Array, known: pa.Array) -> pa.Array:
-        tables, c = _tables(), coder(path)
-        rows = []
-        for t, k in zip(texts, known):
-            raw = _raw(t)
-            ids = {x["digest"]: np.frombuffer(x["ids"], np.int32) for x in k.as_py() or ()}
-            rows.append(encode_document(raw, chunks(raw, tables) if ids else [], ids, c))
-        return _id_list(rows)
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables()
+def _raws(texts: pa.Array) -> Iterator[bytes]:
+    for t in texts:
+        yield (t.as_py() or "").encode("utf-8")
+
+
+_IDS_AT_ONCE = 1 << 20
+
+
+def _with_ids(batch: pa.RecordBatch, drop: list[str], out: str,
+              encoded: Iterator[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+    """The batch's rows with ids, in parts of about a million ids; rows whose
+    ids are None are left out."""
+    rows, ids, held = [], [], 0
+
+    def part() -> pa.RecordBatch:
+        cols = [(n, batch.column(i).take(pa.array(rows, pa.int32())))
+                for i, n in enumerate(batch.schema.names) if n not in drop]
+        ends = np.cumsum([0, *map(len, ids)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+        return pa.RecordBatch.from_arrays([c for _, c in cols] + [lists], names=[n for n, _ in cols] + [out])
+
+    for row, got in enumerate(encoded):
+        if got is None:
+            continue
+        rows.append(row)
+        ids.append(got)
+        held += len(got)
+        if held >= _IDS_AT_ONCE:
+            yield part()
+            rows, ids, held = [], [], 0
+    if rows:
+        yield part()
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def _cut(batches: Batches) -> Batches:
+    for batch in batches:
+        found = [(xxhash.xxh3_128_digest(r), list({d for _, _, d in chunks(r)})) for r in _raws(batch.column(0))]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.binary()),
+                                          pa.array([d for _, d in found], pa.list_(pa.binary()))],
+                                         ["text_key", "digests"])
+
+
+def _candidates(shared):
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             found: dict[bytes, bytes] = {}
-            for t in batch.column(0):
-                raw = _raw(t)
-                for a, b, d in chunks(raw, tables):
+            for raw in _raws(batch.column(0)):
+                for a, b, d in chunks(raw):
                     if d not in found and shared.value.may_hold(d):
                         found[d] = raw[a:b]
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()),
                                               pa.array(list(found.values()), pa.binary())], ["digest", "part"])
 
-    once = [f.asNondeterministic() for f in (cut, encode_own, key_of_sharing, encode_chunk, encode_shared)]
-    return (*once, candidates)
+    return run
+
+
+def _encode_chunks(path):
+    def run(batches: Batches) -> Batches:
+        c = coder(path)
+        for batch in batches:
+            ids = [c.encode(p.as_py()).tobytes() for p in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["digest", "ids"])
+
+    return run
+
+
+def _encode_own(path, shared, text: str, drop: list[str], out: str):
+    """Rows without a shared chunk, encoded."""
+    def run(batches: Batches) -> Batches:
+        c = coder(path)
+        for batch in batches:
+            yield from _with_ids(batch, drop, out, (
+                None if any(shared.value.may_hold(d) for _, _, d in chunks(raw)) else c.encode(raw)
+                for raw in _raws(batch.column(text))))
+
+    return run
+
+
+def _sharing_rows(shared, text: str, key: str):
+    """Rows that may hold a shared chunk, with the key of their text."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            keys = [xxhash.xxh3_128_digest(raw) if any(shared.value.may_hold(d) for _, _, d in chunks(raw)) else None
+                    for raw in _raws(batch.column(text))]
+            new = batch.append_column(key, pa.array(keys, pa.binary()))
+            yield new.filter(new.column(key).is_valid())
+
+    return run
+
+
+def _encode_sharing(path, text: str, known: str, drop: list[str], out: str):
+    def run(batches: Batches) -> Batches:
+        c = coder(path)
+        for batch in batches:
+            def encoded(batch=batch):
+                for raw, k in zip(_raws(batch.column(text)), batch.column(known)):
+                    ids = {x["digest"]: np.frombuffer(x["ids"], np.int32) for x in k.as_py() or ()}
+                    yield encode_document(raw, chunks(raw) if ids else [], ids, c)
+
+            yield from _with_ids(batch, drop, out, encoded())
+
+    return run
 
 
 def _shared_filter(shared: DataFrame, bits: int) -> _Filter:
@@ -305,31 +326,31 @@ def encode_documents(docs: DataFrame, text: str = "text", out: str = "ids", *, p
                      filter_bits: int = FILTER_BITS) -> DataFrame:
     """``docs`` with the array of token ids as column ``out``."""
     spark = docs.sparkSession
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower() or c == text])
-    cut = _udfs(path, None)[0]
-    held = docs.select(cut(F.col(text)).alias("c")).select("c.text_key", "c.digests")
-    held = materialize(held, "bpe-digests")
+    held = materialize(docs.select(F.col(text)).mapInArrow(_cut, "text_key binary, digests array<binary>"),
+                       "bpe-digests")
     shared = (held.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= 2).select("digest"))
     shared = materialize(shared, "bpe-shared")
     found = spark.sparkContext.broadcast(_shared_filter(shared, filter_bits))
-    _, encode_own, key_of_sharing, encode_chunk, encode_shared, candidates = _udfs(path, found)
 
     # Each shared chunk is encoded once.
-    parts = docs.select(F.col(text)).mapInArrow(candidates, "digest binary, part binary")
+    parts = docs.select(F.col(text)).mapInArrow(_candidates(found), "digest binary, part binary")
     parts = parts.groupBy("digest").agg(F.first("part").alias("part")).join(shared, "digest", "left_semi")
-    encoded = materialize(parts.select("digest", encode_chunk("part").alias("ids")), "bpe-chunks")
+    encoded = materialize(parts.mapInArrow(_encode_chunks(path), "digest binary, ids binary"), "bpe-chunks")
     # The shared chunks of every different text.
     uses = held.select("text_key", F.explode("digests").alias("digest")).distinct().join(encoded, "digest")
     uses = uses.groupBy("text_key").agg(F.collect_list(F.struct("digest", "ids")).alias("known"))
-    key, known, got = fresh(docs, "_key"), fresh(docs, "_known"), fresh(docs, "_got")
+    key, known = fresh(docs, "_key"), fresh(docs, "_known")
     uses = materialize(uses.select(F.col("text_key").alias(key), F.col("known").alias(known)), "bpe-uses")
 
-    cols = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
-    own = (docs.withColumn(got, encode_own(F.col(text))).where(F.col(f"{got}.own"))
-           .select(*cols, F.col(f"{got}.ids").alias(out)))
-    rest = docs.withColumn(key, key_of_sharing(F.col(text))).where(F.col(key).isNotNull())
-    rest = rest.join(uses, key, "left").select(*cols, encode_shared(F.col(text), F.col(known)).alias(out))
+    drop = [c for c in docs.columns if c.lower() == out.lower()]
+    result = T.StructType([f for f in docs.schema if f.name not in drop]
+                          + [T.StructField(out, T.ArrayType(T.IntegerType()))])
+    own = docs.mapInArrow(_encode_own(path, found, text, drop, out), result)
+    sharing = docs.mapInArrow(_sharing_rows(found, text, key),
+                              T.StructType([*docs.schema, T.StructField(key, T.BinaryType())]))
+    sharing = sharing.join(uses, key, "left")
+    rest = sharing.mapInArrow(_encode_sharing(path, text, known, [*drop, key, known], out), result)
     return own.unionByName(rest)
 
 
@@ -338,20 +359,23 @@ def decode_documents(rows: DataFrame, ids: str = "ids", out: str = "text", *, pa
     @arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         c = coder(path)
-        return pa.array([c.decode(x.as_py()) if x.is_valid else None for x in lists], pa.string())
+        return pa.array([c.decode(x.values.to_numpy()) if x.is_valid else None for x in lists], pa.string())
 
     return rows.withColumn(out, decode.asNondeterministic()(F.col(ids)))
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode_documents(encode_documents(docs), out="decoded")
-
-    @arrow_udf("string")
-    def ids_digest(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().to_numpy().astype("<u4")
-        at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        return pa.array([hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(at, at[1:])])
 
-    return back.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                       ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    def digests(batches: Batches) -> Batches:
+        c = coder(None)
+        for batch in batches:
+            lists = [x.values.to_numpy() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(map(len, lists), pa.int64()),
+                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in lists]),
+                pa.array([hashlib.sha256(c.decode(x).encode("utf-8")).hexdigest() for x in lists])],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return encode_documents(docs).select("doc_id", "ids").mapInArrow(
+        digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
