@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +37,37 @@ def text_or_empty(col: str | Column) -> Column:
 
 def chunks_of(rows: int, most: int) -> int:
     return max(1, math.ceil(rows / most))
+
+
+class BitFilter:
+    """Which 64-bit hashes may be in a set: one bit for each value of their
+    first ``bits`` bits.  Its size is fixed, whatever the set."""
+
+    def __init__(self, bits: int, words: list[tuple[int, int]]):
+        self.shift = np.uint64(64 - bits)
+        self.words = np.zeros(1 << (bits - 6), np.uint64)
+        if words:
+            at, mask = zip(*words)
+            self.words[list(at)] = np.array(mask, np.int64).view(np.uint64)
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        v = hashes >> self.shift
+        return (self.words[v >> np.uint64(6)] >> (v & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def bit_filter(df: DataFrame, col: str, bits: int) -> BitFilter:
+    """Filter over a bigint column; at most ``2^bits / 64`` rows come to the
+    driver."""
+    v = F.shiftrightunsigned(F.col(col), 64 - bits)
+    bit = F.expr("shiftleft(1L, b)")
+    words = (df.select(F.shiftright(v, 6).alias("w"), (v % 64).cast("int").alias("b"))
+             .groupBy("w").agg(F.bit_or(bit).alias("m")))
+    return BitFilter(bits, [(r["w"], r["m"]) for r in words.collect()])
+
+
+def even_keys(spark: SparkSession, parts: int) -> list[int]:
+    """One int for each of ``parts`` shuffle partitions, such that
+    ``repartition(parts, key)`` sends each to a partition of its own."""
+    ids = spark.range(max(64, 32 * parts)).select(F.col("id").cast("int").alias("k"))
+    rows = ids.groupBy(F.pmod(F.hash("k"), F.lit(parts)).alias("p")).agg(F.min("k").alias("k")).collect()
+    return sorted(r["k"] for r in rows)

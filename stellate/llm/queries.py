@@ -7,6 +7,7 @@ from .chat import op2_chat_format
 from .merkle import op6_document_fingerprints
 from .mixing import op7_mix_sources
 from .quality import op9_quality_rules
+from .repeats import op8_substring_dedup
 from .simhash import op1_simhash_near_dedup
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_mix_sources": op7_mix_sources,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
