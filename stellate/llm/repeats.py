@@ -6,21 +6,23 @@ removed; windows are judged on the input.
 
 1. Confirm recurring phrases.  From every window the phrase (``phrase``
    consecutive words) with the least hash is chosen, so equal windows choose
-   equal phrases.  A phrase chosen in two documents or more recurs.
+   equal phrases.  The windows of a document that choose one occurrence of a
+   phrase form a run (at most ``window - phrase + 1`` windows); its digest
+   covers all its words.  A phrase chosen in two documents or more recurs;
+   it is mixed if its runs differ.
 2. Automata.  The recurring phrases of a shard of documents (bounded by
-   ``shard_words``) are compiled into an Aho-Corasick automaton over word
-   numbers, and the shard's documents run through it: every occurrence is
-   found, chosen or not.  Which phrases recur is told by a filter of
-   ``2^filter_bits`` bits (a fixed size); a false hit only adds candidates.
-   A window that also starts elsewhere holds an occurrence, so the other
-   windows need no comparison.
-3. Judge.  The candidate windows' hashes (two 64-bit hashes: the phrase that
-   the window chooses sends it to a task, the window's own is compared) meet
-   by phrase.  Each shard first says which windows it has and their least
-   document; only those lines are held, a window once, and the occurrences
-   are streamed against them.  What comes back per occurrence of a phrase is
-   a mask of the windows to remove.
-4. The masks of a document are joined to its text by (id, text hash).
+   ``shard_words``) are compiled into an Aho-Corasick automaton, and the
+   shard's documents run through it: every occurrence is found.  Which
+   phrases recur is told by a filter of ``2^filter_bits`` bits (a fixed
+   size); a false hit only adds candidates.  The runs at the occurrences are
+   the only ones that can hold a window to remove.
+3. Judge.  Runs are aggregated by (phrase, digest) to their least document:
+   equal runs hold equal windows, so a group of copies is one row here.  Only
+   the different runs of a mixed phrase are compared window by window.
+4. The windows to remove are joined to the documents by (id, text hash).
+
+No step brings the occurrences of a phrase together: they are combined on
+the map side, or joined to one row per key with skewed keys split.
 
 Defined cases: a null text has no words; documents with fewer than ``window``
 words keep all; a document with a null id neither owns a window nor loses
@@ -38,13 +40,12 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
-from .common import BitFilter, bit_filter, even_keys, fresh, shuffle_parts, table
+from ..session import materialize, release
+from .common import BitFilter, bit_filter, fresh, table
 
 Batches = Iterator[pa.RecordBatch]
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -120,176 +121,125 @@ def _shards(batches: Batches, least: int, shard_words: int) -> Iterator[_Shard]:
         yield shard
 
 
+def _runs(words: np.ndarray, plan: Plan):
+    """Phrase and window hashes of a document, and per run: its first
+    window, its number of windows, the place of its phrase, its digest."""
+    p, w = run_hashes(words, plan.phrase), run_hashes(words, plan.window)
+    chosen = plan.chosen(p)
+    first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
+    size = np.diff(np.append(first, len(chosen)))
+    at = chosen[first]
+    # The first and the last window together cover all words of the run.
+    shape = (size * plan.inside + (at - first)).astype(np.uint64)
+    return p, w, first, size, at, _mix(_mix(w[first], w[first + size - 1]), shape)
+
+
 def _phrases(plan: Plan, shard_words: int):
-    """``(phrase, doc_id)`` of every chosen phrase, once per document."""
+    """``(phrase, digest, doc_id)`` of every run."""
     def run(batches: Batches) -> Batches:
         for shard in _shards(batches, plan.window, shard_words):
             hashes = shard.hashes()
-            found, ids = [], []
+            cols: list[list[np.ndarray]] = [[], [], []]
             for doc_id, _, numbers in shard.docs:
                 if len(numbers) >= plan.window:
-                    p = run_hashes(hashes[numbers], plan.phrase)
-                    one = np.unique(p[np.unique(plan.chosen(p))])
-                    found.append(one)
-                    ids.append(np.full(len(one), doc_id, np.int64))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)),
-                                                  pa.array(np.concatenate(ids))], ["phrase", "doc_id"])
+                    p, _, _, _, at, digest = _runs(hashes[numbers], plan)
+                    for col, v in zip(cols, (p[at].view(np.int64), digest.view(np.int64),
+                                             np.full(len(at), doc_id, np.int64))):
+                        col.append(v)
+            if cols[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols],
+                                                 ["phrase", "digest", "doc_id"])
 
     return run
 
 
-def _occurrences(shard: _Shard, hashes: np.ndarray, plan: Plan, recurring: BitFilter):
+#: A word number is written as so many letters, each from a range of its own,
+#: so that no node of an automaton has more than 32 branches and a match
+#: always starts at a word.
+_LETTERS, _LETTER_BITS = 4, 5
+
+
+def _spell(numbers: list[int]) -> str:
+    v = np.array(numbers, np.uint32)[:, None] >> np.arange(0, _LETTERS * _LETTER_BITS, _LETTER_BITS, np.uint32)
+    v &= (1 << _LETTER_BITS) - 1
+    v += 0x100 + (np.arange(_LETTERS, dtype=np.uint32) << _LETTER_BITS)
+    return v.astype("<u4").tobytes().decode("utf-32-le")
+
+
+def _occurrences(shard: _Shard, plan: Plan, recurring: BitFilter):
     """Runs the shard's documents through the automaton of its recurring
-    phrases.  Yields, per document with an occurrence: id, text hash, phrase
-    hashes, window hashes, chosen phrase per window, candidate windows."""
-    docs, patterns = [], {}
+    phrases; yields id, text hash and the located runs of each document."""
+    hashes = shard.hashes()
+    docs, automaton = [], ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     for doc_id, text_hash, numbers in shard.docs:
         if len(numbers) < plan.window:
             continue
-        words = hashes[numbers]
-        p = run_hashes(words, plan.phrase)
-        chosen = plan.chosen(p)
-        at = np.unique(chosen)
+        runs = _runs(hashes[numbers], plan)
+        p, at = runs[0], runs[4]
+        spelled = _spell(numbers)
         for i in at[recurring.may_hold(p[at])].tolist():
-            patterns.setdefault(int(p[i]), tuple(numbers[i:i + plan.phrase]))
-        docs.append((doc_id, text_hash, numbers, words, p, chosen))
-    if not patterns:
+            automaton.add_word(spelled[i * _LETTERS:(i + plan.phrase) * _LETTERS])
+        docs.append((doc_id, text_hash, spelled, runs))
+    if not len(automaton):
         return
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for phrase in patterns.values():
-        automaton.add_word(phrase)
     automaton.make_automaton()
-    for doc_id, text_hash, numbers, words, p, chosen in docs:
-        ends = [end for end, _ in automaton.iter(tuple(numbers))]
-        if not ends:
-            continue
-        # A phrase at place e lies in the windows that start at e - inside + 1 .. e.
-        e = np.array(ends) - (plan.phrase - 1)
-        n = len(chosen)
-        mark = np.zeros(n + 1, np.int32)
-        np.add.at(mark, np.maximum(e - plan.inside + 1, 0), 1)
-        np.add.at(mark, np.minimum(e + 1, n), -1)
-        candidate = np.cumsum(mark[:n]) > 0
-        yield doc_id, text_hash, p, run_hashes(words, plan.window), chosen, np.flatnonzero(candidate)
-
-
-_PACKED = "shard int, kind int, data binary"
+    for doc_id, text_hash, spelled, (p, w, first, size, at, digest) in docs:
+        ends = np.fromiter((end for end, _ in automaton.iter(spelled)), np.int64)
+        if len(ends):
+            starts = (ends + 1) // _LETTERS - plan.phrase
+            hit = np.isin(at, starts)
+            if hit.any():
+                yield doc_id, text_hash, p[at[hit]], digest[hit], first[hit], size[hit], w
 
 
-def _pack(shard: int, kind: int, arrays: list[np.ndarray]) -> tuple[int, int, bytes]:
-    head = np.array([len(a) for a in arrays], np.int64)
-    raw = b"".join([head.tobytes()] + [a.tobytes() for a in arrays])
-    return shard, kind, zstandard.ZstdCompressor(level=1).compress(raw)
+_RUN_ROWS = ("phrase bigint, digest bigint, doc_id bigint, text_hash bigint, start int, size int, "
+             "windows array<bigint>")
 
 
-def _unpack(data: bytes, types: list) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    sizes = np.frombuffer(raw, np.int64, len(types))
-    out, at = [], 8 * len(types)
-    for n, t in zip(sizes.tolist(), types):
-        out.append(np.frombuffer(raw, t, n, at))
-        at += n * np.dtype(t).itemsize
-    return out
-
-
-#: kind 0: windows and their least document; kind 1: occurrences of phrases.
-_OWNERS = [np.uint64, np.int64]
-_RUNS = [np.uint64, np.int64, np.int64, np.int32, np.int32]
-
-
-def _candidates(plan: Plan, recurring, shard_words: int, keys: list[int]):
-    """Packed candidate windows, by the phrase that each window chooses."""
+def _located(plan: Plan, recurring, mixed, shard_words: int):
+    """Rows of the runs at located phrases; the first of equal runs that may
+    be mixed brings its windows' hashes along."""
     def run(batches: Batches) -> Batches:
-        parts = np.uint64(len(keys))
         for shard in _shards(batches, plan.window, shard_words):
-            cols: list[list[np.ndarray]] = [[] for _ in range(6)]
-            for doc_id, text_hash, p, windows, chosen, at in _occurrences(shard, shard.hashes(), plan, recurring.value):
-                n = len(at)
-                for col, v in zip(cols, (p[chosen[at]], windows[at], np.full(n, doc_id, np.int64),
-                                         np.full(n, text_hash, np.int64), at.astype(np.int32),
-                                         chosen[at].astype(np.int32))):
+            cols: list[list] = [[] for _ in range(6)]
+            lists, seen = [], set()
+            for doc_id, text_hash, phrase, digest, first, size, w in _occurrences(shard, plan, recurring.value):
+                n = len(phrase)
+                for col, v in zip(cols, (phrase.view(np.int64), digest.view(np.int64), np.full(n, doc_id, np.int64),
+                                         np.full(n, text_hash, np.int64), first.astype(np.int32),
+                                         size.astype(np.int32))):
                     col.append(v)
-            if not cols[0]:
-                continue
-            phrase, window, doc, text, at, chosen = map(np.concatenate, cols)
-            to = (phrase % parts).astype(np.int64)
-            order = np.argsort(to, kind="stable")  # keeps a document's windows in order
-            phrase, window, doc, text, at, chosen = (x[order] for x in (phrase, window, doc, text, at, chosen))
-            cut = np.searchsorted(to[order], np.arange(len(keys) + 1))
-            rows = []
-            for k in range(len(keys)):
-                a, b = cut[k], cut[k + 1]
-                if a == b:
-                    continue
-                w, d = window[a:b], doc[a:b]
-                by = np.lexsort((d, w))
-                first = np.flatnonzero(np.concatenate(([True], w[by][1:] != w[by][:-1])))
-                rows.append(_pack(keys[k], 0, [w[by][first], d[by][first]]))
-                # One run per (document, chosen phrase): its windows stand together.
-                new = np.concatenate(([True], (d[1:] != d[:-1]) | (text[a:b][1:] != text[a:b][:-1])
-                                      | (chosen[a:b][1:] != chosen[a:b][:-1]) | (at[a:b][1:] != at[a:b][:-1] + 1)))
-                starts = np.flatnonzero(new)
-                sizes = np.diff(np.append(starts, b - a))
-                rows.append(_pack(keys[k], 1, [w, d[starts], text[a:b][starts], at[a:b][starts],
-                                               sizes.astype(np.int32)]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                              pa.array([r[1] for r in rows], pa.int32()),
-                                              pa.array([r[2] for r in rows], pa.binary())], ["shard", "kind", "data"])
+                for m, d, a, k in zip(mixed.value.may_hold(phrase), digest.tolist(), first.tolist(), size.tolist()):
+                    new = m and d not in seen
+                    if new:
+                        seen.add(d)
+                    lists.append(w[a:a + k].view(np.int64) if new else None)
+            if lists:
+                sizes = np.cumsum([0] + [0 if x is None else len(x) for x in lists])
+                full = [x for x in lists if x is not None]
+                windows = pa.ListArray.from_arrays(
+                    pa.array(sizes, pa.int32()), pa.array(np.concatenate(full) if full else np.zeros(0, np.int64)),
+                    mask=pa.array([x is None for x in lists]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols] + [windows],
+                                                 [f.split()[0] for f in _RUN_ROWS.split(", ")])
 
     return run
 
 
-def _judge(batches: Batches) -> Batches:
-    """Streams rows sorted by (shard, kind); yields masks to remove."""
-    shard, windows, owners, pending = None, None, None, []
-    for batch in batches:
-        for s, kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            if s != shard:
-                shard, windows, owners, pending = s, None, None, []
-            if kind == 0:
-                pending.append(_unpack(data.as_py(), _OWNERS))
-                if sum(len(w) for w, _ in pending) > 1 << 22:
-                    pending = [_least(pending)]
-                continue
-            if windows is None:
-                windows, owners = _least(pending)
-                pending = []
-            w, doc, text, at, sizes = _unpack(data.as_py(), _RUNS)
-            run = np.repeat(np.arange(len(sizes)), sizes)
-            gone = owners[np.searchsorted(windows, w)] < doc[run]
-            nth = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            bits = np.where(gone, np.int64(1) << nth, np.int64(0))
-            mask = np.add.reduceat(bits, np.cumsum(sizes) - sizes) if len(sizes) else bits
-            some = mask != 0
-            if some.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[some]), pa.array(text[some]), pa.array(at[some]), pa.array(mask[some])],
-                    ["doc_id", "text_hash", "start", "mask"])
-
-
-def _least(parts: list) -> list[np.ndarray]:
-    w, d = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-    by = np.lexsort((d, w))
-    w, d = w[by], d[by]
-    first = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
-    return [w[first], d[first]]
-
-
-def _cover(text_col: str, masks_col: str, drop: list[str], window: int, names: list[str]):
-    """Replaces text and masks by the kept text and its counts."""
+def _cover(text_col: str, runs_col: str, drop: list[str], window: int, names: list[str]):
+    """Replaces text and runs by the kept text and its counts."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             kept, total, gone = [], [], []
-            for t, m in zip(batch.column(text_col), batch.column(masks_col)):
+            for t, m in zip(batch.column(text_col), batch.column(runs_col)):
                 words = (t.as_py() or "").encode("utf-8", "surrogatepass").split()
                 n = len(words)
                 if m.is_valid and len(m):
                     mark = np.zeros(n + 1, np.int32)
                     for x in m.as_py():
-                        at = x["start"] + np.array([i for i in range(63) if x["mask"] >> i & 1])
-                        np.add.at(mark, at, 1)
-                        np.add.at(mark, at + window, -1)
+                        for a, b in [(0, x["size"])] if x["gone"] is None else [(i, i + 1) for i in x["gone"]]:
+                            mark[x["start"] + a] += 1
+                            mark[x["start"] + b - 1 + window] -= 1
                     free = np.flatnonzero(np.cumsum(mark[:n]) == 0).tolist()
                     words = [words[i] for i in free]
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
@@ -302,22 +252,47 @@ def _cover(text_col: str, masks_col: str, drop: list[str], window: int, names: l
     return run
 
 
+def _owners(runs: DataFrame) -> DataFrame:
+    """Per (phrase, digest): the least document ``a`` of the run and, for a
+    run of a mixed phrase, the least document of each of its windows."""
+    one = runs.groupBy("phrase", "digest").agg(F.min("doc_id").alias("a"),
+                                               F.first("windows", ignorenulls=True).alias("windows"))
+    one = materialize(one, "repeats-runs")
+    each = one.where(F.col("windows").isNotNull()).select(
+        "phrase", "digest", "a", F.posexplode("windows").alias("i", "w"))
+    least = materialize(each.groupBy("phrase", "w").agg(F.min("a").alias("o")), "repeats-windows")
+    back = each.join(least, ["phrase", "w"]).groupBy("phrase", "digest").agg(
+        F.collect_list(F.struct("i", "o")).alias("owned"))
+    back = back.select("phrase", "digest", F.transform(F.array_sort("owned"), lambda x: x["o"]).alias("owners"))
+    out = materialize(one.drop("windows").join(back, ["phrase", "digest"], "left"), "repeats-owners")
+    release(one)
+    release(least)
+    return out
+
+
 def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *, window: int = 50,
                      phrase: int = 16, shard_words: int = 1 << 19, filter_bits: int = 24) -> DataFrame:
-    """``(doc_id, text_hash, start, mask)``: bit ``i`` of the mask tells that
-    the window at word ``start + i`` also starts in a smaller document."""
+    """``(doc_id, text_hash, start, size, gone)`` per run with a window to
+    remove: the offsets of those windows from word ``start``, or null for all
+    ``size`` windows."""
     spark = docs.sparkSession
     plan = Plan(window, phrase)
     cols = docs.select(F.col(doc_id).cast("bigint"), F.col(text_hash), F.col(text))
-    seen = cols.mapInArrow(_phrases(plan, shard_words), "phrase bigint, doc_id bigint")
-    recurring = (seen.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-                 .where("a < b").select("phrase"))
+    seen = cols.mapInArrow(_phrases(plan, shard_words), "phrase bigint, digest bigint, doc_id bigint")
+    recurring = seen.groupBy("phrase").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"),
+        (F.min("digest") != F.max("digest")).alias("mixed")).where("a < b").select("phrase", "mixed")
     recurring = materialize(recurring, "repeats-phrases")
     known = spark.sparkContext.broadcast(bit_filter(recurring, "phrase", filter_bits))
-    parts = shuffle_parts(spark)
-    packed = cols.mapInArrow(_candidates(plan, known, shard_words, even_keys(spark, parts)), _PACKED)
-    packed = packed.repartition(parts, "shard").sortWithinPartitions("shard", "kind")
-    return packed.mapInArrow(_judge, "doc_id bigint, text_hash bigint, start int, mask bigint")
+    mixed = spark.sparkContext.broadcast(bit_filter(recurring.where("mixed"), "phrase", filter_bits))
+    runs = materialize(cols.mapInArrow(_located(plan, known, mixed, shard_words), _RUN_ROWS), "repeats-located")
+    owners = _owners(runs)
+    j = runs.drop("windows").join(owners, ["phrase", "digest"])
+    gone = F.filter(F.sequence(F.lit(0), F.col("size") - 1),
+                    lambda i: F.element_at("owners", i + 1) < F.col("doc_id"))
+    j = j.select("doc_id", "text_hash", "start", "size", "a", F.when(F.col("owners").isNotNull(), gone).alias("gone"))
+    return (j.where(F.when(F.col("gone").isNull(), F.col("a") < F.col("doc_id")).otherwise(F.size("gone") > 0))
+            .drop("a"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, window: int = 50,
@@ -325,18 +300,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``docs`` with ``kept_text`` (the kept words, one blank between),
     ``n_words`` and ``n_removed`` for every row."""
     names = ["kept_text", "n_words", "n_removed"]
-    h, i, masks = (fresh(docs, x) for x in ("_hash", "_id", "_masks"))
+    h, i, found = (fresh(docs, x) for x in ("_hash", "_id", "_runs"))
     keyed = docs.withColumn(h, F.xxhash64(text))
     got = repeated_windows(keyed, doc_id, text, h, window=window, **opts)
-    got = got.distinct().groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "mask")).alias(masks))
-    got = materialize(got.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), masks), "repeats-masks")
+    got = got.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "size", "gone")).alias(found))
+    got = materialize(got.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), found), "repeats-removed")
     j = keyed.join(got, (keyed[doc_id].cast("bigint") == got[i]) & (keyed[h] == got[h]), "left")
-    j = j.select(*[keyed[c] for c in docs.columns], masks)
-    drop = [masks] + [c for c in docs.columns if c.lower() in names]
+    j = j.select(*[keyed[c] for c in docs.columns], found)
+    drop = [found] + [c for c in docs.columns if c.lower() in names]
     schema = T.StructType([f for f in docs.schema if f.name not in drop]
                           + [T.StructField(names[0], T.StringType())]
                           + [T.StructField(n, T.LongType()) for n in names[1:]])
-    return j.mapInArrow(_cover(text, masks, drop, window, names), schema)
+    return j.mapInArrow(_cover(text, found, drop, window, names), schema)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
