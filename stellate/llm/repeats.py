@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize, release
-from .common import BitFilter, bit_filter, fresh, table
+from .common import BitFilter, bit_filter, fresh, shuffle_parts, table
 
 Batches = Iterator[pa.RecordBatch]
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -122,7 +122,7 @@ def _shards(batches: Batches, least: int, shard_words: int) -> Iterator[_Shard]:
 
 
 def _runs(words: np.ndarray, plan: Plan):
-    """Phrase and window hashes of a document, and per run: its first
+    """Phrase keys and window hashes of a document, and per run: its first
     window, its number of windows, the place of its phrase, its digest."""
     p, w = run_hashes(words, plan.phrase), run_hashes(words, plan.window)
     chosen = plan.chosen(p)
@@ -131,7 +131,8 @@ def _runs(words: np.ndarray, plan: Plan):
     at = chosen[first]
     # The first and the last window together cover all words of the run.
     shape = (size * plan.inside + (at - first)).astype(np.uint64)
-    return p, w, first, size, at, _mix(_mix(w[first], w[first + size - 1]), shape)
+    # Chosen hashes are small ones; as keys they are spread over all values.
+    return _mix(p, p), w, first, size, at, _mix(_mix(w[first], w[first + size - 1]), shape)
 
 
 def _phrases(plan: Plan, shard_words: int):
@@ -252,26 +253,50 @@ def _cover(text_col: str, runs_col: str, drop: list[str], window: int, names: li
     return run
 
 
-def _owners(runs: DataFrame) -> DataFrame:
+def _first_owners(batches: Batches) -> Batches:
+    """Streams the different runs of each phrase, least document first: the
+    first run that has a window is its owner."""
+    phrase, owner = None, {}
+    for batch in batches:
+        lists = []
+        for p, a, windows in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if p != phrase:
+                phrase, owner = p, {}
+            lists.append([owner.setdefault(w, a) for w in windows])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int64()))],
+                                         ["phrase", "digest", "owners"])
+
+
+def _owners(runs: DataFrame, crowd: int) -> DataFrame:
     """Per (phrase, digest): the least document ``a`` of the run and, for a
-    run of a mixed phrase, the least document of each of its windows."""
+    run of a mixed phrase, the least document of each of its windows.
+
+    The different runs of a phrase meet in one task if they are at most
+    ``crowd``; those of a more crowded phrase are compared as single rows,
+    combined on the map side, so that no task holds them."""
     one = runs.groupBy("phrase", "digest").agg(F.min("doc_id").alias("a"),
                                                F.first("windows", ignorenulls=True).alias("windows"))
     one = materialize(one, "repeats-runs")
-    each = one.where(F.col("windows").isNotNull()).select(
+    mixed = one.where(F.col("windows").isNotNull())
+    many = materialize(mixed.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
+                       .select("phrase"), "repeats-crowded")
+    few = (mixed.join(many, "phrase", "left_anti").select("phrase", "digest", "a", "windows")
+           .repartition(shuffle_parts(runs.sparkSession), "phrase").sortWithinPartitions("phrase", "a"))
+    back = few.mapInArrow(_first_owners, "phrase bigint, digest bigint, owners array<bigint>")
+    each = mixed.join(many, "phrase", "left_semi").select(
         "phrase", "digest", "a", F.posexplode("windows").alias("i", "w"))
-    least = materialize(each.groupBy("phrase", "w").agg(F.min("a").alias("o")), "repeats-windows")
-    back = each.join(least, ["phrase", "w"]).groupBy("phrase", "digest").agg(
+    least = each.groupBy("phrase", "w").agg(F.min("a").alias("o"))
+    crowded = each.join(least, ["phrase", "w"]).groupBy("phrase", "digest").agg(
         F.collect_list(F.struct("i", "o")).alias("owned"))
-    back = back.select("phrase", "digest", F.transform(F.array_sort("owned"), lambda x: x["o"]).alias("owners"))
+    crowded = crowded.select("phrase", "digest", F.transform(F.array_sort("owned"), lambda x: x["o"]).alias("owners"))
+    back = back.unionByName(crowded)
     out = materialize(one.drop("windows").join(back, ["phrase", "digest"], "left"), "repeats-owners")
     release(one)
-    release(least)
     return out
 
 
 def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *, window: int = 50,
-                     phrase: int = 16, shard_words: int = 1 << 19, filter_bits: int = 24) -> DataFrame:
+                     phrase: int = 16, shard_words: int = 1 << 19, filter_bits: int = 24, crowd: int = 2048) -> DataFrame:
     """``(doc_id, text_hash, start, size, gone)`` per run with a window to
     remove: the offsets of those windows from word ``start``, or null for all
     ``size`` windows."""
@@ -286,7 +311,7 @@ def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *,
     known = spark.sparkContext.broadcast(bit_filter(recurring, "phrase", filter_bits))
     mixed = spark.sparkContext.broadcast(bit_filter(recurring.where("mixed"), "phrase", filter_bits))
     runs = materialize(cols.mapInArrow(_located(plan, known, mixed, shard_words), _RUN_ROWS), "repeats-located")
-    owners = _owners(runs)
+    owners = _owners(runs, crowd)
     j = runs.drop("windows").join(owners, ["phrase", "digest"])
     gone = F.filter(F.sequence(F.lit(0), F.col("size") - 1),
                     lambda i: F.element_at("owners", i + 1) < F.col("doc_id"))
@@ -295,23 +320,56 @@ def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *,
             .drop("a"))
 
 
+def _held(batch: pa.RecordBatch, hit, h: str) -> np.ndarray:
+    return hit.value.may_hold(batch.column(h).to_numpy(zero_copy_only=False).view(np.uint64))
+
+
+def _rows_in(hit, h: str):
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            yield batch.filter(pa.array(_held(batch, hit, h)))
+
+    return run
+
+
+def _untouched(hit, text: str, h: str, drop: list[str], names: list[str]):
+    """The rows outside the filter, with all their words."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            batch = batch.filter(pa.array(~_held(batch, hit, h)))
+            words = [(t.as_py() or "").encode("utf-8", "surrogatepass").split() for t in batch.column(text)]
+            kept = [b" ".join(w).decode("utf-8", "surrogatepass") for w in words]
+            cols = [(x, batch.column(i)) for i, x in enumerate(batch.schema.names) if x not in drop]
+            new = [pa.array(kept, pa.string()), pa.array([len(w) for w in words], pa.int64()),
+                   pa.array([0] * len(words), pa.int64())]
+            yield pa.RecordBatch.from_arrays([c for _, c in cols] + new, names=[x for x, _ in cols] + names)
+
+    return run
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, window: int = 50,
-                   **opts) -> DataFrame:
+                   filter_bits: int = 24, **opts) -> DataFrame:
     """``docs`` with ``kept_text`` (the kept words, one blank between),
     ``n_words`` and ``n_removed`` for every row."""
+    spark = docs.sparkSession
     names = ["kept_text", "n_words", "n_removed"]
     h, i, found = (fresh(docs, x) for x in ("_hash", "_id", "_runs"))
     keyed = docs.withColumn(h, F.xxhash64(text))
-    got = repeated_windows(keyed, doc_id, text, h, window=window, **opts)
+    got = repeated_windows(keyed, doc_id, text, h, window=window, filter_bits=filter_bits, **opts)
     got = got.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "size", "gone")).alias(found))
     got = materialize(got.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), found), "repeats-removed")
-    j = keyed.join(got, (keyed[doc_id].cast("bigint") == got[i]) & (keyed[h] == got[h]), "left")
-    j = j.select(*[keyed[c] for c in docs.columns], found)
+    # Documents that lose nothing are written where they are read; only those
+    # that may lose words (a filter of fixed size, exact after the join) move.
+    hit = spark.sparkContext.broadcast(bit_filter(got.select(h), h, filter_bits))
+    moved = keyed.mapInArrow(_rows_in(hit, h), keyed.schema)
+    j = moved.join(got, (moved[doc_id].cast("bigint") == got[i]) & (moved[h] == got[h]), "left")
+    j = j.select(*[moved[c] for c in docs.columns], found)
     drop = [found] + [c for c in docs.columns if c.lower() in names]
     schema = T.StructType([f for f in docs.schema if f.name not in drop]
                           + [T.StructField(names[0], T.StringType())]
                           + [T.StructField(n, T.LongType()) for n in names[1:]])
-    return j.mapInArrow(_cover(text, found, drop, window, names), schema)
+    rest = keyed.mapInArrow(_untouched(hit, text, h, [h, *drop], names), schema)
+    return rest.unionByName(j.mapInArrow(_cover(text, found, drop, window, names), schema))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
