@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op3_bpe_round_trip
 from .chat import op2_chat_format
+from .katz import op5_katz_scoring
 from .merkle import op6_document_fingerprints
 from .mixing import op7_mix_sources
 from .quality import op9_quality_rules
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_chat_format": op2_chat_format,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op5_katz_scoring": op5_katz_scoring,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_mix_sources": op7_mix_sources,
     "op8_substring_dedup": op8_substring_dedup,

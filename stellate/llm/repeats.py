@@ -285,13 +285,15 @@ def _owners(runs: DataFrame, crowd: int) -> DataFrame:
     back = few.mapInArrow(_first_owners, "phrase bigint, digest bigint, owners array<bigint>")
     each = mixed.join(many, "phrase", "left_semi").select(
         "phrase", "digest", "a", F.posexplode("windows").alias("i", "w"))
-    least = each.groupBy("phrase", "w").agg(F.min("a").alias("o"))
+    # Written, so that a window that very many runs share is split in the join.
+    least = materialize(each.groupBy("phrase", "w").agg(F.min("a").alias("o")), "repeats-windows")
     crowded = each.join(least, ["phrase", "w"]).groupBy("phrase", "digest").agg(
         F.collect_list(F.struct("i", "o")).alias("owned"))
     crowded = crowded.select("phrase", "digest", F.transform(F.array_sort("owned"), lambda x: x["o"]).alias("owners"))
     back = back.unionByName(crowded)
     out = materialize(one.drop("windows").join(back, ["phrase", "digest"], "left"), "repeats-owners")
     release(one)
+    release(least)
     return out
 
 
