@@ -38,6 +38,7 @@ from the unknown word alone; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -57,6 +58,7 @@ K = 5  # counts up to K are discounted
 START = xxhash.xxh3_64_intdigest(b"\n<s>")
 END = xxhash.xxh3_64_intdigest(b"\n</s>")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_OTHER = np.uint64(1 << 63)
 
 
 # ------------------------------------------------------------------- discounts
@@ -85,7 +87,8 @@ class Unigrams:
     distinct: int
     counts: list[int]  # counts of counts, 0..K+1
     hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # sorted
-    freq: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
+    number: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # of each hash, by falling count
+    freq: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # of each number
 
     def __post_init__(self):
         self.discount = discounts(self.counts)
@@ -94,12 +97,14 @@ class Unigrams:
         self.scale = self.total if left > 1e-9 else self.total + 1
         self.unknown = (self.scale - kept) / self.scale if self.scale else 1.0
 
-    def place(self, words: np.ndarray) -> np.ndarray:
-        """Index among the frequent words, or -1."""
+    def keys(self, words: np.ndarray) -> np.ndarray:
+        """A word's key: its number if it is frequent, else its hash with the
+        top bit set."""
+        other = words | _OTHER
         if not len(self.hashes):
-            return np.full(len(words), -1, np.int64)
+            return other
         i = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[i] == words, i, -1)
+        return np.where(self.hashes[i] == words, self.number[i].astype(np.uint64), other)
 
     def probability(self, count: np.ndarray) -> np.ndarray:
         d = self.discount[np.minimum(count, K)]
@@ -110,6 +115,18 @@ class Unigrams:
 
 
 # ---------------------------------------------------------------------- tokens
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _words(text) -> list[bytes]:
+    return (text.as_py() or "").encode("utf-8", "surrogatepass").lower().split()  # lower(): A-Z only
+
+
 @dataclass
 class _Tokens:
     """Tokens of some documents, in order: contexts and words as indexes into
@@ -126,57 +143,71 @@ class _Tokens:
 
 def _documents(batches: Batches, most: int) -> Iterator[_Tokens]:
     """Rows ``(doc_id, key, train, text)`` in groups of about ``most`` tokens."""
-    number: dict[bytes, int] = {}
-    ids, keys, train, lists, held = [], [], [], [], 0
+    marks = {b"\n<s>": 0, b"\n</s>": 1}
+    number, flat, sizes, rows = _Numbers(marks), [], [], []
 
     def group() -> _Tokens:
         vocab = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
-        vocab = np.concatenate((np.array([START, END], np.uint64), vocab))
-        sizes = np.array([len(x) + 1 for x in lists])
-        word = np.fromiter((w for x in lists for w in (*x, -1)), np.int64, int(sizes.sum())) + 2
+        word, size = np.array(flat, np.int64), np.array(sizes)
         context = np.empty_like(word)
         context[1:] = word[:-1]
-        context[np.cumsum(sizes) - sizes] = 0
-        return _Tokens(vocab, context, word, np.repeat(np.arange(len(lists)), sizes), ids,
+        context[np.cumsum(size) - size] = 0
+        ids, keys, train = zip(*rows)
+        return _Tokens(vocab, context, word, np.repeat(np.arange(len(rows)), size), list(ids),
                        np.array(keys, np.int64), np.array(train, bool))
 
     for batch in batches:
-        for i, k, t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                              batch.column(2).to_pylist(), batch.column(3)):
-            words = (x.as_py() or "").encode("utf-8", "surrogatepass").lower().split()  # lower(): A-Z only
-            lists.append([number.setdefault(w, len(number)) for w in words])
-            ids.append(i)
-            keys.append(k)
-            train.append(t)
-            held += len(words) + 1
-            if held >= most:
+        for *row, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                           batch.column(2).to_pylist(), batch.column(3)):
+            words = _words(x)
+            flat.extend(map(number.__getitem__, words))
+            flat.append(1)
+            sizes.append(len(words) + 1)
+            rows.append(row)
+            if len(flat) >= most:
                 yield group()
-                number, ids, keys, train, lists, held = {}, [], [], [], [], 0
-    if lists:
+                number, flat, sizes, rows = _Numbers(marks), [], [], []
+    if rows:
         yield group()
 
 
 def _word_counts(most: int):
     def run(batches: Batches) -> Batches:
-        for t in _documents(batches, most):
-            n = np.bincount(t.word[t.train[t.doc]], minlength=len(t.vocab))
-            some = n > 0
-            yield pa.RecordBatch.from_arrays([pa.array(t.vocab[some].view(np.int64)), pa.array(n[some])],
-                                             ["word", "n"])
+        counts: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            words = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), np.uint64, len(counts))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words.view(np.int64)), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+        for batch in batches:
+            for train, x in zip(batch.column(2).to_pylist(), batch.column(3)):
+                if train:
+                    counts.update(_words(x))
+                    counts[b"\n</s>"] += 1
+                    if len(counts) >= most:
+                        yield out()
+                        counts.clear()
+        yield out()
 
     return run
 
 
 # ----------------------------------------------------------------- packed pairs
-#: Arrays of a packed block: per token context, word, count of the word and
-#: number of its document in the block; per document id, valid, key, train.
+#: Arrays of a packed block: per token the context's and the word's key, the
+#: word's count (0 if its number tells it) and the number of its document in
+#: the block; per document id, valid, key, train.
 _FIELDS = [np.uint64, np.uint64, np.uint32, np.uint32, np.int64, np.uint8, np.int64, np.uint8]
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
+    """Arrays byte by byte (all first bytes, then all second ones, ...), which
+    compresses small numbers and runs well."""
     head = np.array([len(a) for a in arrays], np.int64)
-    return zstandard.ZstdCompressor(level=1).compress(
-        b"".join([head.tobytes()] + [np.ascontiguousarray(a, t).tobytes() for a, t in zip(arrays, _FIELDS)]))
+    parts = [head.tobytes()]
+    for a, t in zip(arrays, _FIELDS):
+        parts.append(np.ascontiguousarray(a, t).view(np.uint8).reshape(len(a), -1).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -184,8 +215,10 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     sizes = np.frombuffer(raw, np.int64, len(_FIELDS))
     out, at = [], 8 * len(_FIELDS)
     for n, t in zip(sizes.tolist(), _FIELDS):
-        out.append(np.frombuffer(raw, t, n, at))
-        at += n * np.dtype(t).itemsize
+        width = np.dtype(t).itemsize
+        cells = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(cells.T).view(t).reshape(n))
+        at += n * width
     return out
 
 
@@ -199,20 +232,23 @@ def _shard_of(context: np.ndarray, word: np.ndarray, hot: np.ndarray, parts: int
 
 
 def _blocks(context, word, count, doc, ids, keys, train, hot, shards: list[int]) -> pa.RecordBatch:
-    """One packed block per partition that has tokens."""
+    """One packed block per partition that has tokens.  Tokens come sorted by
+    (context, word)."""
     to = _shard_of(context, word, hot, len(shards))
-    order = np.lexsort((doc, word, context, to))
-    context, word, count, doc, to = (x[order] for x in (context, word, count, doc, to))
-    cut = np.searchsorted(to, np.arange(len(shards) + 1))
+    order = np.argsort(to.astype(np.uint16) if len(shards) < 1 << 16 else to, kind="stable")
+    context, word, count, doc = (x[order] for x in (context, word, count, doc))
+    cut = np.concatenate(([0], np.cumsum(np.bincount(to, minlength=len(shards)))))
     valid = np.array([i is not None for i in ids], np.uint8)
     number = np.array([0 if i is None else i for i in ids], np.int64)
+    at = np.zeros(len(ids), np.int64)
     rows = []
     for k in range(len(shards)):
         a, b = cut[k], cut[k + 1]
         if a < b:
-            own, at = np.unique(doc[a:b], return_inverse=True)
-            rows.append((shards[k], _pack([context[a:b], word[a:b], count[a:b], at, number[own], valid[own],
-                                           keys[own], train[own]])))
+            own = np.flatnonzero(np.bincount(doc[a:b], minlength=len(ids)))
+            at[own] = np.arange(len(own))
+            rows.append((shards[k], _pack([context[a:b], word[a:b], count[a:b], at[doc[a:b]], number[own],
+                                           valid[own], keys[own], train[own]])))
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                        pa.array([r[1] for r in rows], pa.binary())], ["shard", "data"])
 
@@ -224,37 +260,51 @@ _RARE = "word bigint, context bigint, doc_id bigint, key bigint, train boolean"
 def _frequent_pairs(uni, hot: np.ndarray, shards: list[int], most: int):
     def run(batches: Batches) -> Batches:
         for t in _documents(batches, most):
-            place = uni.value.place(t.vocab)
-            known = place[t.word] >= 0
-            word = t.word[known]
-            yield _blocks(t.vocab[t.context[known]], t.vocab[word], uni.value.freq[place[word]], t.doc[known],
+            keys = uni.value.keys(t.vocab)
+            at = np.flatnonzero((keys < _OTHER)[t.word])
+            at = at[np.argsort(t.context[at] * len(t.vocab) + t.word[at])]
+            yield _blocks(keys[t.context[at]], keys[t.word[at]], np.zeros(len(at), np.uint32), t.doc[at],
                           t.ids, t.keys, t.train, hot, shards)
 
     return run
 
 
 def _other_tokens(uni, most: int):
+    """Rows of the tokens whose word is not frequent."""
     def run(batches: Batches) -> Batches:
         for t in _documents(batches, most):
-            at = np.flatnonzero((uni.value.place(t.vocab) < 0)[t.word])
+            keys = uni.value.keys(t.vocab)
+            at = np.flatnonzero((keys >= _OTHER)[t.word])
             doc = t.doc[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(t.vocab[t.word[at]].view(np.int64)), pa.array(t.vocab[t.context[at]].view(np.int64)),
+                [pa.array(t.vocab[t.word[at]].view(np.int64)), pa.array(keys[t.context[at]].view(np.int64)),
                  pa.array([t.ids[i] for i in doc.tolist()], pa.int64()), pa.array(t.keys[doc]),
                  pa.array(t.train[doc])], [c.split()[0] for c in _RARE.split(", ")])
 
     return run
 
 
-def _pack_rows(hot: np.ndarray, shards: list[int]):
+def _pack_rows(hot: np.ndarray, shards: list[int], most: int):
     """Rows of the other words, with their counts, as packed blocks."""
     def run(batches: Batches) -> Batches:
+        held: list[pa.RecordBatch] = []
+
+        def out() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            word, context, key, count = (rows.column(c).to_numpy() for c in ("word", "context", "key", "n"))
+            word, context = word.view(np.uint64) | _OTHER, context.view(np.uint64)
+            order = np.lexsort((word, context))
+            return _blocks(context[order], word[order], count.astype(np.uint32)[order], order,
+                           rows.column("doc_id").to_pylist(), key, rows.column("train").to_numpy(), hot, shards)
+
         for batch in batches:
             if batch.num_rows:
-                word, context, key, count = (batch.column(c).to_numpy() for c in ("word", "context", "key", "n"))
-                yield _blocks(context.view(np.uint64), word.view(np.uint64), count.astype(np.uint32),
-                              np.arange(len(word)), batch.column("doc_id").to_pylist(), key,
-                              batch.column("train").to_numpy(zero_copy_only=False), hot, shards)
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= most:
+                    yield out()
+                    held.clear()
+        if held:
+            yield out()
 
     return run
 
@@ -264,20 +314,29 @@ class _Pairs:
 
     def __init__(self, parts: list[list[np.ndarray]]):
         docs = np.cumsum([0] + [len(p[4]) for p in parts])
-        cols = [np.concatenate([p[i] for p in parts]) for i in range(3)]
-        doc = np.concatenate([p[3].astype(np.int64) + n for p, n in zip(parts, docs)])
-        order = np.lexsort((cols[1], cols[0]))
-        self.context, self.word, self.count = (c[order] for c in cols)
-        self.doc = doc[order]
+        context, word, count = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        doc = np.concatenate([p[3] + np.uint32(n) for p, n in zip(parts, docs)])
         self.id, self.valid, self.key, self.train = (np.concatenate([p[i] for p in parts]) for i in range(4, 8))
-        n = len(self.context)
-        new_context = np.concatenate(([True], self.context[1:] != self.context[:-1]))[:n]
-        new_pair = new_context | np.concatenate(([True], self.word[1:] != self.word[:-1]))[:n]
+        if len(parts) > 1:
+            parts.clear()
+            order = np.lexsort((word, context))
+            context, word, count, doc = context[order], word[order], count[order], doc[order]
+        self.context, self.word, self.count, self.doc = context, word, count, doc
+        n = len(context)
+        new_context = np.concatenate(([True], context[1:] != context[:-1]))[:n]
+        new_pair = new_context | np.concatenate(([True], word[1:] != word[:-1]))[:n]
         self.first = np.flatnonzero(new_pair)  # of each pair
-        self.pair = np.cumsum(new_pair) - 1  # of each token
-        self.seen = np.bincount(self.pair, weights=self.train[self.doc], minlength=len(self.first)).astype(np.int64)
-        self.of = (np.cumsum(new_context) - 1)[self.first]  # context of each pair
-        self.contexts = self.context[new_context]
+        self.pair = np.cumsum(new_pair, dtype=np.int32) - 1  # of each token
+        self.seen = np.bincount(self.pair, weights=self.train[doc], minlength=len(self.first)).astype(np.int64)
+        self.of = (np.cumsum(new_context, dtype=np.int32) - 1)[self.first]  # context of each pair
+        self.contexts = context[new_context]
+
+    def counts(self, uni: Unigrams) -> np.ndarray:
+        """How often the word of each pair occurs in training."""
+        word, count = self.word[self.first], self.count[self.first].astype(np.int64)
+        known = word < _OTHER
+        count[known] = uni.freq[word[known].astype(np.int64)]
+        return count
 
     def pack(self) -> bytes:
         return _pack([self.context, self.word, self.count, self.doc, self.id, self.valid, self.key, self.train])
@@ -286,7 +345,7 @@ class _Pairs:
         """Per context: training tokens, discounted tokens, unigram mass of
         the seen words; per pair: discounted count."""
         kept = np.where(self.seen <= K, discount[np.minimum(self.seen, K)], 1.0) * self.seen
-        p = uni.probability(self.count[self.first].astype(np.int64))
+        p = uni.probability(self.counts(uni))
         m = len(self.contexts)
         return (np.bincount(self.of, weights=self.seen, minlength=m), np.bincount(self.of, weights=kept, minlength=m),
                 np.bincount(self.of, weights=np.where(self.seen > 0, p, 0.0), minlength=m), kept, p)
@@ -346,8 +405,8 @@ def _scores(uni, discount: np.ndarray, hot: dict[int, tuple[float, float, float]
                 alpha = np.where(total > 0, alpha, 0.0)
                 log = np.where(pairs.seen > 0, np.log10(np.maximum(pair_kept, 1e-300) / below[pairs.of]),
                                alpha[pairs.of] + np.log10(p))
-                count = pairs.count[pairs.first].astype(np.int64)
-                end = pairs.word[pairs.first] == np.uint64(END)
+                count = pairs.counts(u)
+                end = pairs.word[pairs.first] == u.keys(np.array([END], np.uint64))[0]
                 m = len(pairs.id)
 
                 def by_doc(per_pair: np.ndarray) -> np.ndarray:
@@ -385,12 +444,16 @@ def _unigrams(words: DataFrame, frequent: int) -> Unigrams:
         top = words.where(F.col("n") >= least).toArrow()
         h = top.column("word").to_numpy().view(np.uint64)
         order = np.argsort(h)
-        out.hashes, out.freq = h[order], top.column("n").to_numpy()[order].astype(np.uint32)
+        n = top.column("n").to_numpy()[order].astype(np.uint32)
+        by_count = np.argsort(-n.astype(np.int64), kind="stable")
+        number = np.empty(len(n), np.uint32)
+        number[by_count] = np.arange(len(n), dtype=np.uint32)
+        out.hashes, out.number, out.freq = h[order], number, n[by_count]
     return out
 
 
 def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", *,
-                frequent: int = 1 << 19, group_tokens: int = 1 << 18) -> DataFrame:
+                frequent: int = 1 << 20, group_tokens: int = 1 << 19) -> DataFrame:
     """Learns from the rows where ``train`` holds and scores every row:
     ``(doc_id, train, n_tokens, n_known, train_tokens, base_score, score)``."""
     spark = docs.sparkSession
@@ -404,15 +467,15 @@ def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     shards = even_keys(spark, parts)
     # As contexts: a word stands before something as often as it occurs; the
     # start mark as often as there are documents, that is as the end.
-    heavy = u.freq > 4 * u.total / len(shards)
-    hot = u.hashes[heavy]
-    if END in hot.tolist():
-        hot = np.append(hot, np.uint64(START))
+    hot = np.flatnonzero(u.freq > 4 * u.total / len(shards)).astype(np.uint64)
+    marks = u.keys(np.array([START, END], np.uint64))
+    if marks[1] in hot:
+        hot = np.append(hot, marks[0])
 
     other = rows.mapInArrow(_other_tokens(uni, group_tokens), _RARE).join(words, "word", "left")
     other = other.withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
     packed = rows.mapInArrow(_frequent_pairs(uni, hot, shards, group_tokens), _PACKED).unionByName(
-        other.mapInArrow(_pack_rows(hot, shards), _PACKED))
+        other.mapInArrow(_pack_rows(hot, shards, group_tokens), _PACKED))
     packed = packed.repartition(parts, "shard").sortWithinPartitions("shard")
     pairs = materialize(packed.mapInArrow(_sorted_pairs, "shard int, counts array<bigint>, data binary"), "katz-pairs")
     got = pairs.select(F.posexplode("counts").alias("r", "m")).groupBy("r").agg(F.sum("m").alias("m")).collect()
@@ -425,7 +488,9 @@ def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
         each = pairs.mapInArrow(_hot_sums(uni, discount, hot), "context bigint, total double, kept double, mass double")
         for r in each.groupBy("context").agg(*[F.sum(c).alias(c) for c in ("total", "kept", "mass")]).collect():
             sums[r["context"] % (1 << 64)] = (r["total"], r["kept"], r["mass"])
-    done = pairs.mapInArrow(_scores(uni, discount, sums), _PART)
+    # A task takes some partitions, so that a document's sums are added up
+    # before they are shuffled.
+    done = pairs.coalesce(max(1, len(shards) // 4)).mapInArrow(_scores(uni, discount, sums), _PART)
     done = done.groupBy("doc_id", "key", "train").agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "rows", "base", "score")])
     # Rows that agree in id and text were added up: each gets its share.
