@@ -338,6 +338,28 @@ class _Pairs:
         count[known] = uni.freq[word[known].astype(np.int64)]
         return count
 
+    def pieces(self, most: int) -> Iterator[tuple[list[int], bytes]]:
+        """Counts of counts and packed arrays of parts of about ``most``
+        tokens; a context is never cut."""
+        starts = np.flatnonzero(np.concatenate(([True], self.context[1:] != self.context[:-1])))
+        cuts = starts[np.unique(np.searchsorted(starts, np.arange(0, len(self.context), most)).clip(
+            max=len(starts) - 1))]
+        at = np.zeros(len(self.id), np.uint32)
+        for a, b in zip(cuts, np.append(cuts[1:], len(self.context))):
+            own = np.flatnonzero(np.bincount(self.doc[a:b], minlength=len(self.id)))
+            at[own] = np.arange(len(own))
+            seen = self.seen[self.pair[a]:self.pair[b - 1] + 1]
+            n = np.bincount(np.minimum(seen, K + 2), minlength=K + 3)[:K + 2]
+            yield n.tolist(), _pack([self.context[a:b], self.word[a:b], self.count[a:b], at[self.doc[a:b]],
+                                     self.id[own], self.valid[own], self.key[own], self.train[own]])
+
+    def counts(self, uni: Unigrams) -> np.ndarray:
+        """How often the word of each pair occurs in training."""
+        word, count = self.word[self.first], self.count[self.first].astype(np.int64)
+        known = word < _OTHER
+        count[known] = uni.freq[word[known].astype(np.int64)]
+        return count
+
     def pack(self) -> bytes:
         return _pack([self.context, self.word, self.count, self.doc, self.id, self.valid, self.key, self.train])
 
@@ -352,24 +374,24 @@ class _Pairs:
 
 
 def _sorted_pairs(batches: Batches) -> Batches:
-    """Streams blocks sorted by partition; one row per partition."""
+    """Streams blocks sorted by partition; writes each partition as rows of
+    bounded size."""
     shard, parts = None, []
 
-    def row(s, parts) -> pa.RecordBatch:
-        pairs = _Pairs(parts)
-        n = np.bincount(np.minimum(pairs.seen, K + 2), minlength=K + 3)[:K + 2]
-        return pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([n.tolist()], pa.list_(pa.int64())),
-                                           pa.array([pairs.pack()], pa.binary())], ["shard", "counts", "data"])
+    def rows() -> Batches:
+        for counts, data in _Pairs(parts).pieces(1 << 19):
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([counts], pa.list_(pa.int64())),
+                                              pa.array([data], pa.binary())], ["shard", "counts", "data"])
 
     for batch in batches:
         for s, data in zip(batch.column(0).to_pylist(), batch.column(1)):
             if s != shard and parts:
-                yield row(shard, parts)
+                yield from rows()
                 parts = []
             shard = s
             parts.append(_unpack(data.as_py()))
     if parts:
-        yield row(shard, parts)
+        yield from rows()
 
 
 def _hot_sums(uni, discount: np.ndarray, hot: np.ndarray):
