@@ -1,24 +1,43 @@
-"""The registered queries of the training-data operators."""
+"""The registered queries of the training-data operators.
+
+Only the licence scan has an oracle in SQL: XXH64 fingerprints, tokenizers,
+automata, Newton steps, sketches and backoff weights are beyond it.  The tests
+compare each of those to a brute-force version, an exact round trip or the
+library that it must equal.
+"""
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .bpe import op3_bpe_round_trip
 from .chat import op2_chat_format
 from .katz import op5_katz_scoring
+from .licenses import ORACLE as LICENSE_SQL
+from .licenses import op4_license_scan
 from .merkle import op6_document_fingerprints
 from .mixing import op7_mix_sources
+from .pii import op10_pii_spans
 from .quality import op9_quality_rules
 from .repeats import op8_substring_dedup
 from .simhash import op1_simhash_near_dedup
 
+
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_chat_format": op2_chat_format,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_license_scan": op4_license_scan,
     "op5_katz_scoring": op5_katz_scoring,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_mix_sources": op7_mix_sources,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_pii_spans": op10_pii_spans,
+    "pipeline": pipeline,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_license_scan": LICENSE_SQL}
