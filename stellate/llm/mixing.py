@@ -96,12 +96,12 @@ def solve_rates(classes: DataFrame, targets: DataFrame, cap: int = 3, tolerance:
     only the largest error comes to the driver.
     """
     m = F.col("size") * F.col("n")
-    scale = (classes.groupBy("sk").agg((F.sum(m * F.col("size")) / F.sum(m)).alias("scale"))
+    scale = (classes.groupBy("sk").agg(F.try_divide(F.sum(m * F.col("size")), F.sum(m)).alias("scale"))
              .join(targets, "sk"))
     full = F.col("target") >= cap * F.col("source_size") * (1 - 1e-12)
     state = materialize(scale.select(
         "sk", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"),
-        F.when(~full, F.log(F.col("target") / F.col("source_size"))).alias("lam"),
+        F.when(~full, F.log(F.try_divide(F.col("target"), F.col("source_size")))).alias("lam"),
         F.lit(-1e9).alias("lo"), F.lit(1e9).alias("hi"), F.lit(1.0).alias("err")), "mix-state")
     for _ in range(max_iterations):
         x = F.col("size") / F.col("scale")
@@ -113,15 +113,15 @@ def solve_rates(classes: DataFrame, targets: DataFrame, cap: int = 3, tolerance:
         s = state.join(got, "sk", "left")
         lo = F.when(F.col("words") < F.col("target"), F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(F.col("words") < F.col("target"), F.col("hi")).otherwise(F.col("lam"))
-        step = F.log(F.col("target") / F.col("words")) * F.col("words") / F.col("slope")
+        step = F.try_divide(F.log(F.try_divide(F.col("target"), F.col("words"))) * F.col("words"), F.col("slope"))
         newton = F.col("lam") + step
         half = (F.when(F.col("hi") >= 1e9, F.greatest(F.lit(1.0), 2 * F.abs("lam")))
                 .when(F.col("lo") <= -1e9, -F.greatest(F.lit(1.0), 2 * F.abs("lam")))
                 .otherwise((F.col("lo") + F.col("hi")) / 2))
         s = s.select("sk", "target", "scale", "lam", lo.alias("lo"), hi.alias("hi"), newton.alias("nw"),
-                     F.coalesce(F.abs(F.col("words") - F.col("target")) / F.col("target"),
+                     F.coalesce(F.try_divide(F.abs(F.col("words") - F.col("target")), F.col("target")),
                                 F.lit(0.0)).alias("err"))
-        inside = (F.col("slope_ok")) & (F.col("nw") > F.col("lo")) & (F.col("nw") < F.col("hi"))
+        inside = F.col("slope_ok") & (F.col("nw") > F.col("lo")) & (F.col("nw") < F.col("hi"))
         s = s.withColumn("slope_ok", F.col("nw").isNotNull() & ~F.isnan("nw"))
         nxt = F.when(F.col("err") <= tolerance, F.col("lam")).when(inside, F.col("nw")).otherwise(half)
         new = materialize(s.select("sk", "target", "scale",

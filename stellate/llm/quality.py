@@ -29,6 +29,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
@@ -64,7 +65,7 @@ def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
             len(lines))
 
 
-_RESULT = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">"
+_RESULT = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
 
 
 @arrow_udf(_RESULT)
