@@ -65,24 +65,3 @@ def code_of_number(n: Column | str, width: Column | int) -> Column:
     s = _col(n).cast("string")
     w = width if isinstance(width, Column) else F.lit(width)
     return F.when(F.length(s) <= w, F.lpad(s, w, "0"))
-
-
-def neighbor_moves(ds: Column | str) -> Column:
-    """All moves ``(x, y)``, ``x != y``, that add one at position ``x`` and
-    take one at position ``y`` and keep every digit in 0..9, in the order
-    x-major then y (positions are 0-based)."""
-    d = _col(ds)
-    idx = F.sequence(F.lit(0), F.greatest(F.size(d) - 1, F.lit(0)))
-    return F.when(F.size(d) > 1, F.flatten(F.transform(
-        idx,
-        lambda x: F.transform(
-            F.filter(idx, lambda y: (y != x) & (d[x] < 9) & (d[y] > 0)),
-            lambda y: F.struct(x.alias("x"), y.alias("y"))),
-    ))).otherwise(F.array().cast("array<struct<x:int,y:int>>"))
-
-
-def apply_move(ds: Column | str, x: Column, y: Column) -> Column:
-    """Digits after the move ``(x, y)``."""
-    return F.transform(
-        _col(ds),
-        lambda v, i: v + F.when(i == x, 1).otherwise(0) - F.when(i == y, 1).otherwise(0))

@@ -38,18 +38,26 @@ def classify_messages(lines: DataFrame, line: str = "line") -> DataFrame:
 def assign_rounds(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Round number of every line and removal of lines after a stop.
 
+    A line without ``line_no`` has no place in its log: it comes out as
+    ``invalid`` with a reason and no round.
+
     ``round`` counts the ``c1`` lines up to and including the line (0 before
     the first); lines after the first ``c4`` or test-exit marker of their log
     are dropped.  Input: ``(log_id, line_no, line)``; output adds the columns
     of :func:`classify_messages` and ``round``.
     """
-    c = classify_messages(lines)
+    every = classify_messages(lines)
+    c = every.where(F.col("line_no").isNotNull())
+    lost = (every.where(F.col("line_no").isNull())
+            .withColumn("kind", F.lit("invalid")).withColumn("reason", F.lit("no line number"))
+            .withColumn("control", F.lit(None).cast(every.schema["control"].dataType))
+            .withColumn("round", F.lit(None).cast("bigint")))
     x = (c.withColumn("_start", ((F.col("kind") == "control")
                                  & (F.col("control") == CONTROL_START)).cast("int"))
          .withColumn("_stop", ((F.col("kind") == "exit")
                                | ((F.col("kind") == "control")
                                   & (F.col("control") == CONTROL_SHUTDOWN))).cast("int"))
-         .withColumn("_chunk", F.floor(F.col("line_no") / F.lit(chunk_size))))
+         .withColumn("_chunk", F.expr(f"line_no div {int(chunk_size)}")))
     totals = x.groupBy("log_id", "_chunk").agg(F.sum("_start").alias("_st"),
                                               F.max("_stop").alias("_sp"))
     before = Window.partitionBy("log_id").orderBy("_chunk").rowsBetween(
@@ -64,7 +72,17 @@ def assign_rounds(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFram
          .withColumn("_stopped", F.greatest(F.col("_sp0"), F.coalesce(F.max("_stop").over(
              inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))))
     return (y.where(F.col("_stopped") == 0)
-            .drop("_start", "_stop", "_chunk", "_st0", "_sp0", "_stopped"))
+            .drop("_start", "_stop", "_chunk", "_st0", "_sp0", "_stopped")
+            .unionByName(lost))
+
+
+def asked_edges(rounds: DataFrame, edges: DataFrame) -> DataFrame:
+    """The edges that a ``c2`` of their own round and log asks for: those
+    before its last ``c2``.  Each edge comes out once."""
+    asks = (rounds.where((F.col("kind") == "control") & (F.col("control") == CONTROL_FINISHED))
+            .groupBy("log_id", "round").agg(F.max("line_no").alias("_ask")))
+    return (join_on(edges, asks, ["log_id", "round"], null_safe=("log_id",))
+            .where(F.col("line_no") < F.col("_ask")).drop("_ask"))
 
 
 def _where_cols(df: DataFrame):
@@ -132,7 +150,7 @@ def format_messages(edges: DataFrame, group: list[str], order: str,
     base = edges.select(*group, F.col(order).alias("_o"), F.col(src).cast("bigint").alias("_s"),
                         F.col(dst).cast("bigint").alias("_d"))
     numbered = assign_dense_ids(base, ["_o", "_s", "_d"], "_k", partition_by=group)
-    keyed = numbered.select(*group, F.floor(F.col("_k") / F.lit(max_edges_per_line)).alias("chunk"),
+    keyed = numbered.select(*group, F.expr(f"_k div {int(max_edges_per_line)}").alias("chunk"),
                             F.struct("_k", "_s", "_d").alias("_e"))
     agg = keyed.groupBy(*group, "chunk").agg(F.sort_array(F.collect_list("_e")).alias("_es"))
     line = F.array_join(F.transform("_es", lambda e: F.concat_ws(" ", e["_s"].cast("string"),

@@ -8,7 +8,9 @@ no per-row Python.  A code of length L has at most L*(L-1) neighbours.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import shard_of
@@ -54,7 +56,8 @@ def neighbors(codes: DataFrame, uid: str = "uid", keep: tuple[str, ...] = ()) ->
 
 
 def stored_neighbors(codes: DataFrame, table: DataFrame, uid: str = "uid",
-                     within_shard: bool = False) -> DataFrame:
+                     within_shard: bool = False,
+                     shard_fn: Callable[[Column], Column] = shard_of) -> DataFrame:
     """Neighbours of ``codes`` that are stored in ``table``.
 
     Returns ``(uid, nbr, nbr_cmp, nbr_shard)``.  By default all shards are
@@ -65,7 +68,7 @@ def stored_neighbors(codes: DataFrame, table: DataFrame, uid: str = "uid",
     """
     nb = neighbors(codes, uid)
     if within_shard:
-        nb = nb.where(shard_of("nbr") == shard_of("uid"))
+        nb = nb.where(shard_fn(F.col("nbr")).eqNullSafe(shard_fn(F.col("uid"))))
     t = table.select(F.col("uid").alias("nbr"), F.col("cmp").alias("nbr_cmp"),
                      F.col("shard").alias("nbr_shard"))
     return nb.join(t, "nbr").select("uid", "nbr", "nbr_cmp", "nbr_shard")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import shard_of
-from ..session import materialize
+from ..session import join_on, materialize
 
 ShardFn = Callable[[Column], Column]
 
@@ -30,10 +30,11 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str = "cmp",
     partition, so a very large group spreads over several range partitions
     instead of one task.  Each row takes its position inside its partition;
     the rows of each (partition, group) are counted and the running sum of
-    those counts over the partitions of a group is the offset.  Without
-    groups there is one count per partition, summed on the driver the way
-    ``zipWithIndex`` does it.  The ranged rows are written once, so the
-    positions and counts come from the same data.
+    those counts over the partitions of a group is the offset (a window
+    over one row per partition and group).  The ranged rows are written
+    once, so the positions and counts come from the same data; the range
+    partitioning reads its input twice (sampling, then the shuffle), so
+    write an expensive input first.
     """
     spark = df.sparkSession
     g = list(partition_by or [])
@@ -50,19 +51,11 @@ def assign_dense_ids(df: DataFrame, order_by: list[str], id_col: str = "cmp",
     staged = staged.drop("_tie")
     parts = staged.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_n"),
                                           F.min("_pos").alias("_first"))
-    if not g:
-        # One row per range partition (a bound set by ``n``).
-        counts = sorted((r["_pid"], r["_n"], r["_first"]) for r in parts.collect())
-        offsets, total = [], 0
-        for pid, cnt, first in counts:
-            offsets.append((pid, total, first))
-            total += cnt
-        off = F.broadcast(spark.createDataFrame(offsets, "_pid int, _off bigint, _first bigint"))
-    else:
-        before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        off = parts.select(*g, "_pid", "_first",
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (staged.join(off, [*g, "_pid"])
+    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = parts.select(*g, "_pid", "_first",
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # A NULL group is a group.
+    return (join_on(staged, off, [*g, "_pid"], null_safe=tuple(g))
             .select(*cols, (F.col("_off") + F.col("_pos") - F.col("_first")).alias(id_col)))
 
 
@@ -82,7 +75,7 @@ def lookup_uid(table: DataFrame, uid: str, shard_fn: ShardFn = shard_of) -> Data
     """Rows of one uid.  The shard predicate is added so that the scan of a
     table partitioned by ``shard`` reads one partition; ``uid = x`` is pushed
     to the Parquet reader."""
-    return table.where((F.col("shard") == shard_fn(F.lit(uid))) & (F.col("uid") == F.lit(uid)))
+    return table.where(F.col("shard").eqNullSafe(shard_fn(F.lit(uid))) & (F.col("uid") == F.lit(uid)))
 
 
 def lookup_uids(table: DataFrame, keys: DataFrame, key: str = "uid") -> DataFrame:

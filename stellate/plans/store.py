@@ -11,16 +11,22 @@ join.  :meth:`ComponentStore.compact` folds the history into a new base.
     <path>/history/v=<m>/                       old label -> current label
     <path>/_rounds/                             one row per round ("c3")
 
-A version counts only once Spark's job commit has written its ``_SUCCESS``
-marker, so a failed or half-written round is never read.  Applying a history
-to a base that already contains it changes nothing (current labels are never
-old labels), so a crash between the steps of a compaction is harmless.
-Rounds are idempotent for uid edges, and a replayed streaming batch is
-recognised by its ``batch_id``.
+A version is written to a folder of its own and renamed to its number when it
+is complete, so a failed or half-written round is never read and no writer
+touches another's unfinished work.  Applying a history to a base that already
+contains it changes nothing (current labels are never old labels), so a crash
+between the steps of a compaction is harmless.  Rounds are idempotent for uid
+edges, and a replayed streaming batch is recognised by its ``source`` and
+``batch_id``; loading items starts a new epoch of the round log.
+
+A round writes nothing of the base's size.  Folding the history into a new
+base is a call the user makes (:meth:`ComponentStore.compact`); reads join the
+history whatever its size (skewed labels are split).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -33,8 +39,8 @@ from ..operators.components import connected_components
 from ..operators.neighbors import neighbor_edges
 from ..operators.table import contract_edges, lookup_uid, populate, relabel
 from ..schemas import COMPONENT_TABLE
-from ..session import (broadcast_limit, delete_path, hadoop_fs, list_dirs, materialize,
-                       path_exists, release)
+from ..session import (delete_path, hadoop_fs, list_dirs, materialize, path_exists,
+                       release)
 from .rounds import advance_history, resolve_labels
 
 ROUND_LOG = T.StructType([
@@ -46,6 +52,8 @@ ROUND_LOG = T.StructType([
     T.StructField("n_vertices", T.LongType(), False),
     T.StructField("n_merged", T.LongType(), False),
     T.StructField("message", T.StringType(), False),
+    T.StructField("source", T.StringType(), True),
+    T.StructField("epoch", T.IntegerType(), True),
 ])
 
 HISTORY = T.StructType([
@@ -58,18 +66,12 @@ class UidNotUnique(ValueError):
     pass
 
 
-class ConcurrentUpdate(RuntimeError):
-    """Another writer committed the version this one was about to write."""
-
+class UidMissing(ValueError):
+    pass
 
-def default_edge_rule(table: DataFrame) -> DataFrame:
-    """Stored neighbour codes: ``(src, dst)`` uid pairs, each pair once
-    (only upward moves are generated; the other half is the same pairs)."""
-    from ..operators.neighbors import _moves
 
-    nb = _moves(table.select("uid"), "uid", (), upward_only=True)
-    stored = table.select(F.col("uid").alias("nbr"))
-    return nb.join(stored, "nbr").select(F.col("uid").alias("src"), F.col("nbr").alias("dst"))
+class ConcurrentUpdate(RuntimeError):
+    """Another writer committed the version this one was about to write."""
 
 
 @dataclass
@@ -93,13 +95,10 @@ class ComponentStore:
     def __init__(self, spark: SparkSession, path: str, n_shards: int = 10,
                  prefix: str = "connector",
                  shard_fn: Callable[[Column], Column] = shard_of,
-                 uid_width: int | None = None, auto_compact: bool = True):
+                 uid_width: int | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         self.n_shards, self.prefix, self.shard_fn = n_shards, prefix, shard_fn
         self.uid_width = uid_width
-        # Compact once the history no longer fits the broadcast threshold:
-        # past that point every read would shuffle the whole base.
-        self.auto_compact = auto_compact
 
     # -- versions -------------------------------------------------------
     def _vdir(self, part: str, v: int) -> str:
@@ -145,37 +144,35 @@ class ComponentStore:
 
     def read(self) -> DataFrame:
         """The current table: the base with its labels resolved through the
-        history.  Broadcast while the history is small; :meth:`compact` keeps
-        it so by folding it into a new base."""
+        history (:meth:`compact` folds the history into a new base)."""
         return self._resolve(self.base())
 
-    def _claim(self, part: str, v: int) -> str:
-        """Folder for version ``v``: a complete one means another writer got
-        there first (raise, do not overwrite); a half-written one is a failed
-        attempt and is cleared."""
-        path = self._vdir(part, v)
-        if path_exists(self.spark, f"{path}/_SUCCESS"):
-            raise ConcurrentUpdate(f"{path} was committed by another writer")
-        if path_exists(self.spark, path):
-            delete_path(self.spark, path)
-        return path
+    def _publish(self, df: DataFrame, part: str, v: int, partition_by: list[str]) -> int:
+        """Write ``df`` aside, then rename it to version ``v``; a version that
+        is there already was committed by another writer."""
+        final, aside = self._vdir(part, v), f"{self.path}/_tmp/{uuid.uuid4().hex}"
+        if path_exists(self.spark, final):
+            raise ConcurrentUpdate(f"{final} was committed by another writer")
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(aside)
+        src, fs = hadoop_fs(self.spark, aside)
+        dst, _ = hadoop_fs(self.spark, final)
+        fs.mkdirs(dst.getParent())
+        if fs.exists(dst) or not fs.rename(src, dst):
+            delete_path(self.spark, aside)
+            raise ConcurrentUpdate(f"{final} was committed by another writer")
+        return v
 
     def _write_base(self, df: DataFrame) -> int:
         cur = self.current_version()
-        v = 0 if cur is None else cur + 1
         # REBALANCE clusters rows by shard (few files per shard folder) and
         # lets AQE split a large shard over many writers; a plain
         # repartition by shard would write each shard from one task.
-        (df.select("uid", "cmp", "mapped", "shard")
-         .hint("rebalance", "shard")
-         .write.mode("errorifexists").partitionBy("shard").parquet(self._claim("base", v)))
-        return v
+        rows = df.select("uid", "cmp", "mapped", "shard").hint("rebalance", "shard")
+        return self._publish(rows, "base", 0 if cur is None else cur + 1, ["shard"])
 
     def _write_history(self, df: DataFrame) -> int:
         cur = self.history_version()
-        v = 0 if cur is None else cur + 1
-        df.select("old", "cur").write.mode("errorifexists").parquet(self._claim("history", v))
-        return v
+        return self._publish(df.select("old", "cur"), "history", 0 if cur is None else cur + 1, [])
 
     def compact(self) -> int:
         """Write the current table as a new base and start an empty history."""
@@ -193,7 +190,11 @@ class ComponentStore:
     def populate(self, uids: DataFrame, order_by: list[str] | None = None,
                  check_unique: bool = True) -> int:
         """Load items: each uid gets its running number (in ``order_by``
-        order) as component; ``uid`` must be unique."""
+        order) as component; ``uid`` must be unique and not null.  The
+        round log starts a new epoch, so batches of earlier loads are not
+        taken for replays."""
+        if uids.where(F.col("uid").isNull()).limit(1).collect():
+            raise UidMissing("an item has no uid")
         if check_unique:
             dup = uids.groupBy("uid").count().where(F.col("count") > 1).limit(1).collect()
             if dup:
@@ -208,17 +209,21 @@ class ComponentStore:
         else:
             table = populate(uids.select("uid"), self.shard_fn, order_by)
         v = self._write_base(table)
-        self._write_history(self.spark.createDataFrame([], HISTORY))
+        h = self._write_history(self.spark.createDataFrame([], HISTORY))
+        self._log_row(0, h, None, 0, 0, 0, 0, "load", epoch=self._epoch() + 1)
         return v
 
     def drop(self, shard: int | None = None) -> None:
-        """Drop the whole table, or one shard of the current version."""
+        """Drop the table (its own folders only), or one shard of the current
+        version.  It is an error if there is nothing to drop."""
+        v = self.current_version()
+        if v is None:
+            raise ValueError(f"no component table at {self.path}")
         if shard is None:
-            delete_path(self.spark, self.path)
+            for part in ("base", "history", "_rounds", "_quarantine", "_tmp"):
+                delete_path(self.spark, f"{self.path}/{part}")
             return
-        v = self.current_version()
-        if v is not None:
-            delete_path(self.spark, f"{self._vdir('base', v)}/shard={shard}")
+        delete_path(self.spark, f"{self._vdir('base', v)}/shard={shard}")
 
     def shard_names(self) -> list[str]:
         return [f"{self.prefix}_{i}" for i in range(self.n_shards)]
@@ -237,9 +242,7 @@ class ComponentStore:
         """Point lookup: the base row is found with partition pruning and a
         pushed filter, then only its own label is looked up in the history."""
         rows = lookup_uid(self.base(), uid, self.shard_fn)
-        # uid is unique, so ``rows`` holds at most one row: a bounded broadcast.
-        h = (self.history().join(F.broadcast(rows.select(F.col("cmp").alias("old"))), "old",
-                                 "left_semi")
+        h = (self.history().join(rows.select(F.col("cmp").alias("old")), "old", "left_semi")
              .select(F.col("old").alias("id"), F.col("cur").alias("cmp")))
         return relabel(rows, h)
 
@@ -254,41 +257,74 @@ class ComponentStore:
         from ..operators.neighbors import neighbors
 
         one = self.spark.createDataFrame([(uid,)], "uid string")
-        cands = [r["nbr"] for r in neighbors(one).collect()]
+        near = neighbors(one)
         if within_shard:
-            cands = [c for c in cands if c[:1] == uid[:1]]
+            near = near.where(self.shard_fn(F.col("nbr")).eqNullSafe(self.shard_fn(F.col("uid"))))
+        cands = [r["nbr"] for r in near.collect()]
         if not cands:
             return self._resolve(self.base().where(F.lit(False)))
-        shards = sorted({r[0] for r in self.spark.createDataFrame([(c,) for c in cands], "uid string")
+        shards = list({r[0] for r in self.spark.createDataFrame([(c,) for c in cands], "uid string")
                          .select(self.shard_fn(F.col("uid"))).collect()})
-        rows = self.base().where(F.col("shard").isin(shards) & F.col("uid").isin(cands))
-        h = (self.history().join(F.broadcast(rows.select(F.col("cmp").alias("old"))), "old",
-                                 "left_semi"))
+        in_shard = F.col("shard").isin([x for x in shards if x is not None])
+        if None in shards:
+            in_shard = in_shard | F.col("shard").isNull()
+        rows = self.base().where(in_shard & F.col("uid").isin(cands))
+        h = self.history().join(rows.select(F.col("cmp").alias("old")), "old", "left_semi")
         return resolve_labels(rows, h)
 
     def members(self, cmp: int) -> DataFrame:
         """The uids of component ``cmp``: base rows whose label is ``cmp`` or
-        one of the labels merged into it."""
-        olds = (self.history().where(F.col("cur") == cmp).select(F.col("old").alias("cmp"))
-                .unionByName(self.spark.range(1).select(F.lit(cmp).cast("bigint").alias("cmp"))))
+        one of the labels merged into it; none if ``cmp`` itself was merged
+        into another."""
+        h = self.history()
+        own = self.spark.range(1).select(F.lit(cmp).cast("bigint").alias("cmp"))
+        own = own.join(h.where(F.col("old") == cmp).select(F.col("old").alias("cmp")), "cmp", "left_anti")
+        olds = h.where(F.col("cur") == cmp).select(F.col("old").alias("cmp")).unionByName(own)
         return self.base().join(olds, "cmp", "left_semi").select("uid")
 
-    def rounds(self) -> DataFrame:
+    def _log(self) -> DataFrame:
         p = f"{self.path}/_rounds"
         if not path_exists(self.spark, p):
             return self.spark.createDataFrame([], ROUND_LOG)
-        return self.spark.read.schema(ROUND_LOG).parquet(p)
+        return (self.spark.read.schema(ROUND_LOG).parquet(p)
+                .withColumn("epoch", F.coalesce("epoch", F.lit(0))))
+
+    def _epoch(self) -> int:
+        return self._log().agg(F.max("epoch")).first()[0] or 0
+
+    def _log_row(self, rnd, version, batch_id, n_edges, n_unknown, n_vertices, n_merged, message,
+                 source: str | None = None, epoch: int | None = None) -> None:
+        row = [(rnd, version, batch_id, n_edges, n_unknown, n_vertices, n_merged, message, source,
+                self._epoch() if epoch is None else epoch)]
+        self.spark.createDataFrame(row, ROUND_LOG).coalesce(1).write.mode("append") \
+            .parquet(f"{self.path}/_rounds")
+
+    def rounds(self) -> DataFrame:
+        """The rounds since the items were last loaded."""
+        return self._log().where((F.col("epoch") == self._epoch()) & (F.col("message") != "load"))
+
+    def log_stop(self) -> None:
+        """Note that the round loop was told to stop (``c4``)."""
+        last = self.rounds().agg(F.max("round"), F.max("version")).first()
+        self._log_row(int(last[0] or 0) + 1, int(last[1] or 0), None, 0, 0, 0, 0, "c4")
 
     # -- rounds ---------------------------------------------------------
-    def _seen(self, batch_id: int | None) -> bool:
+    def _seen(self, source: str | None, batch_id: int | None) -> bool:
+        """Whether this very batch was merged: every source counts its own."""
         if batch_id is None:
             return False
-        return bool(self.rounds().where(F.col("batch_id") == batch_id).limit(1).collect())
+        same = (F.col("batch_id") == batch_id) & F.col("source").eqNullSafe(F.lit(source).cast("string"))
+        return bool(self.rounds().where(same).limit(1).collect())
 
     def merge_round(self, edges: DataFrame, on: str = "uid", src: str = "src", dst: str = "dst",
-                    batch_id: int | None = None) -> RoundResult:
+                    batch_id: int | None = None, source: str | None = None,
+                    before_commit: Callable[[DataFrame], None] | None = None) -> RoundResult:
         """Merge one round of edges into the table.
 
+        A batch is known by ``source`` and ``batch_id`` and merged once.
+        ``before_commit`` gets the edges with an unknown end before the round
+        is written (a replay after a crash calls it again).
+
         ``on='uid'``: edges name items; both ends are contracted to their
         current component (numbers are zero padded to ``uid_width`` when that
         is set).  ``on='cmp'``: edges name component numbers, possibly ones
@@ -296,7 +332,7 @@ class ComponentStore:
         history first.  Then components are computed and every row of a
         merged component takes the least label, in one join.
         """
-        if self._seen(batch_id):
+        if self._seen(source, batch_id):
             v = self.history_version()
             empty = self.spark.createDataFrame([], "id bigint, cmp bigint")
             return RoundResult(v, empty, self.spark.createDataFrame([], "src string, dst string"),
@@ -339,14 +375,16 @@ class ComponentStore:
                        .select(F.col("src").cast("string"), F.col("dst").cast("string")))
         else:
             raise ValueError("on must be 'uid' or 'cmp'")
-        return self._commit(cmp_edges, unknown, batch_id, scratch)
+        if before_commit:
+            before_commit(unknown)
+        return self._commit(cmp_edges, unknown, batch_id, source, scratch)
 
     def _commit(self, cmp_edges: DataFrame, unknown: DataFrame, batch_id: int | None,
-                scratch: list, edges_distinct: bool = False) -> RoundResult:
+                source: str | None, scratch: list) -> RoundResult:
         """Components of a round's edges on current labels, history update,
-        round log entry (and compaction when the history has grown)."""
+        round log entry."""
         stats: dict = {}
-        labels = connected_components(cmp_edges, edges_distinct=edges_distinct, stats=stats)
+        labels = connected_components(cmp_edges, stats=stats)
         if not getattr(labels, "_stellate_path", None):
             labels = materialize(labels, "round-labels")  # read several times below
         merged = labels.where(F.col("id") != F.col("cmp"))
@@ -356,21 +394,10 @@ class ComponentStore:
         n_vertices = labels.count()
         n_merged = merged.count()
         rnd = self.rounds().agg(F.max("round")).first()[0]
-        row = [((rnd or 0) + 1, version, batch_id, n_edges, n_unknown, n_vertices, n_merged, "c3")]
-        self.spark.createDataFrame(row, ROUND_LOG).coalesce(1).write.mode("append") \
-            .parquet(f"{self.path}/_rounds")
-        if self.auto_compact and self._history_too_large():
-            self.compact()
+        self._log_row((rnd or 0) + 1, version, batch_id, n_edges, n_unknown, n_vertices, n_merged,
+                      "c3", source)
         return RoundResult(version, labels, unknown, scratch=scratch + [labels])
 
-    def _history_too_large(self) -> bool:
-        v = self.history_version()
-        if v is None:
-            return False
-        limit = broadcast_limit(self.spark)
-        p, fs = hadoop_fs(self.spark, self._vdir("history", v))
-        return limit >= 0 and int(fs.getContentSummary(p).getLength()) > limit
-
     def map_round(self, edge_fn: Callable[[DataFrame], DataFrame] | None = None,
                   batch_id: int | None = None) -> RoundResult:
         """One full round of the protocol: find edges between stored items
@@ -378,13 +405,12 @@ class ComponentStore:
         neighbour codes), then merge them."""
         if edge_fn:
             return self.merge_round(edge_fn(self.read()), on="uid", batch_id=batch_id)
-        if self._seen(batch_id):
+        if self._seen(None, batch_id):
             return self.merge_round(self.spark.createDataFrame([], "src string, dst string"),
                                     batch_id=batch_id)
         # Default rule: neighbour pairs come from the base itself, as pairs of
         # base labels; both ends are moved to current labels through the
-        # history (small: compaction keeps it under the broadcast threshold).
-        # No uid strings, no unknown ends, no contraction joins.
+        # history.  No uid strings, no unknown ends, no contraction joins.
         e = neighbor_edges(self.base())
         h = self.history()
         for c in ("src", "dst"):
@@ -393,9 +419,7 @@ class ComponentStore:
                 *(F.coalesce("_c", c).alias(c) if x == c else F.col(x) for x in ("src", "dst")))
         e = e.where(F.col("src") != F.col("dst"))
         none = self.spark.createDataFrame([], "src string, dst string")
-        # With an empty history the base pairs are already distinct.
-        fresh = not h.limit(1).collect()
-        return self._commit(e, none, batch_id, [], edges_distinct=fresh)
+        return self._commit(e, none, batch_id, None, [])
 
     def _update_history(self, labels: DataFrame) -> int:
         """Labels merged this round move the history one step."""

@@ -22,8 +22,14 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.text(path).select(
         F.input_file_name().alias("log_id"), F.input_file_block_start().alias("_blk"),
-        F.monotonically_increasing_id().alias("_mid"), F.col("value").alias("line"))
-    staged = materialize(raw, "message-lines")
+        F.col("value").alias("line"))
+    return number_lines(raw)
+
+
+def number_lines(raw: DataFrame) -> DataFrame:
+    """Numbers lines ``(log_id, _blk, line)`` as they come from a text scan."""
+    staged = materialize(raw.select("log_id", "_blk", F.monotonically_increasing_id().alias("_mid"), "line"),
+                         "message-lines")
     splits = staged.groupBy("log_id", "_blk").agg(F.count(F.lit(1)).alias("_n"),
                                                   F.min("_mid").alias("_first"))
     before = Window.partitionBy("log_id").orderBy("_blk").rowsBetween(
@@ -42,11 +48,13 @@ def read_message_table(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_messages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                     ) -> DataFrame:
-    """Streaming text source: every new file in ``path`` adds lines.
+    """Streaming text source: every new file in ``path`` is one log.
 
-    A stream keeps no order across files, so a micro-batch is taken as one
-    round (see :mod:`stellate.streaming.rounds`)."""
+    A file arrives whole in one micro-batch; its path and the start of each
+    split are kept, so that the lines can be numbered as
+    :func:`read_messages` does.  A log must not go on in another file."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path).select(F.col("value").alias("line"))
+    return r.load(path).select(F.col("_metadata.file_path").alias("log_id"),
+                               F.col("_metadata.file_block_start").alias("_blk"), F.col("value").alias("line"))

@@ -1,17 +1,19 @@
 """Structured Streaming: message lines in, rounds merged into the store.
 
-Each micro-batch is one round: its data lines are parsed to edges and merged
-with :meth:`ComponentStore.merge_round` inside ``foreachBatch``; the batch id
-is recorded with the round, so a batch replayed after a failure is skipped.
-A text stream keeps no line order across files, so ``c1``/``c2`` inside a
-batch are not honoured one by one; for uid edges this does not change the
-final labelling.  A ``c4`` (or the test-exit marker) ends the stream: later
-batches are ignored.  Exact per-``c2`` snapshots need line numbers and are
-offered for batch logs (:func:`stellate.plans.rounds.snapshot_components`).
+Every file of the stream is one log and follows the protocol as in a batch:
+``c1`` starts a round, ``c2`` asks for the edges since it, lines after ``c4``
+(or the test-exit marker) do not count.  A micro-batch merges exactly the
+edges that a ``c2`` asks for, inside ``foreachBatch``.  A round is recorded
+under its stream (an id kept beside the stream's checkpoint) and batch id, so
+a batch replayed after a failure is skipped and another stream's batch is not.
+Malformed lines and edges with an unknown end are written under that name
+before the round is committed, so a replay writes them again.  A ``c4`` ends
+the stream: later batches are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame
@@ -20,50 +22,58 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.messages import CONTROL_SHUTDOWN
 from ..operators.components import connected_components
-from ..operators.messages import classify_messages, parse_edges
-from ..plans.store import ROUND_LOG, ComponentStore
+from ..operators.messages import asked_edges, assign_rounds, classify_messages, parse_edges
+from ..plans.store import ComponentStore
+from ..session import materialize, path_exists, release
+from ..sources.messages import number_lines
 
 Sink = Callable[[DataFrame, int], None]
 
 
-def round_writer(store: ComponentStore, on: str = "uid"):
-    """The ``foreachBatch`` function that merges one micro-batch."""
+def round_writer(store: ComponentStore, on: str = "uid", source: str | None = None):
+    """The ``foreachBatch`` function that merges one micro-batch of
+    :func:`stellate.sources.messages.stream_messages`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if store.rounds().where(F.col("message") == "c4").limit(1).collect():
             return  # stopped earlier
-        c = classify_messages(batch)
-        c = c.persist()
-        try:
-            parsed = parse_edges(c, keep=())
-            result = store.merge_round(parsed.edges, on=on, batch_id=batch_id)
-            if not result.skipped:
-                # Nothing is dropped silently: malformed lines and edges with
-                # an unknown end are kept with the batch that brought them.
-                bad = (parsed.quarantine.select("line", "reason")
-                       .unionByName(result.unknown.select(
-                           F.concat_ws(" ", "src", "dst").alias("line"),
-                           F.lit("unknown end").alias("reason"))))
-                (bad.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "line", "reason")
-                 .write.mode("append").parquet(f"{store.path}/_quarantine"))
-            result.release()
-            stop = c.where((F.col("kind") == "exit") | (F.col("control") == CONTROL_SHUTDOWN))
-            if stop.limit(1).collect():
-                row = store.rounds().agg(F.max("round"), F.max("version")).first()
-                stop_row = [(int(row[0] or 0) + 1, int(row[1] or 0), None, 0, 0, 0, 0, "c4")]
-                store.spark.createDataFrame(stop_row, ROUND_LOG).coalesce(1).write \
-                    .mode("append").parquet(f"{store.path}/_rounds")
-        finally:
-            c.unpersist()
+        lines = materialize(assign_rounds(number_lines(batch)), "stream-rounds")
+        parsed = parse_edges(lines, keep=("log_id", "round", "line_no"))
+
+        def keep_bad(unknown: DataFrame) -> None:
+            # Nothing is dropped silently.
+            bad = (parsed.quarantine.select("line", "reason")
+                   .unionByName(unknown.select(F.concat_ws(" ", "src", "dst").alias("line"),
+                                               F.lit("unknown end").alias("reason"))))
+            bad.write.mode("overwrite").parquet(
+                f"{store.path}/_quarantine/source={source or 'none'}/batch={batch_id}")
+
+        result = store.merge_round(asked_edges(lines, parsed.edges), on=on, batch_id=batch_id,
+                                   source=source, before_commit=keep_bad)
+        result.release()
+        stop = lines.where((F.col("kind") == "exit") | (F.col("control") == CONTROL_SHUTDOWN))
+        if stop.limit(1).collect():
+            store.log_stop()
+        release(lines)
 
     return write
 
 
+def stream_source(store: ComponentStore, checkpoint: str) -> str:
+    """The id of the stream that owns ``checkpoint``, made on its first run."""
+    path = f"{checkpoint.rstrip('/')}/stellate_source"
+    if not path_exists(store.spark, f"{path}/_SUCCESS"):
+        row = store.spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
+        row.coalesce(1).write.mode("overwrite").text(path)
+    return store.spark.read.text(path).first()[0]
+
+
 def run_rounds_stream(lines: DataFrame, store: ComponentStore, checkpoint: str,
                       on: str = "uid", available_now: bool = True,
                       processing_time: str | None = None) -> StreamingQuery:
     """Start the round loop on a streaming DataFrame with a ``line`` column."""
-    w = (lines.writeStream.foreachBatch(round_writer(store, on))
+    source = stream_source(store, checkpoint)
+    w = (lines.writeStream.foreachBatch(round_writer(store, on, source))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)

@@ -44,6 +44,17 @@ def test_stream_rounds_and_restart(spark, scratch):
     assert bad == [("x y", "bad token")]
 
 
+def test_stream_follows_the_protocol(spark, scratch):
+    """Reset edges, edges not asked for and edges after the stop are not merged."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    store = ComponentStore(spark, os.path.join(scratch, "tbl"), uid_width=2)
+    store.populate(enumerate_codes(spark, 2).select("uid"))
+    write(src, "a.txt", ["c1", "1 2", "c1", "3 4", "c2", "5 6", "c4", "7 8"])
+    run_rounds_stream(stream_messages(spark, src), store, os.path.join(scratch, "ck")).awaitTermination(120)
+    assert {int(r.uid): r.cmp for r in store.read().where("cmp != cast(uid as int)").collect()} == {4: 3}
+
+
 def test_read_message_files(spark, scratch):
     write(scratch, "log1.txt", ["c1", "1 2", "c2"])
     write(scratch, "log2.txt", ["c1", "3 4;4 5", "c2", "c4"])

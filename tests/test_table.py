@@ -160,7 +160,7 @@ def test_dense_ids_within_groups_hot_group(spark):
     assert len(by["hot"]) == 9000
 
 
-def test_store_compacts_when_history_outgrows_broadcast(spark, scratch):
+def test_round_never_rewrites_the_base(spark, scratch):
     from test_scale import conf
 
     store = ComponentStore(spark, f"{scratch}/tbl", uid_width=3)
@@ -168,10 +168,52 @@ def test_store_compacts_when_history_outgrows_broadcast(spark, scratch):
     with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "100"}):
         store.merge_round(spark.createDataFrame([(i, i + 1) for i in range(0, 400, 2)],
                                                 "src bigint, dst bigint"))
-    assert store.current_version() == 1  # compacted: a new base ...
-    assert store.history().count() == 0  # ... and an empty history
-    got = {int(r.uid): r.cmp for r in store.read().collect()}
+        assert store.current_version() == 0 and store.history().count() == 200
+        got = {int(r.uid): r.cmp for r in store.read().collect()}
     assert got[1] == 0 and got[399] == 398 and got[500] == 500
+    assert store.members(1).count() == 0 and {r.uid for r in store.members(0).collect()} == {"000", "001"}
+
+
+def test_batches_are_told_apart_by_source_and_load(spark, scratch):
+    store = ComponentStore(spark, f"{scratch}/tbl", uid_width=2)
+    store.populate(enumerate_codes(spark, 2).select("uid"))
+    one = spark.createDataFrame([(20, 21)], "src bigint, dst bigint")
+    two = spark.createDataFrame([(30, 31)], "src bigint, dst bigint")
+    assert not store.merge_round(one, batch_id=0, source="a").skipped
+    assert store.merge_round(one, batch_id=0, source="a").skipped
+    assert not store.merge_round(two, batch_id=0, source="b").skipped
+    store.populate(enumerate_codes(spark, 2).select("uid"))
+    assert store.rounds().count() == 0
+    assert not store.merge_round(one, batch_id=0, source="a").skipped
+
+
+def test_lookup_shards_and_drop(spark, scratch):
+    import os
+
+    import pytest
+
+    store = ComponentStore(spark, f"{scratch}/tbl", shard_fn=lambda c: c.substr(2, 1).try_cast("int"))
+    store.populate(spark.createDataFrame([("abc",), ("100",), ("001",), ("010",)], "uid string"))
+    assert [r.uid for r in store.lookup("abc").collect()] == ["abc"]
+    assert {r.uid for r in store.neighbors_of("100", within_shard=True).collect()} == {"001"}
+    other = ComponentStore(spark, f"{scratch}/other")
+    os.makedirs(f"{scratch}/other")
+    open(f"{scratch}/other/file", "w").close()
+    with pytest.raises(ValueError):
+        other.drop()
+    assert os.path.exists(f"{scratch}/other/file")
+    with pytest.raises(ValueError):
+        store.populate(spark.createDataFrame([(None,)], "uid string"))
+
+
+def test_null_groups_keep_their_rows(spark):
+    from stellate.operators.messages import assign_rounds, format_messages, parse_edges
+
+    e = spark.createDataFrame([(None, 1, 1, 2), (5, 1, 3, 4)], "g int, o int, src int, dst int")
+    assert {r["line"] for r in format_messages(e, ["g"], "o").collect()} == {"1 2", "3 4"}
+    lines = spark.createDataFrame([("a", 0, "c1"), ("a", None, "1 2")], "log_id string, line_no bigint, line string")
+    bad = parse_edges(assign_rounds(lines)).quarantine.collect()
+    assert [(r["line"], r["reason"]) for r in bad] == [("1 2", "no line number")]
 
 
 def test_dense_ids_ties_keep_input_order(spark):
@@ -227,10 +269,10 @@ def test_store_refuses_to_overwrite_a_committed_version(spark, scratch):
 
     store = ComponentStore(spark, f"{scratch}/tbl")
     store.populate(enumerate_codes(spark, 2).select("uid"))
-    # a half-written folder of the next version (a crashed attempt) is cleared
-    os.makedirs(f"{scratch}/tbl/history/v=1")
+    # what a crashed attempt leaves is no version and is not touched
+    os.makedirs(f"{scratch}/tbl/_tmp/crashed")
     store.merge_round(spark.createDataFrame([("01", "10")], "src string, dst string"))
-    assert store.history_version() == 1
+    assert store.history_version() == 1 and os.path.isdir(f"{scratch}/tbl/_tmp/crashed")
     # another writer committed v=2 meanwhile: this writer must not clobber it
     stale = ComponentStore(spark, f"{scratch}/tbl")
     stale.history_version = lambda: 1
