@@ -20,7 +20,6 @@ from stellate.plans.catalog import QUERIES  # noqa: E402
 from stellate.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "domain_components",        # full code domain: neighbours -> components -> relabel
     "relabel",                  # customer codes: stored neighbours -> components -> relabel
     "stored_neighbors",
     "components_order_part",    # lineitem order-part graph

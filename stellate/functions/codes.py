@@ -1,8 +1,9 @@
 """Column functions for fixed-length digit codes.
 
 A code is a string of decimal digits (``'09999'``); leading zeros matter.
-All functions are JVM-side expressions (higher-order array functions), so
-they stay inside whole-stage codegen; none runs Python per row.
+All functions are JVM-side expressions; none runs Python per row.  The
+higher-order array functions among them are interpreted inside the row, not
+part of the generated code.
 """
 
 from __future__ import annotations
