@@ -34,6 +34,8 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,8 @@ _OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
 _CANDIDATE = (r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]++")
 _BLANK = r"[\x20\x09-\x0D]"
 _CONTEXT = 64  # code points around an entity that are searched for a word
+_PIECE = 10    # texts are cut into pieces of 2^10 code points to reach a place
+_BLOCK = 7     # running values are combined in blocks of 2^7
 
 
 def _digits(value: Column) -> Column:
@@ -81,26 +85,47 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often (and in
+    whatever lambda) ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or maxima) of a non-empty array of numbers from 0 up:
+    block totals first, then within blocks, so time grows with the array and
+    not with its square."""
+    def block(v: Column, first: Column, last: Column) -> Column:
+        return F.aggregate(F.sequence(first, last), F.lit(0), lambda a, i: combine(a, F.get(v, i)))
+
+    def before(v: Column) -> Column:
+        def step(acc: Column, b: Column) -> Column:
+            first = F.shiftleft(b, _BLOCK)
+            last = F.least(first + (1 << _BLOCK), F.size(v)) - 1
+            return F.concat(acc, F.array(combine(F.element_at(acc, -1), block(v, first, last))))
+
+        return F.aggregate(F.sequence(F.lit(0), F.shiftright(F.size(v) - 1, _BLOCK)), F.array(F.lit(0)), step)
+
+    def scan(v: Column) -> Column:
+        return _let(before(v), lambda p: F.transform(v, lambda _, i: combine(
+            F.get(p, F.shiftright(i, _BLOCK)), block(v, i - i % (1 << _BLOCK), i))))
+
+    return _let(values, scan)
+
+
 def _matches(df: DataFrame, text: str, pattern: str, name: str, when: Column | None = None) -> DataFrame:
     """Adds column ``name``: array of (start, end, value) of the pattern's
     matches, left to right."""
-    hits, gaps = fresh(df, f"_{name}_hits"), fresh(df, f"_{name}_gaps")
+    hits = fresh(df, f"_{name}_hits")
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
     none = F.array().cast("array<string>")
     df = df.withColumn(hits, found if when is None else F.when(when, found).otherwise(none))
-    df = df.withColumn(gaps, F.when(F.size(hits) > 0, F.transform(F.split(F.col(text), pattern, -1), F.length)))
-
-    def total(lengths: Column) -> Column:
-        return F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
-
-    def span(value: Column, i: Column) -> Column:
-        start = (total(F.slice(F.col(gaps), F.lit(1), i + 1))
-                 + total(F.transform(F.slice(F.col(hits), F.lit(1), i), F.length)))
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
-
-    spans = F.when(F.size(hits) > 0, F.transform(F.col(hits), span)).otherwise(
-        F.array().cast("array<struct<start:int,end:int,value:string>>"))
-    return df.withColumn(name, spans).drop(hits, gaps)
+    gaps = F.transform(F.split(F.col(text), pattern, -1), F.length)
+    steps = _let(gaps, lambda g: F.transform(F.col(hits), lambda v, i: F.get(g, i) + F.length(v)))
+    spans = _let(_running(steps, lambda a, x: a + x), lambda ends: F.transform(F.col(hits), lambda v, i: F.struct(
+        (F.get(ends, i) - F.length(v)).alias("start"), F.get(ends, i).alias("end"), v.alias("value"))))
+    return df.withColumn(name, F.when(F.size(hits) > 0, spans).otherwise(
+        F.array().cast("array<struct<start:int,end:int,value:string>>"))).drop(hits)
 
 
 def _with_base(df: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
@@ -114,10 +139,29 @@ def _with_base(df: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
     return df
 
 
-def _sides(text: Column, start: Column, end: Column) -> Column:
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << _PIECE}}}"), F.lit(0))
+
+
+def _near(pieces: Column, start: Column, n: Column) -> Column:
+    """``n`` code points (at most a piece) from ``start`` on."""
+    k = F.shiftright(start, _PIECE)
+    two = F.concat(F.coalesce(F.get(pieces, k), F.lit("")), F.coalesce(F.get(pieces, k + 1), F.lit("")))
+    return F.substring(two, start % (1 << _PIECE) + 1, n)
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end``, however many."""
+    k = F.shiftright(start, _PIECE)
+    some = F.slice(pieces, k + 1, F.shiftright(end, _PIECE) - k + 1)
+    return (F.when(end - start <= 1 << _PIECE, _near(pieces, start, end - start))
+            .otherwise(F.substring(F.array_join(some, ""), start % (1 << _PIECE) + 1, end - start)))
+
+
+def _sides(pieces: Column, start: Column, end: Column) -> Column:
     """The lexical patterns of an entity: the word before it and after it."""
-    before = F.substring(text, F.greatest(start - _CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(_CONTEXT)))
-    after = F.substring(text, end + 1, F.lit(_CONTEXT))
+    before = _near(pieces, F.greatest(start - _CONTEXT, F.lit(0)), F.least(start, F.lit(_CONTEXT)))
+    after = _near(pieces, end, F.lit(_CONTEXT))
     left = F.regexp_extract(before, rf"([^\x20\x09-\x0D]+){_BLANK}*$", 1)
     right = F.regexp_extract(after, rf"^{_BLANK}*([^\x20\x09-\x0D]+)", 1)
     both = F.array(F.concat(F.lit("<"), F.lower(left)), F.concat(F.lit(">"), F.lower(right)))
@@ -133,6 +177,26 @@ def _tagged(names: dict[str, str]) -> Column:
     return F.array_sort(F.concat(*map(numbered, range(len(KINDS)))))
 
 
+def _ends(spans: Column) -> Column:
+    """The greatest end up to each of the sorted spans (none: empty)."""
+    ends = F.transform(spans, lambda s: s["end"])
+    return F.when(F.size(spans) > 0, _running(ends, F.greatest)).otherwise(F.array().cast("array<int>"))
+
+
+def _free(words: Column, spans: str) -> Column:
+    """The words that no span of the sorted column overlaps: a binary search
+    counts the spans that start before a word's end; none of them may end
+    after its start."""
+    powers = F.array(*[F.lit(1 << b) for b in range(30, -1, -1)])
+
+    def starting(w: Column) -> Column:
+        return F.aggregate(powers, F.lit(0), lambda n, p: F.when(
+            (p <= F.size(spans) - n) & (F.get(F.col(spans), n + p - 1)["start"] < w["end"]), n + p).otherwise(n))
+
+    return _let(_ends(F.col(spans)), lambda ends: F.filter(words, lambda w: F.coalesce(
+        F.get(ends, starting(w) - 1) <= w["start"], F.lit(True))))
+
+
 def _written(spans: Column) -> Column:
     kinds = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -162,13 +226,17 @@ def extract_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     d = _with_base(d, "text", names)
     d = d.withColumn("base", _tagged(names))
     d = _matches(d, "text", _CANDIDATE, "_words", F.col("text").rlike("[0-9@]"))
-    t = F.col("text")
-    seeds = F.transform(F.col("base"), lambda s: F.struct(
-        s["kind"].alias("kind"), F.substring(t, s["start"] + 1, s["end"] - s["start"]).alias("value"),
-        _sides(t, s["start"], s["end"]).alias("patterns")))
-    free = F.filter(F.col("_words"), lambda w: ~F.exists(
-        F.col("base"), lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    candidates = F.transform(free, lambda w: F.struct(
+    d = d.withColumn("_pieces", F.when(
+        (F.size("base") > 0) | (F.size("_words") > 0),
+        _pieces(F.col("text"))))
+    t = F.col("_pieces")
+
+    def seeds_of(i: int) -> Column:
+        return F.transform(F.col(names[KINDS[i]]), lambda s: F.struct(
+            F.lit(i).alias("kind"), s["value"].alias("value"), _sides(t, s["start"], s["end"]).alias("patterns")))
+
+    seeds = F.concat(*map(seeds_of, range(len(KINDS))))
+    candidates = F.transform(_free(F.col("_words"), "base"), lambda w: F.struct(
         w["start"].alias("start"), w["end"].alias("end"), _core(w["value"]).alias("value"),
         _sides(t, w["start"], w["end"]).alias("patterns")))
     return d.select("doc_id", "key", "base", seeds.alias("seeds"), candidates.alias("candidates"))
@@ -236,15 +304,16 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opts)
     per = materialize(per, "pii-spans")
     t, kinds = F.col(text), F.array(*map(F.lit, KINDS))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh_start = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["),
-                         F.element_at(kinds, s["kind"] + 1), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh_start, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
+    def rewritten(pieces: Column, ends: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(ends, i - 1), F.lit(0))
+            piece = F.concat(_between(pieces, at, s["start"]), F.lit("["), F.element_at(kinds, s["kind"] + 1), F.lit("]"))
+            return F.when(s["start"] >= at, piece).otherwise(F.lit(""))
+
+        return F.concat(F.array_join(F.transform(F.col(spans), part), ""),
+                        _between(pieces, F.element_at(ends, -1), F.length(t)))
 
-    whole = F.aggregate(F.col(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                        lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
+    whole = _let(_pieces(t), lambda p: _let(_ends(F.col(spans)), lambda e: rewritten(p, e)))
     j = docs.withColumn(key, F.xxhash64(doc_id, text)).join(per, key, "left")
     new = F.when(F.col(spans).isNull(), t).otherwise(whole)
     return j.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -163,3 +163,19 @@ def test_pipeline_edges(spark, edge):
             assert cur.columns == docs.columns
             cur = corpus_pipeline.materialize(cur, "test")
         assert "ids" in corpus_pipeline.STAGES[-1][1](spark, cur, "").columns
+
+
+def test_pii_many_matches_in_one_text(spark):
+    """Offsets beyond one block of matches and one piece of text."""
+    import re
+
+    from stellate.llm.pii import personal_spans, redact
+
+    line = "ж bob{}@ex.org wrote\n" + "é" * 40 + "\n"
+    long = "".join(line.format(i) for i in range(700)) + "𝒳" * 3000 + " eve@ex.org" + "z" * 2500
+    docs = spark.createDataFrame([(1, long), (2, None)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in personal_spans(docs).collect()}
+    want = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9]+@ex\.[A-Za-z0-9]+", long)]
+    assert [tuple(s) for s in spans[1]] == want and len(want) == 701 and spans[2] == []
+    got = {r["doc_id"]: r["text"] for r in redact(docs).collect()}
+    assert got == {1: re.sub(r"[A-Za-z0-9]+@ex\.[A-Za-z0-9]+", "[email]", long), 2: None}
