@@ -28,8 +28,7 @@ keys in the joins against them.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import join_input, materialize, release
@@ -89,11 +88,10 @@ def _small_star(e: DataFrame, g: list[str]):
     return res, m
 
 
-def _was_star_forest(large: DataFrame, m: DataFrame) -> bool:
+def _was_star_forest(hit: bool | None, m: DataFrame) -> bool:
     """Exact stop test from the large-star step, with no shuffle of edges:
     the input was a forest of stars when no ``v`` is also a ``u`` (no
     ``hit``) and every ``u`` has one ``v`` (all counts 1)."""
-    hit = large.agg(F.max("hit")).first()[0]
     if hit:
         return False
     most = m.agg(F.max("n")).first()[0]
@@ -143,14 +141,17 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         if stats is not None:
             stats["steps"] += 1
         large, m1 = _large_star(cur, g)
-        large = large.persist(StorageLevel.MEMORY_AND_DISK)
-        if _was_star_forest(large, m1):
-            large.unpersist()
-            release(m1)
+        # Written once, as the small star reads it twice; the flag is
+        # observed on the way.
+        seen = Observation()
+        large = materialize(large.observe(seen, F.max("hit").alias("hit")).drop("hit"), "cc-large")
+        if _was_star_forest(seen.get.get("hit"), m1):
+            for t in (large, m1):
+                release(t)
             break
-        small, m2 = _small_star(large.drop("hit"), g)
+        small, m2 = _small_star(large, g)
         nxt = materialize(small, "cc-step")
-        large.unpersist()
+        release(large)
         for t in (m1, m2, cur if cur is not canon else None):
             release(t)
         cur = nxt

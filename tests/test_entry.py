@@ -15,6 +15,10 @@ def test_every_query_has_oracle():
     from stellate.plans.catalog import ORACLE_SQL, QUERIES
 
     assert set(QUERIES) == set(ORACLE_SQL) <= set(oracle_sql()) <= set(queries())
+    from stellate.plans import stored
+
+    assert set(stored.QUERIES) == set(stored.ORACLE_SQL) <= set(oracle_sql())
+    assert not set(stored.QUERIES) & set(QUERIES)
 
 
 def test_rounds_split_equals_one_shot_on_lineitem(spark):
