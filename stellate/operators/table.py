@@ -75,7 +75,10 @@ def lookup_uid(table: DataFrame, uid: str, shard_fn: ShardFn = shard_of) -> Data
     """Rows of one uid.  The shard predicate is added so that the scan of a
     table partitioned by ``shard`` reads one partition; ``uid = x`` is pushed
     to the Parquet reader."""
-    return table.where(F.col("shard").eqNullSafe(shard_fn(F.lit(uid))) & (F.col("uid") == F.lit(uid)))
+    shard = shard_fn(F.lit(uid))
+    # A uid may have no shard (NULL); the constant side folds to one test.
+    same = (F.col("shard") == shard) | (shard.isNull() & F.col("shard").isNull())
+    return table.where(same & (F.col("uid") == F.lit(uid)))
 
 
 def lookup_uids(table: DataFrame, keys: DataFrame, key: str = "uid") -> DataFrame:
