@@ -171,3 +171,38 @@ def test_op9(spark, docs):
                 len(lines) - len(set(lines)), len(cover))
         assert tuple(r)[1:6] == want
         assert r["base_failed"] == (len(w) < 50 or 100 * len(cover) > 50 * len(w)) and not (r["base_failed"] and r["kept"])
+
+
+def test_op10_base(spark):
+    """Base spans against Python's patterns; the others only add spans."""
+    import hashlib
+    import re
+
+    from stellate.llm.pii import op10_pii_spans
+
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    kinds = {  # fixed values: the base patterns of the contract
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v, d: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v, d: all(int(p) <= 255 for p in v.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda v, d: 12 <= len(d) <= 19 and luhn(d)),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda v, d: 9 <= len(d) <= 15),
+    }
+    sf = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in op10_pii_spans(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(rows) > 0
+    for r in rows:
+        spans, counts = [], []
+        for i, (pattern, ok) in enumerate(kinds.values()):
+            hits = [m for m in re.finditer(pattern, r["text"] or "") if ok(m[0], re.sub("[^0-9]", "", m[0]))]
+            counts.append(len(hits))
+            spans += [(m.start(), i, m.end()) for m in hits]
+        names = list(kinds)
+        written = [f"{names[k]}:{a}:{b}" for a, k, b in sorted(spans)]
+        g = got[r["doc_id"]]
+        assert [g[f"n_{k}"] for k in names] == counts
+        assert g["base_sha256"] == hashlib.sha256(",".join(written).encode()).hexdigest()
+        assert set(written) <= set(g["spans"].split(","))
+    assert any(g["n_email"] for g in got.values())
