@@ -206,3 +206,25 @@ def test_op10_base(spark):
         assert g["base_sha256"] == hashlib.sha256(",".join(written).encode()).hexdigest()
         assert set(written) <= set(g["spans"].split(","))
     assert any(g["n_email"] for g in got.values())
+
+
+def test_pipeline(spark, docs):
+    """Survivors of the rules and of the near-copies by brute force, their
+    texts without emails, the ids by the library."""
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    good = [i for i, r in result(spark, "op9_quality_rules").items() if r["kept"]]
+    fp = {i: fingerprint(docs[i]) for i in good}
+    part = union_find([(a, b) for a in fp for b in fp if a <= b and (fp[a] ^ fp[b]).bit_count() <= 4])
+    left = {i for i in good if part[i] == i}
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert rows and {r["doc_id"] for r in rows} <= left
+    assert max(collections.Counter(r["doc_id"] for r in rows).values()) <= 3
+    email = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for r in rows:
+        assert not re.search(email, r["text"])
+        assert r["text"] == docs[r["doc_id"]] or "[" in r["text"]
+        assert list(r["ids"]) == t.encode(r["text"], add_special_tokens=False).ids
