@@ -1,9 +1,8 @@
 """Operators on the component table ``(uid, cmp, mapped, shard)``.
 
 Lookup, members, progress rows, dense numbering, relabelling and the
-contraction of uid edges to component edges.  All are DataFrame plans; the
-only driver-side values are the per-partition offsets of
-:func:`assign_dense_ids`, one row per range partition.
+contraction of uid edges to component edges.  All are DataFrame plans; no
+rows pass through the driver.
 """
 
 from __future__ import annotations
