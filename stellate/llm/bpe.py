@@ -27,12 +27,19 @@ Defined cases: a null text counts as empty (no ids); equal texts get equal
 ids, repeated rows stay repeated; texts of any length are encoded whole; an
 empty table gives an empty table; other columns pass through, and an input
 column called like the output column is replaced.
+
+The tokenizer's pattern keeps a place for every blank of a run, and its
+matcher ends at about a million of them.  Runs of ``RUN`` blanks or more are
+therefore cut out of the text just where the pattern would cut them (before
+their last blank, or whole at the end of the text or before a special token)
+and merged as the one word that they are.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import sys
 import types
 from collections.abc import Iterator
@@ -53,6 +60,10 @@ DEFAULT_FILE = "byte_bpe_50k.json"
 FILTER_BITS = 24
 # Fixed value: how the byte-level pre-tokenizer cuts words.
 WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# What ``\s`` is in the pattern (Python's own ``\s`` holds more).
+_SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+RUN = 1 << 16
+_LONG_RUN = re.compile(f"(?<!{_SPACE}){_SPACE}{{{RUN},}}+")
 
 
 def default_path() -> str:
@@ -80,6 +91,7 @@ class Coder:
         if order != sorted(order):
             raise ValueError(f"{path}: ids don't follow the merges")
         self.special = set(special)
+        self.cut = re.compile("(" + ("|".join(map(re.escape, special)) or r"(?!)") + ")")
         self.encoding = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
         texts = [b""] * (1 + max([*ranks.values(), *special.values()]))
         for b, i in ranks.items():
@@ -93,9 +105,23 @@ class Coder:
     def encode(self, raw: bytes) -> np.ndarray:
         if not raw:
             return np.zeros(0, np.int32)
-        ids = self.encoding.encode_to_numpy(raw.decode("utf-8"), allowed_special=self.special,
-                                            disallowed_special=())
-        return ids.astype(np.int32)
+        text = raw.decode("utf-8")
+        if len(text) >= RUN and _LONG_RUN.search(text):
+            return np.concatenate([x for part in self.cut.split(text) for x in self._cut_runs(part)])
+        return self._whole(text)
+
+    def _whole(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special=self.special, disallowed_special=()).astype(np.int32)
+
+    def _cut_runs(self, part: str) -> Iterator[np.ndarray]:
+        """Ids of a text that is a special token or holds none."""
+        done = 0
+        for run in _LONG_RUN.finditer(part):
+            end = run.end() if run.end() == len(part) else run.end() - 1
+            yield self._whole(part[done:run.start()])
+            yield np.array(self.encoding._encode_single_piece(part[run.start():end]), np.int32)
+            done = end
+        yield self._whole(part[done:])
 
     def decode(self, ids: np.ndarray) -> str:
         size = self.lengths[ids]

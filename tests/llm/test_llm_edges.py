@@ -179,3 +179,23 @@ def test_pii_many_matches_in_one_text(spark):
     assert [tuple(s) for s in spans[1]] == want and len(want) == 701 and spans[2] == []
     got = {r["doc_id"]: r["text"] for r in redact(docs).collect()}
     assert got == {1: re.sub(r"[A-Za-z0-9]+@ex\.[A-Za-z0-9]+", "[email]", long), 2: None}
+
+
+BLANK_RUNS = [" " * 1_100_000 + "x", "x" + " " * 1_100_000, "a\n" + "\n" * 2_000_000, "\n \t" * 500_000 + "y",
+              " " * 1_100_000 + "<|endoftext|>" + "\n" * 1_100_000 + "1", "é" + "　" * 1_100_000 + "é",
+              "x\x1c" + " " * 70_000 + "\x1d" + " " * 70_000 + "it's", "\r\n" * 40_000 + "z " * 9]
+
+
+def test_bpe_long_blank_runs(spark):
+    """Runs that the pattern's matcher can't take, against the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_path())
+    c = bpe.coder(None)
+    want = [library.encode(text, add_special_tokens=False).ids for text in BLANK_RUNS]
+    for ids, text in zip(want, BLANK_RUNS):
+        got = c.encode(text.encode())
+        assert got.tolist() == ids and c.decode(got) == text
+    d = spark.createDataFrame([(0, BLANK_RUNS[0]), (99, "short")], "doc_id int, text string").repartition(2)
+    rows = {r["doc_id"]: r["ids"] for r in bpe.encode_documents(d).collect()}
+    assert rows == {0: want[0], 99: c.encode(b"short").tolist()}
