@@ -8,11 +8,21 @@ error at most ``accuracy``).  Sketches merge by adding counts, in any order,
 so the sketch of a language or of all documents is the sum of its sources'
 sketches and a rerun gives the same thresholds.
 
-A share is too high above ``q75 + max(spread * (q75 - q25), margin)`` of the
+A share is too high above ``centre + spread * width + floor`` of the
 document's own (language, source); groups with fewer than ``min_group``
-documents use their language's sketch, then the one of all documents.  The
-mean word length is fenced on both sides.  The thresholds (one row per group)
-are then joined to the documents, null-safe on both keys.
+documents use their language's sketch, then the one of all documents.
+``centre`` is the language's median, moved into the group's own [q25, q75];
+``width`` is twice the smaller of ``q50 - q25`` and ``q75 - q50``, and at most
+that of the language.  Up to half of a group may be junk, above the clean
+documents or below them: one of its quartiles stays clean, the half towards
+the junk only grows, and the language holds the centre at the clean side.  (Of
+a whole language, less than half may be junk.)  The mean word length is fenced
+on both sides.  The thresholds (one row per group) are then joined to the
+documents, null-safe on both keys.
+
+Small counts are noise: a sentence said twice (``CREDIT`` words) and two
+repeated lines are not counted, and ``METRICS`` has a small floor for each
+metric, since shares that are 0 for most clean documents have no width.
 
 Defined cases: a null text counts as empty (all counts 0, base rule fails);
 null ``lang`` or ``source`` is a group of its own; repeated rows are judged
@@ -39,9 +49,11 @@ from .common import fresh, table
 BLANKS = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-#: Metric -> (least distance of the fence from the upper quartile, fenced below too).
-METRICS = {"symbols": (0.07, False), "dup_lines": (0.3, False),
-           "repeats": (0.3, False), "word_len": (4.0, True)}
+#: Metric -> (noise floor, fenced below too).
+METRICS = {"symbols": (0.02, False), "dup_lines": (0.05, False),
+           "repeats": (0.05, False), "word_len": (0.5, True)}
+#: Repeated words and lines that any document may have.
+CREDIT = {"n_repeat_words": 20, "n_dup_lines": 2}
 
 
 def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
@@ -82,10 +94,12 @@ def _shares(q: Column) -> dict[str, Column]:
     def part(a: Column, b: Column) -> Column:
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
+    def over(c: str) -> Column:
+        return F.greatest(q[c] - CREDIT[c], F.lit(0))
+
     return {"symbols": part(q["n_symbols"], q["word_chars"]),
-            # A few short lines repeat in clean texts too: five lines of credit.
-            "dup_lines": q["n_dup_lines"] / (q["n_lines"] + 5),
-            "repeats": part(q["n_repeat_words"], q["n_words"]),
+            "dup_lines": part(over("n_dup_lines"), q["n_lines"]),
+            "repeats": part(over("n_repeat_words"), q["n_words"]),
             "word_len": part(q["word_chars"], q["n_words"])}
 
 
@@ -104,7 +118,7 @@ def quantile_sketch(scores: DataFrame, q: str, lang: str, source: str,
 
 
 def _quantiles(sketch: DataFrame, keys: list[str], accuracy: float) -> DataFrame:
-    """Quartiles of merged sketches, one row per ``keys`` and metric."""
+    """Quartiles and width of merged sketches, one row per ``keys`` and metric."""
     gamma = (1 + accuracy) / (1 - accuracy)
     merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*keys, "metric")
@@ -116,8 +130,10 @@ def _quantiles(sketch: DataFrame, keys: list[str], accuracy: float) -> DataFrame
     def at(p: float) -> Column:
         return F.min(F.when(F.col("upto") >= p * F.col("total"), value))
 
-    return run.groupBy(*keys, "metric").agg(at(0.25).alias("q25"), at(0.75).alias("q75"),
-                                            F.first("total").alias("total"))
+    q = run.groupBy(*keys, "metric").agg(at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"),
+                                         F.first("total").alias("total"))
+    width = 2 * F.least(F.col("q50") - F.col("q25"), F.col("q75") - F.col("q50"))
+    return q.select(*keys, "metric", "q25", "q50", "q75", width.alias("width"), "total")
 
 
 def thresholds(scores: DataFrame, q: str, lang: str = "lang", source: str = "source", *,
@@ -127,7 +143,7 @@ def thresholds(scores: DataFrame, q: str, lang: str = "lang", source: str = "sou
     sketch = materialize(quantile_sketch(scores, q, lang, source, accuracy), "quality-sketch")
     own = _quantiles(sketch, ["lang", "source"], accuracy)
     upper = [_quantiles(sketch, ["lang"], accuracy), _quantiles(sketch, [], accuracy)]
-    names = ["q25", "q75", "total"]
+    names = ["q25", "q50", "q75", "width", "total"]
     own = own.select("lang", "source", "metric", F.struct(*names).alias("g0"))
     by_lang = upper[0].select(F.col("lang").alias("_l"), F.col("metric").alias("_m"),
                               F.struct(*names).alias("g1"))
@@ -136,14 +152,16 @@ def thresholds(scores: DataFrame, q: str, lang: str = "lang", source: str = "sou
          .join(overall, F.col("metric") == F.col("_a")))
     g = (F.when(F.col("g0.total") >= min_group, F.col("g0"))
          .when(F.col("g1.total") >= min_group, F.col("g1")).otherwise(F.col("g2")))
-    j = j.select("lang", "source", "metric", g.alias("g"))
+    ref = F.when(F.col("g1.total") >= min_group, F.col("g1")).otherwise(F.col("g2"))
+    centre = F.greatest(g["q25"], F.least(g["q75"], ref["q50"]))
+    j = j.select("lang", "source", "metric", centre.alias("centre"), F.least(g["width"], ref["width"]).alias("width"))
     fences = []
-    for m, (margin, below) in METRICS.items():
-        step = F.greatest(spread * (F.col("g.q75") - F.col("g.q25")), F.lit(margin))
+    for m, (floor, below) in METRICS.items():
+        step = spread * F.col("width") + floor
         here = F.col("metric") == m
-        fences.append(F.max(F.when(here, F.col("g.q75") + step)).alias(f"hi_{m}"))
+        fences.append(F.max(F.when(here, F.col("centre") + step)).alias(f"hi_{m}"))
         if below:
-            fences.append(F.max(F.when(here, F.col("g.q25") - step)).alias(f"lo_{m}"))
+            fences.append(F.max(F.when(here, F.col("centre") - step)).alias(f"lo_{m}"))
     return j.groupBy("lang", "source").agg(*fences)
 
 

@@ -199,3 +199,51 @@ def test_bpe_long_blank_runs(spark):
     d = spark.createDataFrame([(0, BLANK_RUNS[0]), (99, "short")], "doc_id int, text string").repartition(2)
     rows = {r["doc_id"]: r["ids"] for r in bpe.encode_documents(d).collect()}
     assert rows == {0: want[0], 99: c.encode(b"short").tolist()}
+
+
+@pytest.mark.parametrize("kind", ["symbols", "long", "short", "lines", "phrases"])
+def test_quality_groups_with_much_junk(spark, kind):
+    """Fences that junk of 30 to 50% of a group can't move."""
+    import random
+
+    rnd = random.Random(7)
+
+    def word(most=8):
+        return "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, most)))
+
+    def clean():
+        return "\n".join(" ".join(word() for _ in range(12)) for _ in range(10))
+
+    def junk():
+        w = clean().split()
+        if kind == "symbols":
+            w = [x + "#" * rnd.randint(0, 2) for x in w]
+        elif kind in ("long", "short"):
+            w = [x * 3 if kind == "long" else rnd.choice("abcdefghijklmnop") + x[:1] for x in w]
+        elif kind == "phrases":
+            w = w[:90] + w[:25]
+        else:
+            return "\n".join(rnd.sample([clean().split("\n")[0][:30] for _ in range(6)], 6) * 2
+                             + [" ".join(word() for _ in range(30)) for _ in range(8)])
+        return " ".join(w)
+
+    rows = [(k * 1000 + i, junk() if i < 4 * pct else clean(), "en", f"s{pct}", i < 4 * pct)
+            for k, pct in enumerate((1, 30, 45, 50)) for i in range(400)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, junk boolean")
+    got = quality.quality_scores(d).where(~F.col("base_failed")).groupBy("source", "junk").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept"), F.count(F.lit(1)).alias("n")).collect()
+    share = {(r["source"], r["junk"]): r["kept"] for r in got}
+    assert len(share) == 8 and all(r["n"] >= 4 for r in got)
+    for (source, bad), kept in share.items():
+        assert kept <= 0.05 if bad else kept >= 0.97, (source, bad, kept)
+
+
+def test_quality_fences_follow_the_group(spark):
+    """A source whose clean texts hold many symbols gets fences of its own."""
+    rows = [(i, s, (" ".join("words" for _ in range(60 - n)) + " a#" * n)) for s, low in (("prose", 0), ("code", 20))
+            for i in range(300) for n in [low and low + i % 5]]
+    q = F.struct(*[F.lit(v).cast("bigint").alias(c) for c, v in zip(quality.COUNTS, (60, 300, 0, 0, 0, 1))])
+    d = spark.createDataFrame(rows, "doc_id int, source string, text string").withColumn("lang", F.lit("en"))
+    d = d.withColumn("q", q.withField("n_symbols", F.regexp_count("text", F.lit("#")).cast("bigint")))
+    hi = {r["source"]: r["hi_symbols"] for r in quality.thresholds(d, "q").collect()}
+    assert hi["prose"] < 0.05 and hi["code"] > 24 / 300
