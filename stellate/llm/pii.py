@@ -1,20 +1,22 @@
 r"""Personal data by bootstrapped contextual extraction.
 
 Seeds are what the base patterns find (email, ip, card, phone, with their
-checks).  Identifier-like words (with a digit or an ``@``) that no seed covers
-are candidates.  The word before and the word after an entity are its lexical
-patterns, so seeds and candidates make a bipartite graph of patterns and
-values.  Every round Spark scores it:
-
-* a pattern's confidence for a kind is ``known / (all + 1)``: of the
-  different values that it brings, how many are known to be of the kind;
-  patterns with fewer than ``support`` known values, or below ``confidence``,
-  are not used;
+checks).  Identifier-like words (with a digit or an ``@``) and groups of digits
+with blanks between them that no seed covers are candidates; a word inside such
+groups is not one by itself.  The word before and the word after an entity are
+its lexical patterns, so seeds and candidates make a bipartite graph of
+patterns and values.  Every round Spark scores it:
+
+* a pattern's confidence for a kind is ``known / (known + other + 1)``, where
+  ``other`` are the different values that it brings that are known to be of
+  another kind only, or that lack the kind's loose shape; values that may be of
+  the kind count neither way.  Patterns with fewer than ``support`` known
+  values, or below ``confidence``, are not used;
 * a candidate value of the kind's loose shape that a used pattern brings is
   accepted, and counts as known in the next round.
 
-The rounds end when no value is new, or after ``rounds``.  Every occurrence
-of an accepted value at a used pattern becomes a span, beside all base spans.
+The rounds end when no value is new.  Every candidate place of an accepted
+value becomes a span, whatever its patterns, beside all base spans.
 The loose shapes keep numbers of versions, prices and years out: an email has
 an ``@``; an ip three dots or colons; a card 12 to 19 digits; a phone 7 to 15.
 
@@ -55,6 +57,8 @@ _HINT = {"email": "@", "ip": ".", "phone": "+"}
 _OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
 #: A word with a digit or an at sign, tried at word starts only.
 _CANDIDATE = (r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]++")
+#: Groups of digits with blanks, dots or dashes between them.
+_GROUPS = (r"(?<![^\x20\x09-\x0D])(?:\([0-9]{1,4}\)|[0-9]{1,6})(?:[\x20.-]{1,2}[0-9]{2,6}){1,5}(?![0-9])")
 _BLANK = r"[\x20\x09-\x0D]"
 _CONTEXT = 64  # code points around an entity that are searched for a word
 _PIECE = 10    # texts are cut into pieces of 2^10 code points to reach a place
@@ -226,6 +230,10 @@ def extract_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     d = _with_base(d, "text", names)
     d = d.withColumn("base", _tagged(names))
     d = _matches(d, "text", _CANDIDATE, "_words", F.col("text").rlike("[0-9@]"))
+    d = _matches(d, "text", _GROUPS, "_groups", F.col("text").rlike("[0-9)] [0-9]"))
+    d = d.withColumn("_groups", _free(F.filter("_groups", lambda g: F.contains(g["value"], F.lit(" ")) & F.length(
+        _digits(g["value"])).between(7, 19)), "base"))
+    d = d.withColumn("_words", F.concat(_free(_free(F.col("_words"), "base"), "_groups"), F.col("_groups")))
     d = d.withColumn("_pieces", F.when(
         (F.size("base") > 0) | (F.size("_words") > 0),
         _pieces(F.col("text"))))
@@ -236,20 +244,32 @@ def extract_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             F.lit(i).alias("kind"), s["value"].alias("value"), _sides(t, s["start"], s["end"]).alias("patterns")))
 
     seeds = F.concat(*map(seeds_of, range(len(KINDS))))
-    candidates = F.transform(_free(F.col("_words"), "base"), lambda w: F.struct(
+    candidates = F.transform("_words", lambda w: F.struct(
         w["start"].alias("start"), w["end"].alias("end"), _core(w["value"]).alias("value"),
         _sides(t, w["start"], w["end"]).alias("patterns")))
     return d.select("doc_id", "key", "base", seeds.alias("seeds"), candidates.alias("candidates"))
 
 
-def _used(known: DataFrame, every: DataFrame, support: int, confidence: float) -> DataFrame:
+def _unlike(every: DataFrame) -> DataFrame:
+    """How many values of a pattern lack a kind's shape: ``(pattern, kind, unlike)``."""
+    kinds = F.explode(F.array(*map(F.lit, range(len(KINDS))))).alias("kind")
+    return (every.select("pattern", "value", kinds).where(~_shape(F.col("kind"), F.col("value")))
+            .groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("unlike")))
+
+
+def _used(known: DataFrame, unlike: DataFrame, support: int, confidence: float) -> DataFrame:
     """The patterns to use: ``(pattern, kind)``."""
-    total = every.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
-    good = known.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("good")).where(F.col("good") >= support)
-    return good.join(total, "pattern").where(F.col("good") >= confidence * (F.col("total") + 1)).select("pattern", "kind")
+    kinds = F.explode(F.array(*map(F.lit, range(len(KINDS))))).alias("kind")
+    each = known.groupBy("pattern", "value").agg(F.collect_set("kind").alias("of")).select("pattern", "value", "of", kinds)
+    good = F.array_contains("of", F.col("kind"))
+    count = each.groupBy("pattern", "kind").agg(
+        F.count_if(good).alias("good"), F.count_if(~good & _shape(F.col("kind"), F.col("value"))).alias("bad"))
+    j = count.where(F.col("good") >= support).join(unlike, ["pattern", "kind"], "left")
+    every = F.col("good") + F.col("bad") + F.coalesce("unlike", F.lit(0))
+    return j.where(F.col("good") >= confidence * (every + 1)).select("pattern", "kind")
 
 
-def discover(found: DataFrame, *, support: int = 5, confidence: float = 0.8, rounds: int = 4) -> DataFrame:
+def discover(found: DataFrame, *, support: int = 5, confidence: float = 0.8) -> DataFrame:
     """New spans ``(key, start, kind, end)`` from written
     :func:`extract_entities` rows."""
     def edges(col: str, *fields: str) -> DataFrame:
@@ -262,10 +282,10 @@ def discover(found: DataFrame, *, support: int = 5, confidence: float = 0.8, rou
     places = materialize(edges("candidates", "start", "end", "value").where(F.length("value") > 0), "pii-places")
     others = materialize(places.select("pattern", "value").distinct(), "pii-others")
     known = materialize(seeds, "pii-known")
-    every = materialize(seeds.select("pattern", "value").union(others).distinct(), "pii-graph")
+    unlike = materialize(_unlike(seeds.select("pattern", "value").union(others).distinct()), "pii-unlike")
     used, size = None, known.count()
-    for _ in range(rounds):
-        new_used = materialize(_used(known, every, support, confidence), "pii-used")
+    while True:  # known values only grow
+        new_used = materialize(_used(known, unlike, support, confidence), "pii-used")
         release(used)
         used = new_used
         accepted = (others.join(used, "pattern").where(_shape(F.col("kind"), F.col("value")))
@@ -279,7 +299,9 @@ def discover(found: DataFrame, *, support: int = 5, confidence: float = 0.8, rou
         if n == size:
             break
         size = n
-    out = places.join(used, "pattern").where(_shape(F.col("kind"), F.col("value")))
+    release(used)
+    values = known.select("value", "kind").distinct()
+    out = places.join(values, "value").where(_shape(F.col("kind"), F.col("value")))
     return out.select("key", "start", "kind", "end").distinct()
 
 
