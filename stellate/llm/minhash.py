@@ -19,15 +19,17 @@ coordinates is concentrated about its mean as for independent samples.
    sets, recomputed from the texts; what holds is a link.  A bucket of m
    members makes m - 1 pairs, not all.
 4. Buckets of three or more that still hold several components of those links
-   are compared member by member: by size, component and sketch (a pair at
-   the threshold lies seven standard deviations above the limit), in tiles,
-   each pair only in the first band that it shares.  What remains is verified
-   as in 3.  So every pair of a bucket is verified, or in one component
-   already, or excluded by its sketch.
+   are compared member by member, in tiles of bounded memory: pairs of one
+   component are skipped, also of components that have just met; others go by
+   size, by sketch (a pair at the threshold lies seven standard deviations
+   above the limit) and, each only in the first band that it shares, by the
+   full sets as 64-bit hashes.  A tile gives a forest of its links.  So every
+   pair of a bucket is verified, or in one component already, or excluded by
+   its sketch, and no pairs are listed.
 
 Hot spots: a leader's members are verified in chunks (the leader's text goes
-to each), a large bucket is cut into chunks that its rows are streamed
-through, and joins have written sides, which adaptive execution splits.
+to each), a large bucket is cut into chunks of which any two meet in a tile,
+and joins have written sides, which adaptive execution splits.
 
 Defined cases: a null or blank text has the empty set (0 shingles), is linked
 with nothing and its component is its own id, kept; a text of fewer words than
@@ -50,7 +52,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import materialize, release
+from ..session import materialize, tidy
 from .common import fresh, keep_known, shuffle_parts, table
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -162,6 +164,14 @@ def _confirm(width: int, percent: int):
 _MEMBERS = 64  # of one leader, in a chunk
 
 
+def _texts(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """(k1, k2, text), once each, of the rows in ``need`` and few others:
+    only texts that a filter of fixed size lets through are moved."""
+    some = keep_known(docs.select("k1", "k2", "text"), "k1", need.select("k1"))
+    return some.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+
+
+@tidy
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets reach the threshold."""
     spark = docs.sparkSession
@@ -176,67 +186,93 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     need = (members.unionByName(leaders)
             .join(classes.select("sid", "k1", "k2"), "sid").select("a", "chunk", "sid", "k1", "k2"))
     need = materialize(need, "minhash-need")
-    # Only texts that may be needed are moved: a filter of fixed size first.
-    texts = keep_known(docs.select("k1", "k2", "text"), "k1", need.select("k1"))
-    texts = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"))  # repeated rows
-    rows = (texts.join(need, ["k1", "k2"]).repartition(shuffle_parts(spark), "a", "chunk")
+    rows = (_texts(docs, need).join(need, ["k1", "k2"]).repartition(shuffle_parts(spark), "a", "chunk")
             .sortWithinPartitions("a", "chunk", F.col("sid") != F.col("a"), "sid")
             .select("a", "chunk", "sid", "text"))
-    links = materialize(rows.mapInArrow(_confirm(width, percent), "a bigint, b bigint").distinct(), "minhash-links")
-    release(crowd)
-    release(need)
-    return links
+    return materialize(rows.mapInArrow(_confirm(width, percent), "a bigint, b bigint").distinct(), "minhash-links")
 
 
 # ------------------------------------------------------- members of a bucket
-_TILE_ROWS = 2048
+def _hashed_sets(width: int):
+    """Rows (sid, text) -> (sid, items): the sorted 64-bit hashes of the
+    whole set, so that sets can be compared over and over."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary())
+            for at in range(0, len(batch), 256):
+                items = []
+                for text in texts.slice(at, 256):
+                    found = shingles(text.as_py() or b"", width)
+                    items.append(np.sort(np.fromiter(map(digest, found), np.uint64, len(found))).tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(items, pa.binary())],
+                                                 names=["sid", "items"])
+
+    return run
+
+
+_TILE_BYTES = 32 << 20  # of sets that are held in one tile
 
 
-def _agreeing(t: int, rows: int, percent: int):
-    """Rows (bucket, chunk, band, copied, leader, sid, cmp, n, sig), home rows
-    first: pairs of a home and a copied row that are worth a verification."""
+def _tiles(t: int, rows: int, percent: int):
+    """Rows (bucket, i, j, band, side, sid, cmp, sig, items): tile (i, j) of a
+    bucket compares its chunks i (side 0, held) and j (side 1, streamed), or
+    chunk i with itself.  Gives a forest of the links between components."""
     sure = percent / 100
     limit = math.floor(t * sure - 7 * math.sqrt(t * sure * (1 - sure)))
 
-    def pairs(home: list, copied: list, band: int):
-        hs, hc, hn, hsig = home
-        cs, cc, cn, csig = copied
-        for i in range(len(hs)):
-            ok = ((hs[i] < cs) & (hc[i] != cc) & (100 * np.minimum(hn[i], cn) >= percent * np.maximum(hn[i], cn)))
-            at = np.flatnonzero(ok)
-            if not len(at):
-                continue
-            same = csig[at] == hsig[i]
-            good = same.sum(axis=1) >= limit
-            whole = same[:, :t // rows * rows].reshape(len(at), -1, rows).all(axis=2)
-            good &= whole.argmax(axis=1) == band  # the first band that they share
-            for j in at[good].tolist():
-                yield int(hs[i]), int(cs[j])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, home, parts = None, None, []
+        key = None
+        parent: dict[int, int] = {}
+        sids: list[int] = []
+        items: list[np.ndarray] = []
+        roots, sizes, sigs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, t), np.uint16)
+
+        def find(c: int) -> int:
+            while (p := parent.get(c, c)) != c:
+                parent[c] = c = parent.get(p, p)
+            return c
+
         for batch in batches:
-            bucket, chunk, copied = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
-            band = batch.column(2).to_numpy()
-            cols = [batch.column(i).to_numpy() for i in (4, 5, 6)]
-            sig = np.frombuffer(b"".join(batch.column(7).to_pylist()), "<u2").reshape(-1, t)
-            edge = np.flatnonzero((bucket[1:] != bucket[:-1]) | (chunk[1:] != chunk[:-1])
-                                  | (copied[1:] != copied[:-1])) + 1
-            for a, b in zip([0, *edge], [*edge, len(bucket)]):
-                if a == b:
-                    continue
-                if (bucket[a], chunk[a]) != key:
-                    key, home, parts = (bucket[a], chunk[a]), None, []
-                part = [c[a:b] for c in cols] + [sig[a:b]]
-                if not copied[a]:
-                    parts.append(part)
-                    home = None
-                    continue
-                if home is None:
-                    home = [np.concatenate(x) for x in zip(*parts)]
-                got = list(pairs(home, part, int(band[a])))
-                if got:
-                    yield _pairs_batch(*zip(*got))
+            got = []
+            heads = zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5, 6)))
+            for r, (bucket, i, j, band, side, sid, cmp) in enumerate(heads):
+                if (bucket, i, j) != key:
+                    key = (bucket, i, j)
+                    parent, sids, items = {}, [], []
+                    roots, sizes, sigs = np.zeros(64, np.int64), np.zeros(64, np.int64), np.zeros((64, t), np.uint16)
+                sig = np.frombuffer(batch.column(7)[r].as_py(), "<u2")
+                own = np.frombuffer(batch.column(8)[r].as_py(), np.uint64)
+                n, held = len(own), len(sids)
+                root = find(cmp)
+                if held and (i == j or side):
+                    size = sizes[:held]
+                    at = np.flatnonzero((roots[:held] != root)
+                                        & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
+                    same = sigs[at] == sig
+                    count = same.sum(axis=1)
+                    whole = same[:, :t // rows * rows].reshape(len(at), t // rows, rows).all(axis=2)
+                    # Only in the first band that they share.
+                    good = np.flatnonzero((count >= limit) & (whole.argmax(axis=1) == band))
+                    for x in at[good[np.argsort(-count[good], kind="stable")]].tolist():
+                        if roots[x] == root:
+                            continue
+                        a, b = (own, items[x]) if n <= sizes[x] else (items[x], own)
+                        place = np.searchsorted(b, a)
+                        both = int((b[np.minimum(place, len(b) - 1)] == a).sum())
+                        if 100 * both >= percent * (n + int(sizes[x]) - both):
+                            other = int(roots[x])
+                            parent[other] = root
+                            roots[:held][roots[:held] == other] = root
+                            got.append((sid, sids[x]))
+                if i == j or not side:
+                    if held == len(sigs):
+                        roots, sizes, sigs = (np.concatenate((z, np.zeros_like(z))) for z in (roots, sizes, sigs))
+                    roots[held], sizes[held], sigs[held] = root, n, sig
+                    sids.append(sid)
+                    items.append(own)
+            if got:
+                yield _pairs_batch(*zip(*got))
 
     return run
 
@@ -249,35 +285,38 @@ def _bands(classes: DataFrame, bands: int, rows: int) -> DataFrame:
             .select(F.xxhash64("band", piece).alias("bucket"), "band", "sid", "n"))
 
 
-def _left_over(shared: DataFrame, classes: DataFrame, links: DataFrame, t: int, rows: int, percent: int) -> DataFrame:
-    """Pairs of members of one bucket that lie in different components."""
-    spark = shared.sparkSession
+@tidy
+def _left_over(shared: DataFrame, classes: DataFrame, links: DataFrame, docs: DataFrame, width: int, t: int,
+               rows: int, percent: int) -> DataFrame | None:
+    """Links between members of one bucket that lie in different components."""
     labels = materialize(connected_components(links, "a", "b", edges_distinct=True), "minhash-labels-1")
     members = shared.where("members > 2").join(labels.withColumnRenamed("id", "sid"), "sid", "left").select(
-        "bucket", "band", "leader", "sid", F.coalesce("cmp", "sid").alias("cmp"))
+        "bucket", "band", "leader", "sid", "n", F.coalesce("cmp", "sid").alias("cmp"))
     members = materialize(members, "minhash-members")
     split = materialize(members.groupBy("bucket").agg(
         F.min("cmp").alias("x"), F.max("cmp").alias("y"),
-        F.ceil(F.count(F.lit(1)) / _TILE_ROWS).cast("int").alias("chunks")).where("x <> y").select("bucket", "chunks"),
-        "minhash-split")
-    out = None
-    if not split.isEmpty():
-        # The leader has been verified with everyone.
-        open_ = members.join(split, "bucket").where(F.col("sid") != F.col("leader"))
-        open_ = materialize(open_.join(classes.select("sid", "n", "sig"), "sid"), "minhash-open")
-        own = F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int")
-        cols = ["bucket", "chunk", "band", "copied", "sid", "cmp", "n", "sig"]
-        home = open_.withColumn("chunk", own).withColumn("copied", F.lit(False)).select(*cols)
-        copied = open_.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn(
-            "copied", F.lit(True)).select(*cols)
-        tiles = (home.unionByName(copied).repartition(shuffle_parts(spark), "bucket", "chunk")
-                 .sortWithinPartitions("bucket", "chunk", "copied"))
-        out = materialize(tiles.mapInArrow(_agreeing(t, rows, percent), "a bigint, b bigint").distinct(),
-                          "minhash-more")
-        release(open_)
-    for x in (labels, members, split):
-        release(x)
-    return out
+        F.ceil(F.sum(8 * F.col("n") + 2 * t) / _TILE_BYTES).cast("int").alias("chunks"))
+        .where("x <> y").select("bucket", "chunks"), "minhash-split")
+    if split.isEmpty():
+        return None
+    # The leader has been verified with everyone.
+    open_ = materialize(members.join(split, "bucket").where(F.col("sid") != F.col("leader"))
+                        .select("bucket", "chunks", "band", "sid", "cmp"), "minhash-open")
+    need = open_.select("sid").distinct().join(classes.select("sid", "k1", "k2", "sig"), "sid")
+    need = materialize(need, "minhash-need")
+    texts = _texts(docs, need).join(need.select("sid", "k1", "k2"), ["k1", "k2"]).select("sid", "text")
+    sets = texts.mapInArrow(_hashed_sets(width), "sid bigint, items binary")
+    sets = materialize(sets.join(need.select("sid", "sig"), "sid"), "minhash-sets")
+    # Chunk c of a bucket is in the tiles (c, j) and (i, c).
+    c, last = F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int"), F.col("chunks") - 1
+    tile = F.transform(F.sequence(F.lit(0), last), lambda o: F.struct(
+        F.least(c, o).alias("i"), F.greatest(c, o).alias("j"), (o < c).cast("int").alias("side")))
+    tiles = open_.select("bucket", "band", "sid", "cmp", F.explode(tile).alias("x")).join(sets, "sid")
+    tiles = (tiles.select("bucket", F.col("x.i").alias("i"), F.col("x.j").alias("j"), "band",
+                          F.col("x.side").alias("side"), "sid", "cmp", "sig", "items")
+             .repartition(shuffle_parts(docs.sparkSession), "bucket", "i", "j")
+             .sortWithinPartitions("bucket", "i", "j", "side"))
+    return materialize(tiles.mapInArrow(_tiles(t, rows, percent), "a bigint, b bigint").distinct(), "minhash-more")
 
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, bands: int, rows: int) -> DataFrame:
@@ -304,22 +343,19 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, percent: int,
     stars = stars.where(100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
     stars = materialize(stars.select(F.col("leader").alias("a"), F.col("sid").alias("b")), "minhash-stars")
     links = _verified(stars, classes, keyed, width, percent)
-    more = _left_over(shared, classes, links, t, rows, percent)
-    found = links
-    if more is not None:
-        found = links.unionByName(_verified(more, classes, keyed, width, percent)).distinct()
+    more = _left_over(shared, classes, links, keyed, width, t, rows, percent)
+    found = links if more is None else links.unionByName(more)
     labels = connected_components(found, "a", "b", edges_distinct=True)
     labelled = materialize(classes.select("sid", "h1", "h2", "least").join(
         labels.withColumnRenamed("id", "sid"), "sid", "left").select(
         "h1", "h2", "least", F.coalesce("cmp", "sid").alias("cmp")), "minhash-labels")
     lowest = materialize(labelled.groupBy("cmp").agg(F.min("least").alias("component_id")), "minhash-components")
     by_set = materialize(labelled.join(lowest, "cmp").select("h1", "h2", "cmp", "component_id"), "minhash-result")
-    for x in (classes, buckets, shared, stars, links, more, labelled, lowest):
-        release(x)
     # Plain scans on both sides: a set that very many rows have is split.
     return made.drop("sig").join(by_set, ["h1", "h2"], "left")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle_words: int = 2,
                     percent: int = 80, bands: int = 48, rows: int = 5) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row: rows whose
@@ -330,6 +366,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return got.withColumn("kept", F.coalesce(F.col(doc_id) == F.col("component_id"), F.lit(False)))
 
 
+@tidy
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle_words: int = 2,
                          percent: int = 80, bands: int = 48, rows: int = 5) -> DataFrame:
     """One row of each component stays: the one with the least id (null ids

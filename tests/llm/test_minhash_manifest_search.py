@@ -79,7 +79,7 @@ def test_minhash_finds_every_link(spark, percent, width, monkeypatch):
     # Below 80 % more bands are needed to meet every link for certain.
     bands, per = (48, 5) if percent == 80 else (96, 3)
     # Small tiles and chunks, so that groups are cut.
-    monkeypatch.setattr(minhash, "_TILE_ROWS", 8)
+    monkeypatch.setattr(minhash, "_TILE_BYTES", 4096)
     monkeypatch.setattr(minhash, "_MEMBERS", 4)
     d = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     got = minhash.near_duplicates(d, shingle_words=width, percent=percent, bands=bands, rows=per).collect()
