@@ -15,6 +15,10 @@ least vertex of each component.  The test comes from the large-star step
 itself (a flag per edge and a count per vertex), so it costs no shuffle of
 the edges.
 
+Before the first step every task replaces the edges that it reads by the stars
+of their components, so repeats, and edges inside what a task can already tell
+to be one component, never reach a shuffle.
+
 Scale notes: the minima are ``groupBy`` aggregates (partial aggregation on the
 map side, so a hub vertex is combined before the shuffle); the joins are
 many-to-one on a key with one row on the small side, which AQE's skew-join
@@ -31,7 +35,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import join_input, materialize, release
+from ..session import join_input, materialize, release, tidy
+from .forest import star_forest
 
 
 class ComponentsDidNotConverge(RuntimeError):
@@ -98,6 +103,7 @@ def _was_star_forest(hit: bool | None, m: DataFrame) -> bool:
     return most is None or most <= 1
 
 
+@tidy
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          group_by: list[str] | None = None,
                          max_iterations: int = 200,
@@ -112,10 +118,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     same job, the group columns being part of every key (NULL is a group of
     its own).
 
-    ``edges_distinct=True`` tells that no unordered pair occurs twice (as
-    with generated neighbour pairs), which saves the shuffle that removes
-    repeats; a wrong claim costs time, not correctness.  A ``stats`` dict
-    receives the number of canonical edges and of steps.
+    Without ``group_by`` every partition first contracts its edges to stars
+    (:func:`stellate.operators.forest.star_forest`).  With it,
+    ``edges_distinct=True`` tells that no unordered pair occurs twice, which
+    saves the shuffle that removes repeats; a wrong claim costs time, not
+    correctness.  A ``stats`` dict receives the number of edges given (with
+    both ends) and of steps.
 
     Returns ``(*group_by, id BIGINT, cmp BIGINT)``, one row per vertex.
     """
@@ -128,14 +136,20 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                           F.col(dst).cast("bigint").alias("b"))
              .where(F.col("a").isNotNull() & F.col("b").isNotNull())
              .select(*g, F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
-    if not edges_distinct:
+    given = Observation()
+    pairs = pairs.observe(given, F.count(F.lit(1)).alias("n"))
+    if not groups:
+        # Each partition's edges become stars of their components where they
+        # are read: no shuffle sees more than a partition's vertices.
+        pairs = pairs.mapInArrow(star_forest(), "u bigint, v bigint")
+    elif not edges_distinct:
         pairs = pairs.distinct()
     canon = materialize(pairs, "cc-canon")
     selfs = canon.where(F.col("u") == F.col("v")).select(*g, F.col("u").alias("id"),
                                                          F.col("u").alias("cmp"))
     cur = canon.where(F.col("u") != F.col("v"))
     if stats is not None:
-        stats["edges"] = canon.count()
+        stats["edges"] = given.get["n"]
         stats["steps"] = 0
     for _ in range(max_iterations):
         if stats is not None:
@@ -164,13 +178,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
              .unionByName(cur.select(*g, F.col("v").alias("id"), F.col("v").alias("cmp")))
              .unionByName(selfs))
     # Large labellings are written, so that a relabel join against them can
-    # have its giant-component key split by AQE; then the steps behind them
-    # can go.
+    # have its giant-component key split by AQE; the steps behind a written
+    # labelling go at once, those that a small one reads go with it.
     agg = cands.groupBy(*g, "id").agg(F.min("cmp").alias("cmp"))
     if groups:
         agg = agg.select(*[F.col("_g")[c].alias(c) for c in groups], "id", "cmp")
-    labels = join_input(agg, "cc-labels")
-    if labels is not cands and getattr(labels, "_stellate_path", None):
-        release(cur if cur is not canon else None)
-        release(canon)
-    return labels
+    return join_input(agg, "cc-labels")

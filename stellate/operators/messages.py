@@ -35,7 +35,7 @@ def classify_messages(lines: DataFrame, line: str = "line") -> DataFrame:
             .withColumn("reason", invalid_reason(line)))
 
 
-def assign_rounds(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+def assign_rounds(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK, keep_stopped: bool = False) -> DataFrame:
     """Round number of every line and removal of lines after a stop.
 
     A line without ``line_no`` has no place in its log: it comes out as
@@ -43,37 +43,46 @@ def assign_rounds(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFram
 
     ``round`` counts the ``c1`` lines up to and including the line (0 before
     the first); lines after the first ``c4`` or test-exit marker of their log
-    are dropped.  Input: ``(log_id, line_no, line)``; output adds the columns
-    of :func:`classify_messages` and ``round``.
+    are dropped, or kept and marked in a column ``stopped``.  ``asks`` counts
+    the ``c2`` lines of the log before the line.  Input: ``(log_id, line_no,
+    line)``; output adds the columns of :func:`classify_messages`, ``round``
+    and ``asks``.
     """
     every = classify_messages(lines)
     c = every.where(F.col("line_no").isNotNull())
     lost = (every.where(F.col("line_no").isNull())
             .withColumn("kind", F.lit("invalid")).withColumn("reason", F.lit("no line number"))
             .withColumn("control", F.lit(None).cast(every.schema["control"].dataType))
-            .withColumn("round", F.lit(None).cast("bigint")))
+            .withColumn("round", F.lit(None).cast("bigint")).withColumn("asks", F.lit(None).cast("bigint")))
     x = (c.withColumn("_start", ((F.col("kind") == "control")
                                  & (F.col("control") == CONTROL_START)).cast("int"))
+         .withColumn("_ask", ((F.col("kind") == "control")
+                              & (F.col("control") == CONTROL_FINISHED)).cast("int"))
          .withColumn("_stop", ((F.col("kind") == "exit")
                                | ((F.col("kind") == "control")
                                   & (F.col("control") == CONTROL_SHUTDOWN))).cast("int"))
          .withColumn("_chunk", F.expr(f"line_no div {int(chunk_size)}")))
-    totals = x.groupBy("log_id", "_chunk").agg(F.sum("_start").alias("_st"),
+    totals = x.groupBy("log_id", "_chunk").agg(F.sum("_start").alias("_st"), F.sum("_ask").alias("_as"),
                                               F.max("_stop").alias("_sp"))
     before = Window.partitionBy("log_id").orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select("log_id", "_chunk",
                             F.coalesce(F.sum("_st").over(before), F.lit(0)).alias("_st0"),
+                            F.coalesce(F.sum("_as").over(before), F.lit(0)).alias("_as0"),
                             F.coalesce(F.max("_sp").over(before), F.lit(0)).alias("_sp0"))
     inside = Window.partitionBy("log_id", "_chunk").orderBy("line_no")
     y = join_on(x, offsets, ["log_id", "_chunk"], null_safe=("log_id",))
     y = (y.withColumn("round", F.col("_st0") + F.sum("_start").over(
             inside.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("asks", F.col("_as0") + F.coalesce(F.sum("_ask").over(
+             inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
          .withColumn("_stopped", F.greatest(F.col("_sp0"), F.coalesce(F.max("_stop").over(
              inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))))
-    return (y.where(F.col("_stopped") == 0)
-            .drop("_start", "_stop", "_chunk", "_st0", "_sp0", "_stopped")
-            .unionByName(lost))
+    temporary = ("_start", "_ask", "_stop", "_chunk", "_st0", "_as0", "_sp0", "_stopped")
+    if keep_stopped:
+        return (y.withColumn("stopped", F.col("_stopped") == 1).drop(*temporary)
+                .unionByName(lost.withColumn("stopped", F.lit(False))))
+    return y.where(F.col("_stopped") == 0).drop(*temporary).unionByName(lost)
 
 
 def asked_edges(rounds: DataFrame, edges: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 Two codes are neighbours when one unit moves from one digit to another.  The
 moves of a code are generated as an array inside the row and exploded, so
 the work is spread over the partitions of the codes, with no cross join and
-no per-row Python.  A code of length L has at most L*(L-1) neighbours.
+no per-row Python.  A code of length L has at most L*(L-1) neighbours.  Where
+only the components matter, :func:`successor_edges` describes the same graph
+by stars around shared successors.
 """
 
 from __future__ import annotations
@@ -84,3 +86,29 @@ def neighbor_edges(table: DataFrame) -> DataFrame:
     nb = _moves(table.select("uid", F.col("cmp").alias("src")), "uid", ("src",), upward_only=True)
     right = table.select(F.col("uid").alias("nbr"), F.col("cmp").alias("dst"))
     return nb.join(right, "nbr").select("src", "dst")
+
+
+def successor_keys(codes: DataFrame, uid: str = "uid", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(uid, *keep, key)``: the codes that have one unit more than ``uid`` in
+    one digit.  Two codes are neighbours exactly when they share such a key
+    (x + e_p = y + e_q), and they share one only: at most L rows a code
+    describe what takes L*(L-1) neighbour candidates."""
+    u, p = F.col("uid"), F.col("_p")
+    n = F.length(u)
+    at = (codes.select(F.col(uid).alias("uid"), *keep).where(u.rlike("^[0-9]+$"))
+          .select("uid", *keep, F.explode(F.sequence(F.lit(1), n)).alias("_p")))
+    digit = u.substr(p, F.lit(1)).cast("int")
+    return (at.where(digit < 9)
+            .select("uid", *keep, F.concat(u.substr(F.lit(1), p - 1), (digit + 1).cast("string"),
+                                           u.substr(p + 1, n)).alias("key")))
+
+
+def successor_edges(table: DataFrame) -> DataFrame:
+    """Edges ``(src, dst)`` on ``cmp`` with the components of the neighbour
+    graph of the stored codes: the members of a key (at most L of them) form
+    a star around the least.  One shuffle of at most L rows a code; no
+    candidate is generated that has to be looked up."""
+    members = successor_keys(table.select("uid", "cmp"), keep=("cmp",)).groupBy("key").agg(
+        F.min("cmp").alias("src"), F.collect_list("cmp").alias("all"))
+    return (members.where(F.size("all") > 1).select("src", F.explode("all").alias("dst"))
+            .where(F.col("src") != F.col("dst")))

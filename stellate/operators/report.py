@@ -18,8 +18,3 @@ def attach_attributes(labels: DataFrame, attrs: DataFrame, key: str = "id",
 def format_components(labels: DataFrame) -> DataFrame:
     """One printable line ``(vertex,component)`` per vertex."""
     return labels.select(F.format_string("(%d,%d)", F.col("id"), F.col("cmp")).alias("line"))
-
-
-def component_sizes(labels: DataFrame) -> DataFrame:
-    """Vertices per component."""
-    return labels.groupBy("cmp").agg(F.count(F.lit(1)).alias("n_vertices"))

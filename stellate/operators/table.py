@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import shard_of
-from ..session import join_on, materialize
+from ..session import join_on, materialize, tidy
 
 ShardFn = Callable[[Column], Column]
 
@@ -98,11 +98,6 @@ def progress_rows(table: DataFrame, every: int = 1000) -> DataFrame:
     return table.where(F.col("cmp") % every == 0)
 
 
-def within_shard(df: DataFrame, shard: int) -> DataFrame:
-    """Restrict a table to one shard (partition pruning on ``shard``)."""
-    return df.where(F.col("shard") == F.lit(shard))
-
-
 def relabel(table: DataFrame, labels: DataFrame) -> DataFrame:
     """Every row whose ``cmp`` is an old label takes the new one.
 
@@ -134,6 +129,7 @@ def known_ends(e: DataFrame, table: DataFrame,
     return resolve(known) if resolve is not None else known
 
 
+@tidy
 def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
                    dst: str = "dst",
                    resolve: Callable[[DataFrame], DataFrame] | None = None) -> Contracted:
@@ -151,15 +147,17 @@ def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
     work is edge-sized.
     """
     e = uid_edges.select(F.col(src).cast("string").alias("_s"), F.col(dst).cast("string").alias("_d"))
-    # Round-sized, and read by both outputs: written once, so the table is
+    # Round-sized, and read for both ends: written once, so the table is
     # scanned once per contraction.
     known = materialize(known_ends(e, table, resolve), "contract-known")
     s = known.select(F.col("uid").alias("_s"), F.col("cmp").alias("_sc"))
     d = known.select(F.col("uid").alias("_d"), F.col("cmp").alias("_dc"))
-    placed = e.join(s, "_s").join(d, "_d")
+    # One left join for each end, written once: the edges and the unknown
+    # ends are told apart by NULL.
+    placed = materialize(e.join(s, "_s", "left").join(d, "_d", "left"), "contract-placed")
     edges = (placed.where(F.col("_sc") != F.col("_dc"))
              .select(F.col("_sc").alias("src"), F.col("_dc").alias("dst"))
              .distinct())
-    unknown = (e.join(placed.select("_s", "_d").distinct(), ["_s", "_d"], "left_anti")
+    unknown = (placed.where(F.col("_sc").isNull() | F.col("_dc").isNull())
                .select(F.col("_s").alias("src"), F.col("_d").alias("dst")))
     return Contracted(edges, unknown)

@@ -26,11 +26,11 @@ from ..functions.codes import (code_of_number, code_string, digit_sum, digits, i
 from ..operators.components import connected_components, vertices_from_edges
 from ..operators.messages import (assign_rounds, classify_messages, format_messages,
                                   parse_edges, round_snapshots)
-from ..operators.neighbors import neighbor_edges, neighbors, stored_neighbors
+from ..operators.neighbors import neighbor_edges, neighbors, stored_neighbors, successor_edges
 from ..operators.report import attach_attributes, format_components
 from ..operators.table import (assign_dense_ids, component_members, contract_edges,
                                lookup_uids, populate, progress_rows, relabel)
-from ..session import materialize
+from ..session import materialize, tidy
 from ..sources.codes import code_width, enumerate_codes
 from ..sources.edges import union_edges
 from .rounds import acknowledgements, merge_rounds, snapshot_components
@@ -146,6 +146,11 @@ def q_components_codes(spark, d):
     return _code_labels(spark, d)[1]
 
 
+def q_components_codes_by_successor(spark, d):
+    """The same components from shared successors: no neighbour candidates."""
+    return connected_components(successor_edges(code_table(spark, d)))
+
+
 def q_relabel(spark, d):
     t, labels = _code_labels(spark, d)
     return relabel(t, labels)
@@ -280,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "lookup_uids": q_lookup_uids,
     "progress_rows": q_progress_rows,
     "components_codes": q_components_codes,
+    "components_codes_by_successor": q_components_codes_by_successor,
     "relabel": q_relabel,
     "component_members": q_component_members,
     "contract_edges": q_contract_edges,
@@ -305,6 +311,11 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# Steps that a query has written and that its result does not read are gone
+# when it returns.
+QUERIES = {name: tidy(query) for name, query in QUERIES.items()}
+
+
 # ---------------------------------------------------------------- oracle SQL
 _CODES = """codes AS (
   SELECT lpad(CAST(c_custkey AS VARCHAR), w.width, '0') AS uid, c_custkey, c_nationkey, w.width
@@ -518,3 +529,4 @@ SELECT t.uid, coalesce(cc.lbl, t.cmp) AS cmp FROM tbl t LEFT JOIN cc ON cc.v = t
     "dense_order_ids": """SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS seq
 FROM orders""",
 }
+ORACLE_SQL["components_codes_by_successor"] = ORACLE_SQL["components_codes"]

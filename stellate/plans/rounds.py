@@ -23,15 +23,105 @@ from pyspark.sql import functions as F
 
 from ..functions.messages import CONTROL_FINISHED, CONTROL_WRITTEN, control_line
 from ..operators.components import connected_components
-from ..operators.messages import DEFAULT_CHUNK, assign_rounds, round_snapshots
+from ..operators.forest import snapshot_labels, weighted_forest
+from ..operators.messages import DEFAULT_CHUNK, assign_rounds, parse_edges
 from ..operators.table import contract_edges, relabel
-from ..session import materialize, release
+from ..session import join_on, materialize, release, shuffle_partitions, tidy
 
 
-def snapshot_components(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """``(log_id, snapshot_line, id, cmp)``: components of each snapshot."""
-    snaps = round_snapshots(lines, chunk_size)
-    return connected_components(snaps, group_by=["log_id", "snapshot_line"])
+#: Edges of one round that a task takes, and rows that it gives.
+ROUND_EDGES, ROUND_ROWS = 1 << 18, 1 << 22
+
+
+@tidy
+def snapshot_components(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK,
+                        round_edges: int | None = None, round_rows: int | None = None) -> DataFrame:
+    """``(log_id, snapshot_line, id, cmp)``: components of each snapshot, the
+    graph of all edges of the round before a ``c2``.
+
+    An edge is never paired with the snapshots that hold it.  Its weight is
+    the first ``c2`` after it (the running number of the ``c2`` lines), and
+    the snapshot of the k-th ``c2`` has the components of the forest edges of
+    weight up to k, for any minimum spanning forest of the round.  So each
+    round's distinct edges are read once, lightest first, and every ``c2``
+    on the way gives the labels as they stand.
+
+    A round of more than ``round_edges`` distinct edges is cut into chunks
+    whose minimum spanning forests take its place, again and again while
+    that at least halves it; what is still larger (that many vertices in one
+    round) is solved as a distributed job, one graph a snapshot, from those
+    forests.  A round that gives more than ``round_rows`` rows is given by
+    several tasks, each for a run of its snapshots.
+    """
+    most, rows_most = round_edges or ROUND_EDGES, round_rows or ROUND_ROWS
+    r = materialize(assign_rounds(lines, chunk_size), "rounds")
+    asks = (r.where((F.col("kind") == "control") & (F.col("control") == CONTROL_FINISHED))
+            .select("log_id", "round", (F.col("asks") + 1).alias("w"), F.col("line_no").alias("snapshot")))
+    edges = parse_edges(r, keep=("log_id", "round", "line_no", "asks")).edges
+    # The next c2 after an edge has the number asks + 1; in another round it
+    # does not ask for the edge.
+    weighted = (edges.groupBy("log_id", "round", F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
+                .agg(F.min(F.col("asks") + 1).alias("w")))
+    rounds = asks.groupBy("log_id", "round").agg(F.min("w").alias("first"), F.max("w").alias("last"))
+    rounds = materialize(rounds.withColumn("group", F.monotonically_increasing_id()), "snapshot-rounds")
+    e = join_on(weighted, rounds, ["log_id", "round"], null_safe=("log_id",))
+    e = materialize(e.where("w <= last").select("group", "w", "u", "v"), "snapshot-edges")
+    sizes = _group_sizes(e)
+    large = sizes.where(F.col("n") > most)
+    if not large.isEmpty():
+        e, sizes = _thinned(e, sizes, most)
+        large = sizes.where(F.col("n") > most)
+    marks = join_on(asks, rounds, ["log_id", "round"], null_safe=("log_id",)).select("group", "w", "snapshot")
+    out = _labels_in_tasks(e, marks, rounds, sizes.where(F.col("n") <= most), rows_most)
+    if not large.isEmpty():
+        out = out.unionByName(_labels_by_job(e.join(large.select("group"), "group", "left_semi"), marks))
+    back = join_on(out, rounds.select("group", "log_id"), ["group"])
+    return back.select("log_id", F.col("snapshot").alias("snapshot_line"), "id", "cmp")
+
+
+def _group_sizes(e: DataFrame) -> DataFrame:
+    return materialize(e.groupBy("group").agg(F.count(F.lit(1)).alias("n")), "snapshot-sizes")
+
+
+def _thinned(e: DataFrame, sizes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Forests in place of the edges of large rounds, while that helps."""
+    parts = shuffle_partitions(e.sparkSession)
+    while True:
+        cut = sizes.where(F.col("n") > most).select("group", F.ceil(F.col("n") / most).cast("int").alias("chunks"))
+        before = cut.join(sizes, "group").agg(F.sum("n")).first()[0] or 0
+        dealt = (e.join(cut, "group").withColumn("chunk", F.pmod(F.xxhash64("u", "v"), F.col("chunks")).cast("int"))
+                 .select("group", "chunk", "w", "u", "v").repartition(parts, "group", "chunk")
+                 .sortWithinPartitions("group", "chunk", "w"))
+        forest = dealt.mapInArrow(weighted_forest(), "group bigint, chunk int, w bigint, u bigint, v bigint")
+        rest = e.join(cut.select("group"), "group", "left_anti")
+        e = materialize(rest.unionByName(forest.select(*e.columns)), "snapshot-edges")
+        now = _group_sizes(e)
+        after = cut.select("group").join(now, "group").agg(F.sum("n")).first()[0] or 0
+        sizes = now
+        if 2 * after > before or now.where(F.col("n") > most).isEmpty():
+            return e, sizes
+
+
+def _labels_in_tasks(e: DataFrame, marks: DataFrame, rounds: DataFrame, sizes: DataFrame, rows_most: int) -> DataFrame:
+    span = rounds.select("group", "first", (F.col("last") - F.col("first") + 1).alias("snaps")).join(sizes, "group")
+    slices = F.least(F.col("snaps"), F.ceil(2 * F.col("n") * F.col("snaps") / rows_most)).cast("int")
+    span = span.select("group", "first", "snaps", slices.alias("slices"))
+    own = F.expr("(greatest(w, first) - first) * slices div snaps").cast("int")
+    marked = marks.join(span, "group").select("group", own.alias("slice"), "w", F.lit(None).cast("bigint").alias("u"),
+                                              F.lit(None).cast("bigint").alias("v"), "snapshot")
+    # An edge counts in the slice of its first snapshot and in all later ones.
+    given = e.join(span, "group").select(
+        "group", F.explode(F.sequence(own, F.col("slices") - 1)).alias("slice"), "w", "u", "v",
+        F.lit(None).cast("bigint").alias("snapshot"))
+    rows = (given.unionByName(marked).repartition(shuffle_partitions(e.sparkSession), "group", "slice")
+            .sortWithinPartitions("group", "slice", "w", F.col("snapshot").isNotNull()))
+    return rows.mapInArrow(snapshot_labels(), "group bigint, snapshot bigint, id bigint, cmp bigint")
+
+
+def _labels_by_job(e: DataFrame, marks: DataFrame) -> DataFrame:
+    m = marks.withColumnRenamed("w", "k")
+    graphs = e.join(m, "group").where("w <= k").select("group", "snapshot", "u", "v")
+    return connected_components(graphs, "u", "v", group_by=["group", "snapshot"], edges_distinct=True)
 
 
 def acknowledgements(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
@@ -43,11 +133,6 @@ def acknowledgements(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataF
                     control_line(CONTROL_WRITTEN).alias("message")))
 
 
-def log_edges(lines: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
-    """Every edge that some ``c2`` asks for, once (the union of snapshots)."""
-    return round_snapshots(lines, chunk_size).select("src", "dst").distinct()
-
-
 def resolve_labels(rows: DataFrame, history: DataFrame) -> DataFrame:
     """Current labels of table rows, through a history ``(old, cur)``."""
     return relabel(rows, history.select(F.col("old").alias("id"), F.col("cur").alias("cmp")))

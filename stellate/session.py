@@ -9,9 +9,13 @@ computed once (``Dataset.checkpoint`` would compute an uncached plan twice).
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import threading
 import uuid
+from typing import Any, Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session should carry: AQE re-plans joins from real sizes,
@@ -87,8 +91,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+#: Written steps of the functions under :func:`tidy` that are running in this thread.
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark).rstrip('/')}/stellate/{name}-{uuid.uuid4().hex}"
+    """A new place under the checkpoint folder (see :func:`tidy`)."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/stellate/{name}-{uuid.uuid4().hex}"
+    running = getattr(_scopes, "stack", None)
+    if running:
+        running[-1][path] = spark
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -101,6 +114,67 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _frames(result: Any) -> list[DataFrame]:
+    """The DataFrames in the result of a library function."""
+    if isinstance(result, DataFrame):
+        return [result]
+    if isinstance(result, (list, tuple)):
+        return [f for x in result for f in _frames(x)]
+    if hasattr(result, "__dataclass_fields__"):
+        return [f for x in vars(result).values() for f in _frames(x)]
+    return []
+
+
+def _read_paths(df: DataFrame) -> set[str]:
+    """Root folders of the files that a DataFrame will read."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                roots = relation.location().rootPaths()
+                out |= {roots.apply(k).toUri().getPath() for k in range(roots.size())}
+    return out
+
+
+def tidy(fn: Callable) -> Callable:
+    """Decorator: when ``fn`` returns, the steps that it has written and that
+    its result does not read are deleted (all of them if it fails).  The
+    others go with the result, see :func:`release`, or with the function
+    around it that is tidied too."""
+    @functools.wraps(fn)
+    def run(*args, **kwargs):
+        stack = _scopes.__dict__.setdefault("stack", [])
+        mine: dict[str, SparkSession] = {}
+        stack.append(mine)
+        try:
+            out = fn(*args, **kwargs)
+            frames = _frames(out) if mine else []
+            reads = [_read_paths(f) for f in frames]
+        except BaseException:
+            stack.pop()
+            for path, spark in mine.items():
+                delete_path(spark, path)
+            raise
+        stack.pop()
+        for f in frames:
+            f._stellate_steps = []  # type: ignore[attr-defined]
+        for path, spark in mine.items():
+            root = hadoop_fs(spark, path)[0].toUri().getPath()
+            readers = [f for f, r in zip(frames, reads) if any(f"{x}/".startswith(f"{root}/") for x in r)]
+            for f in readers:
+                f._stellate_steps.append(path)  # type: ignore[attr-defined]
+            if not readers:
+                delete_path(spark, path)
+            elif stack:
+                stack[-1][path] = spark
+        return out
+
+    return run
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """``(Path, FileSystem)`` of a location, through the session's Hadoop
     configuration (works for any file system the cluster is set up for)."""
@@ -109,6 +183,42 @@ def hadoop_fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a whole small file at once: it is written aside and renamed to
+    ``path``.  False (and nothing changed) if there is a file already."""
+    p, fs = hadoop_fs(spark, path)
+    aside, _ = hadoop_fs(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    fs.mkdirs(p.getParent())
+    out = fs.create(aside, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    none = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").valueOf("NONE")
+    how = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    how[0] = none
+    try:
+        # Unlike FileSystem.rename, this one fails where the name is taken.
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+            fs.makeQualified(aside), fs.makeQualified(p), how)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(aside, False)
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file (metadata)."""
+    p, fs = hadoop_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote (old steps of an iteration)."""
     p, fs = hadoop_fs(spark, path)
@@ -116,10 +226,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def release(df: DataFrame | None) -> None:
-    """Delete the files behind a DataFrame made by :func:`materialize`."""
+    """Delete the files behind a DataFrame made by :func:`materialize`, or
+    the steps that the result of a tidied function reads, after its use."""
+    if df is None:
+        return
     path = getattr(df, "_stellate_path", None)
-    if df is not None and path:
-        delete_path(df.sparkSession, path)
+    for p in [path] if path else getattr(df, "_stellate_steps", ()):
+        delete_path(df.sparkSession, p)
 
 
 def stored_bytes(df: DataFrame) -> int | None:
@@ -177,6 +290,18 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (empty when it does not exist)."""
+    p, fs = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
             null_safe: tuple[str, ...] = ()) -> DataFrame:
     """Equi-join on same-named ``keys``, keeping one copy of each key.

@@ -12,6 +12,10 @@ from stellate.session import get_session  # noqa: E402
 
 SF = "/root/testdata"
 
+# The message lines of the protocol's worked example, and their edges.
+PROTOCOL_EXAMPLE = ["c1", "1 3;3 6;9 8", "3 5;2 4", "5 6", "4 7;7 10", "c2", "cTEST_EXIT"]
+PROTOCOL_EDGES = [(1, 3), (3, 6), (9, 8), (3, 5), (2, 4), (5, 6), (4, 7), (7, 10)]
+
 
 @pytest.fixture(scope="session")
 def spark():

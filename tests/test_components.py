@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import union_find
+from conftest import PROTOCOL_EDGES, union_find
 from stellate.operators.components import connected_components, vertices_from_edges
 from stellate.operators.report import attach_attributes, format_components
 from stellate.sources.attributes import read_attributes
@@ -22,7 +22,7 @@ def labels(df):
 
 
 def test_message_graph_g1(spark):
-    e = edges_from_rows(spark, [(1, 3), (3, 6), (9, 8), (3, 5), (2, 4), (5, 6), (4, 7), (7, 10)])
+    e = edges_from_rows(spark, PROTOCOL_EDGES)
     got = labels(connected_components(e))
     assert len(got) == 10
     assert {v: got[v] for v in (1, 3, 5, 6)} == {1: 1, 3: 1, 5: 1, 6: 1}

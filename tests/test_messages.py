@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from conftest import PROTOCOL_EXAMPLE
 from pyspark.sql import functions as F
 
 from stellate.operators.messages import (MalformedMessage, assign_rounds, classify_messages,
@@ -16,11 +17,8 @@ def log(spark, lines, log_id="L"):
                                  "log_id string, line_no bigint, line string")
 
 
-G1 = ["c1", "1 3;3 6;9 8", "3 5;2 4", "5 6", "4 7;7 10", "c2", "cTEST_EXIT"]
-
-
 def test_g1_log_end_to_end(spark):
-    lines = log(spark, G1)
+    lines = log(spark, PROTOCOL_EXAMPLE)
     comps = {r.id: r.cmp for r in snapshot_components(lines).collect()}
     assert len(comps) == 10
     assert {comps[v] for v in (1, 3, 5, 6)} == {1}
@@ -130,3 +128,50 @@ def test_null_log_id_is_a_log_of_its_own(spark):
                                   "log_id string, line_no bigint, line string")
     got = sorted((r.log_id or "", r.id, r.cmp) for r in snapshot_components(lines).collect())
     assert got == [("", 1, 1), ("", 2, 1), ("A", 3, 3), ("A", 4, 3)]
+
+
+@pytest.mark.parametrize("edges,rows", [(None, None), (8, 40), (3, 10)])
+def test_snapshots_by_forests(spark, edges, rows):
+    """Many snapshots in a round, repeats, self-loops, resets, two logs and a
+    null one; rounds in one task, cut into chunks, and as a distributed job."""
+    import random
+
+    from conftest import union_find
+
+    rnd = random.Random(4)
+    logs, want = [], {}
+    for name in ("a", "b", None):
+        own = []
+        for r in range(3):
+            own += ["c1"] + [rnd.choice(["c2", f"{rnd.randrange(40)} {rnd.randrange(40)}",
+                                         f"{rnd.randrange(40)} {rnd.randrange(12)};{k} {k}"]) for k in range(50)]
+        logs += [(name, i, s) for i, s in enumerate(own)]
+        seen = []
+        for i, s in enumerate(own):
+            if s == "c1":
+                seen = []
+            elif s == "c2":
+                want |= {(name, i, v): c for v, c in union_find(seen).items()}
+            else:
+                seen += [tuple(map(int, p.split())) for p in s.split(";")]
+    d = spark.createDataFrame(logs, "log_id string, line_no bigint, line string").repartition(3)
+    got = snapshot_components(d, round_edges=edges, round_rows=rows).collect()
+    assert {(r.log_id, r.snapshot_line, r.id): r.cmp for r in got} == want and len(got) == len(want)
+
+
+def test_snapshots_do_not_multiply_edges(spark):
+    """A path that grows by one edge a snapshot: the solver takes each edge once."""
+    lines = log(spark, ["c1"] + [x for i in range(200) for x in (f"{i} {i + 1}", "c2")])
+    df = snapshot_components(lines)
+    rows = df.collect()
+    assert len(rows) == sum(range(2, 202)) and {r.cmp for r in rows} == {0}
+    edges = [p for p in df._stellate_steps if "snapshot-edges" in p]
+    assert [spark.read.parquet(p).count() for p in edges] == [200]
+
+
+def test_asks_are_counted_over_chunks(spark):
+    lines = log(spark, ["c1", "1 2", "c2", "3 4", "c2", "c1", "5 6", "c2", "c4", "7 8"])
+    for chunk in (2, 100):
+        got = assign_rounds(lines, chunk_size=chunk, keep_stopped=True).orderBy("line_no").collect()
+        assert [r.asks for r in got] == [0, 0, 0, 1, 1, 2, 2, 2, 3, 3]
+        assert [r.stopped for r in got] == [False] * 9 + [True]

@@ -133,6 +133,6 @@ def test_base_write_splits_a_large_shard(spark, scratch):
         store.populate(spark.range(0, 200000).select(F.format_string("%06d", "id").alias("uid")),
                        check_unique=False)
     import glob
-    files = glob.glob(f"{scratch}/tbl/base/v=0/shard=0/*.parquet")
+    files = glob.glob(f"{scratch}/tbl/data/rows-*/shard=0/*.parquet")
     assert len(files) > 1
     assert store.read().count() == 200000

@@ -75,13 +75,14 @@ def test_store_rounds(spark, scratch):
     store.populate(enumerate_codes(spark, 3).select("uid"))
     assert store.current_version() == 1
     assert store.lookup("042").first().cmp == 42
+    rows = store.layer_of_shards()
     n, edges, parts = _random_rounds(5, n=1000, m=600)
     for i, p in enumerate(parts):
         e = spark.createDataFrame(p, "src bigint, dst bigint")   # numbers, padded to width 3
-        store.merge_round(e, batch_id=i)
+        store.merge_round(e, batch_id=i, source="test")
     # a replayed batch is skipped
     assert store.merge_round(spark.createDataFrame([(1, 2)], "src bigint, dst bigint"),
-                             batch_id=0).skipped
+                             batch_id=0, source="test").skipped
     uf = union_find(edges)
     got = {int(r.uid): r.cmp for r in store.read().collect()}
     assert got == {i: uf.get(i, i) for i in range(1000)}
@@ -92,14 +93,18 @@ def test_store_rounds(spark, scratch):
     assert "PartitionFilters" in plan and "shard" in plan
     members = {r.uid for r in store.members(got[7]).collect()}
     assert members == {f"{i:03d}" for i in range(1000) if uf.get(i, i) == got[7]}
-    # a round writes only the label history; compaction folds it into the base
-    assert store.current_version() == 1
+    # a round writes only the label history; compaction folds it into the rows
+    assert store.layer_of_shards() == rows
     before = sorted(map(tuple, store.read().collect()))
     store.compact()
-    assert store.current_version() == 2 and store.history().count() == 0
+    assert store.current_version() == 5 and store.history().count() == 0
     assert sorted(map(tuple, store.read().collect())) == before
+    assert {r.uid for r in store.members(got[7]).collect()} == members
     store.drop(shard=9)
-    assert store.read().where("shard = 9").count() == 0
+    assert store.read().where("shard = 9").count() == 0 and store.read().count() == 900
+    assert store.at(5).read().count() == 1000  # the version before the drop
+    with pytest.raises(ValueError):
+        store.drop(shard=9)
     store.drop()
     assert not store.exists()
 
@@ -165,10 +170,11 @@ def test_round_never_rewrites_the_base(spark, scratch):
 
     store = ComponentStore(spark, f"{scratch}/tbl", uid_width=3)
     store.populate(enumerate_codes(spark, 3).select("uid"))
+    rows = store.layer_of_shards()
     with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "100"}):
         store.merge_round(spark.createDataFrame([(i, i + 1) for i in range(0, 400, 2)],
                                                 "src bigint, dst bigint"))
-        assert store.current_version() == 0 and store.history().count() == 200
+        assert store.layer_of_shards() == rows and store.history().count() == 200
         got = {int(r.uid): r.cmp for r in store.read().collect()}
     assert got[1] == 0 and got[399] == 398 and got[500] == 500
     assert store.members(1).count() == 0 and {r.uid for r in store.members(0).collect()} == {"000", "001"}
@@ -260,22 +266,3 @@ def test_populate_with_given_numbers(spark, scratch):
     store.populate(spark.createDataFrame([("42", 7), ("17", 3)], "uid string, cmp bigint"))
     got = sorted(map(tuple, store.read().collect()))
     assert got == [("17", 3, False, 1), ("42", 7, False, 4)]
-
-
-def test_store_refuses_to_overwrite_a_committed_version(spark, scratch):
-    import os
-
-    from stellate.plans.store import ConcurrentUpdate
-
-    store = ComponentStore(spark, f"{scratch}/tbl")
-    store.populate(enumerate_codes(spark, 2).select("uid"))
-    # what a crashed attempt leaves is no version and is not touched
-    os.makedirs(f"{scratch}/tbl/_tmp/crashed")
-    store.merge_round(spark.createDataFrame([("01", "10")], "src string, dst string"))
-    assert store.history_version() == 1 and os.path.isdir(f"{scratch}/tbl/_tmp/crashed")
-    # another writer committed v=2 meanwhile: this writer must not clobber it
-    stale = ComponentStore(spark, f"{scratch}/tbl")
-    stale.history_version = lambda: 1
-    spark.createDataFrame([(5, 1)], "old bigint, cur bigint").write.parquet(f"{scratch}/tbl/history/v=2")
-    with pytest.raises(ConcurrentUpdate):
-        stale._write_history(spark.createDataFrame([], "old bigint, cur bigint"))
