@@ -16,8 +16,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from stellate.plans.catalog import QUERIES  # noqa: E402
-from stellate.session import get_session  # noqa: E402
+from stellate.plans import catalog, stored  # noqa: E402
+from stellate.session import get_session, release  # noqa: E402
+
+QUERIES = {**catalog.QUERIES, **stored.QUERIES}
 
 HEADLINE = [
     "relabel",                  # customer codes: stored neighbours -> components -> relabel
@@ -32,6 +34,8 @@ HEADLINE = [
     "populate_table",
     "dense_order_ids",
 ]
+#: Queries of stored tables and streams.
+STORED = ["store_rounds", "stream_rounds"]
 
 
 def store_cycle(spark, sf_dir: str, root: str) -> dict[str, float]:
@@ -61,7 +65,7 @@ def store_cycle(spark, sf_dir: str, root: str) -> dict[str, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:] or HEADLINE + STORED
     ck = os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-ck-", dir="/tmp")
     spark = get_session(f"local[{cpus}]", app="stellate-bench",
                         shuffle_partitions=int(cpus) * 2,
@@ -75,8 +79,10 @@ def main() -> None:
     times = {}
     for name in names:
         t0 = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        df = QUERIES[name](spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        release(df)
     if not sys.argv[1:]:
         times.update(store_cycle(spark, sf_dir, ck))
     m = re.search(r"sf([0-9.]+)", sf_dir)
