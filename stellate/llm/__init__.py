@@ -1,7 +1,8 @@
 """Training-data operators.
 
-Functions that run in Python workers are shipped by value, so the executors
-need no copy of this repository.
+Functions that run in Python workers are shipped by value, and broadcast
+objects of this package with their classes (:class:`stellate.llm.common.Shipped`),
+so the executors need no copy of this repository.
 """
 
 import sys

@@ -54,7 +54,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from ..session import materialize
-from .common import fresh, table
+from .common import Shipped, fresh, table
 
 DEFAULT_FILE = "byte_bpe_50k.json"
 FILTER_BITS = 24
@@ -357,7 +357,7 @@ def encode_documents(docs: DataFrame, text: str = "text", out: str = "ids", *, p
     shared = (held.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= 2).select("digest"))
     shared = materialize(shared, "bpe-shared")
-    found = spark.sparkContext.broadcast(_shared_filter(shared, filter_bits))
+    found = Shipped(spark, _shared_filter(shared, filter_bits))
 
     # Each shared chunk is encoded once.
     parts = docs.select(F.col(text)).mapInArrow(_candidates(found), "digest binary, part binary")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import pickle
+from typing import Any
 
 import numpy as np
-
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,25 @@ def chunks_of(rows: int, most: int) -> int:
     return max(1, math.ceil(rows / most))
 
 
+class Shipped:
+    """A broadcast object of a class of this package.  A plain broadcast
+    pickles such a class by reference, and executors without a copy of the
+    repository cannot read it; here the class travels with the object, and
+    each task opens it once."""
+
+    def __init__(self, spark: SparkSession, obj: Any):
+        self._data = spark.sparkContext.broadcast(cloudpickle.dumps(obj))
+
+    def __getstate__(self) -> dict:
+        return {"_data": self._data}
+
+    @property
+    def value(self) -> Any:
+        if "_value" not in self.__dict__:
+            self._value = pickle.loads(self._data.value)
+        return self._value
+
+
 class BitFilter:
     """Which 64-bit hashes may be in a set: one bit for each value of their
     first ``bits`` bits.  Its size is fixed, whatever the set."""

@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import even_keys, shuffle_parts, table
+from .common import Shipped, even_keys, shuffle_parts, table
 
 Batches = Iterator[pa.RecordBatch]
 K = 5  # counts up to K are discounted
@@ -484,7 +484,7 @@ def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     words = rows.mapInArrow(_word_counts(group_tokens), "word bigint, n bigint")
     words = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "katz-words")
     u = _unigrams(words, frequent)
-    uni = spark.sparkContext.broadcast(u)
+    uni = Shipped(spark, u)
     parts = shuffle_parts(spark)
     shards = even_keys(spark, parts)
     # As contexts: a word stands before something as often as it occurs; the

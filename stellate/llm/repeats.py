@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize, release
-from .common import BitFilter, bit_filter, fresh, shuffle_parts, table
+from .common import BitFilter, Shipped, bit_filter, fresh, shuffle_parts, table
 
 Batches = Iterator[pa.RecordBatch]
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -310,8 +310,8 @@ def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *,
         F.min("doc_id").alias("a"), F.max("doc_id").alias("b"),
         (F.min("digest") != F.max("digest")).alias("mixed")).where("a < b").select("phrase", "mixed")
     recurring = materialize(recurring, "repeats-phrases")
-    known = spark.sparkContext.broadcast(bit_filter(recurring, "phrase", filter_bits))
-    mixed = spark.sparkContext.broadcast(bit_filter(recurring.where("mixed"), "phrase", filter_bits))
+    known = Shipped(spark, bit_filter(recurring, "phrase", filter_bits))
+    mixed = Shipped(spark, bit_filter(recurring.where("mixed"), "phrase", filter_bits))
     runs = materialize(cols.mapInArrow(_located(plan, known, mixed, shard_words), _RUN_ROWS), "repeats-located")
     owners = _owners(runs, crowd)
     j = runs.drop("windows").join(owners, ["phrase", "digest"])
@@ -362,7 +362,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     got = materialize(got.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), found), "repeats-removed")
     # Documents that lose nothing are written where they are read; only those
     # that may lose words (a filter of fixed size, exact after the join) move.
-    hit = spark.sparkContext.broadcast(bit_filter(got.select(h), h, filter_bits))
+    hit = Shipped(spark, bit_filter(got.select(h), h, filter_bits))
     moved = keyed.mapInArrow(_rows_in(hit, h), keyed.schema)
     j = moved.join(got, (moved[doc_id].cast("bigint") == got[i]) & (moved[h] == got[h]), "left")
     j = j.select(*[moved[c] for c in docs.columns], found)
