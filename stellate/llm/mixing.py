@@ -11,20 +11,21 @@ aggregate over the size classes (source, size, number of documents).
 Rounding is exact per source up to a few words: a class takes the
 difference of the rounded running sums of its copies (in size order, so the
 error stays below one document), then greedy corrections give or take whole
-copies of the largest class that fits into what is left.  Inside a class
-every document gets the same copies, and the remainder goes to the documents
-with the least hash; classes are cut into hash buckets of about
-``bucket_rows`` documents first, so a class with very many documents (exact
-copies) is spread over tasks.
+copies of the largest class that fits into what is left, until none does.
+Rows that are equal in all columns are one unit with a multiplicity.  Inside a
+class every row gets the same copies, and the remainder goes to units in the
+order of their hashes, by running sums of the multiplicities, so a unit may get
+it for some of its rows only; classes are cut into hash buckets of about
+``bucket_rows`` units first, so a class with very many is spread over tasks.
 
 Targets: sources in code point order, null last, weigh 5, 2, 1 and again;
 they share all words by weight, a source stops at ``cap`` times its size and
 what is over is shared again by weight (water level, found by one window).
 
-Defined cases: a null text has size 0 (rate 1, nothing taken); a null source
-is a source of its own; a source without words has target 0; rows that agree
-in id, source and text get the same copies; an empty table gives an empty
-table; other columns pass through :func:`mix_documents`.
+Defined cases: a null or blank text has size 0, stays once and counts for
+nothing; a null source is a source of its own; a source without words has
+target 0; equal rows get copies that differ by one at most; an empty table
+gives an empty table; other columns pass through :func:`mix_documents`.
 
 Only DataFrame functions are used.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import materialize, release
+from ..session import materialize, release, tidy
 from .common import WORD, fresh, table
 
 WEIGHTS = (5, 2, 1)
@@ -54,8 +55,10 @@ def _source_key(source: str) -> Column:
     return F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n"))
 
 
-def _hash(doc_id: str, text: str) -> Column:
-    return F.xxhash64(F.col(doc_id), F.col(text))
+def _hash(docs: DataFrame) -> Column:
+    """Equal for rows that are equal in all columns (that can be hashed)."""
+    maps = {f.name for f in docs.schema if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString()}
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c not in maps])
 
 
 def source_targets(classes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3) -> DataFrame:
@@ -82,7 +85,7 @@ def source_targets(classes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap:
 def _rate(cap: int) -> Column:
     """Rate of a size class under its source's multiplier (null: at the cap)."""
     power = F.col("lam") * F.col("size") / F.col("scale")
-    return F.when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(
+    return F.when(F.col("size") == 0, 1.0).when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(
         F.least(F.lit(float(cap)), F.exp(F.least(power, F.lit(50.0)))))
 
 
@@ -135,8 +138,9 @@ def solve_rates(classes: DataFrame, targets: DataFrame, cap: int = 3, tolerance:
     raise MixDidNotConverge(f"no balance in {max_iterations} iterations, error {worst}")
 
 
-def round_copies(classes: DataFrame, state: DataFrame, cap: int = 3, rounds: int = 12) -> DataFrame:
-    """Whole copies per size class: ``(sk, size, n, copies)``."""
+def round_copies(classes: DataFrame, state: DataFrame, cap: int = 3) -> DataFrame:
+    """Whole copies per size class: ``(sk, size, n, copies)``.  Every
+    correction brings each source that it changes nearer to its target."""
     run = Window.partitionBy("sk").orderBy(F.desc("size"))
     c = classes.join(state.select("sk", "target", "scale", "lam"), "sk")
     c = c.select("sk", "size", "n", "target", F.sum(F.col("n") * _rate(cap)).over(run).alias("upto"))
@@ -144,7 +148,7 @@ def round_copies(classes: DataFrame, state: DataFrame, cap: int = 3, rounds: int
                  (F.round("upto") - F.coalesce(F.lag(F.round("upto")).over(run), F.lit(0.0)))
                  .cast("bigint").alias("copies"))
     cur = materialize(c, "mix-copies")
-    for _ in range(rounds):
+    while True:
         err = cur.groupBy("sk").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("err"))
         j = cur.where(F.col("size") > 0).join(err, "sk")
         room = F.when(F.col("err") > 0, cap * F.col("n") - F.col("copies")).otherwise(F.col("copies"))
@@ -168,59 +172,89 @@ def round_copies(classes: DataFrame, state: DataFrame, cap: int = 3, rounds: int
 
 
 def _plan(sizes: DataFrame, weights: tuple[int, ...], cap: int, bucket_rows: int) -> DataFrame:
-    """Copies for written rows ``(.., sk, size, h)``: adds ``source_size``,
-    ``target`` and ``copies``."""
-    classes = materialize(sizes.groupBy("sk", "size").agg(F.count(F.lit(1)).alias("n")), "mix-classes")
+    """Copies for rows ``(doc_id, sk, size, h)``: one row for each unit of equal
+    ones with ``mult`` (how many they are), ``source_size``, ``target``,
+    ``base`` (copies of each row) and ``extra`` (rows that get one more)."""
+    units = materialize(sizes.groupBy("sk", "size", "h").agg(
+        F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("mult")), "mix-units")
+    classes = materialize(units.groupBy("sk", "size").agg(F.sum("mult").alias("n"), F.count(F.lit(1)).alias("units")),
+                          "mix-classes")
     targets = materialize(source_targets(classes, weights, cap), "mix-targets")
     copies = round_copies(classes, solve_rates(classes, targets, cap), cap)
     base = F.floor(F.col("copies") / F.col("n"))
     per_class = materialize(
-        copies.join(targets.select("sk", "source_size"), "sk")
+        copies.join(targets.select("sk", "source_size"), "sk").join(classes.select("sk", "size", "units"), ["sk", "size"])
         .select("sk", "size", "n", "source_size", "target", base.alias("base"),
-                (F.col("copies") - base * F.col("n")).alias("extra"),
-                F.ceil(F.col("n") / bucket_rows).alias("buckets")), "mix-plan")
-    rows = materialize(sizes.join(per_class, ["sk", "size"])
+                (F.col("copies") - base * F.col("n")).alias("left"),
+                F.ceil(F.col("units") / bucket_rows).alias("buckets")), "mix-plan")
+    rows = materialize(units.join(per_class, ["sk", "size"])
                        .withColumn("bucket", F.pmod(F.col("h"), F.col("buckets"))), "mix-rows")
     key = ["sk", "size", "bucket"]
-    part = rows.where(F.col("extra") > 0).groupBy(*key).agg(
-        F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("extra").alias("extra"))
+    part = rows.where(F.col("left") > 0).groupBy(*key).agg(
+        F.sum("mult").alias("m"), F.first("n").alias("n"), F.first("left").alias("left"))
     upto = F.sum("m").over(Window.partitionBy("sk", "size").orderBy("bucket"))
-    share = F.floor(F.col("extra") * F.col("upto") / F.col("n"))
+    share = F.floor(F.col("left") * F.col("upto") / F.col("n"))
     part = part.select("*", upto.alias("upto"))
-    part = part.select(*key, (share - F.floor(F.col("extra") * (F.col("upto") - F.col("m")) / F.col("n")))
+    part = part.select(*key, (share - F.floor(F.col("left") * (F.col("upto") - F.col("m")) / F.col("n")))
                        .alias("take"))
-    # The hash of the last document of each bucket that gets one more copy.
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy("h"))
-    ranked = rows.where(F.col("extra") > 0).select(*key, "h", nth.alias("nth"))
-    last = materialize(ranked.join(part, key).where(F.col("nth") == F.col("take"))
-                       .select(*key, F.col("h").alias("last")), "mix-last")
-    more = F.when(F.col("h") <= F.col("last"), F.lit(1)).otherwise(F.lit(0))
-    return rows.join(last, key, "left").select(
-        *sizes.columns, "source_size", "target", (F.col("base") + more).alias("copies"))
+    before = F.coalesce(F.sum("mult").over(
+        Window.partitionBy(*key).orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = rows.where(F.col("left") > 0).select(*key, "h", "mult", before.alias("before")).join(part, key)
+    extra = F.greatest(F.lit(0), F.least("mult", F.col("take") - F.col("before")))
+    more = materialize(ranked.select("sk", "h", "size", extra.alias("extra")).where("extra > 0"), "mix-extra")
+    return rows.join(more, ["sk", "size", "h"], "left").select(
+        "doc_id", "sk", "size", "h", "mult", "source_size", "target", "base",
+        F.coalesce("extra", F.lit(0)).cast("bigint").alias("extra"))
 
 
+#: Rows of one unit that a task makes.
+_RUN = 1 << 16
+
+
+def _repeated(df: DataFrame, times: Column, nth: str) -> DataFrame:
+    """Every row ``times`` times, numbered from 1 in column ``nth``; rows with
+    very many repeats are dealt to several tasks."""
+    n, run = fresh(df, "_times"), fresh(df, "_run")
+    df = df.withColumn(n, times.cast("bigint")).where(F.col(n) > 0)
+    few = df.where(F.col(n) <= _RUN).withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(n)
+    runs = df.where(F.col(n) > _RUN).withColumn(run, F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / _RUN))))
+    first = F.col(run) * _RUN
+    many = (runs.repartition(run).withColumn(nth, F.explode(F.sequence(
+        first + 1, F.least(first + _RUN, F.col(n))))).drop(n, run))
+    return few.unionByName(many)
+
+
+def _sizes(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    return materialize(docs.select(F.col(doc_id).alias("doc_id"), _source_key(source).alias("sk"),
+                                   _words(text).alias("size"), _hash(docs).alias("h")), "mix-sizes")
+
+
+@tidy
 def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", *,
              weights: tuple[int, ...] = WEIGHTS, cap: int = 3, bucket_rows: int = 256) -> DataFrame:
     """``(doc_id, sk, size, h, source_size, target, copies)`` for every row;
-    ``sk`` and ``h`` stand for the source and the text."""
-    sizes = materialize(docs.select(F.col(doc_id).alias("doc_id"), _source_key(source).alias("sk"),
-                                    _words(text).alias("size"), _hash(doc_id, text).alias("h")),
-                        "mix-sizes")
-    return _plan(sizes, weights, cap, bucket_rows)
+    ``sk`` and ``h`` stand for the source and the whole row."""
+    units = _plan(_sizes(docs, doc_id, text, source), weights, cap, bucket_rows)
+    rows = _repeated(units, F.col("mult"), "nth")
+    copies = F.col("base") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)
+    return rows.select("doc_id", "sk", "size", "h", "source_size", "target", copies.alias("copies"))
 
 
-def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-                  **opts) -> DataFrame:
+@tidy
+def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", *,
+                  weights: tuple[int, ...] = WEIGHTS, cap: int = 3, bucket_rows: int = 256) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    plan = mix_plan(docs, doc_id, text, source, **opts)
-    a, b, c = (fresh(docs, x) for x in ("_sk", "_h", "_copies"))
-    taken = materialize(plan.where(F.col("copies") > 0)
-                        .groupBy(F.col("sk").alias(a), F.col("h").alias(b))
-                        .agg(F.max("copies").cast("int").alias(c)), "mix-taken")
-    keyed = docs.withColumns({a: _source_key(source), b: _hash(doc_id, text)})
-    j = keyed.join(taken, [a, b])
-    return (j.withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c))))
-            .select(*[F.col(f"`{x}`") for x in docs.columns]))
+    plan = _plan(_sizes(docs, doc_id, text, source), weights, cap, bucket_rows)
+    a, b, c, m = (fresh(docs, x) for x in ("_sk", "_h", "_copies", "_mult"))
+    taken = plan.select(F.col("sk").alias(a), F.col("h").alias(b), F.col("mult").alias(m),
+                        (F.col("base") * F.col("mult") + F.col("extra")).alias(c))
+    taken = materialize(taken.where(F.col(c) > 0), "mix-taken")
+    keyed = docs.withColumns({a: _source_key(source), b: _hash(docs)})
+    single = keyed.join(taken.where(F.col(m) == 1), [a, b])
+    # Equal rows cannot be told apart: one of them stands for all.
+    equal = keyed.join(taken.where(F.col(m) > 1), [a, b]).dropDuplicates([a, b])
+    out = _repeated(single.unionByName(equal), F.col(c), fresh(docs, "_nth"))
+    return out.select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
