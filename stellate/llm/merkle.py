@@ -1,7 +1,9 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
-Leaves are paragraphs: a line with its newline, cut again after a sentence
-end followed by a blank, so that one very long line still locates its edits.
+Leaves are paragraphs: a line with its newline, cut again after a sentence or
+clause end followed by a blank, and after a blank behind a word of seven
+letters or more that ends in a vowel (and some signs), so that a very long line, with or without
+punctuation, still locates its edits.  The cuts depend on the nearby text only.
 The leaves put together are the text.  A section is a run of leaves up to and
 including one whose digest ends in 0 or 8 (one in eight on average): the
 content sets the borders, so an insertion moves no later section.  The digest
@@ -28,7 +30,8 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +41,7 @@ from .common import fresh, shuffle_parts, table, text_or_empty
 
 LEAF_DIGITS = 12
 #: Between these characters a paragraph ends (Java regular expression).
-_CUT = r"(?<=\n)|(?<=[.!?] )"
+_CUT = r"(?<=\n)|(?<=[.!?,;:] )|(?<=\p{L}{6}[aeiou][^ \p{L}]{0,3} )"
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -89,32 +92,48 @@ def changed_branches(a: Column, b: Column) -> Column:
     return F.struct(lost.alias("sections"), gone.alias("leaves"))
 
 
+def _ranges(docs: DataFrame, key: str, n: int) -> Column:
+    """The number of a key's range among about ``n`` (nulls: 0), in order.
+
+    Cuts are quantiles on two levels, about sqrt(n) each: first of all keys,
+    then inside each first range.  A key is compared with the cuts of one
+    range per level; the cuts are constants of the plan, parsed from text,
+    so the plan's size does not grow with their number."""
+    wide = max(1, math.isqrt(n - 1) + 1)
+    at = [i / wide for i in range(1, wide)]
+    quantiles = F.percentile_approx(key, at, 20 * wide) if at else F.array()
+    kind = docs.schema[key].dataType.simpleString()
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c < F.col(key)))
+
+    def constant(value: list, kind: str) -> Column:
+        return F.from_json(F.lit(json.dumps(value)), kind)
+
+    first = sorted(set((docs.agg(quantiles.alias("q")).first()["q"] if at else None) or []))
+    top = F.coalesce(below(constant(first, f"array<{kind}>")), F.lit(0))
+    rows = docs.groupBy(top.alias("t")).agg(quantiles.alias("q")).collect() if at else []  # sqrt(n) rows
+    inner: list[list] = [[] for _ in range(len(first) + 1)]
+    for r in rows:
+        inner[r["t"]] = sorted(set(r["q"] or []))
+    low = below(F.element_at(constant(inner, f"array<array<{kind}>>"), top + 1))
+    return top * wide + F.coalesce(low, F.lit(0))
+
+
 def with_next_text(docs: DataFrame, doc_id: str, text: str, carry: list[str],
                    names: list[str]) -> DataFrame:
     """Adds, as ``names``, the ``carry`` columns of the next document in
     ascending (id, text) order; after the last comes the first.
 
-    Ids are cut into ranges at quantiles of the ids (a bounded list of
-    numbers), one shuffle brings each range together, and ``lead`` finds the
-    next row inside it.  The first row of each range joins the range before
-    it as a marked extra row (one per range), so the border pairs are
-    whole.  No range is the whole table, whatever its size.
+    Ids are cut into ranges of about equal size (:func:`_ranges`), one
+    shuffle brings each range together, and ``lead`` finds the next row
+    inside it.  The first row of each range joins the range before it as a
+    marked extra row (one per range), so the border pairs are whole.  No
+    range is the whole table, whatever its size.
     """
-    spark = docs.sparkSession
-    n = 4 * shuffle_parts(spark)
-    row = docs.agg(F.percentile_approx(doc_id, [i / n for i in range(1, n)], 20 * n).alias("q")).first()
-    cuts = sorted(set(row["q"] or []))
     rng, extra = fresh(docs, "_range"), fresh(docs, "_extra")
-    # Position among the cuts, by halving: log2(ranges) comparisons a row.
-    key = F.col(doc_id)
-
-    def place(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key > F.lit(cuts[mid]), place(mid + 1, hi)).otherwise(place(lo, mid))
-
-    placed = docs.withColumn(rng, F.coalesce(place(0, len(cuts)), F.lit(0))).withColumn(extra, F.lit(0))
+    placed = docs.withColumn(rng, _ranges(docs, doc_id, 4 * shuffle_parts(docs.sparkSession)))
+    placed = placed.withColumn(extra, F.lit(0))
     whole = F.struct(F.col(doc_id), F.col(text), F.struct(*docs.columns).alias("row"))
     firsts = placed.groupBy(rng).agg(F.min(whole).alias("w"))
     # One row per range: the range that comes before it (the last one for the first).

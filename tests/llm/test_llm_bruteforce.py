@@ -110,13 +110,90 @@ def test_op5(spark, docs):
         assert math.isclose(r["score"], sum(math.log10(p(*x)) for x in zip(["<s>", *tok[i]], tok[i])), rel_tol=1e-9)
 
 
+def leaves_of(text):
+    import regex
+
+    cuts = regex.finditer(r"(?V1)(?<=\n)|(?<=[.!?,;:] )|(?<=\p{L}{6}[aeiou][^ \p{L}]{0,3} )", text)
+    at = sorted({0, len(text), *(m.start() for m in cuts)})
+    return [text[i:j] for i, j in zip(at, at[1:])]
+
+
+def tree_of(text):
+    """(root, section digests, leaf digests by section), built from below."""
+    digests = [sha(x)[:12] for x in leaves_of(text)]
+    groups, cur = [], []
+    for k, d in enumerate(digests):
+        cur.append(d)
+        if d[-1] in "08" and k < len(digests) - 1:
+            groups, cur = groups + [cur], []
+    groups.append(cur)
+    sections = [sha(",".join(g))[:12] for g in groups]
+    return sha(".".join(sections))[:32], sections, groups
+
+
+def alike(a, b):
+    x, y = ({d for g in tree_of(t)[2] for d in g} for t in (a, b))
+    return 1.0 if a == b else 2 * len(x & y) / (len(x) + len(y)) if x or y else 0.0
+
+
 def test_op6(spark, docs):
     got, ids = result(spark, "op6_document_fingerprints"), list(docs)
+
+    def written(text):
+        root, sections, groups = tree_of(text)
+        return ":".join((root, ".".join(sections), "|".join(",".join(g) for g in groups)))
+
     for k, i in enumerate(ids):
         t, nxt = docs[i], docs[ids[(k + 1) % len(ids)]]
         m = len(t) // 4
-        assert got[i]["n_chars"] == len(t) and got[i]["edited_sha256"] == sha(t[:len(t) - m] + nxt[:m])
-    assert np.mean([r["near_edited"] for r in got.values()]) > 0.5 > np.mean([r["near_next"] for r in got.values()])
+        edited = t[:len(t) - m] + nxt[:m]
+        assert got[i]["n_chars"] == len(t) and got[i]["edited_sha256"] == sha(edited)
+        assert (got[i]["fingerprint"], got[i]["edited_fingerprint"]) == (written(t), written(edited))
+        assert math.isclose(got[i]["near_edited"], alike(t, edited)) and math.isclose(got[i]["near_next"], alike(t, nxt))
+    assert np.mean([r["near_edited"] for r in got.values()]) > 0.6 > np.mean([r["near_next"] for r in got.values()])
+    low = [i for i, r in got.items() if r["near_edited"] < 0.3 and len(docs[i]) > 400]
+    assert len(low) <= 0.04 * len(got)
+
+
+def test_changed_branches(spark, docs):
+    from pyspark.sql import functions as F
+
+    from stellate.llm import merkle
+
+    texts = [t for t in docs.values() if len(t) > 300][:40]
+    pairs = [(t, t[:100] + " An inserted, longer remark. " + t[100:250] + t[280:]) for t in texts] + [(t, t) for t in texts[:3]]
+    d = spark.createDataFrame(pairs, "a string, b string")
+    d = merkle.with_fingerprint(merkle.with_fingerprint(d, "a", "fa"), "b", "fb")
+    for r in d.select("a", "b", merkle.changed_branches(F.col("fa"), F.col("fb")).alias("x")).collect():
+        _, s, g = tree_of(r["a"])
+        _, t, k = tree_of(r["b"])
+        have = {x for group in k for x in group}
+        numbered, n = [], 0
+        for section, group in zip(s, g):
+            for x in group:
+                if section not in t and x not in have:
+                    numbered.append((n, section, x))
+                n += 1
+        assert list(r["x"]["sections"]) == list(dict.fromkeys(x for x in s if x not in t))
+        assert [tuple(x) for x in r["x"]["leaves"]] == numbered
+
+
+def test_ranges_do_not_grow_the_plan(spark):
+    """100,000 ranges are as quick to plan as a few, in order and even."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from stellate.llm import merkle
+
+    d = spark.range(200_000).select((F.col("id") * F.col("id")).alias("k")).repartition(4)
+    start = time.time()
+    r = d.withColumn("r", merkle._ranges(d, "k", 100_000))
+    assert time.time() - start < 20
+    rows = r.groupBy("r").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count(F.lit(1)).alias("n")).orderBy("r").collect()
+    assert all(x.b < y.a for x, y in zip(rows, rows[1:])) and len(rows) > 30_000 and max(x.n for x in rows) < 200
+    nulls = spark.createDataFrame([(None,), (3,), (1,)], "k bigint")
+    assert nulls.withColumn("r", merkle._ranges(nulls, "k", 8)).where("k is null").first()["r"] == 0
 
 
 def test_op7(spark, docs):
