@@ -7,18 +7,33 @@ groups is not one by itself.  The word before and the word after an entity are
 its lexical patterns, so seeds and candidates make a bipartite graph of
 patterns and values.  Every round Spark scores it:
 
-* a pattern's confidence for a kind is ``known / (known + other + 1)``, where
-  ``other`` are the different values that it brings that are known to be of
-  another kind only, or that lack the kind's loose shape; values that may be of
-  the kind count neither way.  Patterns with fewer than ``support`` known
-  values, or below ``confidence``, are not used;
-* a candidate value of the kind's loose shape that a used pattern brings is
-  accepted, and counts as known in the next round.
+* a pattern is used for a kind if it has ``support`` known values of the kind
+  and these are ``confidence`` or more of the values that speak for or against
+  it: against it speak values known to be of another kind only and values that
+  lack the kind's shape (dates, prices and years after a word show that the
+  word means nothing);
+* its reliability is the share of known values among all its different values
+  of the kind's shape: unseen ones count against it.  Only for a pattern that
+  names identifiers, one whose word stands beside an identifier in at least
+  half of all its places in the texts (``phone:``, not ``at``), unseen values
+  are what it is there to find, and it is reliable;
+* a candidate value of the kind's shape is accepted if the used patterns that
+  bring it are reliable together, ``1 - prod(1 - reliability) >= 0.5``, and
+  counts as known in the next round.
 
 The rounds end when no value is new.  Every candidate place of an accepted
-value becomes a span, whatever its patterns, beside all base spans.
-The loose shapes keep numbers of versions, prices and years out: an email has
-an ``@``; an ip three dots or colons; a card 12 to 19 digits; a phone 7 to 15.
+value becomes a span, whatever its patterns, beside all base spans.  A span is
+the value without the punctuation and the unpaired or enclosing brackets around
+it.
+
+Shapes: an email has an ``@`` inside; an ip four numbers with dots (and a port or
+mask) or four groups or more with colons; a card 12 to 19 digits, blanks and
+dashes; a phone 7 to 15 digits with signs between them, or all digits behind
+a ``+`` or ``0``, but neither a date nor a span of years nor a decimal number.
+
+The word before and after an entity is looked for in the 256 code points beside
+it; a longer word counts by the part nearby, and behind more blanks there is
+none.
 
 Base spans are the leftmost non-overlapping matches of each kind's pattern
 that pass its check.  Groups are possessive where nothing follows them, which
@@ -41,7 +56,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, release
+from ..session import materialize, release, tidy
 from .common import fresh, table, text_or_empty
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -58,9 +73,9 @@ _OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
 #: A word with a digit or an at sign, tried at word starts only.
 _CANDIDATE = (r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]++")
 #: Groups of digits with blanks, dots or dashes between them.
-_GROUPS = (r"(?<![^\x20\x09-\x0D])(?:\([0-9]{1,4}\)|[0-9]{1,6})(?:[\x20.-]{1,2}[0-9]{2,6}){1,5}(?![0-9])")
+_GROUPS = (r"(?<![^\x20\x09-\x0D])(?:\([0-9]{1,4}\)|[0-9]{1,6})(?:[\x20.-]{1,2}[0-9]{2,6}){1,9}(?![0-9])")
 _BLANK = r"[\x20\x09-\x0D]"
-_CONTEXT = 64  # code points around an entity that are searched for a word
+_CONTEXT = 256  # code points around an entity that are searched for a word
 _PIECE = 10    # texts are cut into pieces of 2^10 code points to reach a place
 _BLOCK = 7     # running values are combined in blocks of 2^7
 
@@ -207,17 +222,32 @@ def _written(spans: Column) -> Column:
         ":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+#: Numbers that are no phone: dates (with or without a time), spans of years,
+#: decimal numbers and thousands.
+_NO_PHONE = "|".join([
+    r"[12][0-9]{3}[./ -](?:0?[1-9]|1[0-2])[./ -](?:0?[1-9]|[12][0-9]|3[01])(?:[T ].*)?",
+    r"(?:0?[1-9]|[12][0-9]|3[01])[./ -](?:0?[1-9]|[12][0-9]|3[01])[./ -](?:[12][0-9]{3}|[0-9]{2})(?:[T ].*)?",
+    r"[12][0-9]{3} ?[/-] ?[12][0-9]{3}", r"[0-9]+\.[0-9]+", r"[0-9]{1,3}(?:[. ][0-9]{3})+(?:,[0-9]+)?"])
+
+
 def _shape(kind: Column, value: Column) -> Column:
     """Whether a candidate looks like the kind (numbers as in ``KINDS``)."""
     n = F.length(_digits(value))
-    return (F.when(kind == 0, F.contains(value, F.lit("@")))
-            .when(kind == 1, (F.length(F.regexp_replace(value, "[^.:]", "")) >= 3) & (n >= 4))
-            .when(kind == 2, n.between(12, 19)).otherwise(n.between(7, 15)))
+    phone = (n.between(7, 15) & value.rlike(r"^\+?[0-9() ./-]+$")
+             & value.rlike(r"^[+0]|[0-9)][ ()./-]+[0-9(]") & ~value.rlike(f"^(?:{_NO_PHONE})$"))
+    return (F.when(kind == 0, value.rlike(r"[^@]@[^@]"))
+            .when(kind == 1, value.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?:[:/][0-9]{1,5})?$"
+                                         r"|^(?=.*[0-9])[0-9a-fA-F]{0,4}(?::[0-9a-fA-F]{0,4}){3,7}$"))
+            .when(kind == 2, n.between(12, 19) & value.rlike("^[0-9 -]+$")).otherwise(phone))
 
 
 def _core(value: Column) -> Column:
-    """A value without the punctuation around it."""
-    return F.regexp_replace(value, r"^[^\p{L}\p{N}+(]+|[^\p{L}\p{N})]+$", "")
+    """A value without the punctuation and the brackets around it that do not
+    belong to it."""
+    bare = F.regexp_replace(value, r"^[^\p{L}\p{N}+(]+|[^\p{L}\p{N})]+$", "")
+    return _let(bare, lambda v: F.when(v.rlike(r"^\([^()]*\)$"), F.regexp_replace(v, "[()]", ""))
+                .when(~F.contains(v, F.lit(")")), F.regexp_replace(v, r"^\(+", ""))
+                .when(~F.contains(v, F.lit("(")), F.regexp_replace(v, r"[)\p{P}]+$", "")).otherwise(v))
 
 
 def extract_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -244,9 +274,15 @@ def extract_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             F.lit(i).alias("kind"), s["value"].alias("value"), _sides(t, s["start"], s["end"]).alias("patterns")))
 
     seeds = F.concat(*map(seeds_of, range(len(KINDS))))
-    candidates = F.transform("_words", lambda w: F.struct(
-        w["start"].alias("start"), w["end"].alias("end"), _core(w["value"]).alias("value"),
-        _sides(t, w["start"], w["end"]).alias("patterns")))
+    def candidate(w: Column) -> Column:
+        def placed(v: Column) -> Column:
+            start = w["start"] + F.instr(w["value"], v) - 1
+            return F.struct(start.alias("start"), (start + F.length(v)).alias("end"), v.alias("value"),
+                            _sides(t, w["start"], w["end"]).alias("patterns"))
+
+        return _let(_core(w["value"]), placed)
+
+    candidates = F.transform("_words", candidate)
     return d.select("doc_id", "key", "base", seeds.alias("seeds"), candidates.alias("candidates"))
 
 
@@ -257,21 +293,38 @@ def _unlike(every: DataFrame) -> DataFrame:
             .groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("unlike")))
 
 
-def _used(known: DataFrame, unlike: DataFrame, support: int, confidence: float) -> DataFrame:
-    """The patterns to use: ``(pattern, kind)``."""
+def _named(places: DataFrame, frequent: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The patterns that name identifiers, ``(pattern)``: of those in
+    ``frequent``, whose word stands beside one in at least half its places."""
+    word = F.explode(F.split(F.lower(F.col(text)), f"{_BLANK}+")).alias("word")
+    total = docs.select(word).groupBy("word").agg(F.count(F.lit(1)).alias("total"))
+    beside = places.groupBy("pattern").agg(F.count(F.lit(1)).alias("beside")).join(frequent, "pattern")
+    j = beside.withColumn("word", F.substring("pattern", F.lit(2), F.length("pattern"))).join(total, "word")
+    return j.where(2 * F.col("beside") >= F.col("total")).select("pattern")
+
+
+def _used(known: DataFrame, shaped: DataFrame, unlike: DataFrame, named: DataFrame, support: int,
+          confidence: float) -> DataFrame:
+    """The patterns to use: ``(pattern, kind, reliability)``."""
     kinds = F.explode(F.array(*map(F.lit, range(len(KINDS))))).alias("kind")
     each = known.groupBy("pattern", "value").agg(F.collect_set("kind").alias("of")).select("pattern", "value", "of", kinds)
     good = F.array_contains("of", F.col("kind"))
     count = each.groupBy("pattern", "kind").agg(
-        F.count_if(good).alias("good"), F.count_if(~good & _shape(F.col("kind"), F.col("value"))).alias("bad"))
+        F.count_if(good).alias("good"), F.count_if(~good & _shape(F.col("kind"), F.col("value"))).alias("bad"),
+        F.count_if(good & ~_shape(F.col("kind"), F.col("value"))).alias("odd"))
     j = count.where(F.col("good") >= support).join(unlike, ["pattern", "kind"], "left")
-    every = F.col("good") + F.col("bad") + F.coalesce("unlike", F.lit(0))
-    return j.where(F.col("good") >= confidence * (every + 1)).select("pattern", "kind")
+    # Known values that lack the loose shape (base spans) speak for it.
+    against = F.col("bad") + F.coalesce("unlike", F.lit(0)) - F.col("odd")
+    j = j.where(F.col("good") >= confidence * (F.col("good") + against + 1))
+    j = j.join(shaped, ["pattern", "kind"], "left").join(named.withColumn("named", F.lit(True)), "pattern", "left")
+    share = F.col("good") / F.greatest(F.coalesce("shaped", F.lit(0)) + F.col("odd"), F.col("good"))
+    return j.select("pattern", "kind", F.when(F.col("named"), 1.0).otherwise(share).alias("reliability"))
 
 
-def discover(found: DataFrame, *, support: int = 5, confidence: float = 0.8) -> DataFrame:
+def discover(found: DataFrame, docs: DataFrame, text: str = "text", *, support: int = 5,
+             confidence: float = 0.8) -> DataFrame:
     """New spans ``(key, start, kind, end)`` from written
-    :func:`extract_entities` rows."""
+    :func:`extract_entities` rows of ``docs``."""
     def edges(col: str, *fields: str) -> DataFrame:
         e = found.select("key", F.explode(col).alias("e"))
         return e.select("key", *[F.col(f"e.{f}").alias(f) for f in fields],
@@ -282,34 +335,42 @@ def discover(found: DataFrame, *, support: int = 5, confidence: float = 0.8) ->
     places = materialize(edges("candidates", "start", "end", "value").where(F.length("value") > 0), "pii-places")
     others = materialize(places.select("pattern", "value").distinct(), "pii-others")
     known = materialize(seeds, "pii-known")
-    unlike = materialize(_unlike(seeds.select("pattern", "value").union(others).distinct()), "pii-unlike")
-    used, size = None, known.count()
+    every = materialize(seeds.select("pattern", "value").union(others).distinct(), "pii-pairs")
+    unlike = materialize(_unlike(every), "pii-unlike")
+    kinds = F.explode(F.array(*map(F.lit, range(len(KINDS))))).alias("kind")
+    shaped = materialize(every.select("pattern", "value", kinds).where(_shape(F.col("kind"), F.col("value")))
+                         .groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("shaped")), "pii-shaped")
+    frequent = every.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support).select("pattern")
+    beside = places.select("pattern").union(edges("seeds", "value").select("pattern"))
+    named = materialize(_named(beside, frequent, docs, text), "pii-named")
+    size = known.count()
     while True:  # known values only grow
-        new_used = materialize(_used(known, unlike, support, confidence), "pii-used")
-        release(used)
-        used = new_used
+        used = materialize(_used(known, shaped, unlike, named, support, confidence), "pii-used")
+        doubt = F.sum(F.log(F.greatest(1 - F.col("reliability"), F.lit(1e-9))))
         accepted = (others.join(used, "pattern").where(_shape(F.col("kind"), F.col("value")))
-                    .select("value", "kind").distinct())
+                    .groupBy("value", "kind").agg(doubt.alias("doubt"))
+                    .where(F.exp("doubt") <= 0.5 + 1e-9).select("value", "kind"))
         # An accepted value is known at all its patterns.
         more = others.join(accepted, "value").select("pattern", "kind", "value")
         grown = materialize(known.union(more).distinct(), "pii-known")
         n = grown.count()
         release(known)
+        release(used)
         known = grown
         if n == size:
             break
         size = n
-    release(used)
     values = known.select("value", "kind").distinct()
     out = places.join(values, "value").where(_shape(F.col("kind"), F.col("value")))
     return out.select("key", "start", "kind", "end").distinct()
 
 
+@tidy
 def personal_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opts) -> DataFrame:
     """``(doc_id, key, base, spans)`` for every row: arrays of (start, kind,
     end), sorted; ``spans`` holds the base spans and the discovered ones."""
     found = materialize(extract_entities(docs, doc_id, text), "pii-found")
-    new = discover(found, **opts).groupBy("key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("new"))
+    new = discover(found, docs, text, **opts).groupBy("key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("new"))
     new = materialize(new, "pii-new")
     j = found.join(new, "key", "left")
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
@@ -317,6 +378,7 @@ def personal_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return j.select("doc_id", "key", "base", spans.alias("spans"))
 
 
+@tidy
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opts) -> DataFrame:
     """``docs`` with every span in the text replaced by its kind in brackets;
     spans that overlap the one before extend it."""

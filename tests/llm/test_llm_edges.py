@@ -287,3 +287,58 @@ def test_pii_unseen_identifiers(spark):
     for i, t in enumerate(texts):
         want = t.split(": ")[1].rsplit(" ", 1)[0] if ": " in t else "212-555-3004"
         assert got[i] == ([] if "year" in t else [(3, want)]), t
+
+
+def _spans(spark, texts):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    return {r["doc_id"]: [(pii.KINDS[s["kind"]], texts[r["doc_id"]][s["start"]:s["end"]]) for s in r["spans"]]
+            for r in pii.personal_spans(d).collect()}
+
+
+def test_pii_dates_and_numbers_stay(spark):
+    """Phones after a common word do not turn the dates, prices and order
+    numbers after it into phones."""
+    texts = [f"call me at +1 212 555 010{i} now{i}" for i in range(6)]
+    dates = ([f"we met at 2024-01-{i:02d} there{i}" for i in range(1, 20)]
+             + [f"the war ended on {i}.{i % 12 + 1}.1945 then" for i in range(1, 12)]
+             + [f"released at 2019/{i}/11 10:30 logged" for i in range(1, 9)]
+             + [f"sold at 1{i}4,500.00 in{i}" for i in range(5)] + [f"sold at 1{i} 400 500 in{i}" for i in range(5)]
+             + [f"order at 88{i}1234567 x{i}" for i in range(9)] + ["from 1999-2004 at 1999 - 2004 on"])
+    got = _spans(spark, texts + dates)
+    assert [got[i] for i in range(6)] == [[("phone", f"+1 212 555 010{i}")] for i in range(6)]
+    assert [(t, got[i]) for i, t in enumerate(texts + dates) if i > 5 and got[i]] == []
+
+
+def test_pii_precision_and_recall(spark):
+    """Planted: more negatives of the very shape of a phone than phones."""
+    import random
+
+    rnd = random.Random(3)
+
+    def number():
+        return f"{rnd.randrange(200, 999)}-{rnd.randrange(200, 999)}-{rnd.randrange(1000, 9999)}"
+
+    filler = "the old man and the sea went at dawn to look for fish and rest and so on at home".split()
+
+    def text(before, value, after):
+        w = [rnd.choice(filler) for _ in range(30)]
+        k = rnd.randrange(5, 25)
+        return " ".join(w[:k] + [before, value, after] + w[k:])
+
+    rows = []  # (text, the spans that must come out)
+    for i in range(60):  # seeds in telling and in common contexts
+        v = f"+1 212 555 {1000 + i}"
+        rows.append((text(rnd.choice(["phone:", "tel.", "at", "and"]), v, rnd.choice(["ext", "and", "at"])), [v]))
+    for _ in range(300):  # more unseen than known after the telling words
+        v = number()
+        end = rnd.choice(["", ",", ".", ";"])
+        rows.append((text(rnd.choice(["phone:", "tel."]), v + end, rnd.choice(["and", "at", "the"])), [v]))
+    v = number()
+    rows += [(text("phone:", f"({v})", "and"), [v]), (text("so", v + "!", "fish"), [v])]
+    for _ in range(700):  # part numbers, many beside the common words
+        rows.append((text(rnd.choice(["part", "no", "at", "and", "the"]), number(), rnd.choice(["and", "at", "fits"])), []))
+    got = _spans(spark, [t for t, _ in rows])
+    found = sum(len(x) for x in got.values())
+    right = sum(("phone", v) in got[i] for i, (_, want) in enumerate(rows) for v in want)
+    wanted = sum(len(w) for _, w in rows)
+    assert right >= 0.95 * wanted and right >= 0.95 * found, (right, wanted, found)
