@@ -259,15 +259,92 @@ def test_quality_groups_with_much_junk(spark, kind):
         assert kept <= 0.05 if bad else kept >= 0.97, (source, bad, kept)
 
 
-def test_quality_fences_follow_the_group(spark):
-    """A source whose clean texts hold many symbols gets fences of its own."""
-    rows = [(i, s, (" ".join("words" for _ in range(60 - n)) + " a#" * n)) for s, low in (("prose", 0), ("code", 20))
-            for i in range(300) for n in [low and low + i % 5]]
-    q = F.struct(*[F.lit(v).cast("bigint").alias(c) for c, v in zip(quality.COUNTS, (60, 300, 0, 0, 0, 1))])
-    d = spark.createDataFrame(rows, "doc_id int, source string, text string").withColumn("lang", F.lit("en"))
-    d = d.withColumn("q", q.withField("n_symbols", F.regexp_count("text", F.lit("#")).cast("bigint")))
-    hi = {r["source"]: r["hi_symbols"] for r in quality.thresholds(d, "q").collect()}
-    assert hi["prose"] < 0.05 and hi["code"] > 24 / 300
+def _prose(rnd, n=60):
+    return " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8))) for _ in range(n)) + "."
+
+
+@pytest.mark.parametrize("n", [12, 50, 199, 201])
+def test_quality_small_sources_stay(spark, n):
+    """A clean source in which symbols are normal, beside 1,000 documents of
+    prose: no number of documents makes it vanish; the same texts one by one
+    in sources of prose are junk."""
+    import random
+
+    rnd = random.Random(n)
+
+    def code():
+        w = _prose(rnd).split()
+        return " ".join(x + "#" * (rnd.random() < 0.3) + "|" * (rnd.random() < 0.2) for x in w)
+
+    rows = [(i, "prose", _prose(rnd), False) for i in range(1000)]
+    rows += [(2000 + i, "code", code(), False) for i in range(n)] + [(5000 + i, "prose", code(), True) for i in range(40)]
+    d = spark.createDataFrame(rows, "doc_id bigint, source string, text string, junk boolean").withColumn("lang", F.lit("en"))
+    got = quality.quality_scores(d).groupBy("source", "junk").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    share = {(r["source"], r["junk"]): r["kept"] for r in got}
+    assert share["code", False] > 0.97 and share["prose", False] > 0.97 and share["prose", True] == 0, share
+
+
+def test_quality_verdicts_against_plain_quantiles(spark):
+    """``kept`` against fences from sorted lists, and fences that differ."""
+    import collections
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["doc_id"]: r for r in quality.quality_scores(docs).collect()}
+
+    def shares(r):
+        n, chars = r["n_words"], r["word_chars"]
+        return {"symbols": r["n_symbols"] / chars if chars else 0, "dup_lines": r["n_dup_lines"] / (r["n_lines"] or 1),
+                "repeats": max(r["n_repeat_words"] - 20 - 0.05 * n, 0) / n if n else 0, "word_len": chars / n if n else 0,
+                "variety": math.log(r["n_distinct"]) / math.log(n) if n > 1 else 0,
+                "capitals": r["n_capitals"] / chars if chars else 0, "points": r["n_points"] / chars if chars else 0}
+
+    values = {i: shares(r) for i, r in got.items()}
+    lists = collections.defaultdict(list)
+    for i, r in got.items():
+        for key in ((r["lang"], r["source"]), (r["lang"],), ()):
+            for m, v in values[i].items():
+                lists[key, m].append(v)
+    for x in lists.values():
+        x.sort()
+
+    def quantiles(key, m):
+        x = lists[key, m]
+        return [x[max(0, math.ceil(p * len(x)) - 1)] for p in (0.05, 0.25, 0.5, 0.75, 0.95)], len(x)
+
+    def pooled(own, other):
+        q, n = own
+        return [n / (n + 10) * a + 10 / (n + 10) * b for a, b in zip(q, other)]
+
+    def fences(lang, source, m):
+        r = pooled(quantiles((lang,), m), quantiles((), m)[0])
+        own = quantiles((lang, source), m)
+        g = pooled(own, r)
+        mid = max(g[1], min(g[3], r[2]))
+        w = min(2 * min(x[2] - x[1], x[3] - x[2]) for x in (g, r))
+        reach = 6 * (1 + 3 / math.sqrt(own[1]))
+        return mid, mid - reach * max(w, g[4] - g[3]), mid + reach * max(w, g[1] - g[0])
+
+    differ, odd = 0, collections.Counter()
+    for i, r in got.items():
+        sure, want = True, not r["base_failed"]
+        for m, (pieces, below) in quality.METRICS.items():
+            mid, lo, hi = fences(r["lang"], r["source"], m)
+            n = max(r[pieces or "n_words"], 1)
+            noise = 3 * math.sqrt(max(mid, 1 / n) / n) if pieces else 0
+            if m == "variety":
+                noise = 3 * math.sqrt(max(n - n ** mid, 1)) / n ** mid / math.log(n) if n > 1 else 1
+            v = values[i][m]
+            want = want and v <= hi + noise and (not below or v >= lo - noise)
+            # Sketches know a quantile to 0.2 %, and a fence has two of them six times and more.
+            near = 0.04 * abs(mid)
+            sure = sure and abs(v - hi - noise) > near and (not below or abs(v - lo + noise) > near)
+        odd["sure"] += sure
+        differ += sure and want != r["kept"]
+    assert odd["sure"] > 0.8 * len(got) and differ == 0
+    by_group = {(r["lang"], r["source"]) for r in got.values()}
+    for m in ("word_len", "variety", "capitals", "points"):
+        assert len({round(fences(*g, m)[2], 6) for g in by_group}) > 0.75 * len(by_group)
 
 
 def test_pii_unseen_identifiers(spark):
