@@ -4,18 +4,18 @@ A window is ``window`` consecutive words of one document.  Every word covered
 by a window whose word sequence also starts in a document with a smaller id is
 removed; windows are judged on the input.
 
-1. Confirm recurring phrases.  From every window the phrase (``phrase``
+1. Confirm recurring passages.  From every window the phrase (``phrase``
    consecutive words) with the least hash is chosen, so equal windows choose
    equal phrases.  The windows of a document that choose one occurrence of a
    phrase form a run (at most ``window - phrase + 1`` windows); its digest
    covers all its words.  A phrase chosen in two documents or more recurs;
-   it is mixed if its runs differ.
-2. Automata.  The recurring phrases of a shard of documents (bounded by
-   ``shard_words``) are compiled into an Aho-Corasick automaton, and the
-   shard's documents run through it: every occurrence is found.  Which
-   phrases recur is told by a filter of ``2^filter_bits`` bits (a fixed
-   size); a false hit only adds candidates.  The runs at the occurrences are
-   the only ones that can hold a window to remove.
+   it is mixed if its runs differ.  The words of each recurring phrase are
+   taken from the first document that has it: that is the dictionary.
+2. Automata.  The documents are dealt to shards of about ``shard_words`` words.
+   A shard gets the part of the dictionary that the run table names for its
+   documents, compiled into one Aho-Corasick automaton, and all its documents
+   are streamed through it whole.  Its hits alone say where passages occur:
+   the runs whose phrase is hit are the only ones that can lose words.
 3. Judge.  Runs are aggregated by (phrase, digest) to their least document:
    equal runs hold equal windows, so a group of copies is one row here.  Only
    the different runs of a mixed phrase are compared window by window.
@@ -44,8 +44,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize, release
-from .common import BitFilter, Shipped, bit_filter, fresh, shuffle_parts, table
+from ..session import materialize, release, tidy
+from .common import Shipped, bit_filter, fresh, keep_known, shuffle_parts, table
 
 Batches = Iterator[pa.RecordBatch]
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -108,7 +108,7 @@ class _Shard:
         return np.fromiter(map(xxhash.xxh3_64_intdigest, self.number), np.uint64, len(self.number))
 
 
-def _shards(batches: Batches, least: int, shard_words: int) -> Iterator[_Shard]:
+def _shards(batches: Batches, shard_words: int) -> Iterator[_Shard]:
     shard = _Shard()
     for batch in batches:
         for i, h, t in zip(batch.column(0), batch.column(1), batch.column(2)):
@@ -135,21 +135,42 @@ def _runs(words: np.ndarray, plan: Plan):
     return _mix(p, p), w, first, size, at, _mix(_mix(w[first], w[first + size - 1]), shape)
 
 
+_RUNS = "phrase bigint, digest bigint, doc_id bigint, key bigint, at int"
+
+
 def _phrases(plan: Plan, shard_words: int):
-    """``(phrase, digest, doc_id)`` of every run."""
+    """``(phrase, digest, doc_id, key, at)`` of every run: ``at`` is the place
+    of its phrase among the words."""
     def run(batches: Batches) -> Batches:
-        for shard in _shards(batches, plan.window, shard_words):
+        for shard in _shards(batches, shard_words):
             hashes = shard.hashes()
-            cols: list[list[np.ndarray]] = [[], [], []]
-            for doc_id, _, numbers in shard.docs:
+            cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+            for doc_id, key, numbers in shard.docs:
                 if len(numbers) >= plan.window:
                     p, _, _, _, at, digest = _runs(hashes[numbers], plan)
-                    for col, v in zip(cols, (p[at].view(np.int64), digest.view(np.int64),
-                                             np.full(len(at), doc_id, np.int64))):
+                    for col, v in zip(cols, (p[at].view(np.int64), digest.view(np.int64), np.full(len(at), doc_id, np.int64),
+                                             np.full(len(at), key, np.int64), at.astype(np.int32))):
                         col.append(v)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols],
-                                                 ["phrase", "digest", "doc_id"])
+                                                 [f.split()[0] for f in _RUNS.split(", ")])
+
+    return run
+
+
+def _spelled_out(plan: Plan):
+    """Rows (text, places of phrases) -> (phrase, words): the dictionary."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                phrases, words = [], []
+                for t, places in zip(batch.column(0).slice(at, 64), batch.column(1).slice(at, 64).to_pylist()):
+                    w = t.as_py().encode("utf-8", "surrogatepass").split()
+                    for x in places:
+                        phrases.append(x["phrase"])
+                        words.append(b" ".join(w[x["at"]:x["at"] + plan.phrase]))
+                yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.int64()), pa.array(words, pa.binary())],
+                                                 ["phrase", "words"])
 
     return run
 
@@ -167,62 +188,89 @@ def _spell(numbers: list[int]) -> str:
     return v.astype("<u4").tobytes().decode("utf-32-le")
 
 
-def _occurrences(shard: _Shard, plan: Plan, recurring: BitFilter):
-    """Runs the shard's documents through the automaton of its recurring
-    phrases; yields id, text hash and the located runs of each document."""
-    hashes = shard.hashes()
-    docs, automaton = [], ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for doc_id, text_hash, numbers in shard.docs:
-        if len(numbers) < plan.window:
-            continue
-        runs = _runs(hashes[numbers], plan)
-        p, at = runs[0], runs[4]
-        spelled = _spell(numbers)
-        for i in at[recurring.may_hold(p[at])].tolist():
-            automaton.add_word(spelled[i * _LETTERS:(i + plan.phrase) * _LETTERS])
-        docs.append((doc_id, text_hash, spelled, runs))
-    if not len(automaton):
-        return
-    automaton.make_automaton()
-    for doc_id, text_hash, spelled, (p, w, first, size, at, digest) in docs:
-        ends = np.fromiter((end for end, _ in automaton.iter(spelled)), np.int64)
-        if len(ends):
-            starts = (ends + 1) // _LETTERS - plan.phrase
-            hit = np.isin(at, starts)
-            if hit.any():
-                yield doc_id, text_hash, p[at[hit]], digest[hit], first[hit], size[hit], w
+class _Dictionary:
+    """The automaton of one shard: its words numbered, its phrases spelled."""
+
+    def __init__(self, phrases: list[bytes]):
+        self.number: dict[bytes, int] = {}
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        number = self.number
+        for words in phrases:
+            self.automaton.add_word(_spell([number.setdefault(w, len(number) + 1) for w in words.split(b" ")]))
+        if phrases:
+            self.automaton.make_automaton()
+
+    def places(self, words: list[bytes], length: int) -> np.ndarray:
+        """Where a phrase of ``length`` words starts among the words."""
+        if not len(self.automaton):
+            return np.zeros(0, np.int64)
+        get = self.number.get  # words of no phrase are all alike
+        ends = np.fromiter((end for end, _ in self.automaton.iter(_spell([get(w, 0) for w in words]))), np.int64)
+        return (ends + 1) // _LETTERS - length
 
 
 _RUN_ROWS = ("phrase bigint, digest bigint, doc_id bigint, text_hash bigint, start int, size int, "
              "windows array<bigint>")
 
 
-def _located(plan: Plan, recurring, mixed, shard_words: int):
-    """Rows of the runs at located phrases; the first of equal runs that may
-    be mixed brings its windows' hashes along."""
+def _located(plan: Plan, mixed):
+    """Rows (shard, kind, doc_id, key, text), a shard's phrases (kind 0) before
+    its documents -> the runs at located phrases; the first of equal runs that
+    may be mixed brings its windows' hashes along."""
+    def rows_of(found: list[tuple], seen: set) -> pa.RecordBatch:
+        cols: list[list] = [[] for _ in range(6)]
+        lists = []
+        for doc_id, key, phrase, digest, first, size, w in found:
+            n = len(phrase)
+            for col, v in zip(cols, (phrase.view(np.int64), digest.view(np.int64), np.full(n, doc_id, np.int64),
+                                     np.full(n, key, np.int64), first.astype(np.int32), size.astype(np.int32))):
+                col.append(v)
+            for m, d, a, k in zip(mixed.value.may_hold(phrase), digest.tolist(), first.tolist(), size.tolist()):
+                new = m and d not in seen
+                if new:
+                    seen.add(d)
+                lists.append(w[a:a + k].view(np.int64) if new else None)
+        sizes = np.cumsum([0] + [0 if x is None else len(x) for x in lists])
+        full = [x for x in lists if x is not None]
+        windows = pa.ListArray.from_arrays(
+            pa.array(sizes, pa.int32()), pa.array(np.concatenate(full) if full else np.zeros(0, np.int64)),
+            mask=pa.array([x is None for x in lists]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols] + [windows],
+                                          [f.split()[0] for f in _RUN_ROWS.split(", ")])
+
     def run(batches: Batches) -> Batches:
-        for shard in _shards(batches, plan.window, shard_words):
-            cols: list[list] = [[] for _ in range(6)]
-            lists, seen = [], set()
-            for doc_id, text_hash, phrase, digest, first, size, w in _occurrences(shard, plan, recurring.value):
-                n = len(phrase)
-                for col, v in zip(cols, (phrase.view(np.int64), digest.view(np.int64), np.full(n, doc_id, np.int64),
-                                         np.full(n, text_hash, np.int64), first.astype(np.int32),
-                                         size.astype(np.int32))):
-                    col.append(v)
-                for m, d, a, k in zip(mixed.value.may_hold(phrase), digest.tolist(), first.tolist(), size.tolist()):
-                    new = m and d not in seen
-                    if new:
-                        seen.add(d)
-                    lists.append(w[a:a + k].view(np.int64) if new else None)
-            if lists:
-                sizes = np.cumsum([0] + [0 if x is None else len(x) for x in lists])
-                full = [x for x in lists if x is not None]
-                windows = pa.ListArray.from_arrays(
-                    pa.array(sizes, pa.int32()), pa.array(np.concatenate(full) if full else np.zeros(0, np.int64)),
-                    mask=pa.array([x is None for x in lists]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols] + [windows],
-                                                 [f.split()[0] for f in _RUN_ROWS.split(", ")])
+        shard, phrases, dictionary, seen, last = None, [], None, set(), None
+        for batch in batches:
+            found: list[tuple] = []
+            held = 0
+            heads = zip(*(batch.column(i).to_pylist() for i in range(4)))
+            for r, (s, kind, doc_id, key) in enumerate(heads):
+                text = batch.column(4)[r].as_py().encode("utf-8", "surrogatepass")
+                if s != shard:
+                    shard, phrases, dictionary, seen = s, [], None, set()
+                if kind == 0:
+                    phrases.append(text)
+                    continue
+                if dictionary is None:
+                    dictionary, phrases = _Dictionary(phrases), []
+                if (doc_id, key) == last:  # a repeated row gives the same
+                    continue
+                last = doc_id, key
+                words = text.split()
+                places = dictionary.places(words, plan.phrase)
+                if not len(places):
+                    continue
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                p, w, first, size, at, digest = _runs(hashes, plan)
+                hit = np.isin(at, places)
+                if hit.any():
+                    found.append((doc_id, key, p[at[hit]], digest[hit], first[hit], size[hit], w))
+                    held += len(words)
+                    if held >= 1 << 19:
+                        yield rows_of(found, seen)
+                        found, held = [], 0
+            if found:
+                yield rows_of(found, seen)
 
     return run
 
@@ -297,6 +345,33 @@ def _owners(runs: DataFrame, crowd: int) -> DataFrame:
     return out
 
 
+def _dictionary(cols: DataFrame, recurring: DataFrame, plan: Plan) -> DataFrame:
+    """``(phrase, words)`` of the confirmed phrases, from the first document of each."""
+    places = recurring.groupBy("doc_id", "key").agg(F.collect_list(F.struct("phrase", "at")).alias("places"))
+    places = materialize(places, "repeats-places")
+    texts = keep_known(cols, "key", places.select("key")).dropDuplicates(["doc_id", "key"])  # repeated rows
+    j = texts.join(places, ["doc_id", "key"]).select("text", "places")
+    return j.mapInArrow(_spelled_out(plan), "phrase bigint, words binary")
+
+
+def _shard_rows(cols: DataFrame, seen: DataFrame, dictionary: DataFrame, shard_words: int) -> DataFrame:
+    """Documents and their part of the dictionary, shard by shard, as
+    ``(shard, kind, doc_id, key, text)`` with the phrases first.  Copies of
+    one text go to different shards by their ids."""
+    size = seen.agg(F.count(F.lit(1))).first()[0]
+    # A run has about half a window's words of its own; only the balance depends on it.
+    shards = max(shuffle_parts(cols.sparkSession), size * 17 // shard_words)
+    shard = F.pmod(F.xxhash64("doc_id", "key"), F.lit(shards)).cast("int").alias("shard")
+    none = F.lit(None).cast("bigint")
+    own = seen.select("phrase", shard).distinct().join(dictionary, "phrase").select(
+        "shard", F.lit(0).alias("kind"), none.alias("doc_id"), none.alias("key"), F.col("words").cast("string").alias("text"))
+    # Documents without a run of the dictionary need no automaton.
+    known = keep_known(cols, "key", seen.join(dictionary.select("phrase"), "phrase", "left_semi").select("key"))
+    rows = own.unionByName(known.select(shard, F.lit(1).alias("kind"), "doc_id", "key", "text"))
+    return rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "doc_id", "key")
+
+
+@tidy
 def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *, window: int = 50,
                      phrase: int = 16, shard_words: int = 1 << 19, filter_bits: int = 24, crowd: int = 2048) -> DataFrame:
     """``(doc_id, text_hash, start, size, gone)`` per run with a window to
@@ -304,15 +379,17 @@ def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *,
     ``size`` windows."""
     spark = docs.sparkSession
     plan = Plan(window, phrase)
-    cols = docs.select(F.col(doc_id).cast("bigint"), F.col(text_hash), F.col(text))
-    seen = cols.mapInArrow(_phrases(plan, shard_words), "phrase bigint, digest bigint, doc_id bigint")
+    cols = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text_hash).alias("key"),
+                       F.col(text).alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    seen = materialize(cols.mapInArrow(_phrases(plan, shard_words), _RUNS), "repeats-seen")
     recurring = seen.groupBy("phrase").agg(
-        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"),
-        (F.min("digest") != F.max("digest")).alias("mixed")).where("a < b").select("phrase", "mixed")
+        F.min(F.struct("doc_id", "key", "at")).alias("f"), F.max("doc_id").alias("b"),
+        (F.min("digest") != F.max("digest")).alias("mixed")).where("f.doc_id < b").select("phrase", "mixed", "f.*")
     recurring = materialize(recurring, "repeats-phrases")
-    known = Shipped(spark, bit_filter(recurring, "phrase", filter_bits))
+    dictionary = materialize(_dictionary(cols, recurring, plan), "repeats-dictionary")
     mixed = Shipped(spark, bit_filter(recurring.where("mixed"), "phrase", filter_bits))
-    runs = materialize(cols.mapInArrow(_located(plan, known, mixed, shard_words), _RUN_ROWS), "repeats-located")
+    runs = materialize(_shard_rows(cols, seen, dictionary, shard_words)
+                       .mapInArrow(_located(plan, mixed), _RUN_ROWS), "repeats-located")
     owners = _owners(runs, crowd)
     j = runs.drop("windows").join(owners, ["phrase", "digest"])
     gone = F.filter(F.sequence(F.lit(0), F.col("size") - 1),
@@ -349,6 +426,7 @@ def _untouched(hit, text: str, h: str, drop: list[str], names: list[str]):
     return run
 
 
+@tidy
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, window: int = 50,
                    filter_bits: int = 24, **opts) -> DataFrame:
     """``docs`` with ``kept_text`` (the kept words, one blank between),

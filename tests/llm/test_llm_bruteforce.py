@@ -237,6 +237,25 @@ def test_op8(spark, docs, crowd):
         assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_text"].encode()) == (len(w), len(gone), kept)
 
 
+def test_op8_the_automata_decide(spark, monkeypatch):
+    """Without the phrases of one passage in the dictionary, that passage stays."""
+    from pyspark.sql import functions as F
+
+    p, q = (" ".join(f"{c}{i}" for i in range(80)) for c in "pq")
+    rows = [(1, f"{p} one {q}"), (2, f"{p} two {q} two"), (3, f"three {q} {p}"), (4, p)]
+    d = spark.createDataFrame(rows * 2, "doc_id bigint, text string").repartition(3)
+    whole = repeats._dictionary
+
+    def removed():
+        return {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in repeats.remove_repeats(d).collect()}
+
+    assert removed() == {1: (0, rows[0][1]), 2: (160, "two two"), 3: (160, "three"), 4: (80, "")}
+    monkeypatch.setattr(repeats, "_dictionary", lambda *a: whole(*a).where(~F.decode("words", "utf-8").contains("q")))
+    assert removed() == {1: (0, rows[0][1]), 2: (80, f"two {q} two"), 3: (80, f"three {q}"), 4: (80, "")}
+    monkeypatch.setattr(repeats, "_dictionary", lambda *a: whole(*a).where("false"))
+    assert all(n == 0 for n, _ in removed().values())
+
+
 def test_op9(spark, docs):
     for i, r in result(spark, "op9_quality_rules").items():
         w = docs[i].encode().split()
