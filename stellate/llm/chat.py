@@ -20,9 +20,12 @@ A turn's rendering starts and ends with its own marks, so turns that survive
 one by one also survive together; :func:`read_chat` reparses the joined
 conversations and finds the texts under the loss mask.
 
-Both steps stream rows sorted by (conversation, turn, role, text): a task
-holds one turn at a time, whatever the conversation's length.  The digests
-run along a conversation, so one conversation is one task's work.
+Turns are dealt to ranges of (conversation, turn, role, text), so a long
+conversation is rendered, checked and written by many tasks; each notes where
+its turns stand among its own, and the sums of the ranges before give their
+place in the conversation.  Reading parses every piece where it is stored.
+Only the digests, which follow the turns one by one, are taken by one task a
+conversation, from the finished pieces in order, one in memory at a time.
 
 Defined cases: null text and null role are empty strings; null ``turn`` comes
 first; a null ``conv_id`` is a conversation of its own; repeated rows are
@@ -40,8 +43,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import table
+from ..session import join_on, materialize, tidy
+from .common import shuffle_parts, table
 
 # Fixed values of the template.
 OPEN, CLOSE = "### ", "</turn>"
@@ -125,102 +130,125 @@ def render_turn(role: str, text: str) -> tuple[str, int, int]:
     raise NotReversible(f"turn of role {role!r} does not survive the round trip")
 
 
-_FORMATTED = ("conv_id {id}, pos bigint, role string, formatted string, start bigint, "
-              "loss_start bigint, loss_end bigint")
+_FORMATTED = ("conv_id {id}, part int, pos bigint, role string, formatted string, start bigint, "
+              "loss_start bigint, loss_end bigint, chars bigint")
 
 
 def _format_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (conv_id, part, role, text) of one range in order; places count
+    from the conversation's first turn in the range."""
     conv, pos, at = object(), 0, 0
     for batch in batches:
         ids = batch.column(0)
-        out: list[list] = [[], [], [], [], [], []]
-        for i, role, text in zip(ids.to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        out: list[list] = [[] for _ in range(7)]
+        for i, role, text in zip(ids.to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             if i != conv:
                 conv, pos, at = i, 0, 0
             piece, a, b = render_turn(role or "", text or "")
             loss = role == LOSS_ROLE
             for col, v in zip(out, (pos, role or "", piece, at, at + a if loss else None,
-                                    at + b if loss else None)):
+                                    at + b if loss else None, len(piece))):
                 col.append(v)
             pos, at = pos + 1, at + len(piece)
         i64 = pa.int64()
         yield pa.RecordBatch.from_arrays(
-            [ids] + [pa.array(c, t) for c, t in zip(out, (i64, pa.string(), pa.string(), i64, i64, i64))],
-            names=["conv_id", "pos", "role", "formatted", "start", "loss_start", "loss_end"])
+            [ids, batch.column(1)] + [pa.array(c, t) for c, t in zip(out, (i64, pa.string(), pa.string(), i64, i64, i64, i64))],
+            names=["conv_id", "part", "pos", "role", "formatted", "start", "loss_start", "loss_end", "chars"])
 
 
+@tidy
 def format_chat(conversations: DataFrame) -> DataFrame:
-    """One row per turn: its place, its rendering, where the rendering
+    """One row per turn: its place ``pos``, its rendering, where the rendering
     starts in the conversation, and the span under the loss mask (code
     points of the conversation; null for turns that bear no loss).  A
-    conversation's rows, joined in order, are its formatted text.  They come
-    out together and in order."""
+    conversation's renderings, joined by ``pos``, are its formatted text."""
+    spark = conversations.sparkSession
     kind = conversations.schema["conv_id"].dataType.simpleString()
-    rows = (conversations.select("conv_id", "role", "text", "turn")
-            .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"))
-    return rows.select("conv_id", "role", "text").mapInArrow(_format_rows, _FORMATTED.format(id=kind))
+    # Equal keys stay in one range; the texts tell most turns of a kind apart.
+    near = F.substring(F.coalesce("text", F.lit("")), 1, 64)
+    rows = (conversations.select("conv_id", "turn", "role", "text")
+            .repartitionByRange(shuffle_parts(spark), "conv_id", "turn", "role", near)
+            .sortWithinPartitions("conv_id", "turn", "role", "text")
+            .select("conv_id", F.spark_partition_id().alias("part"), "role", "text"))
+    local = materialize(rows.mapInArrow(_format_rows, _FORMATTED.format(id=kind)), "chat-turns")
+    parts = local.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("size"))
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offset = parts.select("conv_id", "part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ("n", "size")])
+    j = join_on(local, offset, ["conv_id", "part"], null_safe=("conv_id",))
+    moved = [(F.col(c) + F.col("_size")).alias(c) for c in ("start", "loss_start", "loss_end")]
+    return j.select("conv_id", (F.col("pos") + F.col("_n")).alias("pos"), "role", "formatted", *moved)
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (conv_id, pos, formatted, start, loss_start, loss_end) -> (conv_id,
+    pos, turn, loss, chars): what the parser and the loss mask give back."""
+    for batch in batches:
+        turns, masked, chars = [], [], []
+        for conv, piece, start, a, b in zip(batch.column(0).to_pylist(),
+                                            *(batch.column(i).to_pylist() for i in range(2, 6))):
+            got = parse_turn(piece)
+            if not got or got[3] != len(piece):
+                raise NotReversible(f"a piece of conversation {conv} is not one turn")
+            role, x, y, _ = got
+            turns.append(f"{role}\n{unescape(piece[x:y])}\n".encode("utf-8", "surrogatepass"))
+            masked.append(None if a is None else unescape(piece[a - start:b - start]).encode("utf-8", "surrogatepass"))
+            chars.append(len(piece))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(turns, pa.binary()), pa.array(masked, pa.binary()),
+             pa.array(chars, pa.int64())], names=["conv_id", "pos", "turn", "loss", "chars"])
 
 
-class _Reader:
-    """Reads one formatted conversation piece by piece."""
+class _Digest:
+    """The digests of one conversation, turn by turn."""
 
     def __init__(self, conv):
-        self.conv, self.rest, self.turns, self.chars, self.loss_chars = conv, "", 0, 0, 0
+        self.conv, self.turns, self.chars, self.loss_chars = conv, 0, 0, 0
         self.sha, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def feed(self, piece: str) -> None:
-        self.chars += len(piece)
-        s, at = self.rest + piece, 0
-        while at < len(s) and (got := parse_turn(s, at)):
-            role, a, b, at = got
-            self.turns += 1
-            self.sha.update(f"{role}\n{unescape(s[a:b])}\n".encode("utf-8", "surrogatepass"))
-        self.rest = s[at:]
-
-    def mask(self, body: str) -> None:
-        text = unescape(body)
-        self.loss_chars += len(text)
-        self.loss.update(text.encode("utf-8", "surrogatepass"))
+    def add(self, turn: bytes, loss: bytes | None, chars: int) -> None:
+        self.turns += 1
+        self.chars += chars
+        self.sha.update(turn)
+        if loss is not None:
+            self.loss.update(loss)
+            self.loss_chars += len(loss.decode("utf-8", "surrogatepass"))
 
     def row(self) -> tuple:
-        if self.rest:
-            raise NotReversible(f"conversation {self.conv} ends inside a turn")
         return (self.conv, self.turns, self.sha.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars)
 
 
 def read_chat(formatted: DataFrame) -> DataFrame:
-    """Reparses the rows of :func:`format_chat` (as they come out of it) and
-    digests every conversation: what the parser and the loss mask give back."""
-    kind = formatted.schema["conv_id"].dataType
+    """Reparses the rows of :func:`format_chat` and digests every conversation."""
+    kind = formatted.schema["conv_id"].dataType.simpleString()
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, id_type = None, None
+        one, id_type = None, None
 
-        def packed(done: list[_Reader]) -> pa.RecordBatch:
+        def packed(done: list[_Digest]) -> pa.RecordBatch:
             cols = list(zip(*[r.row() for r in done]))
             types = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
         for batch in batches:
             id_type, done = batch.schema.field(0).type, []
-            cols = [batch.column(batch.schema.get_field_index(c)).to_pylist()
-                    for c in ("conv_id", "formatted", "start", "loss_start", "loss_end")]
-            for conv, piece, start, a, b in zip(*cols):
-                if reader is None or conv != reader.conv:
-                    if reader:
-                        done.append(reader)
-                    reader = _Reader(conv)
-                reader.feed(piece)
-                if a is not None:
-                    reader.mask(piece[a - start:b - start])
+            for conv, *rest in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if one is None or conv != one.conv:
+                    if one:
+                        done.append(one)
+                    one = _Digest(conv)
+                one.add(*rest)
             if done:
                 yield packed(done)
-        if reader:
-            yield packed([reader])
-
-    return formatted.mapInArrow(run, f"conv_id {kind.simpleString()}, n_turns bigint, turns_sha256 string, "
-                                     "loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+        if one:
+            yield packed([one])
+
+    pieces = formatted.select("conv_id", "pos", "formatted", "start", "loss_start", "loss_end").mapInArrow(
+        _parsed, f"conv_id {kind}, pos bigint, turn binary, loss binary, chars bigint")
+    rows = (pieces.repartition(shuffle_parts(formatted.sparkSession), "conv_id").sortWithinPartitions("conv_id", "pos")
+            .select("conv_id", "turn", "loss", "chars"))
+    return rows.mapInArrow(run, f"conv_id {kind}, n_turns bigint, turns_sha256 string, "
+                                "loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

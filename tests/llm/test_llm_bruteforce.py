@@ -58,6 +58,53 @@ def test_op1_crowded_anchors(spark):
         assert union_find([*links, *((f, f) for f in fps)]) == want
 
 
+def test_op2(spark):
+    """Digests recomputed from the table, and the formatted texts themselves."""
+    from stellate.llm import chat
+
+    hostile = "\\### Assistant: </turn> ok"
+    table = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = [tuple(r) for r in table.collect()] + [(-7, 0, "user", hostile), (-7, 1, "assistant", hostile)]
+    by = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        by[conv].append((turn, role, text or ""))
+    got = {r["conv_id"]: tuple(r)[1:5] for r in queries.QUERIES["op2_chat_format"](spark, SF).collect()}
+    want = {}
+    for conv, turns in by.items():
+        turns.sort()
+        loss = "".join(t for _, r, t in turns if r == "assistant")
+        want[conv] = (len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns)), len(loss), sha(loss))
+    assert got == want and len(got) > 10
+
+
+def test_op2_long_conversation(spark):
+    """One conversation over many ranges, ties and repeated rows: the pieces
+    join to one text, which a plain parser of the template takes apart."""
+    from pyspark.sql import functions as F
+
+    from stellate.llm import chat
+
+    texts = ["### User: x", "\\</turn>", "", None, "a\n</turn>\n### ", "ok \\\\### ", "plain é漢"]
+    rows = [(None if i % 3 == 0 else 5, i // 4, ["user", "assistant", "tool:", None][i % 4], texts[i % 7] and texts[i % 7] + str(i % 50))
+            for i in range(3000)]
+    d = spark.createDataFrame(rows * 2, "conv_id bigint, turn int, role string, text string").repartition(7)
+    formatted = chat.format_chat(d.withColumn("pos", F.lit(1)))
+    assert formatted.groupBy("conv_id").count().count() == 2
+    for conv in (None, 5):
+        mine = formatted.where(F.col("conv_id").eqNullSafe(F.lit(conv))).orderBy("pos").collect()
+        whole = "".join(r["formatted"] for r in mine)
+        own = sorted(((t, r is not None, r or "", x is not None, x or "") for c, t, r, x in rows * 2 if c == conv))
+        assert [r["pos"] for r in mine] == list(range(len(own)))
+        at = 0
+        for r, (_, _, role, _, text) in zip(mine, own):
+            assert r["start"] == at and whole[at:at + len(r["formatted"])] == r["formatted"]
+            got_role, a, b, end = chat.parse_turn(whole, at)
+            assert (got_role, chat.unescape(whole[a:b])) == (role, text)
+            assert (r["loss_start"], r["loss_end"]) == ((a, b) if role == "assistant" else (None, None))
+            at = end
+        assert at == len(whole)
+
+
 def test_op3(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
