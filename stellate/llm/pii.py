@@ -57,7 +57,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, release, tidy
-from .common import fresh, table, text_or_empty
+from .common import fresh, keep_known, table, text_or_empty
 
 KINDS = ["email", "ip", "card", "phone"]
 # The base patterns, in Java's notation.
@@ -296,10 +296,14 @@ def _unlike(every: DataFrame) -> DataFrame:
 def _named(places: DataFrame, frequent: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """The patterns that name identifiers, ``(pattern)``: of those in
     ``frequent``, whose word stands beside one in at least half its places."""
+    of = F.substring("pattern", F.lit(2), F.length("pattern")).alias("word")
+    frequent = materialize(frequent.select("pattern", of), "pii-frequent")
     word = F.explode(F.split(F.lower(F.col(text)), f"{_BLANK}+")).alias("word")
-    total = docs.select(word).groupBy("word").agg(F.count(F.lit(1)).alias("total"))
+    # Only words of these patterns (by a filter of fixed size) are counted.
+    total = (keep_known(docs.select(word), "word", frequent.select("word"))
+             .groupBy("word").agg(F.count(F.lit(1)).alias("total")))
     beside = places.groupBy("pattern").agg(F.count(F.lit(1)).alias("beside")).join(frequent, "pattern")
-    j = beside.withColumn("word", F.substring("pattern", F.lit(2), F.length("pattern"))).join(total, "word")
+    j = beside.join(total, "word")
     return j.where(2 * F.col("beside") >= F.col("total")).select("pattern")
 
 
