@@ -41,7 +41,7 @@ from .common import fresh, shuffle_parts, table, text_or_empty
 
 LEAF_DIGITS = 12
 #: Between these characters a paragraph ends (Java regular expression).
-_CUT = r"(?<=\n)|(?<=[.!?,;:] )|(?<=\p{L}{6}[aeiou][^ \p{L}]{0,3} )"
+_CUT = r"(?<=[\n ])(?:(?<=\n)|(?<=[.!?,;:] )|(?<=\p{L}{6}[aeiou][^ \p{L}]{0,3} ))"
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
