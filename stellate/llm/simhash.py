@@ -13,8 +13,14 @@ values of the other bits, with covering radius 1.  Every fingerprint has one
 home anchor per block (the nearest code word) and is copied to every anchor
 within the covering radius plus ``t_i``.  If x and y are within ``t_i`` in
 block ``i``, y is within ``1 + t_i`` of x's home, so the two meet there: no
-link is lost.  (A covering code over all 64 bits would need thousands of
-copies per fingerprint at this threshold; the blocks need about 35.)
+link is lost.  (A covering code over all 64 bits would need 130,000 copies
+per fingerprint at this threshold.)
+
+The number of blocks follows from the number n of distinct fingerprints
+(:func:`covering_blocks`): a fingerprint has a fixed number of copies, and meets
+n times a fixed share of the others, so few wide blocks (many copies, fine
+anchors) pay when there are many.  At 4 bits: three blocks (36 copies) up to
+some 500 million fingerprints, then two (234 copies, 1 / 170 of the pairs).
 
 Compare per anchor: home rows against copied rows, by exact bit distance.
 Equal fingerprints are one row from the start, so groups of exact copies cost
@@ -31,6 +37,7 @@ other columns pass through :func:`near_duplicates`.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..operators.components import connected_components
-from ..session import materialize
+from ..session import materialize, tidy
 from .common import fresh, shuffle_parts, table
 
 SEED = 42
@@ -124,16 +131,44 @@ class Block:
                        (a == home[rows, None]).ravel())
 
 
-def covering_blocks(max_bits: int, bits: int = BITS) -> list[Block]:
-    n = min(3, max_bits + 1)
-    share, over = divmod(max_bits - n + 1, n)
-    thresholds = [share + (i < over) for i in range(n)]
-    # Blocks with a higher threshold are wider: they need finer anchors.
-    least = min(thresholds)
-    width = [bits // n + (2 if t > least else 0) for t in thresholds]
-    width[-1] = bits - sum(width[:-1])
-    low = [sum(width[:i]) for i in range(n)]
-    return [Block(i, low[i], width[i], thresholds[i]) for i in range(n)]
+def _layouts(max_bits: int, bits: int) -> Iterator[list[tuple[int, int]]]:
+    """(width, threshold) of the blocks, for one to three blocks (more of
+    them compare far more pairs)."""
+    for k in range(1, min(3, max_bits + 1) + 1):
+        share, over = divmod(max_bits - k + 1, k)
+        thresholds = [share + (i < over) for i in range(k)]
+        # Blocks with a higher threshold are wider: they need finer anchors.
+        wide = [i < over for i in range(k)] if over else [False] * k
+        width = [bits // k + 2 * w for w in wide]
+        width[-1] = bits - sum(width[:-1])
+        if min(width) >= 3:
+            yield list(zip(width, thresholds))
+
+
+def layout_work(layout: list[tuple[int, int]], n: int) -> tuple[float, float]:
+    """Copies of a fingerprint, and pairs that it is compared in, among n
+    random ones."""
+    copies = pairs = 0.0
+    for width, threshold in layout:
+        near = sum(math.comb(width, j) for j in range(Block.radius + threshold + 1))
+        copies += near / 2 ** max(2, (width + 1).bit_length() - 1)
+        pairs += n * near / 2 ** width
+    return copies, pairs
+
+
+#: A copied row costs about as much as so many comparisons.
+_ROW_COST = 500
+
+
+def covering_blocks(max_bits: int, n: int = 0, bits: int = BITS) -> list[Block]:
+    """The blocks with the least work for n distinct fingerprints."""
+    def cost(layout: list[tuple[int, int]]) -> float:
+        copies, pairs = layout_work(layout, n)
+        return _ROW_COST * copies + pairs
+
+    layout = min(_layouts(max_bits, bits), key=cost)
+    low = [sum(w for w, _ in layout[:i]) for i in range(len(layout))]
+    return [Block(i, at, width, t) for i, (at, (width, t)) in enumerate(zip(low, layout))]
 
 
 # ---------------------------------------------------------- compare per anchor
@@ -223,9 +258,9 @@ def _compare(bits: int, small: int = 1024):
     return run
 
 
-def _replicate(max_bits: int):
+def _replicate(max_bits: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = covering_blocks(max_bits)
+        blocks = covering_blocks(max_bits, n)
         for batch in batches:
             all_fp = batch.column(0).to_numpy().view(np.uint64)
             for at in range(0, len(all_fp), 8192):
@@ -245,7 +280,7 @@ def _replicate(max_bits: int):
 def fingerprint_links(fps: DataFrame, max_bits: int, chunk_rows: int = 4096) -> DataFrame:
     """Links ``(a, b)`` between the distinct fingerprints of written column
     ``fp`` that keep every component at ``max_bits`` whole."""
-    spread = fps.mapInArrow(_replicate(max_bits), "anchor bigint, fp bigint, copied boolean")
+    spread = fps.mapInArrow(_replicate(max_bits, fps.count()), "anchor bigint, fp bigint, copied boolean")
     crowded = (spread.where(~F.col("copied")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
                .where(F.col("n") > chunk_rows)
                .select("anchor", F.ceil(F.col("n") / chunk_rows).cast("int").alias("chunks")))
@@ -281,6 +316,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, shingle_words: int, max_bi
     return rows.join(by_fp, "fp")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
                     shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row: the signed fingerprint
@@ -288,6 +324,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _grouped(docs, doc_id, text, shingle_words, max_bits).select("doc_id", "fp", "component_id")
 
 
+@tidy
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
                          shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """One row of each component stays: the one with the least id (null ids

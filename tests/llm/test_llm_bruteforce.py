@@ -58,6 +58,38 @@ def test_op1_crowded_anchors(spark):
         assert union_find([*links, *((f, f) for f in fps)]) == want
 
 
+@pytest.mark.parametrize("n", [1000, 10 ** 10])
+@pytest.mark.parametrize("bits", [0, 1, 3, 4, 6])
+def test_op1_every_layout_meets_every_link(spark, monkeypatch, n, bits):
+    """The blocks chosen for few and for very many fingerprints lose no link."""
+    rng = np.random.default_rng(bits)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 40)]
+    fps = {b ^ sum(1 << int(k) for k in rng.choice(64, bits + rng.integers(0, 2), False)) for b in base for _ in range(6)}
+    fps = [int(np.uint64(x).view(np.int64)) for x in fps | set(base)]
+    want = union_find([(a, b) for a in fps for b in fps if ((a ^ b) & (1 << 64) - 1).bit_count() <= bits])
+    chosen = simhash.covering_blocks(bits, n)
+    monkeypatch.setattr(simhash, "covering_blocks", lambda *_: chosen)
+    d = spark.createDataFrame([(f,) for f in fps], "fp bigint")
+    links = [(r["a"], r["b"]) for r in simhash.fingerprint_links(d, bits).collect()]
+    assert union_find([*links, *((f, f) for f in fps)]) == want
+
+
+def test_op1_work_by_size():
+    """Copies and pairs per fingerprint for the production threshold."""
+    def work(n):
+        blocks = simhash.covering_blocks(4, n)
+        return simhash.layout_work([(b.width, b.threshold) for b in blocks], n)
+
+    small, large = work(10 ** 5), work(10 ** 10)
+    assert [len(simhash.covering_blocks(4, n)) for n in (10 ** 5, 10 ** 8, 10 ** 9, 10 ** 11)] == [3, 3, 2, 2]
+    assert small[0] < 40 and small[1] < 20 and large[0] < 250 and large[1] < 10 ** 10 / 10 ** 6
+    # Counted on random fingerprints: the estimate holds.
+    rng = np.random.default_rng(1)
+    fp = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    copies = sum(len(a) for b in simhash.covering_blocks(4, 20_000) for a, _, _ in b.anchors(fp))
+    assert abs(copies / len(fp) - work(20_000)[0]) < 0.1 * work(20_000)[0]
+
+
 def test_op2(spark):
     """Digests recomputed from the table, and the formatted texts themselves."""
     from stellate.llm import chat
