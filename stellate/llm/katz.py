@@ -21,13 +21,15 @@ Steps, each over all documents:
    ``frequent`` most frequent words (a bounded number) are sent along with the
    task; the tokens of the other words get theirs by a join.  A context that
    holds more than 4 times a partition's share of the tokens is spread by
-   word over all partitions.
+   word over all partitions, and a pair of two such words, which may hold as
+   many tokens itself, by document as well.  There are so many partitions that
+   none has more than about ``partition_tokens`` tokens.
 3. ``katz-pairs``: each partition is sorted by (context, word) and written
    with its counts of counts: the partitioned n-gram table.
 4. Scores: each partition computes its discounted counts, backoff weights and
    the tokens' probabilities, adds them up per document, and the documents'
    sums are added over the partitions.  The few spread contexts (at most a
-   quarter of the number of partitions) get their sums first.
+   quarter of the number of partitions) and split pairs get their sums first.
 
 Defined cases: a null text counts as empty (one end token); a null id is
 training; rows that agree in id and text each count in training and each get
@@ -49,7 +51,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, tidy
 from .common import Shipped, even_keys, shuffle_parts, table
 
 Batches = Iterator[pa.RecordBatch]
@@ -88,7 +90,7 @@ class Unigrams:
     counts: list[int]  # counts of counts, 0..K+1
     hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # sorted
     number: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # of each hash, by falling count
-    freq: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # of each number
+    freq: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of each number
 
     def __post_init__(self):
         self.discount = discounts(self.counts)
@@ -197,7 +199,7 @@ def _word_counts(most: int):
 #: Arrays of a packed block: per token the context's and the word's key, the
 #: word's count (0 if its number tells it) and the number of its document in
 #: the block; per document id, valid, key, train.
-_FIELDS = [np.uint64, np.uint64, np.uint32, np.uint32, np.int64, np.uint8, np.int64, np.uint8]
+_FIELDS = [np.uint64, np.uint64, np.int64, np.uint32, np.int64, np.uint8, np.int64, np.uint8]
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
@@ -222,11 +224,20 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _shard_of(context: np.ndarray, word: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
+def _split(context: np.ndarray, word: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Pairs of two hot words may hold a large share of all tokens themselves."""
+    return np.isin(context, hot) & np.isin(word, hot) if len(hot) else np.zeros(len(context), bool)
+
+
+def _shard_of(context: np.ndarray, word: np.ndarray, salt: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
+    """The partition of a token: by context; for a hot context by word as
+    well; for a pair of hot words by document as well."""
     key = context.copy()
     if len(hot):
         spread = np.isin(context, hot)
         key[spread] = context[spread] * _MIX + word[spread]
+        pairs = _split(context, word, hot)
+        key[pairs] = (key[pairs] ^ (key[pairs] >> np.uint64(29))) * _MIX + salt[pairs]
     key = (key ^ (key >> np.uint64(32))) * _MIX
     return ((key >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
 
@@ -234,12 +245,13 @@ def _shard_of(context: np.ndarray, word: np.ndarray, hot: np.ndarray, parts: int
 def _blocks(context, word, count, doc, ids, keys, train, hot, shards: list[int]) -> pa.RecordBatch:
     """One packed block per partition that has tokens.  Tokens come sorted by
     (context, word)."""
-    to = _shard_of(context, word, hot, len(shards))
+    valid = np.array([i is not None for i in ids], np.uint8)
+    number = np.array([0 if i is None else i for i in ids], np.int64)
+    salt = keys.view(np.uint64) ^ number.view(np.uint64) * _MIX  # copies of a text differ by their ids
+    to = _shard_of(context, word, salt[doc], hot, len(shards))
     order = np.argsort(to.astype(np.uint16) if len(shards) < 1 << 16 else to, kind="stable")
     context, word, count, doc = (x[order] for x in (context, word, count, doc))
     cut = np.concatenate(([0], np.cumsum(np.bincount(to, minlength=len(shards)))))
-    valid = np.array([i is not None for i in ids], np.uint8)
-    number = np.array([0 if i is None else i for i in ids], np.int64)
     at = np.zeros(len(ids), np.int64)
     rows = []
     for k in range(len(shards)):
@@ -263,7 +275,7 @@ def _frequent_pairs(uni, hot: np.ndarray, shards: list[int], most: int):
             keys = uni.value.keys(t.vocab)
             at = np.flatnonzero((keys < _OTHER)[t.word])
             at = at[np.argsort(t.context[at] * len(t.vocab) + t.word[at])]
-            yield _blocks(keys[t.context[at]], keys[t.word[at]], np.zeros(len(at), np.uint32), t.doc[at],
+            yield _blocks(keys[t.context[at]], keys[t.word[at]], np.zeros(len(at), np.int64), t.doc[at],
                           t.ids, t.keys, t.train, hot, shards)
 
     return run
@@ -294,7 +306,7 @@ def _pack_rows(hot: np.ndarray, shards: list[int], most: int):
             word, context, key, count = (rows.column(c).to_numpy() for c in ("word", "context", "key", "n"))
             word, context = word.view(np.uint64) | _OTHER, context.view(np.uint64)
             order = np.lexsort((word, context))
-            return _blocks(context[order], word[order], count.astype(np.uint32)[order], order,
+            return _blocks(context[order], word[order], count.astype(np.int64)[order], order,
                            rows.column("doc_id").to_pylist(), key, rows.column("train").to_numpy(), hot, shards)
 
         for batch in batches:
@@ -331,16 +343,15 @@ class _Pairs:
         self.of = (np.cumsum(new_context, dtype=np.int32) - 1)[self.first]  # context of each pair
         self.contexts = context[new_context]
 
-    def counts(self, uni: Unigrams) -> np.ndarray:
-        """How often the word of each pair occurs in training."""
-        word, count = self.word[self.first], self.count[self.first].astype(np.int64)
-        known = word < _OTHER
-        count[known] = uni.freq[word[known].astype(np.int64)]
-        return count
+    def split(self, hot: np.ndarray) -> np.ndarray:
+        """Which pairs have tokens in other partitions too."""
+        return _split(self.context[self.first], self.word[self.first], hot)
 
-    def pieces(self, most: int) -> Iterator[tuple[list[int], bytes]]:
-        """Counts of counts and packed arrays of parts of about ``most``
-        tokens; a context is never cut."""
+    def pieces(self, most: int, hot: np.ndarray) -> Iterator[tuple[list[int], list[dict], bytes]]:
+        """Counts of counts (of whole pairs), the split pairs with their
+        counts here, and packed arrays, of parts of about ``most`` tokens; a
+        context is never cut."""
+        split = self.split(hot)
         starts = np.flatnonzero(np.concatenate(([True], self.context[1:] != self.context[:-1])))
         cuts = starts[np.unique(np.searchsorted(starts, np.arange(0, len(self.context), most)).clip(
             max=len(starts) - 1))]
@@ -348,9 +359,13 @@ class _Pairs:
         for a, b in zip(cuts, np.append(cuts[1:], len(self.context))):
             own = np.flatnonzero(np.bincount(self.doc[a:b], minlength=len(self.id)))
             at[own] = np.arange(len(own))
-            seen = self.seen[self.pair[a]:self.pair[b - 1] + 1]
-            n = np.bincount(np.minimum(seen, K + 2), minlength=K + 3)[:K + 2]
-            yield n.tolist(), _pack([self.context[a:b], self.word[a:b], self.count[a:b], at[self.doc[a:b]],
+            pairs = slice(self.pair[a], self.pair[b - 1] + 1)
+            seen, cut = self.seen[pairs], split[pairs]
+            n = np.bincount(np.minimum(seen[~cut], K + 2), minlength=K + 3)[:K + 2]
+            at_pair = self.first[pairs][cut]
+            shared = [{"context": int(c), "word": int(w), "n": int(k)} for c, w, k in zip(
+                self.context[at_pair].view(np.int64), self.word[at_pair].view(np.int64), seen[cut])]
+            yield n.tolist(), shared, _pack([self.context[a:b], self.word[a:b], self.count[a:b], at[self.doc[a:b]],
                                      self.id[own], self.valid[own], self.key[own], self.train[own]])
 
     def counts(self, uni: Unigrams) -> np.ndarray:
@@ -360,8 +375,14 @@ class _Pairs:
         count[known] = uni.freq[word[known].astype(np.int64)]
         return count
 
-    def pack(self) -> bytes:
-        return _pack([self.context, self.word, self.count, self.doc, self.id, self.valid, self.key, self.train])
+    def share(self, hot: np.ndarray, counts: dict[tuple[int, int], int]) -> np.ndarray:
+        """Gives the split pairs their counts over all partitions; returns
+        which pairs those are."""
+        split = self.split(hot)
+        for i in np.flatnonzero(split).tolist():
+            at = self.first[i]
+            self.seen[i] = counts[int(self.context[at]), int(self.word[at])]
+        return split
 
     def sums(self, discount: np.ndarray, uni: Unigrams):
         """Per context: training tokens, discounted tokens, unigram mass of
@@ -373,32 +394,42 @@ class _Pairs:
                 np.bincount(self.of, weights=np.where(self.seen > 0, p, 0.0), minlength=m), kept, p)
 
 
-def _sorted_pairs(batches: Batches) -> Batches:
+_SHARED = pa.list_(pa.struct([("context", pa.int64()), ("word", pa.int64()), ("n", pa.int64())]))
+
+
+def _sorted_pairs(hot: np.ndarray):
     """Streams blocks sorted by partition; writes each partition as rows of
     bounded size."""
-    shard, parts = None, []
+    def run(batches: Batches) -> Batches:
+        shard, parts = None, []
 
-    def rows() -> Batches:
-        for counts, data in _Pairs(parts).pieces(1 << 19):
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([counts], pa.list_(pa.int64())),
-                                              pa.array([data], pa.binary())], ["shard", "counts", "data"])
+        def rows() -> Batches:
+            for counts, shared, data in _Pairs(parts).pieces(1 << 19, hot):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int32()), pa.array([counts], pa.list_(pa.int64())), pa.array([shared], _SHARED),
+                     pa.array([data], pa.binary())], ["shard", "counts", "shared", "data"])
 
-    for batch in batches:
-        for s, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if s != shard and parts:
-                yield from rows()
-                parts = []
-            shard = s
-            parts.append(_unpack(data.as_py()))
-    if parts:
-        yield from rows()
+        for batch in batches:
+            for s, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if s != shard and parts:
+                    yield from rows()
+                    parts = []
+                shard = s
+                parts.append(_unpack(data.as_py()))
+        if parts:
+            yield from rows()
+
+    return run
 
 
 def _hot_sums(uni, discount: np.ndarray, hot: np.ndarray):
+    """Sums of the hot contexts over their whole pairs; the split pairs are
+    added once, by the driver."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for data in batch.column("data"):
                 pairs = _Pairs([_unpack(data.as_py())])
+                pairs.seen[pairs.split(hot)] = 0
                 total, kept, mass, _, _ = pairs.sums(discount, uni.value)
                 at = np.isin(pairs.contexts, hot)
                 yield pa.RecordBatch.from_arrays(
@@ -411,12 +442,14 @@ def _hot_sums(uni, discount: np.ndarray, hot: np.ndarray):
 _PART = "doc_id bigint, key bigint, train boolean, n_tokens bigint, n_known bigint, rows bigint, base double, score double"
 
 
-def _scores(uni, discount: np.ndarray, hot: dict[int, tuple[float, float, float]]):
-    """Sums per document of each partition."""
+def _scores(uni, discount: np.ndarray, hot: dict[int, tuple[float, float, float]], words: np.ndarray,
+            shared: dict[tuple[int, int], int]):
+    """Sums per document of each partition; ``words`` are the hot ones."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for data in batch.column("data"):
                 u, pairs = uni.value, _Pairs([_unpack(data.as_py())])
+                pairs.share(words, shared)
                 total, kept, mass, pair_kept, p = pairs.sums(discount, u)
                 for i in np.flatnonzero(np.isin(pairs.contexts, np.array(list(hot), np.uint64))) if hot else ():
                     total[i], kept[i], mass[i] = hot[int(pairs.contexts[i])]
@@ -466,16 +499,17 @@ def _unigrams(words: DataFrame, frequent: int) -> Unigrams:
         top = words.where(F.col("n") >= least).toArrow()
         h = top.column("word").to_numpy().view(np.uint64)
         order = np.argsort(h)
-        n = top.column("n").to_numpy()[order].astype(np.uint32)
-        by_count = np.argsort(-n.astype(np.int64), kind="stable")
+        n = top.column("n").to_numpy()[order].astype(np.int64)
+        by_count = np.argsort(-n, kind="stable")
         number = np.empty(len(n), np.uint32)
         number[by_count] = np.arange(len(n), dtype=np.uint32)
         out.hashes, out.number, out.freq = h[order], number, n[by_count]
     return out
 
 
+@tidy
 def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", *,
-                frequent: int = 1 << 20, group_tokens: int = 1 << 19) -> DataFrame:
+                frequent: int = 1 << 20, group_tokens: int = 1 << 19, partition_tokens: int = 1 << 22) -> DataFrame:
     """Learns from the rows where ``train`` holds and scores every row:
     ``(doc_id, train, n_tokens, n_known, train_tokens, base_score, score)``."""
     spark = docs.sparkSession
@@ -485,7 +519,8 @@ def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     words = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "katz-words")
     u = _unigrams(words, frequent)
     uni = Shipped(spark, u)
-    parts = shuffle_parts(spark)
+    # Partitions are sorted in memory: so many that none has to hold more.
+    parts = max(shuffle_parts(spark), -(-u.total // partition_tokens))
     shards = even_keys(spark, parts)
     # As contexts: a word stands before something as often as it occurs; the
     # start mark as often as there are documents, that is as the end.
@@ -499,20 +534,33 @@ def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     packed = rows.mapInArrow(_frequent_pairs(uni, hot, shards, group_tokens), _PACKED).unionByName(
         other.mapInArrow(_pack_rows(hot, shards, group_tokens), _PACKED))
     packed = packed.repartition(parts, "shard").sortWithinPartitions("shard")
-    pairs = materialize(packed.mapInArrow(_sorted_pairs, "shard int, counts array<bigint>, data binary"), "katz-pairs")
+    pairs = materialize(packed.mapInArrow(
+        _sorted_pairs(hot), "shard int, counts array<bigint>, shared array<struct<context:bigint,word:bigint,n:bigint>>, data binary"),
+        "katz-pairs")
     got = pairs.select(F.posexplode("counts").alias("r", "m")).groupBy("r").agg(F.sum("m").alias("m")).collect()
     n = [0] * (K + 2)
     for r in got:
         n[r["r"]] = r["m"]
+    # At most as many as the square of the number of hot words.
+    split = pairs.select(F.explode("shared").alias("s")).groupBy("s.context", "s.word").agg(F.sum("s.n").alias("n")).collect()
+    shared = {(r["context"] % (1 << 64), r["word"] % (1 << 64)): r["n"] for r in split}
+    for c in shared.values():
+        if c <= K + 1:
+            n[c] += 1
     discount = discounts(n)
     sums: dict[int, tuple[float, float, float]] = {}
     if len(hot):
         each = pairs.mapInArrow(_hot_sums(uni, discount, hot), "context bigint, total double, kept double, mass double")
         for r in each.groupBy("context").agg(*[F.sum(c).alias(c) for c in ("total", "kept", "mass")]).collect():
             sums[r["context"] % (1 << 64)] = (r["total"], r["kept"], r["mass"])
+        freq = u.freq
+        for (context, word), c in shared.items():  # hot words are frequent ones (the start mark is never a word)
+            total, kept, mass = sums.get(context, (0.0, 0.0, 0.0))
+            p = float(u.probability(freq[[word]])[0]) if c else 0.0
+            sums[context] = (total + c, kept + (discount[c] * c if c <= K else c), mass + p)
     # A task takes some partitions, so that a document's sums are added up
     # before they are shuffled.
-    done = pairs.coalesce(max(1, len(shards) // 4)).mapInArrow(_scores(uni, discount, sums), _PART)
+    done = pairs.coalesce(max(1, len(shards) // 4)).mapInArrow(_scores(uni, discount, sums, hot, shared), _PART)
     done = done.groupBy("doc_id", "key", "train").agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "rows", "base", "score")])
     # Rows that agree in id and text were added up: each gets its share.

@@ -148,32 +148,48 @@ def test_op3(spark, docs):
         assert r["decoded_sha256"] == sha(t.decode(ids, skip_special_tokens=False))
 
 
-def test_op5(spark, docs):
-    got = result(spark, "op5_katz_scoring")
-    tok = {i: t.encode().lower().split() + ["</s>"] for i, t in docs.items()}
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tok}
+def plain_discounts(n):
+    """Good-Turing factors for counts 1 to 5, from the formulas: n[r] things
+    were seen r times."""
+    rest = 6 * n[6] / n[1] if n[1] else 1
+    d = {r: 1.0 for r in range(1, 6)}
+    if n[1]:
+        for r in d:
+            if n[r] and rest < 1:
+                d[r] = ((r + 1) * n[r + 1] / (r * n[r]) - rest) / (1 - rest)
+        if not all(0 < x < 1 for x in d.values()):
+            cut = n[1] / (n[1] + 2 * n[2])
+            cut = 0.5 if cut >= 1 else cut
+            d = {r: (r - cut) / r for r in d}
+    return d
+
+
+def check_katz(got, texts, held):
+    """Scores against a plain model with dictionaries."""
+    tok = {i: t.encode().lower().split() + ["</s>"] for i, t in texts.items()}
     c = collections.Counter(w for i in tok if not held[i] for w in tok[i])
     pairs = collections.Counter(p for i in tok if not held[i] for p in zip(["<s>", *tok[i]], tok[i]))
     n, v = sum(c.values()), len(c)
-    d1, d2 = (katz.discounts([0] + [m[k] for k in range(1, 7)])
-              for m in (collections.Counter(c.values()), collections.Counter(pairs.values())))
+    d1, d2 = (plain_discounts(collections.Counter(x.values())) for x in (c, pairs))
 
     def cut(d, x):
-        return (d[x] if x <= 5 else 1) * x
+        return d.get(x, 1) * x
 
-    unknown = 1 - sum(cut(d1, x) for x in c.values()) / n
+    kept = sum(cut(d1, x) for x in c.values())
+    whole = n + (n - kept <= 1e-9)
+    unknown = 1 - kept / whole
     after = collections.defaultdict(dict)
     for (h, w), x in pairs.items():
         after[h][w] = x
 
     def one(w):
-        return cut(d1, c[w]) / n if w in c else unknown
+        return cut(d1, c[w]) / whole if w in c else unknown
 
     alpha = {}
     for h, x in after.items():
-        total, kept = sum(x.values()), sum(cut(d2, k) for k in x.values())
-        below = total + (total - kept <= 1e-9)
-        alpha[h] = below, (below - kept) / below / (1 - sum(map(one, x)))
+        total, left = sum(x.values()), sum(cut(d2, k) for k in x.values())
+        below = total + (total - left <= 1e-9)
+        alpha[h] = below, (below - left) / below / (1 - sum(map(one, x)))
 
     def p(h, w):
         if h not in after:
@@ -189,6 +205,44 @@ def test_op5(spark, docs):
         assert math.isclose(r["score"], sum(math.log10(p(*x)) for x in zip(["<s>", *tok[i]], tok[i])), rel_tol=1e-9)
 
 
+def test_op5(spark, docs):
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in docs}
+    check_katz(result(spark, "op5_katz_scoring"), docs, held)
+
+
+def test_op5_hot_pairs(spark):
+    """One pair is half of all tokens, another one a fifth: both are spread
+    over the partitions, and the scores are those of the plain model."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(1)
+    texts = {i: " ".join(rnd.choices(["tick"] * 20 + ["so", "no"] + [f"w{k}" for k in range(30)], k=60))
+             + " ha" * 40 + " ha ho" * 15 for i in range(120)}
+    held = {i: i % 5 == 0 for i in texts}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+        rows = katz.katz_scores(d, F.col("doc_id") % 5 != 0, partition_tokens=500).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    check_katz({r["doc_id"]: {**r.asDict(), "held_out": not r["train"]} for r in rows}, texts, held)
+    hot = np.array([7], np.uint64)
+    many = np.full(60_000, 7, np.uint64)
+    to = katz._shard_of(many, many, np.arange(60_000, dtype=np.uint64) // np.uint64(20), hot, 16)
+    assert np.bincount(to, minlength=16).max() < 1.2 * 60_000 / 16
+
+
+def test_op5_counts_beyond_32_bits(spark):
+    words = spark.createDataFrame([(1, 2 ** 32 + 5), (2, 3)], "word bigint, n bigint")
+    u = katz._unigrams(words, 10)
+    assert u.freq.tolist() == [2 ** 32 + 5, 3] and u.total == 2 ** 32 + 8
+    packed = katz._unpack(katz._pack([np.zeros(1, np.uint64)] * 2 + [np.array([2 ** 33])] + [np.zeros(1, np.int64)] * 5))
+    assert packed[2].tolist() == [2 ** 33]
+
+
 def leaves_of(text):
     import regex
 
