@@ -88,6 +88,41 @@ def test_license_edges(spark, edge):
                    5: (None, None), 6: (None, None)}
 
 
+def test_license_headers_files_and_identifiers(spark):
+    """Standard headers, identifiers and files, wrapped and commented anyhow."""
+    def full(name, texts):
+        return next(t for n, t in texts if n == name)
+
+    def commented(text, sign="# ", width=9):
+        w = text.split()
+        return "\n".join(sign + " ".join(w[i:i + width]) for i in range(0, len(w), width))
+
+    code = "\nimport os\n" + "\n".join(f"value_{i} = compute(value_{i - 1}, {i})" for i in range(80))
+    holder = "Copyright (c) 2020, Some Body. All rights reserved.\n\n"
+    cases = [
+        ("// SPDX-License-Identifier: MIT" + code, "MIT"), ("/* SPDX-License-Identifier: Apache-2.0 */" + code, "Apache-2.0"),
+        ("# SPDX-License-Identifier: GPL-3.0-or-later" + code, "GPL-3.0"),
+        (commented(full("GPL-3.0", licenses.HEADERS), " * ") + code, "GPL-3.0"),
+        (commented(full("GPL-2.0", licenses.HEADERS), " * ", 12) + code, "GPL-2.0"),
+        (commented(full("LGPL-3.0", licenses.HEADERS), "; ") + code, "LGPL-3.0"),
+        (commented(full("MPL-2.0", licenses.HEADERS), "// ") + code, "MPL-2.0"),
+        (commented(holder + full("BSD-3-Clause", licenses.FILES), "# ") + code, "BSD-3-Clause"),
+        (commented("Copyright 2021 The Authors. " + full("Apache-2.0", licenses.HEADERS), "# ") + code, "Apache-2.0"),
+        ("MIT License\n\nCopyright (c) 2020 Some Body\n\n" + full("MIT", licenses.FILES), "MIT"),
+        ("a long line of prose " * 60 + "which was released under the MIT License. " + "and so on " * 60, "MIT"),
+        (full("GPL-3.0", licenses.STARTS) + " Preamble The rest of a long text." * 300, "GPL-3.0"),
+        (holder + code * 3, "Proprietary"), ("No licence is needed to read this book about rights and a permission." + code, None),
+    ]
+    d = spark.createDataFrame([(i, t, f"repo{i}") for i, (t, _) in enumerate(cases)]
+                              + [(100 + i, "no notice here " * 100, f"repo{i}/src/deep") for i in range(len(cases))],
+                              "doc_id bigint, text string, p string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(d, F.col("p")).collect()}
+    assert {i: got[i]["license"] for i in range(len(cases))} == {i: want for i, (_, want) in enumerate(cases)}
+    # Only whole licence files license what lies below them, however long they are.
+    below = {i: got[100 + i]["effective_license"] for i in range(len(cases)) if got[100 + i]["effective_license"]}
+    assert below == {9: "MIT", 11: "GPL-3.0"}
+
+
 def test_katz_edges(edge):
     rows = _all(edge, "op5")
     assert {r["n_tokens"] for r in rows if r["doc_id"] in (1, 2, 7)} == {1}
