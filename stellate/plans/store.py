@@ -44,7 +44,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,7 +183,7 @@ class ComponentStore:
         entry = {"round": 0, "batch_id": None, "n_edges": 0, "n_unknown": 0, "n_vertices": 0, "n_merged": 0,
                  "source": None} | changes.pop("entry", {})
         base = m or {"version": -1, "epoch": 0, "settings": self._settings(), "layers": [], "history": None,
-                     "next": 0, "streams": {}}
+                     "next": 0, "streams": {}, "round": 0, "batches": {}}
         out = base | {"version": base["version"] + 1} | changes
         return out | {"entry": entry | {"message": message, "version": out["version"], "epoch": out["epoch"]}}
 
@@ -428,7 +428,7 @@ class ComponentStore:
             settings = settings | {"uid_width": width}
         epoch = (m["epoch"] if m else 0) + 1
         return self._commit(self._new(m, "load", settings=settings, layers=[layer], history=None, streams={},
-                                      next=self._next(layer, 0), epoch=epoch), written)
+                                      round=0, batches={}, next=self._next(layer, 0), epoch=epoch), written)
 
     def add(self, uids: DataFrame, order_by: list[str] | None = None, existing: str = "keep",
             check_unique: bool = True) -> int:
@@ -564,6 +564,10 @@ class ComponentStore:
         """Whether this very batch was merged: every source counts its own."""
         if batch_id is None or source is None:
             return False
+        m = self._manifest()
+        last = m["batches"].get(source) if m else None
+        if last is None or batch_id > last:
+            return False  # a batch after all others: no need to read the log
         same = (F.col("batch_id") == batch_id) & (F.col("source") == source)
         return bool(self._epoch_log().where(same).limit(1).collect())
 
@@ -649,26 +653,29 @@ class ComponentStore:
         """Components of a round's edges on current labels, the new history
         and the round's entry, all in one commit."""
         stats: dict = {}
-        labels = connected_components(cmp_edges, stats=stats)
-        if not getattr(labels, "_stellate_path", None):
-            small = labels
-            labels = materialize(small, "round-labels")  # read several times below
-            release(small)
-        merged = labels.where(F.col("id") != F.col("cmp"))
+        small = connected_components(cmp_edges, stats=stats)
+        counts = Observation()
+        # Read several times below; counted on the way.
+        labels = materialize(small.observe(counts, F.count(F.lit(1)).alias("n"),
+                                           F.count_if(F.col("id") != F.col("cmp")).alias("merged")), "round-labels")
+        release(small)
+        n_vertices, n_merged = counts.get["n"], counts.get["merged"]
         history, written = m["history"], []
-        n_merged = merged.count()
         if n_merged:
             history = self._write_history(advance_history(self.history(), labels))
             written.append(history)
-        streams = m["streams"]
+        streams, batches = m["streams"], m["batches"]
         if state is not None:
             names = {k: self._write(df, f"state-{k}") for k, df in state.items()}
             written += names.values()
             streams = streams | {source: names}
-        rnd = self.rounds().agg(F.max("round")).first()[0]
-        entry = {"round": (rnd or 0) + acknowledge, "batch_id": batch_id, "n_edges": stats["edges"], "n_unknown": unknown.count(),
-                 "n_vertices": labels.count(), "n_merged": n_merged, "source": source}
-        v = self._commit(self._new(m, "c3" if acknowledge else "batch", history=history, streams=streams, entry=entry), written)
+        if batch_id is not None:
+            batches = batches | {source: max(batch_id, batches.get(source, batch_id))}
+        rnd = m["round"] + acknowledge
+        entry = {"round": rnd, "batch_id": batch_id, "n_edges": stats["edges"], "n_unknown": unknown.count(),
+                 "n_vertices": n_vertices, "n_merged": n_merged, "source": source}
+        v = self._commit(self._new(m, "c3" if acknowledge else "batch", history=history, streams=streams,
+                                   batches=batches, round=rnd, entry=entry), written)
         return RoundResult(v, labels, unknown, scratch=scratch + [labels])
 
     def map_round(self, edge_fn: Callable[[DataFrame], DataFrame] | None = None,
