@@ -454,3 +454,61 @@ def test_pii_precision_and_recall(spark):
     right = sum(("phone", v) in got[i] for i, (_, want) in enumerate(rows) for v in want)
     wanted = sum(len(w) for _, w in rows)
     assert right >= 0.95 * wanted and right >= 0.95 * found, (right, wanted, found)
+
+
+def test_very_long_texts(spark):
+    """A text of some megabytes is taken whole by every operator."""
+    import hashlib
+
+    import xxhash
+
+    from stellate.llm import fptree, manifest, minhash
+
+    words = [f"w{i % 4999}x{i % 7}" for i in range(300_000)]
+    words[-8:] = "Released under the MIT License. mail a@b.org end".split()
+    long = "\n".join(" ".join(words[i:i + 12]) for i in range(0, len(words), 12))
+    rows = [(1, long, "en", "a", len(long)), (2, long, "en", "a", len(long)), (3, "short one", "en", "a", 9)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+    def got(df, i=1):
+        return next(r for r in df.collect() if r["doc_id"] == i)
+
+    flat = long.encode().lower().split()
+    h = np.array([xxhash.xxh64_intdigest(b" ".join(flat[i:i + 4]), 42) for i in range(len(flat) - 3)], np.uint64)
+    bits = [2 * int((h >> np.uint64(b) & np.uint64(1)).sum()) > len(h) for b in range(64)]
+    fp = got(simhash.near_duplicates(d), 2)
+    assert fp["fp"] % (1 << 64) == sum(1 << b for b, on in enumerate(bits) if on) and fp["component_id"] == 1
+    assert got(katz.katz_scores(d, F.col("doc_id") == 1), 2)["n_known"] == len(words) + 1
+    r = got(merkle.document_fingerprints(d), 2)
+    assert r["n_chars"] == len(long) and got(merkle.document_fingerprints(d))["near_next"] == 1.0
+    assert got(mixing.mix_plan(d))["size"] == len(words)
+    r = got(repeats.remove_repeats(d), 2)
+    assert (r["n_words"], r["n_removed"], r["kept_text"]) == (len(words), len(words), "")
+    r = got(quality.quality_scores(d))
+    assert (r["n_words"], r["n_lines"]) == (len(words), long.count("\n") + 1)
+    assert got(licenses.scan_licenses(d, F.col("source")))["license"] == "MIT"
+    assert [long[s["start"]:s["end"]] for s in got(pii.personal_spans(d))["spans"]] == ["a@b.org"]
+    r = got(minhash.near_duplicates(d), 2)
+    assert r["n_shingles"] == len(set(zip(flat, flat[1:]))) and r["component_id"] == 1
+    r = got(manifest.dataset_manifest(d))
+    fields = (1, "a", "en", len(long), long)
+    assert r["leaf"] == hashlib.sha256("".join(f"{len(str(x))}:{x}" for x in fields).encode()).hexdigest() and r["verified"]
+    items = spark.createDataFrame([(0, "license short")], "item_id bigint, text string")
+    assert [r["doc_id"] for r in fptree.ranked_search(d, items).orderBy("rank").collect()] == [3, 1, 2]
+    chats = spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    r = chat.read_chat(chat.format_chat(chats)).first()
+    assert r["loss_chars"] == len(long) and r["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+    ids = got(bpe.encode_documents(d))["ids"]
+    assert bpe.coder(None).decode(np.array(ids, "int32")) == long
+
+
+def test_license_ties(spark):
+    """Two licence files in one directory, and two notices of one kind."""
+    mit, apache = "Released under the MIT License", "Licensed under the Apache License, Version 2.0"
+    rows = [(5, mit, "a"), (4, apache, "a"), (4, apache, "a"), (9, "no notice " * 90, "a/b"),
+            (7, f"{mit}\n{mit}\n{'and prose ' * 90}", "c"), (None, mit, "d"), (8, apache, "d"), (10, "no notice " * 90, "d")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, p string")
+    got = {r["doc_id"]: (r["license"], r["effective_license"], r["inherited_from"])
+           for r in licenses.scan_licenses(d, F.col("p")).collect()}
+    assert got[9] == (None, "Apache-2.0", "a") and got[10] == (None, "Apache-2.0", "d") and got[7][0] == "MIT"
