@@ -63,17 +63,22 @@ def stored_neighbors(codes: DataFrame, table: DataFrame, uid: str = "uid",
     """Neighbours of ``codes`` that are stored in ``table``.
 
     Returns ``(uid, nbr, nbr_cmp, nbr_shard)``.  By default all shards are
-    searched; ``within_shard=True`` keeps only neighbours in the shard of
-    the code itself (the one-shard view).  The join is on the unique
+    searched; ``within_shard=True`` keeps only neighbours stored in the shard of
+    the code itself (the one-shard view): the shard that ``codes`` gives, or
+    that of ``shard_fn`` if there is no such column.  The join is on the unique
     ``uid`` of the table, so no key is hot: a code is the neighbour of at
     most L*(L-1) codes.
     """
-    nb = neighbors(codes, uid)
+    keep = ()
     if within_shard:
-        nb = nb.where(shard_fn(F.col("nbr")).eqNullSafe(shard_fn(F.col("uid"))))
+        own = F.col("shard") if "shard" in codes.columns else shard_fn(F.col(uid))
+        codes, keep = codes.select(F.col(uid), own.alias("_own")), ("_own",)
     t = table.select(F.col("uid").alias("nbr"), F.col("cmp").alias("nbr_cmp"),
                      F.col("shard").alias("nbr_shard"))
-    return nb.join(t, "nbr").select("uid", "nbr", "nbr_cmp", "nbr_shard")
+    nb = neighbors(codes, uid, keep).join(t, "nbr")
+    if within_shard:
+        nb = nb.where(F.col("_own").eqNullSafe(F.col("nbr_shard")))
+    return nb.select("uid", "nbr", "nbr_cmp", "nbr_shard")
 
 
 def neighbor_edges(table: DataFrame) -> DataFrame:

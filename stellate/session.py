@@ -10,6 +10,7 @@ computed once (``Dataset.checkpoint`` would compute an uncached plan twice).
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import threading
 import uuid
@@ -83,7 +84,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # one process; not local-cluster
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="stellate-ckpt-")

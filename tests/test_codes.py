@@ -81,3 +81,15 @@ def test_stored_neighbors_and_shard_view(spark):
     every = {r.nbr for r in stored_neighbors(codes, t).collect()}
     assert every == {"010", "001"}
     assert stored_neighbors(codes, t, within_shard=True).count() == 0
+
+
+def test_within_shard_takes_the_stored_shard(spark):
+    """Shards that were given with the items, not computed from them."""
+    from stellate.operators.neighbors import stored_neighbors
+
+    t = spark.createDataFrame([("12", 0, False, 7), ("21", 1, False, 7), ("30", 2, False, 8), ("03", 3, False, None)],
+                              "uid string, cmp bigint, mapped boolean, shard int")
+    got = {(r.uid, r.nbr) for r in stored_neighbors(t, t, within_shard=True).collect()}
+    assert got == {("12", "21"), ("21", "12")}
+    by_rule = {(r.uid, r.nbr) for r in stored_neighbors(t.select("uid"), t, within_shard=True).collect()}
+    assert by_rule == set()  # the first digits name no stored shard

@@ -144,3 +144,48 @@ def test_grouped_matches_union_find_per_group(spark, rows):
         for v, lab in union_find([(a, b) for gg, a, b in rows if gg == grp]).items():
             exp[(grp, v)] = lab
     assert got == exp
+
+
+def test_successor_edges_have_the_neighbour_components(spark):
+    """Shared successors against neighbour candidates, on a part of the codes
+    and on ones of several lengths."""
+    import random
+
+    from stellate.operators.neighbors import neighbor_edges, successor_edges, successor_keys
+    from stellate.sources.codes import enumerate_codes
+
+    rnd = random.Random(2)
+    uids = rnd.sample([f"{i:04d}" for i in range(10000)], 900) + ["9", "8", "90", "09", "99x", ""]
+    t = spark.createDataFrame(list(enumerate(uids)), "cmp bigint, uid string")
+
+    def labels(edges):
+        return {r.id: r.cmp for r in connected_components(edges).collect()}
+
+    assert labels(successor_edges(t)) == labels(neighbor_edges(t)) != {}
+    every = enumerate_codes(spark, 3)
+    keys = successor_keys(every).count()
+    assert keys == 3 * 900 and successor_edges(every).count() <= keys  # at most L rows a code
+
+
+def test_contraction_before_the_stars(spark):
+    """Repeats and edges inside a partition's components do not reach the
+    first shuffle; small lots give the same components."""
+    import glob
+    import random
+
+    from conftest import union_find
+    from stellate.operators import forest
+
+    rnd = random.Random(3)
+    pairs = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(300)] * 20 + [(900, 900), (901, 901)]
+    want = union_find(pairs)
+    d = spark.createDataFrame(pairs, "src bigint, dst bigint").repartition(4)
+    stats: dict = {}
+    assert {r.id: r.cmp for r in connected_components(d, stats=stats).collect()} == want
+    assert stats["edges"] == len(pairs)
+    for limit in (7, 64, 1 << 20):
+        rows = d.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).mapInArrow(
+            forest.star_forest(limit), "u bigint, v bigint").collect()
+        assert union_find([tuple(r) for r in rows]) == want
+        if limit > 64:
+            assert len(rows) <= 4 * len(want)
