@@ -3,6 +3,14 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next stage's ``docs``.  All but the
 last return the columns of ``documents``.
+
+Defined cases: null and empty texts, and texts of fewer than 50 words, are
+rejected by the quality rules; null languages and sources are groups of their own;
+of rows with one component the one with the least id stays (null ids last), so of
+repeated rows one; texts of any length are taken whole; a document that the mix
+takes several times is as many rows, one that it does not take is gone; an empty
+table gives empty tables with the same columns; other columns pass through, and a
+column ``ids`` is replaced by the token ids of the last stage.
 """
 
 from __future__ import annotations
