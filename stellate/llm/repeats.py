@@ -83,11 +83,19 @@ class Plan:
             raise ValueError("a window may hold 1 to 63 phrases")
 
     def chosen(self, phrases: np.ndarray) -> np.ndarray:
-        """For every window, the place of its phrase with the least hash."""
-        if len(phrases) < self.inside:
+        """For every window, the place of its first phrase with the least hash."""
+        n = len(phrases) - self.inside + 1
+        if n <= 0:
             return np.zeros(0, np.int64)
-        view = np.lib.stride_tricks.sliding_window_view(phrases, self.inside)
-        return view.argmin(axis=1) + np.arange(len(view))
+
+        def least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return np.where(phrases[a] <= phrases[b], a, b)
+
+        # By doubling, as the hashes: a few numbers a word, whatever the text.
+        at, size = np.arange(len(phrases)), 1
+        while 2 * size <= self.inside:
+            at, size = least(at[:-size], at[size:]), 2 * size
+        return least(at[:n], at[self.inside - size:])
 
 
 class _Shard:
