@@ -424,11 +424,13 @@ def _untouched(hit, text: str, h: str, drop: list[str], names: list[str]):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             batch = batch.filter(pa.array(~_held(batch, hit, h)))
-            words = [(t.as_py() or "").encode("utf-8", "surrogatepass").split() for t in batch.column(text)]
-            kept = [b" ".join(w).decode("utf-8", "surrogatepass") for w in words]
+            kept, total = [], []
+            for t in batch.column(text):  # one text's words at a time
+                words = (t.as_py() or "").encode("utf-8", "surrogatepass").split()
+                kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+                total.append(len(words))
             cols = [(x, batch.column(i)) for i, x in enumerate(batch.schema.names) if x not in drop]
-            new = [pa.array(kept, pa.string()), pa.array([len(w) for w in words], pa.int64()),
-                   pa.array([0] * len(words), pa.int64())]
+            new = [pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array([0] * len(kept), pa.int64())]
             yield pa.RecordBatch.from_arrays([c for _, c in cols] + new, names=[x for x, _ in cols] + names)
 
     return run
