@@ -286,7 +286,7 @@ def _located(plan: Plan, mixed):
 def _cover(text_col: str, runs_col: str, drop: list[str], window: int, names: list[str]):
     """Replaces text and runs by the kept text and its counts."""
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in _parts(batches):
             kept, total, gone = [], [], []
             for t, m in zip(batch.column(text_col), batch.column(runs_col)):
                 words = (t.as_py() or "").encode("utf-8", "surrogatepass").split()
@@ -407,13 +407,20 @@ def repeated_windows(docs: DataFrame, doc_id: str, text: str, text_hash: str, *,
             .drop("a"))
 
 
+def _parts(batches: Batches, rows: int = 512) -> Batches:
+    """The rows in small batches, so that few texts are held twice."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _held(batch: pa.RecordBatch, hit, h: str) -> np.ndarray:
     return hit.value.may_hold(batch.column(h).to_numpy(zero_copy_only=False).view(np.uint64))
 
 
 def _rows_in(hit, h: str):
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in _parts(batches):
             yield batch.filter(pa.array(_held(batch, hit, h)))
 
     return run
@@ -422,7 +429,7 @@ def _rows_in(hit, h: str):
 def _untouched(hit, text: str, h: str, drop: list[str], names: list[str]):
     """The rows outside the filter, with all their words."""
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in _parts(batches):
             batch = batch.filter(pa.array(~_held(batch, hit, h)))
             kept, total = [], []
             for t in batch.column(text):  # one text's words at a time
