@@ -3,7 +3,10 @@
 Two codes are neighbours when one unit moves from one digit to another.  The
 moves of a code are generated as an array inside the row and exploded, so
 the work is spread over the partitions of the codes, with no cross join and
-no per-row Python.  A code of length L has at most L*(L-1) neighbours.  Where
+no per-row Python.  A code of length L has at most L*(L-1) neighbours.  Spark's
+size estimate does not count the exploded rows, so a join of the neighbours
+names its strategy: left to the estimate, Spark would send them all through the
+driver to broadcast them.  Where
 only the components matter, :func:`successor_edges` describes the same graph
 by stars around shared successors.
 """
@@ -75,7 +78,7 @@ def stored_neighbors(codes: DataFrame, table: DataFrame, uid: str = "uid",
         codes, keep = codes.select(F.col(uid), own.alias("_own")), ("_own",)
     t = table.select(F.col("uid").alias("nbr"), F.col("cmp").alias("nbr_cmp"),
                      F.col("shard").alias("nbr_shard"))
-    nb = neighbors(codes, uid, keep).join(t, "nbr")
+    nb = neighbors(codes, uid, keep).join(t.hint("merge"), "nbr")
     if within_shard:
         nb = nb.where(F.col("_own").eqNullSafe(F.col("nbr_shard")))
     return nb.select("uid", "nbr", "nbr_cmp", "nbr_shard")
@@ -90,7 +93,7 @@ def neighbor_edges(table: DataFrame) -> DataFrame:
     """
     nb = _moves(table.select("uid", F.col("cmp").alias("src")), "uid", ("src",), upward_only=True)
     right = table.select(F.col("uid").alias("nbr"), F.col("cmp").alias("dst"))
-    return nb.join(right, "nbr").select("src", "dst")
+    return nb.join(right.hint("merge"), "nbr").select("src", "dst")
 
 
 def successor_keys(codes: DataFrame, uid: str = "uid", keep: tuple[str, ...] = ()) -> DataFrame:

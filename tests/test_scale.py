@@ -136,3 +136,20 @@ def test_base_write_splits_a_large_shard(spark, scratch):
     files = glob.glob(f"{scratch}/tbl/data/rows-*/shard=0/*.parquet")
     assert len(files) > 1
     assert store.read().count() == 200000
+
+
+def test_neighbours_are_never_broadcast(spark):
+    """The estimate of the exploded neighbours is that of the codes, far under
+    the threshold: the joins must not build a broadcast from them."""
+    from stellate.operators.neighbors import neighbor_edges, stored_neighbors
+    from stellate.operators.table import populate
+    from stellate.sources.codes import enumerate_codes
+
+    t = populate(enumerate_codes(spark, 4).select("uid"))
+    for df, rows in ((stored_neighbors(t, t), 97200), (stored_neighbors(t, t, within_shard=True), 97200 - 2 * 24300),
+                     (neighbor_edges(t), 48600)):
+        final = _final_plan(df).split("== Initial Plan ==")[0].split("\n")
+        for i, ln in enumerate(final):
+            if "Generate explode(array(" in ln:
+                assert not any("BroadcastExchange" in a for a in _ancestors(final, i))
+        assert df.count() == rows
