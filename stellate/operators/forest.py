@@ -27,8 +27,10 @@ def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     one; a vertex alone (self-loops only) with itself.  Labels travel along
     the edges and jump over their own labels until nothing changes."""
     ids, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    # Places are 32 bits wide, which halves what a task holds.
+    at = at.astype(np.int32)
     a, b = at[:len(u)], at[len(u):]
-    p = np.arange(len(ids))
+    p = np.arange(len(ids), dtype=np.int32)
     while True:
         x, y = p[a], p[b]
         low = np.minimum(x, y)
@@ -43,11 +45,13 @@ def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if (q == p).all():
             break
         p = q
+        live = p[a] != p[b]  # ends that have met stay together
+        a, b = a[live], b[live]
     rows = (p != np.arange(len(ids))) | (np.bincount(p, minlength=len(ids)) == 1)
     return ids[rows], ids[p[rows]]
 
 
-def star_forest(limit: int = 1 << 20) -> ArrowFn:
+def star_forest(limit: int = 1 << 19) -> ArrowFn:
     """Rows ``(u, v)`` of a partition -> stars with the same components.
 
     Edges are taken together up to ``limit`` rows; the stars found so far go

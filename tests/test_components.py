@@ -189,3 +189,35 @@ def test_contraction_before_the_stars(spark):
         assert union_find([tuple(r) for r in rows]) == want
         if limit > 64:
             assert len(rows) <= 4 * len(want)
+
+
+def test_steps_write_fewer_rows_than_edges(spark, monkeypatch):
+    """A graph whose tasks can tell little by themselves (random pairs, dealt
+    at random): the steps link what meets and write less than they were given."""
+    from stellate.operators import components as cc
+    from stellate.session import materialize
+
+    n, written = 120000, []
+
+    def counted(df, name):
+        out = materialize(df, name)
+        if name != "cc-min":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(cc, "materialize", counted)
+    e = (spark.range(0, n, 1, 8).select((F.xxhash64("id") % 30000).alias("a"), (F.hash("id") % 4000).alias("b"))
+         .select((F.abs("a") * 3).alias("src"), (F.abs("b") * 3 + 1).alias("dst")))
+    got = {r["id"]: r["cmp"] for r in cc.connected_components(e).collect()}
+    assert got == union_find([(r["src"], r["dst"]) for r in e.collect()])
+    assert sum(written) < 2 * n
+
+
+def test_repeats_in_several_tasks_and_paths(spark):
+    """Without groups an edge may be left in several tasks; the loop still ends."""
+    rows = [(i, i + 1) for i in range(300)] * 2 + [(1000, k) for k in range(1001, 1400)] + [(5000, 5000), (1399, 1000)]
+    e = spark.createDataFrame(rows, "src bigint, dst bigint").repartition(7)
+    stats = {}
+    got = {r["id"]: r["cmp"] for r in connected_components(e, stats=stats).collect()}
+    assert got == union_find(rows)
+    assert stats["edges"] == len(rows)
