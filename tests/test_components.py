@@ -221,3 +221,26 @@ def test_repeats_in_several_tasks_and_paths(spark):
     got = {r["id"]: r["cmp"] for r in connected_components(e, stats=stats).collect()}
     assert got == union_find(rows)
     assert stats["edges"] == len(rows)
+
+
+def test_memory_of_a_contracting_task_is_bounded():
+    """However many edges a task reads, it holds one lot of them."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from stellate.operators.forest import star_forest
+
+    rnd = np.random.default_rng(1)
+
+    def batches(n):
+        for _ in range(n):
+            yield pa.RecordBatch.from_arrays([pa.array(rnd.integers(1 << 30, 1 << 31, 10000)),
+                                              pa.array(rnd.integers(0, 1 << 30, 10000))], names=["u", "v"])
+
+    tracemalloc.start()
+    try:
+        assert sum(len(b) for b in star_forest()(batches(120))) <= 1200000
+        assert tracemalloc.get_traced_memory()[1] < 140 << 20
+    finally:
+        tracemalloc.stop()
