@@ -103,6 +103,24 @@ def keep_known(df: DataFrame, col: str, known: DataFrame, bits: int = 24) -> Dat
     return got.where(hit != 0).select(*df.columns)
 
 
+def tell_known(df: DataFrame, col: str, known: DataFrame, out: str, bits: int = 24) -> DataFrame:
+    """``df`` with a boolean column ``out``: whether the row's bigint column
+    ``col`` may be in the one column of ``known`` (true for all that are, and
+    for few others).  One bit for each value of the hashes' first ``bits``
+    bits, so at most ``2^bits / 64`` rows are broadcast, whatever ``known``
+    holds."""
+    def place(c: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
+
+    w, m = fresh(df, "_w"), fresh(df, "_m")
+    v = known.select(place(known.columns[0]).alias("v"))
+    words = (v.select(F.shiftright("v", 6).alias(w), (F.col("v") % 64).cast("int").alias("b"))
+             .groupBy(w).agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias(m)))
+    hit = F.col(m).bitwiseAND(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64({col}), {64 - bits}) % 64 as int))"))
+    got = df.withColumn(w, F.shiftright(place(col), 6)).join(F.broadcast(words), w, "left")
+    return got.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(hit != 0, F.lit(False)).alias(out))
+
+
 def even_keys(spark: SparkSession, parts: int) -> list[int]:
     """One int for each of ``parts`` shuffle partitions, such that
     ``repartition(parts, key)`` sends each to a partition of its own."""

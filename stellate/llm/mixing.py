@@ -32,12 +32,14 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize, release, tidy
-from .common import WORD, fresh, table
+from .common import WORD, fresh, keep_known, table, tell_known
 
 WEIGHTS = (5, 2, 1)
 
@@ -171,10 +173,16 @@ def round_copies(classes: DataFrame, state: DataFrame, cap: int = 3) -> DataFram
     return cur
 
 
-def _plan(sizes: DataFrame, weights: tuple[int, ...], cap: int, bucket_rows: int) -> DataFrame:
-    """Copies for rows ``(doc_id, sk, size, h)``: one row for each unit of equal
-    ones with ``mult`` (how many they are), ``source_size``, ``target``,
-    ``base`` (copies of each row) and ``extra`` (rows that get one more)."""
+@dataclass
+class _Plan:
+    units: DataFrame    # one row for each unit of equal rows (doc_id, sk, size, h): ``mult`` (how many they are),
+    #                     ``source_size``, ``target``, ``base`` (copies of each row), ``extra`` (rows that get one more)
+    classes: DataFrame  # (sk, size, base, buckets)
+    cuts: DataFrame     # (sk, size, bucket, cut): the units up to hash ``cut`` get one more
+
+
+def _plan(sizes: DataFrame, weights: tuple[int, ...], cap: int, bucket_rows: int) -> _Plan:
+    """Copies for rows ``(doc_id, sk, size, h)``."""
     units = materialize(sizes.groupBy("sk", "size", "h").agg(
         F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("mult")), "mix-units")
     classes = materialize(units.groupBy("sk", "size").agg(F.sum("mult").alias("n"), F.count(F.lit(1)).alias("units")),
@@ -201,10 +209,12 @@ def _plan(sizes: DataFrame, weights: tuple[int, ...], cap: int, bucket_rows: int
         Window.partitionBy(*key).orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = rows.where(F.col("left") > 0).select(*key, "h", "mult", before.alias("before")).join(part, key)
     extra = F.greatest(F.lit(0), F.least("mult", F.col("take") - F.col("before")))
-    more = materialize(ranked.select("sk", "h", "size", extra.alias("extra")).where("extra > 0"), "mix-extra")
-    return rows.join(more, ["sk", "size", "h"], "left").select(
+    more = materialize(ranked.select(*key, "h", extra.alias("extra")).where("extra > 0"), "mix-extra")
+    out = rows.join(more.drop("bucket"), ["sk", "size", "h"], "left").select(
         "doc_id", "sk", "size", "h", "mult", "source_size", "target", "base",
         F.coalesce("extra", F.lit(0)).cast("bigint").alias("extra"))
+    return _Plan(out, per_class.select("sk", "size", "base", "buckets"),
+                 more.groupBy(*key).agg(F.max("h").alias("cut")))
 
 
 #: Rows of one unit that a task makes.
@@ -234,7 +244,7 @@ def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
              weights: tuple[int, ...] = WEIGHTS, cap: int = 3, bucket_rows: int = 256) -> DataFrame:
     """``(doc_id, sk, size, h, source_size, target, copies)`` for every row;
     ``sk`` and ``h`` stand for the source and the whole row."""
-    units = _plan(_sizes(docs, doc_id, text, source), weights, cap, bucket_rows)
+    units = _plan(_sizes(docs, doc_id, text, source), weights, cap, bucket_rows).units
     rows = _repeated(units, F.col("mult"), "nth")
     copies = F.col("base") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)
     return rows.select("doc_id", "sk", "size", "h", "source_size", "target", copies.alias("copies"))
@@ -243,18 +253,33 @@ def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
 @tidy
 def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", *,
                   weights: tuple[int, ...] = WEIGHTS, cap: int = 3, bucket_rows: int = 256) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
+    """The mix itself: the rows of ``docs``, each as often as it is taken.
+
+    A row without an equal one is taken as often as its class tells, once more
+    up to the cut of its bucket: two tables that are small beside the rows, so
+    the texts stay where they are read.  Only rows that may have an equal one
+    (told by a filter of a fixed size) are shuffled."""
     plan = _plan(_sizes(docs, doc_id, text, source), weights, cap, bucket_rows)
-    a, b, c, m = (fresh(docs, x) for x in ("_sk", "_h", "_copies", "_mult"))
-    taken = plan.select(F.col("sk").alias(a), F.col("h").alias(b), F.col("mult").alias(m),
-                        (F.col("base") * F.col("mult") + F.col("extra")).alias(c))
-    taken = materialize(taken.where(F.col(c) > 0), "mix-taken")
-    keyed = docs.withColumns({a: _source_key(source), b: _hash(docs)})
-    single = keyed.join(taken.where(F.col(m) == 1), [a, b])
+    sk, h, size, bucket, cut, base, buckets, mult, copies, equal = (fresh(docs, x) for x in (
+        "_sk", "_h", "_size", "_bucket", "_cut", "_base", "_buckets", "_mult", "_copies", "_equal"))
+    columns = [F.col(f"`{x}`") for x in docs.columns]
+    taken = plan.units.select(F.col("sk").alias(sk), F.col("h").alias(h), F.col("mult").alias(mult),
+                              (F.col("base") * F.col("mult") + F.col("extra")).alias(copies))
+    taken = materialize(taken, "mix-taken")
+    classes = plan.classes.select(F.col("sk").alias(sk), F.col("size").alias(size), F.col("base").alias(base),
+                                  F.col("buckets").alias(buckets))
+    cuts = materialize(plan.cuts.select(F.col("sk").alias(sk), F.col("size").alias(size), F.col("bucket").alias(bucket),
+                                        F.col("cut").alias(cut)), "mix-cuts")
+    keyed = docs.withColumns({sk: _source_key(source), h: _hash(docs)})
+    several = taken.where(F.col(mult) > 1).select(h)
+    keyed = tell_known(keyed, h, several, equal)
+    alone = (keyed.where(~F.col(equal)).withColumn(size, _words(text)).join(classes, [sk, size])
+             .withColumn(bucket, F.pmod(F.col(h), F.col(buckets))).join(cuts, [sk, size, bucket], "left")
+             .select(*columns, (F.col(base) + F.when(F.col(h) <= F.col(cut), 1).otherwise(0)).alias(copies)))
     # Equal rows cannot be told apart: one of them stands for all.
-    equal = keyed.join(taken.where(F.col(m) > 1), [a, b]).dropDuplicates([a, b])
-    out = _repeated(single.unionByName(equal), F.col(c), fresh(docs, "_nth"))
-    return out.select(*[F.col(f"`{x}`") for x in docs.columns])
+    one = (keyed.where(equal).join(keep_known(taken, h, several), [sk, h]).dropDuplicates([sk, h]).select(*columns, copies))
+    out = _repeated(alone.unionByName(one), F.col(copies), fresh(docs, "_nth"))
+    return out.select(*columns)
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stellate.llm import bpe, chat, katz, licenses, merkle, mixing, pii, quality, repeats, simhash
+from stellate.session import materialize
 
 LONG = " ".join(f"w{i % 977} +1 (212) 555-0{i % 900 + 100}" for i in range(400))
 PASSAGE = " ".join(f"p{i}" for i in range(80))
@@ -512,3 +513,26 @@ def test_license_ties(spark):
     got = {r["doc_id"]: (r["license"], r["effective_license"], r["inherited_from"])
            for r in licenses.scan_licenses(d, F.col("p")).collect()}
     assert got[9] == (None, "Apache-2.0", "a") and got[10] == (None, "Apache-2.0", "d") and got[7][0] == "MIT"
+
+
+def test_the_mix_leaves_texts_where_they_are(spark):
+    """The copies are more than a broadcast takes: rows without an equal one
+    must still not be shuffled, and all get the copies of the plan."""
+    n, limit = 20000, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.range(n).select(
+        (F.col("id") % (n - 3)).alias("doc_id"), F.concat(F.lit("s"), F.col("id") % (n - 3) % 3).alias("source"),
+        F.concat_ws(" ", F.lit("word"), F.sha2((F.col("id") % (n - 3)).cast("string"), 256),
+                    F.when(F.col("id") % (n - 3) % 7 < 3, "more words")).alias("text"))
+    docs = materialize(rows.select("doc_id", "text", "source", F.lit(1).alias("mult")), "test-docs")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        got = mixing.mix_documents(docs)
+        counts = {r["doc_id"]: r["count"] for r in got.groupBy("doc_id").count().collect()}
+        written = got.select("text")
+        written.collect()
+        plan = written._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plan
+    want = {r["doc_id"]: r["c"] for r in mixing.mix_plan(docs).groupBy("doc_id").agg(F.sum("copies").alias("c")).collect()}
+    assert counts == {k: c for k, c in want.items() if c}
