@@ -69,7 +69,8 @@ def _log_pieces(spark: SparkSession, d: str) -> tuple[str, int]:
     path = scratch_path(spark, "log-pieces")
     lines = c.event_lines(spark, d).select(F.col("log_id").cast("bigint").alias("log"),
                                            F.expr(f"line_no % 1000 div {PIECE}").alias("piece"), "line_no", "line")
-    (lines.repartition("log", "piece").sortWithinPartitions("log", "piece", "line_no").select("log", "piece", "line")
+    # One task writes all files of a log, so its folder is made and moved once.
+    (lines.repartition("log").sortWithinPartitions("log", "piece", "line_no").select("log", "piece", "line")
      .write.partitionBy("log", "piece").text(path))
     return path, lines.select("log", "piece").distinct().count()
 

@@ -303,6 +303,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def few_listing_tasks(spark: SparkSession) -> None:
+    """From now on the session lists many folders or files in at most as many
+    tasks as a shuffle has, and not in one task each.  A file stream reads the
+    setting of its session at every batch, so it stays."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    spark.conf.set(name, str(min(int(spark.conf.get(name)), max(1, shuffle_partitions(spark)))))
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
             null_safe: tuple[str, ...] = ()) -> DataFrame:
     """Equi-join on same-named ``keys``, keeping one copy of each key.

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import join_on, materialize, tidy
+from ..session import few_listing_tasks, join_on, materialize, tidy
 
 #: What a stream of logs has to remember between batches, by name.
 LOG_STATE = {
@@ -149,5 +149,6 @@ def stream_messages(spark: SparkSession, path: str, max_files_per_trigger: int |
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     file = F.col("_metadata.file_path")
     log, part = part_of(file, parts)
+    few_listing_tasks(spark)
     return r.load(path).select(log.alias("log_id"), part.alias("part"), file.alias("file"),
                                F.col("_metadata.file_block_start").alias("_blk"), F.col("value").alias("line"))

@@ -228,3 +228,31 @@ def test_read_messages_numbers_lines_across_splits(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(enumerate(lines))
+
+
+def test_many_files_are_listed_in_few_tasks(spark, scratch):
+    """40 logs of two parts each: listing them must not take a task for each
+    folder, when the stream is made or when it runs."""
+    from stellate.sources.messages import stream_messages
+    from stellate.streaming.rounds import run_components_stream
+
+    rows = spark.range(240).selectExpr("id % 40 as log", "id % 80 div 40 as piece",
+                                       "element_at(array('c1', '1 2', 'c2'), int(id div 80) + 1) as line")
+    rows.repartition("log").write.partitionBy("log", "piece").text(f"{scratch}/logs")
+    sc, name = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, most, got = spark.conf.get(name), int(spark.conf.get("spark.sql.shuffle.partitions")), []
+    sc.setJobGroup("listing", "")
+    try:
+        lines = stream_messages(spark, f"{scratch}/logs", parts="log=([0-9]+)/piece=([0-9]+)/")
+        tasks = [sc.statusTracker().getStageInfo(i).numTasks
+                 for job in sc.statusTracker().getJobIdsForGroup("listing")
+                 for i in sc.statusTracker().getJobInfo(job).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= most
+    try:
+        q = run_components_stream(lines, lambda labels, batch: got.append(batch), f"{scratch}/stream")
+        q.awaitTermination()
+        assert got and int(spark.conf.get(name)) <= most  # the source reads it at every batch
+    finally:
+        spark.conf.set(name, before)
