@@ -115,7 +115,7 @@ def relabel(table: DataFrame, labels: DataFrame) -> DataFrame:
 
 @dataclass
 class Contracted:
-    edges: DataFrame     # (src, dst) on cmp, no self-loops, no repeats
+    edges: DataFrame     # (src, dst) on cmp, no self-loops, no repeats (unless asked for)
     unknown: DataFrame   # input edges with an end that is not in the table
 
 
@@ -132,7 +132,8 @@ def known_ends(e: DataFrame, table: DataFrame,
 @tidy
 def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
                    dst: str = "dst",
-                   resolve: Callable[[DataFrame], DataFrame] | None = None) -> Contracted:
+                   resolve: Callable[[DataFrame], DataFrame] | None = None,
+                   repeats: bool = False) -> Contracted:
     """Replace both ends of uid edges by their current component number.
 
     Edges inside one component become self-loops and are dropped; an edge
@@ -144,7 +145,8 @@ def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
     without shuffling it.  ``resolve`` maps the matched ``(uid, cmp)`` rows
     to current labels (a store resolves them through its label history here,
     on the round-sized rows rather than on the whole table).  The rest of the
-    work is edge-sized.
+    work is edge-sized.  ``repeats=True`` leaves repeated component edges in
+    (one shuffle of the edges less, for a caller that links them anyway).
     """
     e = uid_edges.select(F.col(src).cast("string").alias("_s"), F.col(dst).cast("string").alias("_d"))
     # Round-sized, and read for both ends: written once, so the table is
@@ -153,11 +155,15 @@ def contract_edges(uid_edges: DataFrame, table: DataFrame, src: str = "src",
     s = known.select(F.col("uid").alias("_s"), F.col("cmp").alias("_sc"))
     d = known.select(F.col("uid").alias("_d"), F.col("cmp").alias("_dc"))
     # One left join for each end, written once: the edges and the unknown
-    # ends are told apart by NULL.
-    placed = materialize(e.join(s, "_s", "left").join(d, "_d", "left"), "contract-placed")
+    # ends are told apart by NULL.  An edge that is placed is its two labels:
+    # the uids are written for the others only, and an edge inside one
+    # component is not written.
+    lost = F.col("_sc").isNull() | F.col("_dc").isNull()
+    placed = materialize(e.join(s, "_s", "left").join(d, "_d", "left")
+                         .where(lost | (F.col("_sc") != F.col("_dc")))
+                         .select(*(F.when(lost, F.col(c)).alias(c) for c in ("_s", "_d")), "_sc", "_dc"),
+                         "contract-placed")
     edges = (placed.where(F.col("_sc") != F.col("_dc"))
-             .select(F.col("_sc").alias("src"), F.col("_dc").alias("dst"))
-             .distinct())
-    unknown = (placed.where(F.col("_sc").isNull() | F.col("_dc").isNull())
-               .select(F.col("_s").alias("src"), F.col("_d").alias("dst")))
-    return Contracted(edges, unknown)
+             .select(F.col("_sc").alias("src"), F.col("_dc").alias("dst")))
+    unknown = placed.where(lost).select(F.col("_s").alias("src"), F.col("_d").alias("dst"))
+    return Contracted(edges if repeats else edges.distinct(), unknown)

@@ -163,11 +163,12 @@ def merge_rounds(table: DataFrame, rounds: list[DataFrame], src: str = "src",
     history = spark.createDataFrame([], "old bigint, cur bigint")
     for e in rounds:
         h = history
-        con = contract_edges(e, table, src, dst, resolve=lambda rows, h=h: resolve_labels(rows, h))
+        # Repeats go where the components' tasks contract them, not to a shuffle of their own.
+        con = contract_edges(e, table, src, dst, resolve=lambda rows, h=h: resolve_labels(rows, h), repeats=True)
         labels = connected_components(con.edges)
         history = materialize(advance_history(h, labels), "merge-history")
-        release(h)
-        release(labels)
+        for used in (h, labels, con.edges):
+            release(used)
     return resolve_labels(table, history)
 
 

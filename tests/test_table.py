@@ -50,6 +50,35 @@ def test_contract_edges_with_unknown(spark):
     assert [tuple(r) for r in c.unknown.collect()] == [("c", "zz")]
 
 
+def test_a_placed_edge_is_written_as_its_labels(spark, monkeypatch):
+    """Uids are written for unknown edges only, edges inside a component not
+    at all; repeats go only when they are not asked for."""
+    from stellate.operators import table as tb
+
+    written = {}
+    real = tb.materialize
+
+    def kept(df, name):
+        out = real(df, name)
+        written[name] = sorted(map(tuple, out.select("_s", "_d", "_sc", "_dc").collect()), key=str) if (
+            name == "contract-placed") else None
+        return out
+
+    monkeypatch.setattr(tb, "materialize", kept)
+    t = spark.createDataFrame([("a", 1, False, 0), ("b", 1, False, 0), ("c", 3, False, 0), ("d", 3, False, 0)],
+                              "uid string, cmp bigint, mapped boolean, shard int")
+    e = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "d"), ("zz", "a"), ("c", "yy"), ("c", None), ("c", "yy")],
+                              "src string, dst string")
+    lost = [("c", None), ("c", "yy"), ("c", "yy"), ("zz", "a")]
+    for repeats in (False, True):
+        con = contract_edges(e, t, **({"repeats": True} if repeats else {}))
+        assert list(map(tuple, con.edges.collect())) == [(1, 3)] * (2 if repeats else 1)
+        assert sorted(map(tuple, con.unknown.collect()), key=str) == sorted(lost, key=str)
+        rows = written["contract-placed"]
+        assert [r for r in rows if r[:2] == (None, None)] == [(None, None, 1, 3)] * 2
+        assert len(rows) == 2 + len(lost)
+
+
 def _random_rounds(seed, n=60, m=80, k=3):
     rnd = random.Random(seed)
     edges = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(m)]
