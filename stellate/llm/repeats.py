@@ -265,6 +265,8 @@ def _located(plan: Plan, mixed):
                     continue
                 last = doc_id, key
                 words = text.split()
+                if len(words) < plan.window:  # let through by the filter alone: it has no run
+                    continue
                 places = dictionary.places(words, plan.phrase)
                 if not len(places):
                     continue

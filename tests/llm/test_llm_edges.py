@@ -184,6 +184,19 @@ def test_repeats_edges(edge):
     assert _by_id(rows, 2)[0]["n_words"] == 0
 
 
+def test_repeats_of_short_documents_let_through(spark, monkeypatch):
+    """The filter before the automata also lets documents through that have no
+    run; those shorter than a window may still hold a phrase of the dictionary."""
+    known = repeats.keep_known
+    rows = [(1, PASSAGE + " tail"), (2, "head " + PASSAGE)]
+    rows += [(3 + i, " ".join(PASSAGE.split()[i:i + 49])) for i in range(31)] + [(40, PASSAGE)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for let in (lambda df, *a: df, lambda *a: known(*a, bits=6)):
+        monkeypatch.setattr(repeats, "keep_known", let)
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in repeats.remove_repeats(d).collect()}
+        assert got == {1: (81, 0), 2: (81, 80), 40: (80, 80)} | {3 + i: (49, 0) for i in range(31)}
+
+
 def test_quality_edges(edge):
     rows = _all(edge, "op9")
     assert [r["base_failed"] for r in _by_id(rows, 3)] == [True, True]
